@@ -104,7 +104,7 @@ def cell_versions(events: DataFrame) -> DataFrame:
     """Wide-column cells with all their versions."""
     i = F.col("event_id")
     return events.select(
-        F.concat(F.lit("u"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("rowkey"),
+        F.concat(F.lit("u"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("rowkey"),
         F.when(i % 2 == 0, "course").otherwise("info").alias("family"),
         F.col("event_type").alias("qualifier"),
         F.floor(i / 25).cast("bigint").alias("version"),
@@ -118,7 +118,7 @@ def cells(events: DataFrame) -> DataFrame:
     i = F.col("event_id")
     newest = events.groupBy("user_id", (i % 2).alias("odd"), "event_type").agg(F.max(i).alias("event_id"))
     return newest.select(
-        F.concat(F.lit("u"), F.lpad(F.col("user_id").cast("string"), 4, "0")).alias("rowkey"),
+        F.concat(F.lit("u"), F.lpad(F.col("user_id").cast("string"), 8, "0")).alias("rowkey"),
         F.when(F.col("odd") == 0, "course").otherwise("info").alias("family"),
         F.col("event_type").alias("qualifier"),
         F.floor(i / 25).cast("bigint").alias("version"),
@@ -207,11 +207,11 @@ FIXTURE_SQL = {
     "question_point": "select distinct p_partkey%37 as QuestionId, p_size%12 as PointId from part",
     "paper_task": """select distinct user_id*4+event_id%4 as testPaper_user_id, (user_id*4+event_id%4)%9 as TaskID,
  (user_id*4+event_id%4)%6 as CustomsID, user_id as UserID from events where event_type='signup'""",
-    "cell_versions": """select concat('u',lpad(cast(user_id as varchar),4,'0')) as rowkey,
+    "cell_versions": """select concat('u',lpad(cast(user_id as varchar),8,'0')) as rowkey,
  case when event_id%2=0 then 'course' else 'info' end as family, event_type as qualifier,
  cast(floor(event_id/25) as bigint) as version, cast(event_id%110 as varchar) as value, event_id as seq from events""",
     "cells": """select rowkey, family, qualifier, version, value from (
- select concat('u',lpad(cast(user_id as varchar),4,'0')) as rowkey,
+ select concat('u',lpad(cast(user_id as varchar),8,'0')) as rowkey,
  case when event_id%2=0 then 'course' else 'info' end as family, event_type as qualifier,
  cast(floor(event_id/25) as bigint) as version, cast(event_id%110 as varchar) as value,
  row_number() over (partition by user_id, event_id%2, event_type order by event_id desc) as rn from events) z
