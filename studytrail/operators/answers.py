@@ -41,13 +41,18 @@ def rejected_answers(messages: DataFrame, required: Sequence[str] = REQUIRED) ->
     return messages.filter(~is_valid(required))
 
 
+def is_counted(mode: str) -> Column:
+    """Whether an answer enters the report: complete, and in clean mode IsRight is 0 or 1."""
+    if mode == "compat":
+        return is_valid()
+    if mode == "clean":
+        return is_valid() & F.col("IsRight").isin(0, 1)
+    raise ValueError(f"unknown mode {mode!r}")
+
+
 def question_cells(answers: DataFrame, mode: str = "clean", seq: str = "log_offset") -> DataFrame:
     """Mergeable counts per (user_id, testpaper_user_id, question_id)."""
-    rows = valid_answers(answers)
-    if mode == "clean":
-        rows = rows.filter(F.col("IsRight").isin(0, 1))
-    elif mode != "compat":
-        raise ValueError(f"unknown mode {mode!r}")
+    rows = answers.filter(is_counted(mode))
     right = F.col("IsRight")
     return rows.groupBy(
         F.col("CreateUser").alias("user_id"),

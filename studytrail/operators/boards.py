@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from studytrail.functions.keys import board_name
 from studytrail.operators.answers import REQUIRED, REQUIRED_OLDER, first_task, valid_answers
-from studytrail.operators.slices import ROWS_PER_SLICE, ranked
+from studytrail.operators.slices import ROWS_PER_SLICE, in_positions, ranked
 
 # Fixed board names.
 TASK_SCORE = "paperSummaryRank_"
@@ -106,13 +106,6 @@ def top_k(boards: DataFrame, k: int, desc: bool = True) -> DataFrame:
     )
 
 
-def _in_positions(pos: Column, size: Column, start: int, end: int) -> Column:
-    """Inclusive position range; negative numbers count from the end."""
-    lo = F.lit(start) if start >= 0 else F.greatest(size + start, F.lit(0))
-    hi = F.lit(end) if end >= 0 else size + end
-    return (pos >= lo) & (pos <= hi)
-
-
 def by_position(
     boards: DataFrame, start: int, end: int, desc: bool = False, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
@@ -120,7 +113,7 @@ def by_position(
     place = F.col("revrank" if desc else "rank")
     return (
         with_ranks(boards, rows_per_slice)
-        .filter(_in_positions(place, F.col("size"), start, end))
+        .filter(in_positions(place, F.col("size"), start, end))
         .select(*KEY, "score", place.alias("rank"))
     )
 
@@ -191,7 +184,7 @@ def drop_boards(boards: DataFrame, names: Sequence[str]) -> DataFrame:
 def remove_by_position(boards: DataFrame, start: int, end: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     return (
         with_ranks(boards, rows_per_slice)
-        .filter(~_in_positions(F.col("rank"), F.col("size"), start, end))
+        .filter(~in_positions(F.col("rank"), F.col("size"), start, end))
         .select(*KEY, "score")
     )
 

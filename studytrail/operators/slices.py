@@ -181,6 +181,13 @@ def ranked(
     )
 
 
+def in_positions(pos: Column, size: Column, start: int, end: int) -> Column:
+    """Inclusive position range; negative numbers count from the end."""
+    lo = F.lit(start) if start >= 0 else F.greatest(size + start, F.lit(0))
+    hi = F.lit(end) if end >= 0 else size + end
+    return (pos >= lo) & (pos <= hi)
+
+
 def next_group_value(
     groups: DataFrame,
     order: Sequence[str],

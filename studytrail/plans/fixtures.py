@@ -187,7 +187,7 @@ def messages(answers_df: DataFrame, topic: str = "answers", partitions: int = 4)
 
 _OPS = """select event_id+1 as id, user_id as uid, event_id%3 as cid, event_id%{r} as rid, event_id%11 as aid,
  event_id%13 as hid, event_id%17 as qid, event_id%2+1 as rt,
- case event_type when 'signup' then 1 when 'purchase' then 2 else 0 end as at,
+ case event_type when 'signup' then 1 when 'purchase' then 2 else 0 end as "at",
  value as sp, ts as ct, event_id%3+1 as appid, event_id%180 as lo, event_id%90 as la, event_id%2 as net,
  event_id%7 as de, event_id%4 as v, event_id%19 as sn, event_id%23 as lt, event_id%2 as il
  from events where event_type<>'view'"""
