@@ -171,7 +171,7 @@ def lists(events: DataFrame) -> DataFrame:
 
 
 def messages(answers_df: DataFrame, topic: str = "answers", partitions: int = 4) -> DataFrame:
-    """Answers as topic records: key, JSON value, topic, partition, offset, timestamp."""
+    """Answers as topic records keyed by learner, whose partition they share."""
     fields = (
         "id", "TestPaper_User_ID", "QuestionID", "BatchCourses_ID", "TestPaper_ID", "CreateUser", "IsRight",
     )
@@ -179,8 +179,8 @@ def messages(answers_df: DataFrame, topic: str = "answers", partitions: int = 4)
         F.col("CreateUser").cast("string").alias("key"),
         F.to_json(F.struct(*fields)).alias("value"),
         F.lit(topic).alias("topic"),
-        (F.col("log_offset") % partitions).cast("int").alias("partition"),
-        F.floor(F.col("log_offset") / partitions).cast("bigint").alias("offset"),
+        (F.col("CreateUser") % partitions).cast("int").alias("partition"),
+        F.col("log_offset").alias("offset"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
