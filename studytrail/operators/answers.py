@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from studytrail.functions.keys import join_key, key_long, positive, ratio
@@ -69,20 +69,25 @@ def question_cells(answers: DataFrame, mode: str = "clean", seq: str = "log_offs
     )
 
 
-def merge_cells(cells: DataFrame, keys: Sequence[str], *carried: str) -> DataFrame:
-    """Re-aggregate question cells to coarser keys or across batches.
-
-    ``carried`` columns are taken from the first event.
-    """
-    return cells.groupBy(*keys).agg(
+def _merged_columns() -> list[Column]:
+    return [
         F.sum("attempts").alias("attempts"),
         F.sum("right").alias("right"),
         F.sum("wrong").alias("wrong"),
         F.min("first_seq").alias("first_seq"),
         F.min_by("first_right", "first_seq").alias("first_right"),
-        *[F.min_by(c, "first_seq").alias(c) for c in carried],
         F.max("last_seq").alias("last_seq"),
         F.max_by("last_right", "last_seq").alias("last_right"),
+    ]
+
+
+def merge_cells(cells: DataFrame, keys: Sequence[str], *carried: str) -> DataFrame:
+    """Re-aggregate question cells to coarser keys or across batches.
+
+    ``carried`` columns are taken from the first event.
+    """
+    return cells.groupBy(*keys).agg(
+        *_merged_columns(), *[F.min_by(c, "first_seq").alias(c) for c in carried]
     )
 
 
@@ -127,113 +132,146 @@ def point_cells(cells: DataFrame, question_point: DataFrame, keys: Sequence[str]
     return merge_cells(cells.join(points, "question_id"), [*keys, "point_id"])
 
 
-def _clean_summary(cells: DataFrame, points: DataFrame, keys: Sequence[str], carried: Sequence[str]) -> DataFrame:
-    q = cells.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("q_count"),
-        F.count_if(F.col("right") > 0).alias("q_r_count"),
-        F.count_if(F.col("wrong") > 0).alias("q_f_count"),
-        *[F.min_by(c, "first_seq").alias(c) for c in carried],
-        F.max("last_seq").alias("last_seq"),
-    )
-    p = points.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("p_count"),
-        F.count_if(F.col("right") > 0).alias("p_r_count"),
-        F.count_if(F.col("wrong") > 0).alias("p_f_count"),
+def report_items(cells: DataFrame, question_point: DataFrame) -> DataFrame:
+    """One row per cell for its question (``is_point`` false) and one for each of its points.
+
+    The dimension gains a row without a point per question, so a single left join
+    yields both kinds and the answers are read and shuffled once for a report.
+    """
+    point = F.col("PointId").cast("bigint")
+    dimension = question_point.select(
+        F.col("QuestionId").cast("bigint").alias("question_id"),
+        F.explode(F.array(point, F.lit(None).cast("bigint"))).alias("point_id"),
+    ).distinct()
+    joined = cells.join(dimension, "question_id", "left")
+    return joined.withColumns(
+        {
+            "is_point": F.col("point_id").isNotNull(),
+            "item_id": F.coalesce("point_id", "question_id"),
+        }
     )
-    return q.join(p, list(keys), "left").na.fill(0, ["p_count", "p_r_count", "p_f_count"])
 
 
-def _compat_summary(cells: DataFrame, points: DataFrame, keys: Sequence[str], carried: Sequence[str]) -> DataFrame:
-    """Counters as stored by the last event: state before it plus its own share.
+COUNTS = ("q_count", "q_r_count", "q_f_count", "p_count", "p_r_count", "p_f_count")
+
+
+def _clean_counts() -> list[Column]:
+    """Aggregates over the merged items of a key."""
+    out = []
+    for letter, kind in (("q", ~F.col("is_point")), ("p", F.col("is_point"))):
+        out += [
+            F.count_if(kind).alias(f"{letter}_count"),
+            F.count_if(kind & (F.col("right") > 0)).alias(f"{letter}_r_count"),
+            F.count_if(kind & (F.col("wrong") > 0)).alias(f"{letter}_f_count"),
+        ]
+    return out
+
 
-    State before the last event = all cells minus the cell that event created.
+def _compat_counts(window: WindowSpec | None = None) -> list[Column]:
+    """Counters as stored by the last event, as aggregates or over a window.
+
+    The counters are the items known before the last event, by their first outcome,
+    plus the last event's own question and points. An item the last event created is
+    one it touched with a single attempt. Needs ``key_last``, the key's last event.
     """
-    by = "last_seq"
-    agg = cells.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("first_right") != 0).alias("n_right"),
-        F.count_if(F.col("first_right") == 0).alias("n_wrong"),
-        (F.max_by("attempts", by) == 1).cast("bigint").alias("fresh"),
-        F.max_by("first_right", by).alias("l_first"),
-        F.max_by("last_right", by).alias("l_right"),
-        *[F.max_by(c, by).alias(c) for c in carried],
-        F.max(by).alias(by),
-    )
-    was_right = (F.col("l_first") != 0).cast("bigint")
-    now_right = (F.col("l_right") == 1).cast("bigint")
-    q = agg.select(
-        *keys,
-        *carried,
-        by,
-        now_right.alias("now_right"),
-        (F.col("n") - F.col("fresh") + 1).alias("q_count"),
-        (F.col("n_right") - F.col("fresh") * was_right + now_right).alias("q_r_count"),
-        (F.col("n_wrong") - F.col("fresh") * (1 - was_right) + 1 - now_right).alias("q_f_count"),
-    )
-    tail = q.select(*keys, F.col(by).alias("l_seq"), "now_right")
-    in_last = F.col(by) == F.col("l_seq")
-    earlier = ~(in_last & (F.col("attempts") == 1))
-    right = F.col("now_right") == 1
-    p = (
-        points.join(tail, list(keys))
-        .groupBy(*keys)
-        .agg(
-            (F.count_if(earlier) + F.count_if(in_last)).alias("p_count"),
-            (F.count_if(earlier & (F.col("first_right") != 0)) + F.count_if(in_last & right)).alias("p_r_count"),
-            (F.count_if(earlier & (F.col("first_right") == 0)) + F.count_if(in_last & ~right)).alias("p_f_count"),
-        )
-    )
-    joined = q.join(p, list(keys), "left").na.fill(0, ["p_count", "p_r_count", "p_f_count"])
-    return joined.drop("now_right")
 
+    def over(c: Column) -> Column:
+        return c if window is None else c.over(window)
 
-COUNTS = ("q_count", "q_r_count", "q_f_count", "p_count", "p_r_count", "p_f_count")
+    touched = F.col("last_seq") == F.col("key_last")
+    known = ~(touched & (F.col("attempts") == 1))
+    asked = ~F.col("is_point") & touched
+    right = (over(F.max(F.when(asked, F.col("last_right")))) == 1).cast("bigint")
+    out = []
+    for letter, kind in (("q", ~F.col("is_point")), ("p", F.col("is_point"))):
+        own = over(F.count_if(kind & touched))
+        out += [
+            (over(F.count_if(kind & known)) + own).alias(f"{letter}_count"),
+            (over(F.count_if(kind & known & (F.col("first_right") != 0))) + right * own).alias(f"{letter}_r_count"),
+            (over(F.count_if(kind & known & (F.col("first_right") == 0))) + (1 - right) * own).alias(
+                f"{letter}_f_count"
+            ),
+        ]
+    return out
+
+
+def _with_key_last(items: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Merged items of a key are as few as its questions and points, so a window is safe."""
+    return items.withColumn("key_last", F.max("last_seq").over(Window.partitionBy(*keys)))
+
+
+def _merged_items(cells: DataFrame, question_point: DataFrame, keys: Sequence[str], *carried: str) -> DataFrame:
+    return merge_cells(report_items(cells, question_point), [*keys, "is_point", "item_id"], *carried)
 
 
 def paper_summary(cells: DataFrame, question_point: DataFrame, paper_task: DataFrame, mode: str = "clean") -> DataFrame:
-    """Report per (user, sitting) with accuracy, TaskID and CustomsID."""
-    points = point_cells(cells, question_point, PAPER)
-    finish = _clean_summary if mode == "clean" else _compat_summary
-    report = with_tasks(finish(cells, points, PAPER, ()), paper_task)
+    """Report per (user, sitting) with accuracy, TaskID and CustomsID.
+
+    The task join goes before the last aggregate: rows partitioned by sitting are
+    also partitioned for (user, sitting).
+    """
+    items = with_tasks(_merged_items(cells, question_point, PAPER), paper_task)
+    if mode == "compat":
+        items = _with_key_last(items, PAPER)
+    report = items.groupBy(*PAPER).agg(
+        *(_clean_counts() if mode == "clean" else _compat_counts()),
+        F.max("task_id").alias("task_id"),
+        F.max("customs_id").alias("customs_id"),
+        F.max("last_seq").alias("last_seq"),
+    )
     return report.select(
         *PAPER,
         *COUNTS,
-        ratio(F.col("q_r_count"), F.col("q_count")).alias("accuracy"),
+        _accuracy(),
         positive(F.col("task_id")).alias("TaskID"),
         positive(F.col("customs_id")).alias("CustomsID"),
         "last_seq",
     )
 
 
+def _accuracy() -> Column:
+    return ratio(F.col("q_r_count"), F.col("q_count")).alias("accuracy")
+
+
 def customs_summary(cells: DataFrame, question_point: DataFrame, paper_task: DataFrame, mode: str = "clean") -> DataFrame:
     """Report per (user, customs).
 
     compat adds the counters of the paper the last event belongs to, because the
     original never resets them between its two updates, and has no business ids.
     """
-    own_cells = customs_cells(cells, paper_task)
-    points = point_cells(own_cells, question_point, CUSTOMS)
     if mode == "clean":
-        report = _clean_summary(own_cells, points, CUSTOMS, ("task_id",))
+        tagged = with_tasks(cells, paper_task).filter(F.col("customs_id") > 0)
+        items = _merged_items(tagged, question_point, CUSTOMS, "task_id")
+        report = items.groupBy(*CUSTOMS).agg(
+            *_clean_counts(), F.min_by("task_id", "first_seq").alias("task_id"), F.max("last_seq").alias("last_seq")
+        )
         return report.select(
             *CUSTOMS,
             *COUNTS,
-            ratio(F.col("q_r_count"), F.col("q_count")).alias("accuracy"),
+            _accuracy(),
             positive(F.col("task_id")).alias("TaskID"),
             F.col("customs_id").alias("CustomsID"),
             "last_seq",
         )
-    own = _compat_summary(own_cells, points, CUSTOMS, ())
-    papers = paper_summary(cells, question_point, paper_task, "compat").filter(F.col("CustomsID") > 0)
-    latest = papers.groupBy("user_id", F.col("CustomsID").alias("customs_id")).agg(
-        *[F.max_by(c, "last_seq").alias(f"paper_{c}") for c in COUNTS]
-    )
-    summed = own.join(latest, list(CUSTOMS), "left").select(
-        *CUSTOMS, *[(F.col(c) + F.col(f"paper_{c}")).alias(c) for c in COUNTS], "last_seq"
-    )
-    return summed.select(
-        *CUSTOMS, *COUNTS, ratio(F.col("q_r_count"), F.col("q_count")).alias("accuracy"), "last_seq"
+    # Items per sitting carry their sitting's counters into the customs' items, whose
+    # last one then tells those of the sitting answered last.
+    sittings = with_tasks(_merged_items(cells, question_point, PAPER), paper_task).filter(F.col("customs_id") > 0)
+    counters = [c.alias(f"paper_{n}") for c, n in zip(_compat_counts(Window.partitionBy(*PAPER)), COUNTS)]
+    counted = _with_key_last(sittings, PAPER).select("*", *counters)
+    paper = [f"paper_{n}" for n in COUNTS]
+    item = [*CUSTOMS, "is_point", "item_id"]
+    latest = counted.groupBy(*item).agg(*_merged_columns(), *[F.max_by(c, "last_seq").alias(c) for c in paper])
+    report = (
+        _with_key_last(latest, CUSTOMS)
+        .groupBy(*CUSTOMS)
+        .agg(
+            *_compat_counts(),
+            *[F.max_by(c, "last_seq").alias(c) for c in paper],
+            F.max("last_seq").alias("last_seq"),
+        )
     )
+    summed = report.select(*CUSTOMS, *[(F.col(c) + F.col(f"paper_{c}")).alias(c) for c in COUNTS], "last_seq")
+    return summed.select(*CUSTOMS, *COUNTS, _accuracy(), "last_seq")
 
 
 def counter_rows(cells: DataFrame, keys: Sequence[str], item: str, family: str) -> DataFrame:

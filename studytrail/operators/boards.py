@@ -88,9 +88,12 @@ def with_ranks(boards: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataF
 
 
 def rank_of(boards: DataFrame, members: DataFrame, desc: bool = False, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    """Rank of the listed (board, member) pairs; absent members give no row."""
+    """Rank of the listed (board, member) pairs; absent members give no row.
+
+    Only boards asked about are ranked."""
+    asked = boards.join(members.select("board").distinct(), "board", "left_semi")
     return (
-        with_ranks(boards, rows_per_slice)
+        with_ranks(asked, rows_per_slice)
         .join(members.select(*KEY).distinct(), list(KEY), "left_semi")
         .select(*KEY, F.col("revrank" if desc else "rank").alias("rank"))
     )

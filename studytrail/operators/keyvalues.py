@@ -1,4 +1,6 @@
-"""Key/value rows (key, value) and hashes (key, field, value) as table jobs."""
+"""Key/value rows (key, value) and hashes (key, field, value) as table jobs.
+
+A table holds each key, a hash each field, once."""
 
 from __future__ import annotations
 
@@ -62,11 +64,11 @@ def increment(table: DataFrame, deltas: DataFrame, kind: str = "bigint") -> Data
 
 
 def matching_keys(table: DataFrame, glob: str) -> DataFrame:
-    return table.filter(F.col("key").rlike(glob_pattern(glob))).select("key").distinct()
+    return table.filter(F.col("key").rlike(glob_pattern(glob))).select("key")
 
 
 def exists(table: DataFrame, keys: DataFrame) -> DataFrame:
-    found = table.select("key").distinct().withColumn("__hit", F.lit(True))
+    found = table.select("key").withColumn("__hit", F.lit(True))
     joined = keys.select("key").join(found, "key", "left")
     return joined.select("key", F.coalesce("__hit", F.lit(False)).alias("found"))
 

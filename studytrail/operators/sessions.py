@@ -170,9 +170,22 @@ def chain(df: DataFrame, part: Sequence[str], order: Sequence[str]) -> DataFrame
     ).drop("__opens", "__next", "__end")
 
 
-def _runs(rows: DataFrame, keys: Sequence[str], order: Sequence[str], payload: Column, slices: Slices | None) -> DataFrame:
-    """Final runs per group: (keys, enter, s, e, head, tail)."""
+def _runs(
+    rows: DataFrame,
+    spec: SessionSpec,
+    keys: Sequence[str],
+    order: Sequence[str],
+    fields: Sequence[Column],
+    slices: Slices | None,
+) -> DataFrame:
+    """Final runs per group: (keys, enter, s, e, head, tail); s and e hold the fields.
+
+    The peak joins the fields where a group is whole in its partition."""
     placed, part = _place(rows, keys, slices)
+    payload = F.struct(*fields)
+    if spec.peak and slices is None:
+        placed = placed.withColumn("maxsp", F.max(spec.peak).over(Window.partitionBy(*spec.peak_key)))
+        payload = F.struct(*fields, "maxsp")
     marked = placed.select(
         *part,
         *[F.col(c).alias(f"__o_{c}") for c in order],
@@ -197,8 +210,8 @@ def _runs(rows: DataFrame, keys: Sequence[str], order: Sequence[str], payload: C
 
 
 def _with_peak(sessions: DataFrame, rows: DataFrame, spec: SessionSpec) -> DataFrame:
-    """Join max(peak) per peak key. The maximum combines before its shuffle; a session
-    side dominated by one key is left to AQE's skew join."""
+    """Join max(peak) per peak key, for cut groups. The maximum combines before its
+    shuffle; a session side dominated by one key is left to AQE's skew join."""
     peaks = rows.groupBy(*[F.col(c).alias(f"__p_{c}") for c in spec.peak_key]).agg(
         F.max(spec.peak).alias("maxsp")
     )
@@ -233,10 +246,10 @@ def sessionize(
 def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame:
     rows = rows.filter(F.col("at").isNotNull())
     slices = plan_slices(rows, spec.entity, ("ct", "id"), rows_per_slice)
-    payload = F.struct(*[F.col(src).alias(out) for out, src in spec.output], "ct")
-    runs = _runs(rows, spec.entity, ("ct", "id"), payload, slices).filter("enter")
+    fields = [*[F.col(src).alias(out) for out, src in spec.output], F.col("ct")]
+    runs = _runs(rows, spec, spec.entity, ("ct", "id"), fields, slices).filter("enter")
     sessions = runs.select("s.*", F.col("e.ct").alias("maxct")).withColumnRenamed("ct", "minct")
-    if spec.peak:
+    if spec.peak and slices is not None:
         sessions = _with_peak(sessions, rows, spec)
     return sessions.select(*_columns(spec))
 
@@ -245,13 +258,13 @@ def _compat(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFram
     order = (*spec.order, "ct", "id")
     total = rows.count()
     slices = plan_slices(rows, spec.group, order, rows_per_slice, total=total)
-    payload = F.struct(
+    fields = [
         *[F.col(src).alias(out) for out, src in spec.output],
         F.col("ct").alias("__ct"),
         F.col("id").alias("__id"),
         F.col("at").alias("__at"),
-    )
-    runs = _runs(rows, spec.group, order, payload, slices)
+    ]
+    runs = _runs(rows, spec, spec.group, order, fields, slices)
 
     # The closing row of a group's last run counts only if the next group, in
     # global order, begins with an enter row: one row per group settles that.
@@ -279,7 +292,7 @@ def _compat(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFram
         main.alias("r"),
         F.when(both, F.least("s.__ct", "e.__ct")).otherwise(main["__ct"]).alias("minct"),
         F.when(both, F.greatest("s.__ct", "e.__ct")).otherwise(main["__ct"]).alias("maxct"),
-    ).select(*[F.col(f"r.{out}").alias(out) for out, _ in spec.output], "minct", "maxct")
-    if spec.peak:
+    ).select("r.*", "minct", "maxct")
+    if spec.peak and slices is not None:
         sessions = _with_peak(sessions, rows, spec)
     return sessions.select(*_columns(spec))

@@ -72,18 +72,18 @@ def move(sets: DataFrame, moves: DataFrame) -> DataFrame:
 
 
 def cardinality(sets: DataFrame) -> DataFrame:
-    return sets.groupBy("key").agg(F.count_distinct("member").alias("n"))
+    return sets.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
 def contains(sets: DataFrame, probes: DataFrame) -> DataFrame:
     """For each (key, member) whether the set holds it."""
-    found = sets.select("key", "member").distinct().withColumn("__hit", F.lit(True))
+    found = sets.select("key", "member").withColumn("__hit", F.lit(True))
     joined = probes.select("key", "member").join(found, ["key", "member"], "left")
     return joined.select("key", "member", F.coalesce("__hit", F.lit(False)).alias("found"))
 
 
 def members(sets: DataFrame, key: str) -> DataFrame:
-    return sets.filter(F.col("key") == key).select("member").distinct()
+    return sets.filter(F.col("key") == key).select("member")
 
 
 def _draw_hash(seed: int, *parts: Column) -> Column:
