@@ -97,6 +97,14 @@ def hash_rows(hashes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return hashes.filter(F.col("key").isin(list(keys)))
 
 
+def hash_keys(hashes: DataFrame, key: str) -> DataFrame:
+    return hash_rows(hashes, [key]).select("field")
+
+
+def hash_values(hashes: DataFrame, key: str) -> DataFrame:
+    return hash_rows(hashes, [key]).select("value")
+
+
 def hash_size(hashes: DataFrame) -> DataFrame:
     return hashes.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 

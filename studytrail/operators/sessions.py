@@ -3,11 +3,12 @@
 ``clean`` gives what the session jobs are meant to compute: a session opens at an
 enter row and lasts to the last row before the next enter row of the same entity.
 ``compat`` gives what the original SQL yields, whose windows run over all users at
-once; here the same rows come from windows per group plus one small lookup.
+once.
 
 Both build on ``chain``: rows in order become runs, one per enter row, each with
-its opening and its last row. Cut groups run ``chain`` per slice and once more over
-the pieces at the slice borders.
+its opening and its last row. clean partitions by entity and cuts only hot entities
+into slices; compat cuts the one global order into slices. ``chain`` runs per slice
+and once more over the few pieces at the slice borders.
 """
 
 from __future__ import annotations
@@ -18,13 +19,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from studytrail.operators.slices import (
-    ROWS_PER_SLICE,
-    SLICE,
-    Slices,
-    next_group_value,
-    plan_slices,
-)
+from studytrail.operators.slices import ROWS_PER_SLICE, SLICE, Slices, plan_slices, with_slice
+
+# Slices of the global order are also the unit of parallel work, hence smaller.
+GLOBAL_SLICE_ROWS = 500_000
 
 
 @dataclass(frozen=True)
@@ -132,10 +130,10 @@ def _place(rows: DataFrame, keys: Sequence[str], slices: Slices | None) -> tuple
     which combines before its shuffle, go first.
     """
     part = list(keys)
-    if slices is not None:
-        if slices.has_copies:
-            rows = rows.distinct()
-        rows = rows.withColumn(SLICE, slices.column())
+    if slices is not None and slices.has_copies:
+        rows = rows.distinct()
+    if slices is not None or not keys:
+        rows = with_slice(rows, slices)
         part.append(SLICE)
     return rows.repartition(*part).distinct(), part
 
@@ -184,7 +182,8 @@ def _runs(
     placed, part = _place(rows, keys, slices)
     payload = F.struct(*fields)
     if spec.peak and slices is None:
-        placed = placed.withColumn("maxsp", F.max(spec.peak).over(Window.partitionBy(*spec.peak_key)))
+        whole = Window.partitionBy(*dict.fromkeys((*part, *spec.peak_key)))
+        placed = placed.withColumn("maxsp", F.max(spec.peak).over(whole))
         payload = F.struct(*fields, "maxsp")
     marked = placed.select(
         *part,
@@ -196,7 +195,7 @@ def _runs(
     sort = [f"__o_{c}" for c in order]
     runs = chain(marked, part, sort)
     if slices is None:
-        return runs.drop(*sort)
+        return runs.drop(SLICE, *sort)
     # Pieces at a slice border of a cut group meet in one small partition (-1);
     # all others keep their slice and pass through unchanged.
     border = (F.col("head") | F.col("tail")) & slices.is_hot()
@@ -255,44 +254,46 @@ def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame
 
 
 def _compat(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame:
-    order = (*spec.order, "ct", "id")
-    total = rows.count()
-    slices = plan_slices(rows, spec.group, order, rows_per_slice, total=total)
+    order = (*spec.group, *spec.order, "ct", "id")
+    slices = plan_slices(rows, (), order, min(rows_per_slice, GLOBAL_SLICE_ROWS))
     fields = [
         *[F.col(src).alias(out) for out, src in spec.output],
         F.col("ct").alias("__ct"),
         F.col("id").alias("__id"),
         F.col("at").alias("__at"),
+        F.struct(*spec.group).alias("__group"),
     ]
-    runs = _runs(rows, spec, spec.group, order, fields, slices)
-
-    # The closing row of a group's last run counts only if the next group, in
-    # global order, begins with an enter row: one row per group settles that.
-    buckets = plan_slices(rows, (), spec.group, rows_per_slice, total=total)
-    groups = runs.groupBy(*spec.group).agg((~F.max("head")).alias("starts"))
-    follow = next_group_value(groups, spec.group, "starts", buckets).select(
-        *[F.col(c).alias(f"__g_{c}") for c in spec.group],
-        F.col("next_value").alias("__next_starts"),
+    runs = _runs(rows, spec, (), order, fields, slices)
+
+    # A run's last row counts if it is no enter row and an enter row follows it. It
+    # closes the session its run opened if both are of one group; if not, or if no
+    # enter row came before, it makes a session of its own.
+    s, e = F.col("s"), F.col("e")
+    counts = F.coalesce((e["__at"] != 1) & ~F.col("tail"), F.lit(False))
+    closes = F.col("enter") & counts & s["__group"].eqNullSafe(e["__group"])
+    e_first = F.struct(e["__ct"], e["__id"]) < F.struct(s["__ct"], s["__id"])
+
+    def session(row: Column, start: Column, end: Column) -> Column:
+        return F.struct(row.alias("r"), start.alias("minct"), end.alias("maxct"))
+
+    opened = (
+        F.when(
+            closes,
+            session(
+                F.when(e_first, e).otherwise(s),
+                F.least(s["__ct"], e["__ct"]),
+                F.greatest(s["__ct"], e["__ct"]),
+            ),
+        )
+        .when(F.col("enter"), session(s, s["__ct"], s["__ct"]))
+        .alias("opened")
     )
-    match = None
-    for c in spec.group:
-        part = F.col(c).eqNullSafe(F.col(f"__g_{c}"))
-        match = part if match is None else match & part
-    joined = runs.join(follow, match, "left")
-
-    closed = F.coalesce(
-        (F.col("e.__at") != 1) & (~F.col("tail") | F.coalesce("__next_starts", F.lit(False))),
-        F.lit(False),
+    orphan = F.when(counts & ~closes, session(e, e["__ct"], e["__ct"])).alias("orphan")
+    sessions = (
+        runs.filter(F.col("enter") | counts)
+        .select(F.explode(F.array_compact(F.array(opened, orphan))).alias("x"))
+        .select("x.r.*", "x.minct", "x.maxct")
     )
-    judged = joined.withColumn("__closed", closed).filter(F.col("enter") | F.col("__closed"))
-    both = F.col("enter") & F.col("__closed")
-    e_first = F.struct("e.__ct", "e.__id") < F.struct("s.__ct", "s.__id")
-    main = F.when(both & e_first, F.col("e")).when(F.col("enter"), F.col("s")).otherwise(F.col("e"))
-    sessions = judged.select(
-        main.alias("r"),
-        F.when(both, F.least("s.__ct", "e.__ct")).otherwise(main["__ct"]).alias("minct"),
-        F.when(both, F.greatest("s.__ct", "e.__ct")).otherwise(main["__ct"]).alias("maxct"),
-    ).select("r.*", "minct", "maxct")
     if spec.peak and slices is not None:
         sessions = _with_peak(sessions, rows, spec)
     return sessions.select(*_columns(spec))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 4_000_000
-MAX_SLICES = 2048
+MAX_SLICES = 8192
 SAMPLE_PER_SLICE = 20
 
 SLICE = "__slice"
@@ -69,11 +69,15 @@ class Slices:
             steps.append(F.lit(step))
             step //= 2
 
-        def advance(pos: Column, width: Column) -> Column:
-            below = F.get(cuts, pos + width - F.lit(1)) < probe
-            return F.when((pos + width <= F.lit(len(self.cuts))) & below, pos + width).otherwise(pos)
+        def search(place: Column) -> Column:
+            def advance(pos: Column, width: Column) -> Column:
+                below = F.get(cuts, pos + width - F.lit(1)) < place
+                return F.when((pos + width <= F.lit(len(self.cuts))) & below, pos + width).otherwise(pos)
 
-        return F.aggregate(F.array(*steps), F.lit(0), advance)
+            return F.aggregate(F.array(*steps), F.lit(0), advance)
+
+        # The one-element array binds the row's tuple once for all steps.
+        return F.get(F.transform(F.array(probe), search), F.lit(0))
 
     def column(self) -> Column:
         return F.when(self.is_hot(), self.index()).otherwise(F.lit(0))
@@ -186,38 +190,3 @@ def in_positions(pos: Column, size: Column, start: int, end: int) -> Column:
     lo = F.lit(start) if start >= 0 else F.greatest(size + start, F.lit(0))
     hi = F.lit(end) if end >= 0 else size + end
     return (pos >= lo) & (pos <= hi)
-
-
-def next_group_value(
-    groups: DataFrame,
-    order: Sequence[str],
-    value: str,
-    slices: Slices | None,
-) -> DataFrame:
-    """``value`` of the following group in the global order of ``order``, as ``next_value``.
-
-    ``groups`` has one row per group. Without range buckets (``slices`` None, the
-    caller has checked that the input fits one slice) one window does it; otherwise
-    each bucket runs alone and a table with one row per bucket links them.
-    """
-    if slices is None:
-        whole = Window.partitionBy(F.lit(0)).orderBy(*order)
-        return groups.withColumn("next_value", F.lead(value).over(whole))
-    sliced = with_slice(groups, slices)
-    inside = Window.partitionBy(SLICE).orderBy(*order)
-    first = F.struct(*order)
-    edges = sliced.groupBy(SLICE).agg(F.min_by(value, first).alias("__first"))
-    edges = edges.select(
-        F.col(SLICE).alias("__edge"),
-        F.lead("__first").over(Window.partitionBy(F.lit(0)).orderBy(SLICE)).alias("__next_first"),
-    )
-    placed = sliced.select(
-        "*",
-        F.lead(value).over(inside).alias("__lead"),
-        F.lead(F.lit(True)).over(inside).alias("__has_lead"),
-    )
-    joined = placed.join(F.broadcast(edges), F.col(SLICE) == F.col("__edge"), "left")
-    return joined.select(
-        *groups.columns,
-        F.when(F.col("__has_lead"), F.col("__lead")).otherwise(F.col("__next_first")).alias("next_value"),
-    )

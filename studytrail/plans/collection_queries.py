@@ -301,6 +301,8 @@ def _register_hashes(reg: Registry) -> None:
         lambda h: K.hash_rows(h, ["user_1", "user_20"]),
         f"{HASHES} select key, field, value from hashes where key in ('user_1','user_20')",
     )
+    add("hs_keys", lambda h: K.hash_keys(h, "user_3"), f"{HASHES} select field from hashes where key='user_3'")
+    add("hs_values", lambda h: K.hash_values(h, "user_3"), f"{HASHES} select value from hashes where key='user_3'")
     add("hs_size", K.hash_size, f"{HASHES} select key, count(*) as n from hashes group by 1")
     add(
         "hs_exists",

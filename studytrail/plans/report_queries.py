@@ -155,6 +155,12 @@ def _accuracy(kind: str, mode: str):
     return _boards(make)
 
 
+def _accuracy_count(answers, points, tasks):
+    """Learners per task whose accuracy is at least one half."""
+    report = A.paper_summary(A.question_cells(answers), points, tasks)
+    return B.count_by_score(B.accuracy_scores(report, "TaskID", B.TASK_ACCURACY), 0.5, 1.0)
+
+
 def _score_sql(column: str, prefix: str) -> str:
     return f"""{BASE} select concat('{prefix}', cast({column} as varchar)) as board, cast(user_id as varchar) as member,
  cast(count(*) as double) as score from v where r=1 and {column}>0 group by 1, 2"""
@@ -188,3 +194,9 @@ def register(reg: Registry) -> None:
     for kind in ("task", "customs"):
         reg.add(f"lb_{kind}_accuracy", _accuracy(kind, "clean"), _accuracy_sql(kind, "clean"))
         reg.add(f"lb_{kind}_accuracy_compat", _accuracy(kind, "compat"), _accuracy_sql(kind, "compat"))
+    reg.add(
+        "lb_accuracy_count",
+        _boards(_accuracy_count),
+        f"""select board, count(case when score between 0.5 and 1 then 1 end) as n, count(*) as size
+ from ({_accuracy_sql('task', 'clean')}) q group by 1""",
+    )

@@ -52,16 +52,19 @@ def batch_ranges(records: DataFrame) -> DataFrame:
     )
 
 
-def unseen(records: DataFrame, marks: DataFrame) -> DataFrame:
+def unseen(records: DataFrame, marks: DataFrame, copies: bool = True) -> DataFrame:
     """Records beyond the last applied offset of their partition, each position once.
 
-    ``marks`` has one row per topic partition, a number the broker bounds.
+    ``marks`` has one row per topic partition, a number the broker bounds. A source
+    that never repeats a position inside a batch (a topic) needs no shuffle for it:
+    ``copies=False``.
     """
     last = marks.select(*PLACE, F.col("offset").alias("__last"))
     new = records.join(F.broadcast(last), list(PLACE), "left").filter(
         F.col("__last").isNull() | (F.col("offset") > F.col("__last"))
     )
-    return new.drop("__last").dropDuplicates([*PLACE, "offset"])
+    new = new.drop("__last")
+    return new.dropDuplicates([*PLACE, "offset"]) if copies else new
 
 
 def advance(marks: DataFrame, records: DataFrame) -> DataFrame:

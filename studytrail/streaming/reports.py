@@ -41,11 +41,14 @@ def decode_answers(records: DataFrame) -> DataFrame:
 
 
 class AnswerReport:
-    """Tables of the running report under one root folder."""
+    """Tables of the running report under one root folder.
 
-    def __init__(self, spark: SparkSession, root: str, mode: str = "clean"):
+    ``copies`` says whether the source may repeat a position inside one batch."""
+
+    def __init__(self, spark: SparkSession, root: str, mode: str = "clean", copies: bool = True):
         self.spark = spark
         self.mode = mode
+        self.copies = copies
         self.cells = BatchFolder(spark, f"{root}/question_cells")
         self.rejects = BatchFolder(spark, f"{root}/rejects")
         self.marks = Marks(spark, f"{root}/marks")
@@ -53,7 +56,7 @@ class AnswerReport:
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
         """One micro-batch. The marks go last: without them the batch is done again."""
-        fresh = decode_answers(unseen(records, self.marks.before(batch_id))).persist()
+        fresh = decode_answers(unseen(records, self.marks.before(batch_id), self.copies)).persist()
         try:
             self.cells.write(A.question_cells(fresh, self.mode), batch_id)
             left_out = ~F.coalesce(A.is_counted(self.mode), F.lit(False))

@@ -1,4 +1,4 @@
-"""Cut points, the literal binary search and the lookups built on them."""
+"""Cut points, the literal binary search and places built on them."""
 
 import random
 from datetime import datetime, timedelta
@@ -6,7 +6,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from studytrail.operators.slices import SLICE, Slices, next_group_value, plan_slices, ranked, with_slice
+from studytrail.operators.slices import SLICE, Slices, plan_slices, ranked, with_slice
 
 
 def test_small_input_is_not_cut(spark):
@@ -63,12 +63,3 @@ def test_null_and_negative_order_values(spark):
 def test_copies_are_noticed(spark):
     df = spark.range(900).select(F.lit(1).alias("k"), F.when(F.col("id") < 600, 5).otherwise(F.col("id")).alias("v"))
     assert plan_slices(df, ["k"], ["v"], rows_per_slice=50).has_copies
-
-
-@pytest.mark.parametrize("limit", [10**6, 20])
-def test_next_group_value(spark, limit):
-    df = spark.range(300).select((F.col("id") * 7 % 300).alias("g"), (F.col("id") % 5).alias("v"))
-    slices = plan_slices(df, [], ["g"], rows_per_slice=limit)
-    assert (slices is None) == (limit > 300)
-    rows = sorted(map(tuple, next_group_value(df, ["g"], "v", slices).collect()))
-    assert [r[2] for r in rows] == [r[1] for r in rows[1:]] + [None]
