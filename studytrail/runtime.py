@@ -9,11 +9,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Where a cluster's shuffles start; AQE merges small partitions, it splits none but
+# skewed joins, so the start has to be high.
+CLUSTER_PARTITIONS = 20_000
+
+
 def build_session(app: str = "studytrail", master: str | None = None, **conf: str) -> SparkSession:
-    """A session with the settings the jobs rely on.
+    """A session with the settings the jobs rely on; ``a__b`` in a name stands for ``a.b``.
 
-    On a cluster ``master`` stays None (spark-submit sets it) and the shuffle
-    partition number is left to AQE, which coalesces from a high initial one.
+    On a cluster ``master`` stays None (spark-submit sets it) and shuffles start with
+    ``CLUSTER_PARTITIONS``, which AQE coalesces to partitions of the advisory size.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -24,6 +29,10 @@ def build_session(app: str = "studytrail", master: str | None = None, **conf: st
     )
     if master:
         builder = builder.master(master)
+    else:
+        builder = builder.config(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(CLUSTER_PARTITIONS)
+        ).config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256m")
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

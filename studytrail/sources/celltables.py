@@ -59,10 +59,10 @@ def current_cells(spark: SparkSession, path: str) -> DataFrame:
     return latest(all_versions(spark, path))
 
 
-def compact_table(spark: SparkSession, path: str) -> int | None:
-    """Keep only current cells in one base folder."""
+def compact_table(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+    """Fold batches into one base folder that keeps only current cells."""
 
     def merge(cells: DataFrame) -> DataFrame:
         return latest(cells).repartitionByRange("rowkey").sortWithinPartitions("rowkey")
 
-    return BatchFolder(spark, f"{path}/cells").compact(merge, CELL_SCHEMA)
+    return BatchFolder(spark, f"{path}/cells").compact(merge, CELL_SCHEMA, before)

@@ -2,8 +2,8 @@
 
 Each batch owns one subfolder, overwritten when the batch is replayed, and readers
 take only folders whose write finished. Merging is left to the reader's aggregate,
-so a batch costs its own rows, not the size of the table. ``compact`` folds finished
-batches into one base folder.
+so a batch costs its own rows, not the size of the table. ``compact`` folds older
+batches into one base folder, which keeps the number of folders bounded.
 """
 
 from __future__ import annotations
@@ -18,48 +18,76 @@ class BatchFolder:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _finished(self) -> dict[str, list[int]]:
+    def _files(self):
+        """The root's file system and the path type, as the cluster is configured."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path
+        return path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def _is_finished(self, name: str) -> bool:
+        fs, path = self._files()
+        return fs.exists(path(f"{self.root}/{name}/_SUCCESS"))
+
+    def _numbers(self) -> dict[str, list[int]]:
         """Numbers of finished folders by kind (``batch``, ``base``)."""
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        root = hadoop.Path(self.root)
-        fs = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        fs, path = self._files()
         found: dict[str, list[int]] = {"batch": [], "base": []}
-        if fs.exists(root):
-            for status in fs.listStatus(root):
-                kind, _, number = status.getPath().getName().partition("-")
-                done = hadoop.Path(status.getPath(), "_SUCCESS")
-                if kind in found and number.isdigit() and fs.exists(done):
+        if fs.exists(path(self.root)):
+            for status in fs.listStatus(path(self.root)):
+                name = status.getPath().getName()
+                kind, _, number = name.partition("-")
+                if kind in found and number.isdigit() and self._is_finished(name):
                     found[kind].append(int(number))
         return {kind: sorted(numbers) for kind, numbers in found.items()}
 
     def write(self, df: DataFrame, batch_id: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/batch-{batch_id}")
 
-    def _paths(self, before: int | None = None) -> list[str]:
-        done = self._finished()
-        base = [n for n in done["base"] if before is None or n < before][-1:]
-        start = base[0] if base else -1
-        batches = [n for n in done["batch"] if n > start and (before is None or n < before)]
-        return [f"{self.root}/base-{n}" for n in base] + [f"{self.root}/batch-{n}" for n in batches]
-
     def read(self, schema: str) -> DataFrame:
         """Rows of all finished batches."""
-        return self._load(self._paths(), schema)
+        return self._load(self._names(), schema)
 
     def read_last(self, before: int, schema: str) -> DataFrame:
-        """Rows of the last finished batch below ``before``."""
-        return self._load(self._paths(before)[-1:], schema)
+        """Rows of the last finished batch below ``before``: in a running stream the
+        one just before, so one look and no listing."""
+        for number in range(before - 1, -1, -1):
+            if self._is_finished(f"batch-{number}"):
+                return self._load([f"batch-{number}"], schema)
+        return self._load([], schema)
 
-    def _load(self, paths: list[str], schema: str) -> DataFrame:
-        if not paths:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+    def compact(self, merge: Callable[[DataFrame], DataFrame], schema: str, before: int | None = None) -> int | None:
+        """Fold finished batches (below ``before``) into one base; returns the last it holds.
 
-    def compact(self, merge: Callable[[DataFrame], DataFrame], schema: str) -> int | None:
-        """Fold every finished batch into one base; returns the last batch it holds."""
-        batches = self._finished()["batch"]
+        Folders folded by the base before this one are removed; those of this one stay
+        until the next, for readers still on them.
+        """
+        numbers = self._numbers()
+        last_base = numbers["base"][-1] if numbers["base"] else -1
+        batches = [n for n in numbers["batch"] if n > last_base and (before is None or n < before)]
         if not batches:
             return None
-        merged = merge(self._load(self._paths(batches[-1] + 1), schema))
-        merged.write.mode("overwrite").parquet(f"{self.root}/base-{batches[-1]}")
+        names = [f"base-{n}" for n in numbers["base"][-1:]] + [f"batch-{n}" for n in batches]
+        merge(self._load(names, schema)).write.mode("overwrite").parquet(f"{self.root}/base-{batches[-1]}")
+        self._remove([f"batch-{n}" for n in numbers["batch"] if n <= last_base])
+        self._remove([f"base-{n}" for n in numbers["base"][:-1]])
         return batches[-1]
+
+    def keep_last(self, batch_id: int, count: int = 10) -> None:
+        """Remove the batch that is ``count`` behind; for tables whose last batch says all."""
+        if batch_id >= count:
+            self._remove([f"batch-{batch_id - count}"])
+
+    def _names(self) -> list[str]:
+        numbers = self._numbers()
+        base = numbers["base"][-1:]
+        start = base[0] if base else -1
+        return [f"base-{n}" for n in base] + [f"batch-{n}" for n in numbers["batch"] if n > start]
+
+    def _load(self, names: list[str], schema: str) -> DataFrame:
+        if not names:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*[f"{self.root}/{n}" for n in names])
+
+    def _remove(self, names: list[str]) -> None:
+        fs, path = self._files()
+        for name in names:
+            fs.delete(path(f"{self.root}/{name}"), True)

@@ -84,3 +84,4 @@ class Marks:
 
     def save(self, batch_id: int, records: DataFrame) -> None:
         self.folder.write(advance(self.before(batch_id), records).coalesce(1), batch_id)
+        self.folder.keep_last(batch_id)

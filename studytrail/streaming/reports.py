@@ -28,6 +28,8 @@ CELLS_SCHEMA = (
     "user_id long, testpaper_user_id long, question_id long, attempts long, right long, wrong long, "
     "first_seq long, first_right int, last_seq long, last_right int"
 )
+# Batches between two compactions; bounds the folders a reader lists.
+COMPACT_EVERY = 500
 REJECT_SCHEMA = "topic string, partition int, offset long, key string, value string"
 
 
@@ -55,7 +57,11 @@ class AnswerReport:
         self.checkpoint = f"{root}/checkpoint"
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
-        """One micro-batch. The marks go last: without them the batch is done again."""
+        """One micro-batch. The marks go last: without them the batch is done again.
+
+        Compaction covers only batches before this one, which the stream has committed."""
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            self.compact(batch_id)
         fresh = decode_answers(unseen(records, self.marks.before(batch_id), self.copies)).persist()
         try:
             self.cells.write(A.question_cells(fresh, self.mode), batch_id)
@@ -75,8 +81,9 @@ class AnswerReport:
     def rejected(self) -> DataFrame:
         return self.rejects.read(REJECT_SCHEMA)
 
-    def compact(self) -> int | None:
-        return self.cells.compact(lambda c: A.merge_cells(c, [*A.PAPER, "question_id"]), CELLS_SCHEMA)
+    def compact(self, before: int | None = None) -> int | None:
+        self.rejects.compact(lambda r: r, REJECT_SCHEMA, before)
+        return self.cells.compact(lambda c: A.merge_cells(c, [*A.PAPER, "question_id"]), CELLS_SCHEMA, before)
 
     def papers(self, question_point: DataFrame, paper_task: DataFrame) -> DataFrame:
         return A.paper_summary(self.question_cells(), question_point, paper_task, self.mode)
@@ -119,6 +126,8 @@ def feed_cells(spark: SparkSession, records: DataFrame, to_cells, path: str, fam
     celltables.create_table(spark, path, [family])
 
     def apply(batch: DataFrame, batch_id: int) -> None:
+        if batch_id and batch_id % COMPACT_EVERY == 0:
+            celltables.compact_table(spark, path, batch_id)
         # Equal cells of one batch collapse before they are written.
         celltables.put_cells(spark, path, celltables.latest(to_cells(batch)), batch_id)
 

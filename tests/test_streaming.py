@@ -100,6 +100,33 @@ def test_unfinished_folder_is_not_read(spark, tmp_path):
     assert folder.read("id long").count() == 5 and folder.read_last(1, "id long").count() == 3
 
 
+def test_compaction_keeps_rows_and_few_folders(spark, tmp_path):
+    folder = BatchFolder(spark, str(tmp_path / "b"))
+    for n in range(9):
+        folder.write(spark.range(n, n + 1).coalesce(1), n)
+        if n and n % 2 == 0:
+            assert folder.compact(lambda d: d.coalesce(1), "id long", before=n) == n - 1
+        assert sorted(r.id for r in folder.read("id long").collect()) == list(range(n + 1))
+    left = sorted(p.name for p in (tmp_path / "b").iterdir())
+    assert left == ["base-5", "base-7", "batch-6", "batch-7", "batch-8"]
+    for n in range(9, 25):
+        folder.keep_last(n, count=3)
+    assert not (tmp_path / "b" / "batch-8").exists()
+
+
+def test_report_compacts_on_its_way(spark, world, monkeypatch):
+    src, put, root = world
+    monkeypatch.setattr(reports, "COMPACT_EVERY", 2)
+    for n in range(1, 6):
+        put([record(i) for i in range(n * 5, n * 5 + 5)])
+    report = reports.AnswerReport(spark, f"{root}/r")
+    run(report.writer(topics.file_stream(spark, src, files_per_batch=1)))
+    seen = [record(i) for i in [0, *range(5, 30)]]
+    want = A.question_cells(reports.decode_answers(spark.createDataFrame(seen, topics.RECORD_SCHEMA)))
+    assert rows_of(report.question_cells()) == rows_of(want)
+    assert report.cells._numbers()["base"]
+
+
 def test_relays(spark, world):
     src, put, root = world
     put([(None, "v", "t", 0, 5, None)])
