@@ -25,34 +25,28 @@ def _flags(sets: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[Column
     return grouped, [F.col(f"in{i}") for i in range(len(wanted))]
 
 
-def _as_set(members: DataFrame, dest: str | None) -> DataFrame:
-    if dest is None:
-        return members.select("member")
-    return members.select(F.lit(dest).alias("key"), "member")
-
-
-def intersect(sets: DataFrame, keys: Sequence[str], dest: str | None = None) -> DataFrame:
+def intersect(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
     grouped, flags = _flags(sets, keys)
-    return _as_set(grouped.filter(reduce(Column.__and__, flags)), dest)
+    return grouped.filter(reduce(Column.__and__, flags)).select("member")
 
 
-def union(sets: DataFrame, keys: Sequence[str], dest: str | None = None) -> DataFrame:
-    return _as_set(sets.filter(F.col("key").isin(list(keys))).select("member").distinct(), dest)
+def union(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return sets.filter(F.col("key").isin(list(keys))).select("member").distinct()
 
 
-def difference(sets: DataFrame, first: str, others: Sequence[str], dest: str | None = None) -> DataFrame:
+def difference(sets: DataFrame, first: str, others: Sequence[str]) -> DataFrame:
     """Members of ``first`` in none of the others."""
     others = [k for k in dict.fromkeys(others)]
     if first in others:
-        return _as_set(sets.filter(F.lit(False)), dest)
+        return sets.filter(F.lit(False)).select("member")
     grouped, flags = _flags(sets, [first, *others])
-    return _as_set(grouped.filter(reduce(lambda kept, f: kept & ~f, flags[1:], flags[0])), dest)
+    return grouped.filter(reduce(lambda kept, f: kept & ~f, flags[1:], flags[0])).select("member")
 
 
-def store(sets: DataFrame, result: DataFrame) -> DataFrame:
-    """The sets with the result's key replaced by the result (a stored set has one key)."""
-    keys = result.select("key").distinct()
-    return sets.join(keys, "key", "left_anti").unionByName(result.select(*sets.columns))
+def store(sets: DataFrame, members: DataFrame, dest: str) -> DataFrame:
+    """The sets with ``dest`` replaced by the members (gone if there are none)."""
+    kept = sets.filter(F.col("key") != dest).select("key", "member")
+    return kept.unionByName(members.select(F.lit(dest).alias("key"), "member"))
 
 
 def add(sets: DataFrame, members: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SLICE = 4_000_000
+ROWS_PER_SLICE = 1_000_000
 MAX_SLICES = 8192
 SAMPLE_PER_SLICE = 20
 

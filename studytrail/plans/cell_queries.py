@@ -9,6 +9,9 @@ from studytrail.operators import cellfilters as C
 from studytrail.plans import fixtures as X
 from studytrail.plans.registry import Registry, ctes
 
+# Versions asked for, among the newest of each table size.
+VERSIONS = [*range(30, 40), *range(390, 400), *range(3990, 4000)]
+
 CELLS = ctes("cells")
 ALL = f"{CELLS} select rowkey, family, qualifier, version, value from cells"
 
@@ -139,7 +142,7 @@ def register(reg: Registry) -> None:
         lambda c: C.skip_rows(c, P.test(F.col("value"), "!=", P.binary("102"))),
         f"{ALL} where rowkey not in (select rowkey from cells where value='102')",
     )
-    add("wc_22", lambda c: C.timestamps(c, [300, 350, 399]), f"{ALL} where version in (300,350,399)")
+    add("wc_22", lambda c: C.timestamps(c, VERSIONS), f"{ALL} where version in {tuple(VERSIONS)}")
     add(
         "wc_23",
         lambda c: C.while_match(c, P.test(F.col("value"), "!=", P.binary("101"))),

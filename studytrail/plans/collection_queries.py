@@ -167,12 +167,12 @@ def _register_sets(reg: Registry) -> None:
     for name, op, sql in (("inter", Z.intersect, inter), ("union", Z.union, union)):
         add(
             f"set_{name}_store",
-            lambda s, op=op: Z.store(s, op(s, keys, dest="signup")),
+            lambda s, op=op: Z.store(s, op(s, keys), "signup"),
             f"{SETS} {rest} union all select 'signup', member from ({sql}) z",
         )
     add(
         "set_diff_store",
-        lambda s: Z.store(s, Z.difference(s, keys[0], keys[1:], dest="signup")),
+        lambda s: Z.store(s, Z.difference(s, keys[0], keys[1:]), "signup"),
         f"{SETS} {rest} union all select 'signup', member from ({diff}) z",
     )
     add(

@@ -1,7 +1,7 @@
 """Set, key/value, hash and list jobs at their edges (the catalog test covers the rest)."""
 
 import pytest
-from pyspark.sql import functions as F
+
 
 from studytrail.operators import keyvalues as K
 from studytrail.operators import lists as L
@@ -23,8 +23,10 @@ def test_set_algebra(sets):
     assert names(Z.intersect(sets, ["a", "missing"])) == ""
     assert names(Z.difference(sets, "a", ["b", "missing"])) == "ps"
     assert names(Z.difference(sets, "a", ["a"])) == ""
-    stored = Z.store(sets, Z.union(sets, ["b", "c"], dest="a"))
+    stored = Z.store(sets, Z.union(sets, ["b", "c"]), "a")
     assert names(Z.members(stored, "a")) == "qr"
+    emptied = Z.store(sets, Z.difference(sets, "c", ["a"]), "a")
+    assert names(Z.members(emptied, "a")) == "" and emptied.count() == 3
 
 
 def test_move_only_present_members(spark, sets):
