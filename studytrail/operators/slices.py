@@ -26,10 +26,10 @@ SLICE = "__slice"
 
 
 def _sql_literal(value: str | None, sql_type: str) -> str:
+    """A typed literal; text goes in as hex, so no character of it can act as SQL."""
     if value is None:
         return f"cast(null as {sql_type})"
-    quoted = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"cast('{quoted}' as {sql_type})"
+    return f"cast(cast(X'{value.encode().hex()}' as string) as {sql_type})"
 
 
 @dataclass(frozen=True)

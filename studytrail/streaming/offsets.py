@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from studytrail.streaming.batches import BatchFolder
 
 PLACE = ("topic", "partition")
-MARK_SCHEMA = "topic string, partition int, offset long"
+MARK_SCHEMA = "topic string, partition int, offset long, from_offset long"
 
 
 def resume_offsets(saved: Mapping[int, int], earliest: Mapping[int, int]) -> dict[int, int]:
@@ -68,9 +68,13 @@ def unseen(records: DataFrame, marks: DataFrame, copies: bool = True) -> DataFra
 
 
 def advance(marks: DataFrame, records: DataFrame) -> DataFrame:
-    """Last applied offset per partition after the records."""
-    rows = marks.select(*PLACE, "offset").unionByName(records.select(*PLACE, "offset"))
-    return rows.groupBy(*PLACE).agg(F.max("offset").alias("offset"))
+    """Last applied offset per partition after the records, and where they began
+    (``from_offset``, null for a partition without records)."""
+    old = marks.select(*PLACE, "offset", F.lit(None).cast("bigint").alias("from_offset"))
+    new = records.select(*PLACE, "offset", F.col("offset").alias("from_offset"))
+    return old.unionByName(new).groupBy(*PLACE).agg(
+        F.max("offset").alias("offset"), F.min("from_offset").alias("from_offset")
+    )
 
 
 class Marks:
@@ -82,6 +86,11 @@ class Marks:
     def before(self, batch_id: int) -> DataFrame:
         return self.folder.read_last(batch_id, MARK_SCHEMA)
 
+    def ranges(self, batch_id: int) -> DataFrame:
+        """Offset ranges [from_offset, until_offset) of one of the last batches."""
+        covered = self.folder.read_last(batch_id + 1, MARK_SCHEMA).filter(F.col("from_offset").isNotNull())
+        return covered.select(*PLACE, "from_offset", (F.col("offset") + 1).alias("until_offset"))
+
     def save(self, batch_id: int, records: DataFrame) -> None:
         self.folder.write(advance(self.before(batch_id), records).coalesce(1), batch_id)
         self.folder.keep_last(batch_id)

@@ -40,11 +40,11 @@ def test_index_counts_lower_cuts(spark, n):
     rng = random.Random(n)
     t0 = datetime(2024, 1, 1)
     cuts = sorted({(rng.randint(0, 9), t0 + timedelta(microseconds=rng.randint(0, 10**9))) for _ in range(n)})
-    text = [("g'\\x", str(a), str(b)) for a, b in cuts]
+    text = [("g'\\x${user.name}", str(a), str(b)) for a, b in cuts]
     types = {"k": "string", "a": "bigint", "t": "timestamp_ntz"}
-    slices = Slices(("k",), ("a", "t"), types, text, hot=[("g'\\x",)])
-    rows = [("g'\\x", rng.randint(0, 9), t0 + timedelta(microseconds=rng.randint(0, 10**9))) for _ in range(50)]
-    rows += [("g'\\x", a, b) for a, b in cuts] + [("other", 5, t0)]
+    slices = Slices(("k",), ("a", "t"), types, text, hot=[("g'\\x${user.name}",)])
+    rows = [("g'\\x${user.name}", rng.randint(0, 9), t0 + timedelta(microseconds=rng.randint(0, 10**9))) for _ in range(50)]
+    rows += [("g'\\x${user.name}", a, b) for a, b in cuts] + [("other", 5, t0)]
     df = spark.createDataFrame(rows, "k string, a long, t timestamp_ntz")
     for r in df.select("*", slices.column().alias("i")).collect():
         want = sum(c < (r.a, r.t) for c in cuts) if r.k != "other" else 0

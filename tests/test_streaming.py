@@ -67,6 +67,8 @@ def test_report_over_restarts_equals_batch(spark, world, mode):
     tasks = spark.createDataFrame(TASKS, "testPaper_user_id long, TaskID long, CustomsID long")
     assert rows_of(report.papers(points, tasks)) == rows_of(A.paper_summary(want, points, tasks, mode))
     assert rows_of(report.customs(points, tasks)) == rows_of(A.customs_summary(want, points, tasks, mode))
+    ranges = {r.partition: (r.from_offset, r.until_offset) for r in report.marks.ranges(3).collect()}
+    assert ranges == {1: (26, 59), 2: (25, 60)}
     bad = {r.offset for r in report.rejected().collect()}
     assert bad == {i for i in range(60) if i % 7 == 0 or i == 33}
 
