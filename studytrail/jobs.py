@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from studytrail.operators import sessions as S
 from studytrail.operators.slices import ROWS_PER_SLICE
-from studytrail.runtime import shared_folder
+from studytrail.runtime import drop_folder, shared_folder
 from studytrail.sources import jdbc, topics
 from studytrail.streaming import relay, reports
 
@@ -35,12 +35,26 @@ RELAYS = {"a": ("tzsource", "taozhi", relay.relay_a), "b": ("tzsource", "zhaozhi
 SESSION_KEYS = {name: ("maxindex", *spec.entity, "minct") for name, (_, _, spec) in SESSION_TABLES.items()}
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """A copy in the shared folder: the source is read once, by whatever number of jobs."""
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+class Staging:
+    """Copies in the shared folder, removed at the end: a source is read once, however
+    many jobs work on it, and rows to append do not change while they are appended."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> Staging:
+        return self
+
+    def __exit__(self, *error) -> None:
+        for path in self.paths:
+            drop_folder(self.spark, path)
+
+    def copy(self, df: DataFrame, name: str) -> DataFrame:
+        path = shared_folder(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
 
 def session_job(
@@ -56,17 +70,19 @@ def session_job(
     log_table, target, spec = SESSION_TABLES[name]
     log = jdbc.read_table_by_range(spark, connection, log_table, "id", partitions)
     beats = jdbc.read_table_by_range(spark, connection, HEARTBEAT_TABLE, "uid", partitions)
-    found = S.sessionize(
-        stage(log.select(*spec.log_columns), f"{name}-log"),
-        stage(beats.select(*spec.heartbeat), f"{name}-heartbeat"),
-        spec,
-        mode,
-        rows_per_slice,
-    )
-    if mode == "clean":
-        jdbc.append_new(spark, stage(found, f"{name}-sessions"), connection, target, SESSION_KEYS[name])
-    else:
-        jdbc.append_table(found, connection, target)
+    with Staging(spark) as staging:
+        found = S.sessionize(
+            staging.copy(log.select(*spec.log_columns), f"{name}-log"),
+            staging.copy(beats.select(*spec.heartbeat), f"{name}-heartbeat"),
+            spec,
+            mode,
+            rows_per_slice,
+        )
+        if mode == "clean":
+            found = staging.copy(found, f"{name}-sessions")
+            jdbc.append_new(spark, found, connection, target, SESSION_KEYS[name])
+        else:
+            jdbc.append_table(found, connection, target)
 
 
 def relay_job(spark: SparkSession, servers: str, which: str, checkpoint: str, starting: str = "latest") -> StreamingQuery:
@@ -77,19 +93,39 @@ def relay_job(spark: SparkSession, servers: str, which: str, checkpoint: str, st
     return topics.trigger(writer, topics.RELAY_INTERVALS[which]).start()
 
 
-def report_job(spark: SparkSession, servers: str, root: str, mode: str = "clean", seconds: int = 5) -> StreamingQuery:
+# Records of one batch; a first start on a long topic otherwise takes all of it at once.
+MAX_PER_BATCH = 50_000_000
+
+
+def report_job(
+    spark: SparkSession,
+    servers: str,
+    root: str,
+    mode: str = "clean",
+    seconds: int = 5,
+    max_per_batch: int = MAX_PER_BATCH,
+) -> StreamingQuery:
     """The running answer report."""
-    records = topics.kafka_stream(spark, topics.kafka_source_options(servers, ANSWER_TOPIC, "earliest"))
+    options = topics.kafka_source_options(servers, ANSWER_TOPIC, "earliest", max_per_batch)
+    records = topics.kafka_stream(spark, options)
     report = reports.AnswerReport(spark, root, mode, copies=False)
     return topics.trigger(report.writer(records), seconds).start()
 
 
-def dimension_job(spark: SparkSession, servers: str, topic: str, path: str, seconds: int = 5) -> StreamingQuery:
+def dimension_job(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    path: str,
+    seconds: int = 5,
+    max_per_batch: int = MAX_PER_BATCH,
+) -> StreamingQuery:
     """A dimension feed into its cell table."""
     feeds = {
         QUESTION_POINT_TOPIC: (reports.question_point_cells, "qp"),
         PAPER_TASK_TOPIC: (reports.paper_task_cells, "i"),
     }
     to_cells, family = feeds[topic]
-    records = topics.kafka_stream(spark, topics.kafka_source_options(servers, topic, "earliest"))
+    options = topics.kafka_source_options(servers, topic, "earliest", max_per_batch)
+    records = topics.kafka_stream(spark, options)
     return topics.trigger(reports.feed_cells(spark, records, to_cells, path, family), seconds).start()

@@ -41,6 +41,14 @@ def test_session_job_twice(spark, database, mode):
     assert stored == (want if mode == "clean" else sorted(want * 2))
 
 
+def test_staging_is_removed(spark):
+    with jobs.Staging(spark) as staging:
+        copy = staging.copy(spark.range(3), "probe")
+        assert copy.count() == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(*staging.paths).count()
+
+
 def test_every_session_table_is_named():
     assert len(jobs.SESSION_TABLES) == 8
     assert jobs.SESSION_KEYS["video"] == ("maxindex", "uid", "cid", "rid", "minct")
