@@ -14,7 +14,7 @@ from studytrail.runtime import drop_folder, shared_folder
 from studytrail.sources import jdbc, topics
 from studytrail.streaming import relay, reports
 
-# Fixed table and topic names of the platform.
+# Fixed table names and column families of the platform.
 HEARTBEAT_TABLE = "r_timestat"
 SESSION_TABLES = {
     "login": ("r_loginop", "session_login", S.LOGIN),
@@ -26,10 +26,11 @@ SESSION_TABLES = {
     "live": ("r_liveop", "session_course_resource", S.LIVE),
     "pictext": ("r_pictxtop", "session_course_resource", S.PICTEXT),
 }
-ANSWER_TOPIC = "tzuser_paper_summary"
-QUESTION_POINT_TOPIC = "tzquestionpoint"
-PAPER_TASK_TOPIC = "topic_customs_task_user_detail"
-RELAYS = {"a": ("tzsource", "taozhi", relay.relay_a), "b": ("tzsource", "zhaozhi", relay.relay_b)}
+RELAYS = {"a": relay.relay_a, "b": relay.relay_b}
+DIMENSIONS = {
+    "question_point": (reports.question_point_cells, "qp"),
+    "paper_task": (reports.paper_task_cells, "i"),
+}
 
 # The id of its enter row and its start name a session; four jobs share one table.
 SESSION_KEYS = {name: ("maxindex", *spec.entity, "minct") for name, (_, _, spec) in SESSION_TABLES.items()}
@@ -85,11 +86,18 @@ def session_job(
             jdbc.append_table(found, connection, target)
 
 
-def relay_job(spark: SparkSession, servers: str, which: str, checkpoint: str, starting: str = "latest") -> StreamingQuery:
+def relay_job(
+    spark: SparkSession,
+    servers: str,
+    which: str,
+    source: str,
+    target: str,
+    checkpoint: str,
+    starting: str = "latest",
+) -> StreamingQuery:
     """Topic to topic; a restart goes on from the checkpoint."""
-    source, target, rewrite = RELAYS[which]
     records = topics.kafka_stream(spark, topics.kafka_source_options(servers, source, starting))
-    writer = topics.to_kafka(rewrite(records, target), servers, checkpoint)
+    writer = topics.to_kafka(RELAYS[which](records, target), servers, checkpoint)
     return topics.trigger(writer, topics.RELAY_INTERVALS[which]).start()
 
 
@@ -100,32 +108,29 @@ MAX_PER_BATCH = 50_000_000
 def report_job(
     spark: SparkSession,
     servers: str,
+    topic: str,
     root: str,
     mode: str = "clean",
     seconds: int = 5,
     max_per_batch: int = MAX_PER_BATCH,
 ) -> StreamingQuery:
-    """The running answer report."""
-    options = topics.kafka_source_options(servers, ANSWER_TOPIC, "earliest", max_per_batch)
-    records = topics.kafka_stream(spark, options)
+    """The running answer report of a topic of answers."""
+    options = topics.kafka_source_options(servers, topic, "earliest", max_per_batch)
     report = reports.AnswerReport(spark, root, mode, copies=False)
-    return topics.trigger(report.writer(records), seconds).start()
+    return topics.trigger(report.writer(topics.kafka_stream(spark, options)), seconds).start()
 
 
 def dimension_job(
     spark: SparkSession,
     servers: str,
     topic: str,
+    dimension: str,
     path: str,
     seconds: int = 5,
     max_per_batch: int = MAX_PER_BATCH,
 ) -> StreamingQuery:
-    """A dimension feed into its cell table."""
-    feeds = {
-        QUESTION_POINT_TOPIC: (reports.question_point_cells, "qp"),
-        PAPER_TASK_TOPIC: (reports.paper_task_cells, "i"),
-    }
-    to_cells, family = feeds[topic]
+    """A dimension feed (a key of DIMENSIONS) into its cell table."""
+    to_cells, family = DIMENSIONS[dimension]
     options = topics.kafka_source_options(servers, topic, "earliest", max_per_batch)
     records = topics.kafka_stream(spark, options)
     return topics.trigger(reports.feed_cells(spark, records, to_cells, path, family), seconds).start()

@@ -52,3 +52,23 @@ def test_staging_is_removed(spark):
 def test_every_session_table_is_named():
     assert len(jobs.SESSION_TABLES) == 8
     assert jobs.SESSION_KEYS["video"] == ("maxindex", "uid", "cid", "rid", "minct")
+
+
+def test_stream_jobs_on_files(spark, tmp_path, monkeypatch):
+    """The topic ends replaced by files and the trigger by a run to the end."""
+    from studytrail.sources import celltables, topics
+    from studytrail.streaming import reports
+
+    src = str(tmp_path / "in")
+    value = '{"QuestionId":7,"PointId":3,"QuestionID":7,"TestPaper_User_ID":5,"CreateUser":1,"IsRight":1}'
+    spark.createDataFrame([("1", value, "t", 0, 0, None)], topics.RECORD_SCHEMA).write.parquet(src)
+    run_out = topics.trigger
+    monkeypatch.setattr(topics, "kafka_stream", lambda s, options: topics.file_stream(s, src))
+    monkeypatch.setattr(topics, "to_kafka", lambda df, servers, ck: topics.to_files(df, str(tmp_path / "out"), ck))
+    monkeypatch.setattr(topics, "trigger", lambda writer, seconds: run_out(writer))
+    jobs.relay_job(spark, "h:1", "b", "in", "out", str(tmp_path / "ck")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).first().value == ">>>>:" + value
+    jobs.report_job(spark, "h:1", "answers", str(tmp_path / "report")).awaitTermination()
+    assert reports.AnswerReport(spark, str(tmp_path / "report")).question_cells().first().right == 1
+    jobs.dimension_job(spark, "h:1", "points", "question_point", str(tmp_path / "qp")).awaitTermination()
+    assert celltables.current_cells(spark, str(tmp_path / "qp")).first().rowkey == "7_3"
