@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -176,13 +177,17 @@ def _runs(
     fields: Sequence[Column],
     slices: Slices | None,
 ) -> DataFrame:
-    """Final runs per group: (keys, enter, s, e, head, tail); s and e hold the fields.
-
-    The peak joins the fields where a group is whole in its partition."""
+    """Final runs per group: (keys, enter, s, e, head, tail); s and e hold the fields,
+    among them the peak as far as the slice knows it."""
     placed, part = _place(rows, keys, slices)
     payload = F.struct(*fields)
-    if spec.peak and slices is None:
-        whole = Window.partitionBy(*dict.fromkeys((*part, *spec.peak_key)))
+    if spec.peak:
+        # Ordered like the windows of the runs, so that one sort serves all.
+        whole = (
+            Window.partitionBy(*dict.fromkeys((*part, *spec.peak_key)))
+            .orderBy(*[c for c in order if c not in spec.peak_key])
+            .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        )
         placed = placed.withColumn("maxsp", F.max(spec.peak).over(whole))
         payload = F.struct(*fields, "maxsp")
     marked = placed.select(
@@ -208,17 +213,17 @@ def _runs(
     return stitched.drop(SLICE, "__piece", "__head", "__tail", *sort)
 
 
-def _with_peak(sessions: DataFrame, rows: DataFrame, spec: SessionSpec) -> DataFrame:
-    """Join max(peak) per peak key, for cut groups. The maximum combines before its
-    shuffle; a session side dominated by one key is left to AQE's skew join."""
-    peaks = rows.groupBy(*[F.col(c).alias(f"__p_{c}") for c in spec.peak_key]).agg(
-        F.max(spec.peak).alias("maxsp")
+def _whole_peaks(sessions: DataFrame, rows: DataFrame, spec: SessionSpec, slices: Slices) -> DataFrame:
+    """The peak over all slices for keys that have a cut among their rows. They are no
+    more than the cuts, which bounds the broadcast."""
+    peaks = (
+        rows.filter(slices.is_split(spec.peak_key))
+        .groupBy(*[F.col(c).alias(f"__p_{c}") for c in spec.peak_key])
+        .agg(F.max(spec.peak).alias("__peak"))
     )
-    match = None
-    for c in spec.peak_key:
-        part = F.col(c).eqNullSafe(F.col(f"__p_{c}"))
-        match = part if match is None else match & part
-    return sessions.join(peaks, match, "left").drop(*[f"__p_{c}" for c in spec.peak_key])
+    match = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in spec.peak_key])
+    joined = sessions.join(F.broadcast(peaks), match, "left")
+    return joined.withColumn("maxsp", F.coalesce("__peak", "maxsp"))
 
 
 def _columns(spec: SessionSpec) -> list[str]:
@@ -249,7 +254,7 @@ def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame
     runs = _runs(rows, spec, spec.entity, ("ct", "id"), fields, slices).filter("enter")
     sessions = runs.select("s.*", F.col("e.ct").alias("maxct")).withColumnRenamed("ct", "minct")
     if spec.peak and slices is not None:
-        sessions = _with_peak(sessions, rows, spec)
+        sessions = _whole_peaks(sessions, rows, spec, slices)
     return sessions.select(*_columns(spec))
 
 
@@ -295,5 +300,5 @@ def _compat(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFram
         .select("x.r.*", "x.minct", "x.maxct")
     )
     if spec.peak and slices is not None:
-        sessions = _with_peak(sessions, rows, spec)
+        sessions = _whole_peaks(sessions, rows, spec, slices)
     return sessions.select(*_columns(spec))

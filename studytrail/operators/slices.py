@@ -12,7 +12,7 @@ pieces is bounded by ``MAX_SLICES``, whatever the data size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -48,12 +48,21 @@ class Slices:
             f"'{n}', {_sql_literal(v, self.types[n])}" for n, v in zip(names, values)
         )
 
+    def is_split(self, names: Sequence[str]) -> Column:
+        """True where rows that agree on ``names``, leading columns of the sort order,
+        may lie in several slices: only values with a cut among them do."""
+        if tuple(names) != (self.keys + self.order)[: len(names)]:
+            raise ValueError(f"{names} do not lead the order")
+        return self._is_one_of(names, dict.fromkeys(c[: len(names)] for c in self.cuts))
+
     def is_hot(self) -> Column:
-        """True for rows whose group is cut. Folds to a constant set lookup."""
-        if not self.keys:
-            return F.lit(True)
-        probe = "named_struct(%s)" % ", ".join(f"'{k}', `{k}`" for k in self.keys)
-        members = ", ".join(self._struct_sql(self.keys, h) for h in self.hot)
+        """True for rows whose group is cut."""
+        return self._is_one_of(self.keys, self.hot) if self.keys else F.lit(True)
+
+    def _is_one_of(self, names: Sequence[str], values: Iterable[Sequence[str | None]]) -> Column:
+        """Lookup in a literal set."""
+        probe = "named_struct(%s)" % ", ".join(f"'{k}', `{k}`" for k in names)
+        members = ", ".join(self._struct_sql(names, v) for v in values)
         return F.expr(f"{probe} in ({members})")
 
     def index(self) -> Column:
