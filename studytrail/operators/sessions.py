@@ -174,13 +174,14 @@ def _runs(
     spec: SessionSpec,
     keys: Sequence[str],
     order: Sequence[str],
-    fields: Sequence[Column],
+    opening: Sequence[Column],
+    closing: Sequence[Column],
     slices: Slices | None,
 ) -> DataFrame:
-    """Final runs per group: (keys, enter, s, e, head, tail); s and e hold the fields,
-    among them the peak as far as the slice knows it."""
+    """Final runs per group: (keys, enter, s, e, head, tail). s holds the opening
+    fields of a run's first row, e the closing fields of its last, both with the peak as
+    far as the slice knows it."""
     placed, part = _place(rows, keys, slices)
-    payload = F.struct(*fields)
     if spec.peak:
         # Ordered like the windows of the runs, so that one sort serves all.
         whole = (
@@ -189,13 +190,13 @@ def _runs(
             .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         )
         placed = placed.withColumn("maxsp", F.max(spec.peak).over(whole))
-        payload = F.struct(*fields, "maxsp")
+        opening, closing = [[*fields, F.col("maxsp")] for fields in (opening, closing)]
     marked = placed.select(
         *part,
         *[F.col(c).alias(f"__o_{c}") for c in order],
         F.coalesce(F.col("at") == 1, F.lit(False)).alias("enter"),
-        payload.alias("s"),
-        payload.alias("e"),
+        F.struct(*opening).alias("s"),
+        F.struct(*closing).alias("e"),
     )
     sort = [f"__o_{c}" for c in order]
     runs = chain(marked, part, sort)
@@ -250,8 +251,8 @@ def sessionize(
 def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame:
     rows = rows.filter(F.col("at").isNotNull())
     slices = plan_slices(rows, spec.entity, ("ct", "id"), rows_per_slice)
-    fields = [*[F.col(src).alias(out) for out, src in spec.output], F.col("ct")]
-    runs = _runs(rows, spec, spec.entity, ("ct", "id"), fields, slices).filter("enter")
+    opening = [*[F.col(src).alias(out) for out, src in spec.output], F.col("ct")]
+    runs = _runs(rows, spec, spec.entity, ("ct", "id"), opening, [F.col("ct")], slices).filter("enter")
     sessions = runs.select("s.*", F.col("e.ct").alias("maxct")).withColumnRenamed("ct", "minct")
     if spec.peak and slices is not None:
         sessions = _whole_peaks(sessions, rows, spec, slices)
@@ -268,7 +269,7 @@ def _compat(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFram
         F.col("at").alias("__at"),
         F.struct(*spec.group).alias("__group"),
     ]
-    runs = _runs(rows, spec, (), order, fields, slices)
+    runs = _runs(rows, spec, (), order, fields, fields, slices)
 
     # A run's last row counts if it is no enter row and an enter row follows it. It
     # closes the session its run opened if both are of one group; if not, or if no
