@@ -8,6 +8,7 @@ from studytrail.functions import predicates as P
 from studytrail.operators import cellfilters as C
 from studytrail.plans import fixtures as X
 from studytrail.plans.registry import Registry, ctes
+from studytrail.runtime import stored
 
 # Versions asked for, among the newest of each table size.
 VERSIONS = [*range(30, 40), *range(390, 400), *range(3990, 4000)]
@@ -20,6 +21,11 @@ def _cells(make):
     return lambda spark, sf_dir: make(X.cells(X.tables(spark, sf_dir)("events")))
 
 
+def _table(make):
+    """Filters on whole rows scan the cells twice, so these are a stored table."""
+    return _cells(lambda cells: make(stored(cells, "cells")))
+
+
 def _versions(make):
     return lambda spark, sf_dir: make(X.cell_versions(X.tables(spark, sf_dir)("events")))
 
@@ -73,6 +79,9 @@ def register(reg: Registry) -> None:
     def add(name, make, sql):
         reg.add(name, _cells(make), sql)
 
+    def add_table(name, make, sql):
+        reg.add(name, _table(make), sql)
+
     add("wc_01", lambda c: C.family_filter(c, "<=", P.binary("grc")), f"{ALL} where family<='grc'")
     add("wc_02", lambda c: C.qualifier_filter(c, "<=", P.binary("p")), f"{ALL} where qualifier<='p'")
     add("wc_03", lambda c: C.row_filter(c, "<=", P.binary("u00000075")), f"{ALL} where rowkey<='u00000075'")
@@ -95,8 +104,8 @@ def register(reg: Registry) -> None:
     )
     dependent = """ where exists (select 1 from cells r where r.rowkey=cells.rowkey and r.version=cells.version
  and r.family='course' and r.qualifier='click' {test})"""
-    add("wc_11", lambda c: C.dependent_column(c, "course", "click"), ALL + dependent.format(test=""))
-    add(
+    add_table("wc_11", lambda c: C.dependent_column(c, "course", "click"), ALL + dependent.format(test=""))
+    add_table(
         "wc_11_value",
         lambda c: C.dependent_column(c, "course", "click", True, "<", P.binary("6")),
         ALL + dependent.format(test="and r.value<'6'") + " and not (family='course' and qualifier='click')",
@@ -114,7 +123,7 @@ def register(reg: Registry) -> None:
         f"{CELLS} select rowkey, family, qualifier, version, cast(strlen(value) as varchar) as value from cells",
     )
     add("wc_15_empty", C.key_only, f"{CELLS} select rowkey, family, qualifier, version, '' as value from cells")
-    add(
+    add_table(
         "wc_16",
         lambda c: C.first_rows(c, 2),
         f"{ALL} where rowkey in (select distinct rowkey from cells order by rowkey limit 2)",
@@ -125,25 +134,25 @@ def register(reg: Registry) -> None:
         f"{ALL} where cast(concat('0x', substr(md5(concat('7:', rowkey)),1,8)) as bigint)/4294967296.0 < 0.5",
     )
     failing = "(select rowkey from cells where family='course' and qualifier='click' and not {test})"
-    add(
+    add_table(
         "wc_18",
         lambda c: C.single_column_value(c, "course", "click", ">=", P.binary("5")),
         f"{ALL} where rowkey not in {failing.format(test='(value>=' + chr(39) + '5' + chr(39) + ')')}",
     )
-    add(
+    add_table(
         "wc_19",
         lambda c: C.single_column_value(c, "course", "click", "=", P.substring("9"), exclude=True),
         f"{ALL} where rowkey not in {failing.format(test='contains(value, ' + chr(39) + '9' + chr(39) + ')')}"
         " and not (family='course' and qualifier='click')",
     )
     add("wc_20", lambda c: C.value_filter(c, "!=", P.binary("102")), f"{ALL} where value<>'102'")
-    add(
+    add_table(
         "wc_21",
         lambda c: C.skip_rows(c, P.test(F.col("value"), "!=", P.binary("102"))),
         f"{ALL} where rowkey not in (select rowkey from cells where value='102')",
     )
     add("wc_22", lambda c: C.timestamps(c, VERSIONS), f"{ALL} where version in {tuple(VERSIONS)}")
-    add(
+    add_table(
         "wc_23",
         lambda c: C.while_match(c, P.test(F.col("value"), "!=", P.binary("101"))),
         f"""{CELLS}, bad as (select rowkey, family, qualifier from cells where value='101'
@@ -157,12 +166,12 @@ def register(reg: Registry) -> None:
     ]
     fail_1 = "(select rowkey from cells where family='course' and qualifier='click' and not value<'4')"
     fail_2 = "(select rowkey from cells where family='info' and qualifier='view' and not value>='7')"
-    add(
+    add_table(
         "wc_24",
         lambda c: C.row_tests(c, either, any_pass=True),
         f"{ALL} where rowkey not in {fail_1} or rowkey not in {fail_2}",
     )
-    add(
+    add_table(
         "wc_24_all",
         lambda c: C.row_tests(c, either),
         f"{ALL} where rowkey not in {fail_1} and rowkey not in {fail_2}",

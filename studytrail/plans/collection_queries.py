@@ -10,6 +10,7 @@ from studytrail.operators import lists as L
 from studytrail.operators import sets as Z
 from studytrail.plans import fixtures as X
 from studytrail.plans.registry import Registry, ctes
+from studytrail.runtime import stored
 
 
 def _on(fixture, make):
@@ -40,6 +41,11 @@ def _boards(make):
     return _on(X.boards, make)
 
 
+def _ranked_boards(make):
+    """Ranks look at the boards several times, so these are stored first."""
+    return _on(X.boards, lambda boards: make(stored(boards, "boards")))
+
+
 def _boards_asked(make):
     return lambda spark, sf_dir: make(X.boards(X.tables(spark, sf_dir)("events")), _asked(spark, sf_dir))
 
@@ -48,17 +54,20 @@ def _register_boards(reg: Registry) -> None:
     def add(name, make, sql):
         reg.add(name, _boards(make), sql)
 
+    def add_ranked(name, make, sql):
+        reg.add(name, _ranked_boards(make), sql)
+
     add(
         "lb_topk",
         lambda b: B.top_k(b, 10),
         f"{RANKED} select board, member, score, revrank as rank from r where revrank<10",
     )
-    add(
+    add_ranked(
         "lb_position",
         lambda b: B.by_position(b, 2, -3, desc=True),
         f"{RANKED} select board, member, score, revrank as rank from r where revrank>=2 and revrank<=size-3",
     )
-    add(
+    add_ranked(
         "lb_position_tail",
         lambda b: B.by_position(b, -5, -1),
         f"{RANKED} select board, member, score, rank from r where rank>=size-5",
@@ -74,7 +83,7 @@ def _register_boards(reg: Registry) -> None:
         lambda b: B.by_score(b, 3, 9, offset=4, count=6),
         f"{BOARDS} select board, member, score from {page.format(o='score, member')} where place between 5 and 10",
     )
-    add(
+    add_ranked(
         "lb_range_page_desc",
         lambda b: B.by_score(b, 3, 9, desc=True, offset=4),
         f"{BOARDS} select board, member, score from {page.format(o='score desc, member desc')} where place>4",
@@ -84,15 +93,15 @@ def _register_boards(reg: Registry) -> None:
         lambda b: B.count_by_score(b, 5, 10),
         f"{BOARDS} select board, count(case when score between 5 and 10 then 1 end) as n, count(*) as size from boards group by 1",
     )
-    add("lb_rank", lambda b: B.with_ranks(b).drop("revrank"), f"{RANKED} select board, member, score, rank, size from r")
-    add(
+    add_ranked("lb_rank", lambda b: B.with_ranks(b).drop("revrank"), f"{RANKED} select board, member, score, rank, size from r")
+    add_ranked(
         "lb_rank_sliced",
         lambda b: B.with_ranks(b, rows_per_slice=40).drop("revrank"),
         f"{RANKED} select board, member, score, rank, size from r",
     )
     reg.add(
         "lb_revrank",
-        _boards_asked(lambda b, a: B.rank_of(b, a, desc=True)),
+        _boards_asked(lambda b, a: B.rank_of(stored(b, "boards"), a, desc=True)),
         f"{RANKED} select r.board, r.member, revrank as rank from r join ({ASKED}) a on a.board=r.board and a.member=r.member",
     )
     reg.add(
@@ -125,7 +134,7 @@ def _register_boards(reg: Registry) -> None:
         lambda b: B.drop_boards(b, ["board_1"]),
         f"{BOARDS} select board, member, score from boards where board<>'board_1'",
     )
-    add(
+    add_ranked(
         "lb_remove_range",
         lambda b: B.remove_by_position(b, 0, -11),
         f"{RANKED} select board, member, score from r where rank>size-11",

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 # Where a cluster's shuffles start; AQE merges small partitions, it splits none but
@@ -58,3 +58,12 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder made by ``shared_folder``."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a table in the shared folder. Operators that look at their input more
+    than once (ranks, row filters) should get a table, not a long derivation."""
+    spark = df.sparkSession
+    path = shared_folder(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

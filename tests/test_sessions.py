@@ -170,3 +170,63 @@ def test_one_exchange_without_hot_groups(spark):
     )
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def sessions_of(spark, spec, mode, log, beats=()):
+    """Sessions as (id of the naming row, start minute, end minute); log rows are dicts."""
+    rows = [
+        tuple(T0 + timedelta(minutes=r["ct"]) if c == "ct" else r.get(c, 0.0 if c == "sp" else 0) for c in spec.log_columns)
+        for r in log
+    ]
+    beats = [(b["uid"], b.get("cid", 0), b.get("rid", 0), b.get("rt", 0), T0 + timedelta(minutes=b["ct"])) for b in beats]
+    df = S.sessionize(spark.createDataFrame(rows, schema_of(spec)), spark.createDataFrame(beats, HEART), spec, mode)
+    return sorted((r.maxindex, (r.minct - T0).seconds // 60, (r.maxct - T0).seconds // 60) for r in df.collect())
+
+
+def test_login_heartbeats_sort_before_rows_with_a_type(spark):
+    log = [{"id": 1, "uid": 1, "rt": 1, "at": 1, "ct": 0}, {"id": 2, "uid": 1, "rt": 1, "at": 1, "ct": 9}]
+    beats = [{"uid": 1, "ct": 5}]
+    assert sessions_of(spark, S.LOGIN, "clean", log, beats) == [(1, 0, 5), (2, 9, 9)]
+    # The heartbeat has rt 0: it comes first, closes nothing and becomes an orphan.
+    assert sessions_of(spark, S.LOGIN, "compat", log, beats) == [(0, 5, 5), (1, 0, 0), (2, 9, 9)]
+
+
+def test_row_of_the_next_resource_widens_a_session(spark):
+    log = [
+        {"id": 1, "uid": 1, "rid": 1, "at": 1, "ct": 0},
+        {"id": 2, "uid": 1, "rid": 2, "at": 0, "ct": 5},
+        {"id": 3, "uid": 1, "rid": 2, "at": 1, "ct": 7},
+    ]
+    assert sessions_of(spark, S.VIDEO, "clean", log) == [(1, 0, 0), (3, 7, 7)]
+    assert sessions_of(spark, S.VIDEO, "compat", log) == [(1, 0, 5), (3, 7, 7)]
+
+
+def test_closing_row_of_a_later_type_may_be_earlier(spark):
+    log = [
+        {"id": 1, "uid": 1, "rt": 1, "at": 1, "ct": 10},
+        {"id": 2, "uid": 1, "rt": 2, "at": 0, "ct": 3},
+        {"id": 3, "uid": 1, "rt": 2, "at": 1, "ct": 20},
+    ]
+    assert sessions_of(spark, S.LOGIN, "clean", log) == [(1, 10, 10), (3, 20, 20)]
+    assert sessions_of(spark, S.LOGIN, "compat", log) == [(2, 3, 10), (3, 20, 20)]
+
+
+@pytest.mark.parametrize("mode", ["clean", "compat"])
+def test_equal_rows_count_once(spark, mode):
+    log = [{"id": 1, "uid": 1, "cid": 1, "at": 1, "ct": 0}] * 3
+    assert sessions_of(spark, S.COURSE, mode, log) == [(1, 0, 0)]
+
+
+def test_null_keys_are_one_entity(spark):
+    log = [
+        {"id": 1, "uid": None, "cid": 1, "at": 1, "ct": 0},
+        {"id": 2, "uid": None, "cid": 1, "at": 0, "ct": 4},
+        {"id": 3, "uid": 1, "cid": 1, "at": 1, "ct": 2},
+    ]
+    for mode in ("clean", "compat"):
+        assert sessions_of(spark, S.COURSE, mode, log) == [(1, 0, 4), (3, 2, 2)]
+
+
+def test_empty_input(spark):
+    for mode in ("clean", "compat"):
+        assert sessions_of(spark, S.VIDEO, mode, []) == []
