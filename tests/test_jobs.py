@@ -72,3 +72,34 @@ def test_stream_jobs_on_files(spark, tmp_path, monkeypatch):
     assert reports.AnswerReport(spark, str(tmp_path / "report")).question_cells().first().right == 1
     jobs.dimension_job(spark, "h:1", "points", "question_point", str(tmp_path / "qp")).awaitTermination()
     assert celltables.current_cells(spark, str(tmp_path / "qp")).first().rowkey == "7_3"
+
+
+def test_command_line(spark, monkeypatch, tmp_path):
+    from studytrail import __main__ as cli
+
+    calls = []
+    monkeypatch.setattr(cli, "build_session", lambda name, master: spark)
+    monkeypatch.setattr(jobs, "session_job", lambda *a: calls.append(a[1:]))
+    secret = tmp_path / "connection.json"
+    secret.write_text('{"url": "other", "user": "u"}')
+    cli.main(["sessions", "login", "--jdbc", "url=jdbc:x", "--jdbc-file", str(secret), "--mode", "compat"])
+    assert calls == [({"url": "jdbc:x", "user": "u"}, "login", "compat", 200)]
+    cli.main(["sessions", "all", "--jdbc", "url=jdbc:x"])
+    assert [c[1] for c in calls[1:]] == list(jobs.SESSION_TABLES)
+
+    class Query:
+        def awaitTermination(self):
+            calls.append("ended")
+
+    for job in ("relay_job", "report_job", "dimension_job"):
+        monkeypatch.setattr(jobs, job, lambda *a, job=job: calls.append((job, a[1:])) or Query())
+    cli.main(["relay", "a", "--servers", "h", "--topic", "s", "--target", "t", "--checkpoint", "c"])
+    cli.main(["report", "--servers", "h", "--topic", "s", "--root", "r"])
+    cli.main(["dimension", "paper_task", "--servers", "h", "--topic", "s", "--path", "p"])
+    assert calls[-6::2] == [
+        ("relay_job", ("h", "a", "s", "t", "c", "latest")),
+        ("report_job", ("h", "s", "r", "clean")),
+        ("dimension_job", ("h", "s", "paper_task", "p")),
+    ]
+    with pytest.raises(SystemExit):
+        cli.main(["sessions", "login", "--jdbc", "no-value"])
