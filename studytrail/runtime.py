@@ -26,6 +26,8 @@ def build_session(app: str = "studytrail", master: str | None = None, **conf: st
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Call sites of every column cost more than planning does on small inputs.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if master:
         builder = builder.master(master)
