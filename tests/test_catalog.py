@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from studytrail.plans.catalog import catalog
 
 SF = "/root/testdata/sf0.001"
 TABLES = "nation customer part events".split()
@@ -28,10 +29,10 @@ def table(rows, columns):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog().queries) == set(catalog().sql)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(catalog().queries))
 def test_query(spark, con, name):
     df = entry.queries()[name](spark, SF)
     want = con.sql(entry.oracle_sql()[name])
