@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from studytrail.llm import chat, lengths, linededup, mixing, neardup, quality, tokens
+from studytrail.llm import chat, decontaminate, lengths, linededup, mixing, neardup, pagediff, quality, tokens, warc
 from studytrail.llm import frames as token_frames
 from studytrail.llm import sql as Q
 from studytrail.plans.registry import Registry
@@ -21,12 +21,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archived(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per distinct encoded length: documents, suffix sums, total cut at that length."""
     found = tokens.lengths(table(spark, sf_dir, "documents"), VOCABULARY)
     return lengths.suffix_sums(lengths.histogram(found))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, with the item and how it was found."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.token_files(table(spark, sf_dir, "documents"), VOCABULARY)
 
@@ -68,6 +78,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagediff.extracted(table(spark, sf_dir, "pages"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.line_dedup(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -80,12 +94,15 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 @cache
 def registry() -> Registry:
     reg = Registry()
+    reg.add("op1_warc", op1_warc, Q.WARC)
     reg.add("op2_token_counts", op2_token_counts)
+    reg.add("op3_decontamination", op3_decontamination)
     reg.add("op4_token_output", op4_token_output)
     reg.add("op5_near_dedup", op5_near_dedup, Q.NEAR_DEDUP)
     reg.add("op6_quality_rules", op6_quality_rules, Q.quality_rules())
     reg.add("op7_chat_formatting", op7_chat_formatting, Q.CHAT_FORMATTING)
     reg.add("op8_mixing", op8_mixing, Q.MIXING)
+    reg.add("op9_html_extraction", op9_html_extraction)
     reg.add("op10_line_dedup", op10_line_dedup, Q.LINE_DEDUP)
     reg.add("pipeline", pipeline, corpus_pipeline.ORACLE_SQL)
     return reg

@@ -6,6 +6,19 @@ from studytrail.llm import linededup, mixing, quality
 
 WORD = r"[^\x20\x09-\x0D]+"
 
+WARC = """
+with d as (
+    select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+    from pages
+), m as (
+    select payload_digest, min(page_id) as first from d where payload_bytes >= 100 group by 1
+)
+select page_id, payload_bytes, payload_digest,
+       case when first is null or first = page_id then 'response' else 'revisit' end as record_type,
+       case when first <> page_id then first end as refers_to
+from d left join m using (payload_digest)
+"""
+
 NEAR_DEDUP = rf"""
 with recursive w as (
     select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}') as ws
