@@ -24,6 +24,11 @@ def whole(text: str | Column) -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """All columns as one struct ``row``, so that names added beside it clash with none."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
 def words(text: Column) -> Column:
     """Maximal runs of anything but ASCII white space."""
     return F.filter(F.split(text, SPACE_CLASS + "+"), lambda w: w != "")

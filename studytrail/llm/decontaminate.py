@@ -18,6 +18,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from studytrail.llm.common import kept, packed
+
 WINDOW = 5
 # Words of a window that have to be words and not placeholders.
 LITERALS = 3
@@ -191,8 +193,6 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
     without other windows cannot be found. Null or empty texts and rows without an id hold
     nothing and are no items. Repeated rows give the same pair once; rows that share an id
     count as one document (item). Ties do not arise. Other columns are not read."""
-    from studytrail.llm.common import kept
-
     named_items = items.select(F.col("item_id").cast("bigint").alias("id"), "text").filter("id is not null").distinct()
     cut = kept(item_windows(named_items), "item-windows")
     sizes = cut.groupBy(F.col("id").alias("item_id")).agg(F.count_distinct("at").alias("item_windows"))
@@ -232,7 +232,6 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
 
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item; rows without an id stay."""
-    from studytrail.llm.common import kept
-
-    bad = kept(leaks(docs, items).select(F.col("doc_id").alias("__bad")).distinct(), "leaking-documents")
-    return docs.join(bad, F.col("doc_id").cast("bigint") == F.col("__bad"), "left_anti")
+    bad = kept(leaks(docs, items).select("doc_id").distinct(), "leaking-documents")
+    rows = packed(docs).withColumn("doc_id", F.col("row.doc_id").cast("bigint"))
+    return rows.join(bad, "doc_id", "left_anti").select("row.*")

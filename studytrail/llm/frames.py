@@ -40,8 +40,9 @@ MANIFEST = "path string, part int, number int, first_id long, n_docs long, n_ids
 class FrameWriter:
     """One file, written in one pass."""
 
-    def __init__(self, stream):
+    def __init__(self, stream, frame_ids: int = FRAME_IDS):
         self.stream = stream
+        self.frame_ids = frame_ids
         self.compressor = zstandard.ZstdCompressor(level=LEVEL, write_checksum=False)
         self.pending: list[bytes] = []
         self.pending_ids = 0
@@ -50,7 +51,7 @@ class FrameWriter:
         self.n_ids = 0
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        if self.pending and self.pending_ids + len(ids) > FRAME_IDS:
+        if self.pending and self.pending_ids + len(ids) > self.frame_ids:
             self._frame()
         self.pending.append(ids.tobytes())
         self.pending_ids += len(ids)
@@ -128,7 +129,9 @@ class FrameReader:
         return [self.document(int(p))[1] for p in places]
 
 
-def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -> DataFrame:
+def write_tokens(
+    docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID, frame_ids: int = FRAME_IDS, file_ids: int = FILE_IDS
+) -> DataFrame:
     """Write all documents under ``folder``; returns the manifest of files, in order of (part,
     number). Rows are dealt in ranges of doc_id (null first), so files follow each other.
 
@@ -153,12 +156,12 @@ def write_tokens(docs: DataFrame, folder: str, vocabulary: str, end_id: int = EN
         for batch in batches:
             for doc_id, ids in zip(batch.column(0).to_pylist(), known.encode(batch.column(1))):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                if writer is not None and writer.n_ids + len(ids) > FILE_IDS:
+                if writer is not None and writer.n_ids + len(ids) > file_ids:
                     yield closed()
                     writer, number = None, number + 1
                 if writer is None:
                     path = f"{folder}/tokens-{part:05d}-{number:05d}-{uuid.uuid4().hex}.zst"
-                    writer, first = FrameWriter(open_new(path)), doc_id
+                    writer, first = FrameWriter(open_new(path), frame_ids), doc_id
                 writer.add(doc_id, ids)
         if writer is not None:
             yield closed()
@@ -206,7 +209,7 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
     return contents.select("content", "start").mapInArrow(read, schema)
 
 
-def token_files(docs: DataFrame, vocabulary: str, folder: str | None = None, end_id: int = END_ID) -> DataFrame:
+def token_files(docs: DataFrame, vocabulary: str, folder: str | None = None, **sizes: int) -> DataFrame:
     """Write the ids of all documents and read them back: doc_id, start (ids of all documents
     before it), n_tokens (with the end id), ids_crc32.
 
@@ -214,4 +217,4 @@ def token_files(docs: DataFrame, vocabulary: str, folder: str | None = None, end
     first; rows that repeat a doc_id follow each other in the order of their texts' hashes, and
     exact repeats are written each. An empty table gives no rows. Other columns are not read."""
     folder = folder or scratch(docs.sparkSession, "tokens")
-    return read_tokens(kept(write_tokens(docs, folder, vocabulary, end_id), "tokens-manifest"))
+    return read_tokens(kept(write_tokens(docs, folder, vocabulary, **sizes), "tokens-manifest"))

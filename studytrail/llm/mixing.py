@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studytrail.llm.common import kept
+from studytrail.llm.common import kept, packed
 
 SEED = 8
 # Sources whose rates are sent to every task; beyond this the rates are joined by a shuffle.
@@ -54,7 +54,7 @@ def cumulative(rate: Column) -> Column:
 
 
 def replicated(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``__copy`` (0, 1, ...), each row as often as its draw says.
+    """(row, copy): the columns of ``docs`` and 0, 1, ..., each row as often as its draw says.
 
     A source without a rate, or with rate null or below zero, is left out; so is every row of a
     source of rate zero. Rates up to 500 are allowed. Repeated rows draw the same number, and
@@ -62,25 +62,24 @@ def replicated(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame
     if not rates.filter(F.col("rate") > MOST_RATE).isEmpty():
         raise ValueError(f"a rate is above {MOST_RATE}")
     table = rates.filter("rate > 0").select(
-        F.coalesce("source", F.lit("")).alias("__source"), cumulative(F.col("rate")).alias("__cdf")
+        F.coalesce("source", F.lit("")).alias("source"), cumulative(F.col("rate")).alias("cdf")
     )
     if table.count() <= SMALL:
         table = F.broadcast(table)
-    joined = docs.join(table, F.coalesce(docs["source"], F.lit("")) == F.col("__source"))
-    drawn = joined.withColumn("__u", uniform(seed, "doc_id"))
-    count = F.size(F.filter("__cdf", lambda c: c <= F.col("__u")))
-    counted = drawn.withColumn("__n", count).filter("__n > 0").drop("__cdf", "__u", "__source")
-    return counted.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1))).drop("__n")
+    rows = packed(docs).withColumn("source", F.coalesce("row.source", F.lit("")))
+    drawn = rows.join(table, "source").withColumn("u", uniform(seed, "row.doc_id"))
+    counted = drawn.select("row", F.size(F.filter("cdf", lambda c: c <= F.col("u"))).alias("n")).filter("n > 0")
+    return counted.select("row", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
 
 
 def shuffled(copies: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows in an order of their own draw: dealt to partitions by the hash of (seed, doc_id,
     copy) and sorted by it there, so copies of one document do not stand together."""
-    key = F.xxhash64(F.lit(seed), F.col("doc_id"), F.col("__copy"), F.xxhash64("text"))
-    return copies.withColumn("__place", key).repartition("__place").sortWithinPartitions("__place").drop("__place")
+    key = F.xxhash64(F.lit(seed), F.col("row.doc_id"), F.col("copy"), F.xxhash64("row.text"))
+    return copies.withColumn("place", key).repartition("place").sortWithinPartitions("place").drop("place")
 
 
 def mixed(docs: DataFrame, rates: DataFrame | None = None, seed: int = SEED) -> DataFrame:
-    """``docs`` replicated and shuffled, with the column ``__copy``. Columns of ``docs`` stay as
-    they are. An empty table gives an empty result."""
+    """(row, copy) of ``docs`` replicated and shuffled; by default each source weighs as the
+    square root of its size. An empty table gives an empty result."""
     return shuffled(replicated(docs, kept(source_rates(docs), "rates") if rates is None else rates, seed), seed)

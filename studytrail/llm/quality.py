@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from studytrail.llm.common import SPACE_CLASS, kept, whole, words
+from studytrail.llm.common import SPACE_CLASS, kept, packed, whole, words
 
 WINDOW = 5
 ROUNDS = 25
@@ -53,9 +53,9 @@ def _left(text: Column, pattern: str) -> Column:
 
 
 def measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct column ``__m`` of the measures, counted over the whole text."""
-    given = [F.col(f"`{c}`") for c in docs.columns]
-    df = docs.select(*given, whole("text").alias("__t"))
+    """(row, __m): the columns of ``docs`` and the measures, counted over the whole text."""
+    given = ["row"]
+    df = packed(docs).select(*given, whole("row.text").alias("__t"))
     df = df.select(*given, "__t", words(F.col("__t")).alias("__w"))
     lines = F.filter(F.split("__t", "\n", -1), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     df = df.select(*given, "__t", F.transform("__w", lambda w: F.xxhash64(w)).alias("__h"), lines.alias("__l"))
@@ -91,7 +91,7 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def voted(docs: DataFrame) -> DataFrame:
-    """``measured`` with ``__v``, the bit mask of the rules that speak."""
+    """(row, __m, __v): ``measured`` with ``__v``, the bit mask of the rules that speak."""
     df = measured(docs)
     mask = F.lit(0)
     for bit, (_, _, condition) in enumerate(RULES):
@@ -177,7 +177,7 @@ def assessed(docs: DataFrame) -> DataFrame:
 
     One row per input row, null ids included. A null or empty text has zero words and fails
     the base rule. Repeated rows count and are judged each. An empty table gives no rows."""
-    light = kept(voted(docs.select("doc_id", "text")).select("doc_id", "__m", "__v"), "quality-votes")
+    light = kept(voted(docs.select("doc_id", "text")).select("row.doc_id", "__m", "__v"), "quality-votes")
     decided = _decided(light, fit(vote_counts(light)))
     base = [F.col(f"__m.{m}").alias(m) for m in MEASURES[:5]]
     return decided.select("doc_id", *base, F.col("__failed").alias("base_failed"), F.col("__v").alias("votes"), F.col("__kept").alias("kept"))
@@ -186,4 +186,4 @@ def assessed(docs: DataFrame) -> DataFrame:
 def accepted(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
     votes = kept(voted(docs), "quality-votes")
-    return _decided(votes, fit(vote_counts(votes))).filter("__kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return _decided(votes, fit(vote_counts(votes))).filter("__kept").select("row.*")

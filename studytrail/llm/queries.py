@@ -73,9 +73,8 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents replicated to weights by the square root of their source's size."""
     mixed = mixing.mixed(table(spark, sf_dir, "documents"))
-    return mixed.select(
-        "doc_id", "source", F.col("__copy").cast("bigint").alias("copy"), F.length("text").cast("bigint").alias("n_text")
-    )
+    n_text = F.length("row.text").cast("bigint").alias("n_text")
+    return mixed.select("row.doc_id", "row.source", F.col("copy").cast("bigint").alias("copy"), n_text)
 
 
 def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -101,9 +101,10 @@ def train(samples: list[bytes], size: int = DICTIONARY_BYTES) -> zstandard.ZstdC
 
 @dataclass
 class ArchiveWriter:
-    """One archive, written in one pass; records up to ``SAMPLE_BYTES`` wait for the dictionary."""
+    """One archive, written in one pass; the first ``sample_bytes`` wait for the dictionary."""
 
     stream: object
+    sample_bytes: int = SAMPLE_BYTES
     waiting: list[bytes] = field(default_factory=list)
     waiting_bytes: int = 0
     compressor: zstandard.ZstdCompressor | None = None
@@ -118,7 +119,7 @@ class ArchiveWriter:
             return
         self.waiting.append(data)
         self.waiting_bytes += len(data)
-        if self.waiting_bytes >= SAMPLE_BYTES:
+        if self.waiting_bytes >= self.sample_bytes:
             self._begin()
 
     def _put(self, data: bytes) -> None:
@@ -184,7 +185,9 @@ def with_originals(pages: DataFrame, least: int = REVISIT_BYTES) -> DataFrame:
     return joined.select("page_id", "url", "html", "digest", F.when(other, F.col("__first")).alias("refers_to"))
 
 
-def write_archives(pages: DataFrame, folder: str) -> DataFrame:
+def write_archives(
+    pages: DataFrame, folder: str, archive_bytes: int = ARCHIVE_BYTES, sample_bytes: int = SAMPLE_BYTES
+) -> DataFrame:
     """Write a record per row of ``pages`` under ``folder``; returns the manifest of archives.
 
     Every attempt of a task writes names of its own, and the manifest names those of the
@@ -202,10 +205,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
             for page_id, url, html, digest, refers_to in zip(*batch.columns):
                 if writer is None:
                     path = f"{folder}/pages-{uuid.uuid4().hex}.warc.zst"
-                    writer = ArchiveWriter(open_new(path))
+                    writer = ArchiveWriter(open_new(path), sample_bytes)
                 payload = html.as_py().encode("utf-8", "surrogatepass")
                 writer.add(record_of(page_id.as_py(), url.as_py(), payload, digest.as_py(), refers_to.as_py()))
-                if writer.n_bytes >= ARCHIVE_BYTES:
+                if writer.n_bytes >= archive_bytes:
                     yield closed()
                     writer = None
         if writer is not None:
@@ -268,7 +271,7 @@ def read_archives(manifest: DataFrame) -> DataFrame:
     return counted.select("content").mapInArrow(read, RECORD_SCHEMA)
 
 
-def archived(pages: DataFrame, folder: str | None = None) -> DataFrame:
+def archived(pages: DataFrame, folder: str | None = None, **sizes: int) -> DataFrame:
     """Write all pages to archives and read these back: a row per input row with page_id, url,
     payload_bytes, payload_digest, record_type, refers_to, payload.
 
@@ -279,4 +282,4 @@ def archived(pages: DataFrame, folder: str | None = None) -> DataFrame:
     smallest page_id are each a response. An empty table gives no rows. Other columns are not
     read."""
     folder = folder or scratch(pages.sparkSession, "archives")
-    return read_archives(kept(write_archives(pages, folder), "archives-manifest"))
+    return read_archives(kept(write_archives(pages, folder, **sizes), "archives-manifest"))

@@ -1,0 +1,214 @@
+"""Archives, token files, lengths: exact round trips and brute force."""
+
+import hashlib
+import random
+import struct
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+import zstandard
+from tokenizers import Tokenizer
+
+from corpus_pipeline import VOCABULARY
+from studytrail.llm import frames, lengths, tokens, warc
+from studytrail.llm.common import local_path
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+PIECES = ["a", "Th", " ", " ", "\n", "\t", "\x0b", "\x1c", "é", "!", "'s", "1", " ", "　", "日", "<|endoftext|>", "x"]
+
+
+def mixed_texts(n, seed=1):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(PIECES) for _ in range(rng.randrange(14))) for _ in range(n)]
+
+
+# Tokens
+
+
+@pytest.mark.parametrize("remembered", [1_000_000, 50])
+def test_encoder_equals_library(tokenizer, remembered):
+    texts = [*mixed_texts(8000), "", " ", "word " * 3000, "x" * 5000]
+    known = tokens.Encoder(VOCABULARY, remembered)
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        assert [list(ids) for ids in known.encode(pa.array(texts))] == want
+    assert [list(ids) for ids in known.encode(pa.array([None, "a"], pa.string()))] == [[], tokenizer.encode("a").ids]
+    assert list(known.encode(pa.array([], pa.string()))) == []
+
+
+def test_token_files_round_trip(make_docs, tokenizer):
+    texts = [*mixed_texts(300), None, "", "long " * 3000]
+    ids = list(range(len(texts)))
+    random.Random(2).shuffle(ids)
+    rows = list(zip(ids, texts))
+    written = frames.token_files(make_docs(rows), VOCABULARY, frame_ids=40, file_ids=300)
+    out = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in written.collect())
+    start, want = 0, []
+    for doc_id, text in sorted(rows):
+        got = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
+        want.append((start, doc_id, len(got), zlib.crc32(got.tobytes())))
+        start += len(got)
+    assert out == want
+
+
+def test_token_files_edges(make_docs):
+    rows = [(5, "a"), (None, "b"), (5, "a"), (5, "c d"), (-3, "")]
+    out = sorted(frames.token_files(make_docs(rows), VOCABULARY).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in out] == [None, -3, 5, 5, 5]
+    assert [r.start for r in out] == list(np.cumsum([0, *[r.n_tokens for r in out]])[:-1])
+    assert frames.token_files(make_docs([]), VOCABULARY).collect() == []
+
+
+def test_reader_opens_only_the_frames_it_needs(tmp_path, monkeypatch):
+    path = tmp_path / "f.zst"
+    rng = np.random.default_rng(1)
+    docs = [(i, rng.integers(0, 50_000, rng.integers(1, 250)).astype("<u4")) for i in range(50)]
+    writer = frames.FrameWriter(open(path, "wb"), 100)
+    for doc_id, ids in docs:
+        writer.add(doc_id, ids)
+    writer.close()
+    data = path.read_bytes()
+    reader = frames.FrameReader(data)
+    opened = []
+    plain = reader.frame
+    monkeypatch.setattr(reader, "frame", lambda n: opened.append(n) or plain(n))
+    assert [list(x) for x in reader.find(31)] == [list(docs[31][1])] and len(opened) == 1
+    assert all(np.array_equal(reader.document(i)[1], docs[i][1]) for i in reversed(range(50)))
+    # Any decompressor reads the frames one after the other; the tables are skipped.
+    out, rest = b"", data
+    while struct.unpack_from("<I", rest)[0] == 0xFD2FB528:
+        frame = zstandard.ZstdDecompressor().decompressobj()
+        out += frame.decompress(rest)
+        rest = frame.unused_data
+    assert out == b"".join(ids.tobytes() for _, ids in docs)
+    broken = bytearray(data)
+    broken[12] ^= 255
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        for i in range(50):
+            frames.FrameReader(bytes(broken)).document(i)
+
+
+# Lengths
+
+
+def test_suffix_sums_answer_every_limit(spark, monkeypatch):
+    monkeypatch.setattr(lengths, "RANGE", 16)
+    rng = random.Random(3)
+    n = [rng.choice([1, 2, 15, 16, 17, rng.randrange(1, 400)]) for _ in range(700)]
+    df = spark.createDataFrame([(x,) for x in n], "n_tokens long")
+    sums = lengths.suffix_sums(lengths.histogram(df)).cache()
+    rows = sums.collect()
+    assert sorted(r.n_tokens for r in rows) == sorted(set(n))
+    for r in rows:
+        longer = [x for x in n if x >= r.n_tokens]
+        assert (r.n_docs, r.docs_from, r.tokens_from) == (n.count(r.n_tokens), len(longer), sum(longer))
+        assert (r.docs_below, r.cut_total) == (len(n) - len(longer), sum(min(x, r.n_tokens) for x in n))
+        assert r.quantile_ppm == sum(x <= r.n_tokens for x in n) * 1_000_000 // len(n)
+    limits = [0, 1, 16, 100, 1000]
+    for limit, got in lengths.at_limits(sums, limits).items():
+        over = [x for x in n if x > limit]
+        left = sum(min(x, limit) for x in n)
+        assert got == {"docs_over": len(over), "tokens_left": left, "tokens_lost": sum(n) - left}
+    assert lengths.quantile(sums, 0.5) == sorted(n)[len(n) // 2 - 1]
+
+
+def test_lengths_edges(spark, make_docs):
+    rows = [(r.doc_id, r.n_tokens) for r in tokens.lengths(make_docs([(1, None), (None, "a"), (1, "")]), VOCABULARY).collect()]
+    assert sorted(rows, key=repr) == [(1, 1), (1, 1), (None, 2)]
+    empty = lengths.suffix_sums(lengths.histogram(spark.createDataFrame([], "n_tokens long")))
+    assert empty.collect() == [] and lengths.quantile(empty, 0.5) is None
+    assert lengths.at_limits(empty, [5]) == {5: {"docs_over": 0, "tokens_left": 0, "tokens_lost": 0}}
+
+
+# Archives
+
+PAGES = "page_id long, url string, html string, digest string, __first long"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], PAGES)
+
+
+def expected(rows):
+    first = {}
+    for page_id, _, html in rows:
+        data = (html or "").encode()
+        if len(data) >= 100 and page_id is not None:
+            first[data] = min(first.get(data, page_id), page_id)
+    out = []
+    for page_id, url, html in rows:
+        data = (html or "").encode()
+        refers = first.get(data)
+        refers = None if refers == page_id else refers
+        out.append((page_id, url or "", len(data), hashlib.sha256(data).hexdigest(), "response" if refers is None else "revisit",
+                    refers, data if refers is None else None))
+    return sorted(out, key=repr)
+
+
+def rows_of(df):
+    return sorted((tuple(bytes(v) if isinstance(v, bytearray) else v for v in r) for r in df.collect()), key=repr)
+
+
+def test_archives_round_trip(spark, tmp_path):
+    rng = random.Random(4)
+    words = [f"<p class='c{i}'>wörd{i}</p>\r\n\r\n" for i in range(300)]
+    rows = [(i, f"https://h/{i}?q=\r\nX: y", "<html>" + "".join(rng.choice(words) for _ in range(rng.randrange(60)))) for i in range(200)]
+    rows += [(1000 + i, None, rows[i % 7][2]) for i in range(60)]
+    rows += [(2000, "u", None), (2001, "u", ""), (2002, "u", "é" * 49), (2003, "u", "é" * 49), (2004, "u", "é" * 50), (2005, "u", "é" * 50)]
+    rows += [(None, "u", "é" * 50), (None, "u", "z" * 200), (2006, "u", "z" * 50), (3000, "u", "big " * 300_000)]
+    got = rows_of(warc.archived(pages(spark, rows), f"file://{tmp_path}/a", archive_bytes=5_000, sample_bytes=8_000))
+    want = expected([(i, u and u.replace("\r", "%0D").replace("\n", "%0A"), h) for i, u, h in rows])
+    assert got == want
+    files = sorted((tmp_path / "a").glob("*.warc.zst"))
+    assert len(files) > 3
+    with_dictionary = 0
+    for path in files:
+        data = path.read_bytes()
+        if struct.unpack_from("<I", data)[0] == 0x184D2A5D:
+            with_dictionary += 1
+            size = struct.unpack_from("<I", data, 4)[0]
+            raw = zstandard.ZstdDecompressor().decompress(data[8 : 8 + size])
+            assert raw[:4] == bytes.fromhex("37a430ec")
+            # Every record is a frame of its own under the archive's dictionary.
+            frame = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(raw)).decompressobj()
+            assert frame.decompress(data[8 + size :]).startswith(b"WARC/1.1\r\n") and frame.eof
+    assert with_dictionary
+
+
+def test_leftover_archives_are_not_read(spark, tmp_path):
+    rows = [(1, "u", "a" * 150), (2, "u", "a" * 150)]
+    folder = f"file://{tmp_path}/b"
+    manifest = warc.write_archives(pages(spark, rows), folder).collect()
+    manifest = spark.createDataFrame(manifest, warc.MANIFEST)
+    warc.write_archives(pages(spark, rows), folder).collect()
+    assert len(rows_of(warc.read_archives(manifest))) == 2
+
+
+def test_repeated_pages_and_none(spark):
+    rows = [(1, "u", "a" * 150), (1, "u", "a" * 150), (2, "u", "a" * 150)]
+    assert rows_of(warc.archived(pages(spark, rows))) == expected(rows)
+    assert warc.archived(pages(spark, [])).collect() == []
+
+
+def test_cut_archives_are_refused(tmp_path):
+    writer = warc.ArchiveWriter(open(tmp_path / "x", "wb"))
+    for i in range(30):
+        writer.add(warc.record_of(i, "u", b"text %d " % i * 50, "d", None))
+    writer.close()
+    data = (tmp_path / "x").read_bytes()
+    assert len(list(warc.read_archive(data))) == 30
+    with pytest.raises((ValueError, zstandard.ZstdError)):
+        list(warc.read_archive(data[:-3]))
+
+
+def test_mounted_paths():
+    assert local_path("file:///a%20b/c") == "/a b/c" and local_path("/x") == "/x"
+    with pytest.raises(ValueError):
+        local_path("hdfs://n/x")
