@@ -177,10 +177,12 @@ def _runs(
     opening: Sequence[Column],
     closing: Sequence[Column],
     slices: Slices | None,
+    only_marked: bool = False,
 ) -> DataFrame:
     """Final runs per group: (keys, enter, s, e, head, tail). s holds the opening
     fields of a run's first row, e the closing fields of its last, both with the peak as
-    far as the slice knows it."""
+    far as the slice knows it. The peak counts all rows; ``only_marked`` leaves those without
+    an enter mark out of the runs."""
     placed, part = _place(rows, keys, slices)
     if spec.peak:
         # Ordered like the windows of the runs, so that one sort serves all.
@@ -191,6 +193,8 @@ def _runs(
         )
         placed = placed.withColumn("maxsp", F.max(spec.peak).over(whole))
         opening, closing = [[*fields, F.col("maxsp")] for fields in (opening, closing)]
+    if only_marked:
+        placed = placed.filter(F.col("at").isNotNull())
     marked = placed.select(
         *part,
         *[F.col(c).alias(f"__o_{c}") for c in order],
@@ -249,10 +253,11 @@ def sessionize(
 
 
 def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame:
-    rows = rows.filter(F.col("at").isNotNull())
+    if not spec.peak:
+        rows = rows.filter(F.col("at").isNotNull())
     slices = plan_slices(rows, spec.entity, ("ct", "id"), rows_per_slice)
     opening = [*[F.col(src).alias(out) for out, src in spec.output], F.col("ct")]
-    runs = _runs(rows, spec, spec.entity, ("ct", "id"), opening, [F.col("ct")], slices).filter("enter")
+    runs = _runs(rows, spec, spec.entity, ("ct", "id"), opening, [F.col("ct")], slices, True).filter("enter")
     sessions = runs.select("s.*", F.col("e.ct").alias("maxct")).withColumnRenamed("ct", "minct")
     if spec.peak and slices is not None:
         sessions = _whole_peaks(sessions, rows, spec, slices)

@@ -19,10 +19,11 @@ def tables(spark: SparkSession, sf_dir: str) -> Source:
 
 
 def operations(events: DataFrame, resources: int = 4) -> DataFrame:
-    """Operation log: every event but the views; signup enters, the rest is activity."""
+    """Operation log: every event but the views; signup enters, the rest is activity. Some
+    rows have no mark (``at``), some no id."""
     i = F.col("event_id")
     return events.filter(F.col("event_type") != "view").select(
-        (i + 1).alias("id"),
+        F.when(i % 53 != 5, i + 1).alias("id"),
         F.col("user_id").alias("uid"),
         (i % 3).alias("cid"),
         (i % resources).alias("rid"),
@@ -30,7 +31,8 @@ def operations(events: DataFrame, resources: int = 4) -> DataFrame:
         (i % 13).alias("hid"),
         (i % 17).alias("qid"),
         (i % 2 + 1).alias("rt"),
-        F.when(F.col("event_type") == "signup", 1)
+        F.when(i % 17 == 3, None)
+        .when(F.col("event_type") == "signup", 1)
         .when(F.col("event_type") == "purchase", 2)
         .otherwise(0)
         .alias("at"),
@@ -185,9 +187,9 @@ def messages(answers_df: DataFrame, topic: str = "answers", partitions: int = 4)
     )
 
 
-_OPS = """select event_id+1 as id, user_id as uid, event_id%3 as cid, event_id%{r} as rid, event_id%11 as aid,
+_OPS = """select case when event_id%53<>5 then event_id+1 end as id, user_id as uid, event_id%3 as cid, event_id%{r} as rid, event_id%11 as aid,
  event_id%13 as hid, event_id%17 as qid, event_id%2+1 as rt,
- case event_type when 'signup' then 1 when 'purchase' then 2 else 0 end as "at",
+ case when event_id%17=3 then null when event_type='signup' then 1 when event_type='purchase' then 2 else 0 end as "at",
  value as sp, ts as ct, event_id%3+1 as appid, event_id%180 as lo, event_id%90 as la, event_id%2 as net,
  event_id%7 as de, event_id%4 as v, event_id%19 as sn, event_id%23 as lt, event_id%2 as il
  from events where event_type<>'view'"""

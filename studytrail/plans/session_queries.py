@@ -44,22 +44,23 @@ def clean_sql(spec: S.SessionSpec, resources: int) -> str:
     key = ", ".join(spec.entity)
     on = " and ".join(f"b.{c}=s.{c}" for c in spec.entity)
     return f"""{_rows_sql(spec, resources)},
+ p as (select *{_peak_sql(spec)} from logrows),
  s as (select *, sum(case when "at"=1 then 1 else 0 end)
-   over (partition by {key} order by ct, id rows unbounded preceding) as sid{_peak_sql(spec)} from logrows),
+   over (partition by {key} order by ct, id nulls first rows unbounded preceding) as sid from p where "at" is not null),
  b as (select {key}, sid, min(ct) as minct, max(ct) as maxct from s where sid>0 group by {key}, sid)
  select {_out(spec, 's')}, b.minct, b.maxct from b join s on {on} and b.sid=s.sid and s."at"=1"""
 
 
 def compat_sql(spec: S.SessionSpec, resources: int) -> str:
     key = ", ".join(spec.group)
-    order = ", ".join([*spec.group, *spec.order, "ct", "id"])
+    order = ", ".join([*spec.group, *spec.order, "ct", "id nulls first"])
     return f"""{_rows_sql(spec, resources)},
  numbered as (select *, row_number() over (order by {order}) as n, lead("at") over (order by {order}) as nxt{_peak_sql(spec)}
    from logrows),
  kept as (select * from numbered where "at"=1 or nxt=1),
  tagged as (select *, case when "at"=1 then n else lag(n) over (order by n) end as tag from kept),
  g as (select *, min(ct) over (partition by {key}, tag) as minct, max(ct) over (partition by {key}, tag) as maxct,
-   row_number() over (partition by {key}, tag order by ct, id) as rn from tagged)
+   row_number() over (partition by {key}, tag order by ct, id nulls first) as rn from tagged where "at" is not null)
  select {_out(spec, 'g')}, minct, maxct from g where rn=1"""
 
 

@@ -62,8 +62,10 @@ def emit(spec, row, peaks, lo, hi):
 
 
 def replay_clean(spec, log, beats):
-    rows = [r for r in as_rows(spec, log, beats) if r["at"] is not None]
+    """Peaks over all rows, as the original takes them; then rows without a mark are left out."""
+    rows = as_rows(spec, log, beats)
     peaks = peaks_of(spec, rows)
+    rows = [r for r in rows if r["at"] is not None]
     open_by, out = {}, []
     for r in sorted(rows, key=lambda r: (r["ct"], r["id"])):
         key = tuple(r[c] for c in spec.entity)
