@@ -45,6 +45,12 @@ def parser() -> argparse.ArgumentParser:
     report.add_argument("--root", required=True)
     report.add_argument("--mode", choices=["clean", "compat"], default="clean")
 
+    publish = commands.add_parser("publish", help="summary cells and leaderboards of a running report")
+    for name in ("--root", "--points", "--tasks"):
+        publish.add_argument(name, required=True)
+    publish.add_argument("--mode", choices=["clean", "compat"], default="clean")
+    publish.add_argument("--compact", action="store_true", help="also fold finished batches")
+
     dimension = stream("dimension", "a dimension topic to its cell table")
     dimension.add_argument("dimension", choices=list(jobs.DIMENSIONS))
     dimension.add_argument("--path", required=True)
@@ -61,8 +67,10 @@ def main(argv: list[str] | None = None) -> None:
             with open(args.jdbc_file) as file:
                 connection = json.load(file)
         connection |= dict(args.jdbc)
-        for name in names:
-            jobs.session_job(spark, connection, name, args.mode, args.partitions)
+        jobs.session_jobs(spark, connection, names, args.mode, args.partitions)
+        return
+    if args.command == "publish":
+        jobs.publish_job(spark, args.root, args.points, args.tasks, args.mode, args.compact)
         return
     if args.command == "relay":
         query = jobs.relay_job(

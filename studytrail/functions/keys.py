@@ -15,8 +15,11 @@ PAPER_TASK_SCHEMA = "id long, testPaper_user_id long, CustomsID long, TaskID lon
 
 
 def parse_json(text: Column, schema: str) -> Column:
-    """JSON object to typed fields; an unreadable message gives null fields."""
-    return F.from_json(text, schema, {"mode": "PERMISSIVE"})
+    """JSON object to typed fields. Numbers may come quoted; a field that holds no number, and
+    all fields of an unreadable message, are null."""
+    fields = [part.split() for part in schema.split(",")]
+    read = F.from_json(text, ", ".join(f"{name} string" for name, _ in fields), {"mode": "PERMISSIVE"})
+    return F.struct(*[read[name].try_cast(kind).alias(name) for name, kind in fields])
 
 
 def to_json(value: Column) -> Column:

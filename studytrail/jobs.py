@@ -3,9 +3,10 @@ reports, dimension tables and other topics. Connection settings come from the ca
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from studytrail.operators import sessions as S
@@ -13,6 +14,8 @@ from studytrail.operators.slices import ROWS_PER_SLICE
 from studytrail.runtime import drop_folder, shared_folder
 from studytrail.sources import jdbc, topics
 from studytrail.streaming import relay, reports
+from studytrail.streaming.offsets import resume_offsets, starting_offsets
+from studytrail.streaming.publish import Publisher
 
 # Fixed table names and column families of the platform.
 HEARTBEAT_TABLE = "r_timestat"
@@ -58,32 +61,41 @@ class Staging:
         return self.spark.read.schema(df.schema).parquet(path)
 
 
-def session_job(
+def session_jobs(
     spark: SparkSession,
     connection: Mapping[str, str],
-    name: str,
+    names: Sequence[str],
     mode: str = "clean",
     partitions: int = 200,
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> None:
-    """One session job. clean mode adds only sessions not stored yet; compat mode
-    appends everything, as a rerun of the original does."""
-    log_table, target, spec = SESSION_TABLES[name]
-    log = jdbc.read_table_by_range(spark, connection, log_table, "id", partitions)
-    beats = jdbc.read_table_by_range(spark, connection, HEARTBEAT_TABLE, "uid", partitions)
+    """Session jobs that share one reading of the heartbeats, which are split by time.
+
+    clean mode appends the sessions that an enter row has closed and that are not stored yet, so
+    a stored end never changes; sessions still open replace those of the run before in a table
+    beside the target (``open_table``). compat mode appends everything, as a rerun of the
+    original does."""
+    columns = list(dict.fromkeys(c for name in names for c in SESSION_TABLES[name][2].heartbeat))
     with Staging(spark) as staging:
-        found = S.sessionize(
-            staging.copy(log.select(*spec.log_columns), f"{name}-log"),
-            staging.copy(beats.select(*spec.heartbeat), f"{name}-heartbeat"),
-            spec,
-            mode,
-            rows_per_slice,
-        )
-        if mode == "clean":
+        beats = jdbc.read_table_by_range(spark, connection, HEARTBEAT_TABLE, "ct", partitions)
+        beats = staging.copy(beats.select(*columns), "heartbeat")
+        for name in names:
+            log_table, target, spec = SESSION_TABLES[name]
+            log = jdbc.read_table_by_range(spark, connection, log_table, "id", partitions)
+            log = staging.copy(log.select(*spec.log_columns), f"{name}-log")
+            found = S.sessionize(log, beats.select(*spec.heartbeat), spec, mode, rows_per_slice, mode == "clean")
+            if mode == "compat":
+                jdbc.append_table(found, connection, target)
+                continue
             found = staging.copy(found, f"{name}-sessions")
-            jdbc.append_new(spark, found, connection, target, SESSION_KEYS[name])
-        else:
-            jdbc.append_table(found, connection, target)
+            closed = found.filter(~F.col("is_open")).drop("is_open")
+            jdbc.append_new(spark, closed, connection, target, SESSION_KEYS[name], partitions)
+            jdbc.replace_table(found.filter("is_open").drop("is_open"), connection, open_table(name))
+
+
+def open_table(name: str) -> str:
+    """Where a job keeps the sessions that are still open."""
+    return f"{SESSION_TABLES[name][1]}_{name}_open"
 
 
 def relay_job(
@@ -113,13 +125,32 @@ def report_job(
     mode: str = "clean",
     seconds: int = 5,
     max_per_batch: int = MAX_PER_BATCH,
+    checkpoint: str | None = None,
+    earliest: Mapping[int, int] | None = None,
 ) -> StreamingQuery:
-    """The running answer report of a topic of answers."""
-    options = topics.kafka_source_options(servers, topic, "earliest", max_per_batch)
-    report = reports.AnswerReport(spark, root, mode, copies=False)
+    """The running answer report of a topic of answers. A new ``checkpoint`` starts at the offsets
+    that the report has applied, given the ``earliest`` ones the broker still has."""
+    report = reports.AnswerReport(spark, root, mode, copies=False, checkpoint=checkpoint)
+    saved = {r.partition: r.offset + 1 for r in report.marks.latest().filter(F.col("topic") == topic).collect()}
+    starting = starting_offsets(topic, resume_offsets(saved, earliest or {})) if saved else "earliest"
+    options = topics.kafka_source_options(servers, topic, starting, max_per_batch)
     return topics.trigger(report.writer(topics.kafka_stream(spark, options)), seconds).start()
 
 
+def publish_job(
+    spark: SparkSession, root: str, points_path: str, tasks_path: str, mode: str = "clean", compact: bool = False
+) -> None:
+    """Summary cells and leaderboards of the learners whose answers came since the last run, with
+    the dimensions of both feeds; ``compact`` also folds the finished batches of report and
+    tables. To be run on a schedule beside ``report_job``."""
+    report = reports.AnswerReport(spark, root, mode)
+    publisher = Publisher(report, points_path, tasks_path)
+    publisher.run()
+    if compact:
+        publisher.compact()
+        report.compact(before=report.cells.batches()[-1] if report.cells.batches() else None)
+
+
 def dimension_job(
     spark: SparkSession,
     servers: str,

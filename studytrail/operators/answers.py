@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from studytrail.functions.keys import join_key, key_long, positive, ratio
+from studytrail.functions.keys import count_text, join_key, key_long, positive, ratio
 
 REQUIRED = ("IsRight", "TestPaper_User_ID", "QuestionID", "CreateUser")
 REQUIRED_OLDER = ("IsRight", "TestPaper_User_ID")
@@ -292,7 +292,7 @@ def counter_rows(cells: DataFrame, keys: Sequence[str], item: str, family: str)
     )
     return cells.select(
         join_key(*[F.col(k) for k in keys]).alias("rowkey"), F.lit(family).alias("family"), F.explode(pair).alias("c")
-    ).select("rowkey", "family", "c.qualifier", F.col("c.n").cast("string").alias("value"))
+    ).select("rowkey", "family", "c.qualifier", count_text(F.col("c.n")).alias("value"))
 
 
 def summary_rows(report: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -66,9 +66,18 @@ def list_sort(
     offset: int = 0,
     count: int | None = None,
     rows_per_slice: int = ROWS_PER_SLICE,
+    alpha: bool = False,
 ) -> DataFrame:
-    """Every list sorted by value (ties by pos), optionally a page of it; ``idx`` is the sorted place."""
-    placed = _placed(lists, ["value", "at"], rows_per_slice)
+    """Every list sorted by value, optionally a page of it; ``idx`` is the sorted place.
+
+    Values are compared as numbers (equal ones as text, then by pos), values that are no number
+    come first; ``alpha`` compares them as text."""
+    rows = lists.select("key", F.col("pos").alias("at"), "value")
+    order = ["value", "at"]
+    if not alpha:
+        rows = rows.withColumn("number", F.col("value").try_cast("double"))
+        order = ["number", *order]
+    placed = ranked(rows, ["key"], order, rows_per_slice).withColumnRenamed("pos", "idx")
     idx = F.col("size") - 1 - F.col("idx") if desc else F.col("idx")
     keep = idx >= offset
     if count is not None:

@@ -242,26 +242,30 @@ def sessionize(
     spec: SessionSpec,
     mode: str = "clean",
     rows_per_slice: int = ROWS_PER_SLICE,
+    with_open: bool = False,
 ) -> DataFrame:
-    """Session rows of one job; ``mode`` is ``clean`` or ``compat``."""
+    """Session rows of one job; ``mode`` is ``clean`` or ``compat``. ``with_open`` adds, in clean
+    mode, ``is_open``: no later enter row of the entity has closed the session yet.
+
+    Inputs beyond one slice are counted and sampled here, before any action on the result."""
     rows = union_rows(log, heartbeat, spec)
     if mode == "clean":
-        return _clean(rows, spec, rows_per_slice)
+        return _clean(rows, spec, rows_per_slice, with_open)
     if mode == "compat":
         return _compat(rows, spec, rows_per_slice)
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame:
+def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int, with_open: bool) -> DataFrame:
     if not spec.peak:
         rows = rows.filter(F.col("at").isNotNull())
     slices = plan_slices(rows, spec.entity, ("ct", "id"), rows_per_slice)
     opening = [*[F.col(src).alias(out) for out, src in spec.output], F.col("ct")]
     runs = _runs(rows, spec, spec.entity, ("ct", "id"), opening, [F.col("ct")], slices, True).filter("enter")
-    sessions = runs.select("s.*", F.col("e.ct").alias("maxct")).withColumnRenamed("ct", "minct")
+    sessions = runs.select("s.*", F.col("e.ct").alias("maxct"), F.col("tail").alias("is_open")).withColumnRenamed("ct", "minct")
     if spec.peak and slices is not None:
         sessions = _whole_peaks(sessions, rows, spec, slices)
-    return sessions.select(*_columns(spec))
+    return sessions.select(*_columns(spec), *(["is_open"] if with_open else []))
 
 
 def _compat(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame:

@@ -95,16 +95,18 @@ def random_members(sets: DataFrame, k: int, seed: int, rows_per_slice: int = ROW
     return picked.select("key", "member")
 
 
-def random_draws(sets: DataFrame, k: int, seed: int) -> DataFrame:
+def random_draws(sets: DataFrame, k: int, seed: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
     """k independent draws per set, so members may repeat: (key, draw, member).
 
-    Each draw takes the member with the smallest hash of its own; the minimum
-    combines before the shuffle to one row per set and draw.
-    """
-    draws = sets.select("key", "member", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("draw"))
-    return draws.groupBy("key", "draw").agg(
-        F.min_by("member", _draw_hash(seed, F.col("key"), F.col("draw").cast("string"), F.col("member"))).alias("member")
-    )
+    A draw is a place in the set's order of members, from a seeded hash of key and draw; only
+    the k places per set meet the members, which are not copied."""
+    placed = ranked(sets.select("key", "member"), ["key"], ["member"], rows_per_slice)
+    sizes = sets.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
+    draws = sizes.select("key", "size", F.explode(F.sequence(F.lit(1), F.lit(k))).alias("draw"))
+    number = F.conv(F.substring(_draw_hash(seed, F.col("key"), F.col("draw").cast("string")), 1, 15), 16, 10).cast("bigint")
+    return draws.select("key", "draw", F.pmod(number, F.col("size")).alias("pos")).join(
+        placed.select("key", "pos", "member"), ["key", "pos"]
+    ).select("key", "draw", "member")
 
 
 def pop(sets: DataFrame, k: int, seed: int) -> tuple[DataFrame, DataFrame]:

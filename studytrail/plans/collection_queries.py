@@ -214,10 +214,11 @@ def _register_sets(reg: Registry) -> None:
     add("set_pop", lambda s: Z.pop(s, 5, 7)[1], f"{SETS} select key, member from ({place}) z where rn>5")
     add(
         "set_random_repeats",
-        lambda s: Z.random_draws(s, 6, 7),
-        f"""{SETS} select key, draw, member from (select key, draw, member, row_number() over (partition by key, draw
- order by md5(concat('7:', key, ':', cast(draw as varchar), ':', member))) as rn
- from member_sets, (select cast(unnest as integer) as draw from unnest([1,2,3,4,5,6])) d) z where rn=1""",
+        lambda s: Z.random_draws(stored(s, "members"), 6, 7),
+        f"""{SETS.rstrip()}, m as (select key, member, row_number() over (partition by key order by member)-1 as pos,
+ count(*) over (partition by key) as size from member_sets)
+ select m.key, draw, member from m join (select cast(unnest as integer) as draw from unnest([1,2,3,4,5,6])) d
+ on pos = cast(concat('0x', substr(md5(concat('7:', key, ':', cast(draw as varchar))), 1, 15)) as bigint) % size""",
     )
 
 
@@ -266,6 +267,11 @@ def _register_pairs(reg: Registry) -> None:
         _pairs_wanted(lambda t, w: K.set_all_or_none(t, _valued(w))),
         f"{both} select key, value from pairs union all {new} where not exists (select 1 from pairs p join w x on x.key=p.key)",
     )
+    reg.add(
+        "kv_set_all_new",
+        _pairs_wanted(lambda t, w: K.set_all_or_none(t, _valued(w.withColumn("key", F.concat(F.lit("new:"), F.col("key")))))),
+        f"{both} select key, value from pairs union all select concat('new:', key), concat('v_new:', key) from w",
+    )
     reg.add(
         "kv_incr",
         _pairs_wanted(lambda t, w: K.increment(t, w.withColumn("delta", F.lit(5)))),
@@ -369,13 +375,20 @@ def _register_lists(reg: Registry) -> None:
     add("ls_remove_tail", lambda x: L.list_remove(x, -2, "click"), hits.format(d="desc", n=2))
     add("ls_remove_all", lambda x: L.list_remove(x, 0, "click"), f"{ctes('lists')} select key, pos, value from lists where value<>'click'")
     add(
-        "ls_sort",
-        lambda x: L.list_sort(x, offset=3, count=8),
+        "ls_sort_alpha",
+        lambda x: L.list_sort(x, offset=3, count=8, alpha=True),
         f"{_lists_sql('value, pos')} select key, idx, value from r where idx>=3 and idx<11",
     )
+    numbers = ctes("lists", numbers="select key, pos, cast((pos * 37) % 113 as varchar) as value from lists").rstrip()
+    reg.add(
+        "ls_sort",
+        _on(X.lists, lambda x: L.list_sort(stored(x.withColumn("value", (F.col("pos") * 37 % 113).cast("string")), "numbers"))),
+        f"""{numbers} select key, row_number() over (partition by key order by cast(value as double), value, pos)-1 as idx, value
+ from numbers""",
+    )
     add(
         "ls_sort_desc",
-        lambda x: L.list_sort(x, desc=True),
+        lambda x: L.list_sort(x, desc=True, alpha=True),
         f"{_lists_sql('value desc, pos desc')} select key, idx, value from r",
     )
 

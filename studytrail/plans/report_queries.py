@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from studytrail.functions.keys import outcome, text_count
 from studytrail.operators import answers as A
 from studytrail.operators import boards as B
 from studytrail.plans import fixtures as X
@@ -161,12 +164,12 @@ def _accuracy_count(answers, points, tasks):
     return B.count_by_score(B.accuracy_scores(report, "TaskID", B.TASK_ACCURACY), 0.5, 1.0)
 
 
-def _score_sql(column: str, prefix: str) -> str:
+def score_sql(column: str, prefix: str) -> str:
     return f"""{BASE} select concat('{prefix}', cast({column} as varchar)) as board, cast(user_id as varchar) as member,
  cast(count(*) as double) as score from v where r=1 and {column}>0 group by 1, 2"""
 
 
-def _accuracy_sql(kind: str, mode: str) -> str:
+def accuracy_sql(kind: str, mode: str) -> str:
     if kind == "task":
         inner = (clean_summary_sql if mode == "clean" else compat_summary_sql)("paper")
         # The last write per (task, user) is that of the sitting answered last.
@@ -181,6 +184,21 @@ def _accuracy_sql(kind: str, mode: str) -> str:
  cast(user_id as varchar) as member, accuracy as score from rep"""
 
 
+def _outcomes(spark, sf_dir):
+    """Stored compat cells read back: counts by outcome per learner and sitting."""
+    answers, _, _ = _inputs(spark, sf_dir)
+    rows = A.counter_rows(A.question_cells(answers, "compat"), A.PAPER, "question_id", "q")
+    return rows.groupBy("rowkey", outcome(F.col("qualifier")).alias("outcome")).agg(
+        F.sum(text_count(F.col("value"))).alias("n")
+    )
+
+
+def _outcomes_sql() -> str:
+    kind = "case when qualifier like '%$_0' escape '$' then 'wrong' when qualifier like '%$_1' escape '$' then 'right' else 'total' end"
+    return f"""select rowkey, {kind} as outcome, cast(sum(cast(value as bigint)) as bigint) as n
+ from ({compat_cells_sql('paper', 'question')}) c group by 1, 2"""
+
+
 def register(reg: Registry) -> None:
     for kind in ("paper", "customs"):
         reg.add(f"rep_{kind}_summary_clean", _summary(kind, "clean"), clean_summary_sql(kind))
@@ -188,15 +206,16 @@ def register(reg: Registry) -> None:
         for item in ("question", "point"):
             reg.add(f"rep_{kind}_{item}_cells_clean", _cells(kind, item, "clean"), clean_cells_sql(kind, item))
             reg.add(f"rep_{kind}_{item}_cells_compat", _cells(kind, item, "compat"), compat_cells_sql(kind, item))
-    reg.add("lb_task_score", _boards(lambda a, p, t: B.task_scores(a, t)), _score_sql("task_id", B.TASK_SCORE))
-    reg.add("lb_customs_score", _boards(lambda a, p, t: B.customs_scores(a, t)), _score_sql("customs_id", B.CUSTOMS_SCORE))
-    reg.add("lb_sitting_score", _boards(lambda a, p, t: B.sitting_scores(a)), _score_sql("tpu", B.TASK_SCORE).replace("tpu>0", "tpu is not null"))
+    reg.add("rep_outcomes", _outcomes, _outcomes_sql())
+    reg.add("lb_task_score", _boards(lambda a, p, t: B.task_scores(a, t)), score_sql("task_id", B.TASK_SCORE))
+    reg.add("lb_customs_score", _boards(lambda a, p, t: B.customs_scores(a, t)), score_sql("customs_id", B.CUSTOMS_SCORE))
+    reg.add("lb_sitting_score", _boards(lambda a, p, t: B.sitting_scores(a)), score_sql("tpu", B.TASK_SCORE).replace("tpu>0", "tpu is not null"))
     for kind in ("task", "customs"):
-        reg.add(f"lb_{kind}_accuracy", _accuracy(kind, "clean"), _accuracy_sql(kind, "clean"))
-        reg.add(f"lb_{kind}_accuracy_compat", _accuracy(kind, "compat"), _accuracy_sql(kind, "compat"))
+        reg.add(f"lb_{kind}_accuracy", _accuracy(kind, "clean"), accuracy_sql(kind, "clean"))
+        reg.add(f"lb_{kind}_accuracy_compat", _accuracy(kind, "compat"), accuracy_sql(kind, "compat"))
     reg.add(
         "lb_accuracy_count",
         _boards(_accuracy_count),
         f"""select board, count(case when score between 0.5 and 1 then 1 end) as n, count(*) as size
- from ({_accuracy_sql('task', 'clean')}) q group by 1""",
+ from ({accuracy_sql('task', 'clean')}) q group by 1""",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from studytrail.jobs import SESSION_KEYS
 from studytrail.operators import sessions as S
 from studytrail.plans import fixtures as X
 from studytrail.plans.registry import Registry
@@ -74,13 +75,19 @@ def _job(spec: S.SessionSpec, resources: int, mode: str, limit: int | None = Non
 
 
 def _append_new(spark, sf_dir):
-    """Sessions a second run adds to those stored by a run up to 15 January."""
+    """All sessions after two runs over a growing log, the first of them up to 15 January: those
+    stored closed by either run, and those still open after the second."""
     events = X.tables(spark, sf_dir)("events")
     log, beats = X.operations(events), X.heartbeats(events)
     until = F.col("ct") < F.lit("2024-01-15").cast("timestamp_ntz")
-    stored = S.sessionize(log.filter(until), beats.filter(until), S.COURSE)
-    keys = ["uid", "cid", "minct"]
-    return new_rows(S.sessionize(log, beats, S.COURSE), stored, keys)
+
+    def run(log, beats):
+        found = S.sessionize(log, beats, S.COURSE, with_open=True)
+        return [found.filter(F.col("is_open") == state).drop("is_open") for state in (False, True)]
+
+    stored, _ = run(log.filter(until), beats.filter(until))
+    closed, still_open = run(log, beats)
+    return stored.union(new_rows(closed, stored, SESSION_KEYS["course"])).union(still_open)
 
 
 def register(reg: Registry) -> None:
@@ -90,5 +97,4 @@ def register(reg: Registry) -> None:
     # The same jobs with the row limit low enough that groups are cut into slices.
     reg.add("ses_course_clean_sliced", _job(S.COURSE, 4, "clean", 20), clean_sql(S.COURSE, 4))
     reg.add("ses_login_compat_sliced", _job(S.LOGIN, 4, "compat", 50), compat_sql(S.LOGIN, 4))
-    full = clean_sql(S.COURSE, 4)
-    reg.add("ses_append_new", _append_new, f"select * from ({full}) q where minct >= timestamp '2024-01-15 00:00:00'")
+    reg.add("ses_append_new", _append_new, clean_sql(S.COURSE, 4))

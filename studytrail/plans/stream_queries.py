@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from studytrail.operators import boards as B
+from studytrail.operators.answers import COUNTS
 from studytrail.plans import fixtures as X
 from studytrail.plans.registry import Registry, ctes
-from studytrail.plans.report_queries import clean_summary_sql, compat_summary_sql
+from studytrail.plans.report_queries import accuracy_sql, clean_summary_sql, compat_summary_sql, score_sql
 from studytrail.runtime import shared_folder
 from studytrail.sources import celltables
 from studytrail.sources.topics import file_stream, to_files, trigger
 from studytrail.streaming import relay, reports
 from studytrail.streaming.batches import BatchFolder
 from studytrail.streaming.offsets import Marks, unseen
+from studytrail.streaming.publish import Publisher
 
 
 def _table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +55,59 @@ def _report(mode: str, kind: str):
     return run
 
 
+def _published(make):
+    """Report and both feeds from their messages, published after each half of the answers."""
+
+    def run(spark, sf_dir):
+        root = shared_folder(spark, "published")
+        for name, path in (("points", f"{root}/points"), ("tasks", f"{root}/tasks")):
+            records, to_cells, family = _feed(spark, sf_dir, name)
+            _finish(reports.feed_cells(spark, records, to_cells, path, family))
+        messages = _messages(spark, sf_dir)
+        until = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")
+        report = reports.AnswerReport(spark, f"{root}/report", checkpoint=f"{root}/checkpoint-1")
+        publisher = Publisher(report, f"{root}/points", f"{root}/tasks")
+        _finish(report.writer(messages.filter(until)))
+        publisher.run()
+        publisher.compact()
+        second = reports.AnswerReport(spark, f"{root}/report", checkpoint=f"{root}/checkpoint-2")
+        _finish(second.writer(messages))
+        publisher.run()
+        return make(publisher)
+
+    return run
+
+
+def _summary_cells(publisher: Publisher) -> DataFrame:
+    tables = [publisher.summary_cells(kind).withColumn("report", F.lit(kind)) for kind in ("paper", "customs")]
+    return tables[0].union(tables[1]).drop("version")
+
+
+def _summary_cells_sql(kind: str) -> str:
+    key = {"paper": "testpaper_user_id", "customs": "customs_id"}[kind]
+    rows = " union all ".join(
+        f"select concat(cast(user_id as varchar), '_', cast({key} as varchar)) as rowkey, 's' as family, '{c}' as qualifier,"
+        f" cast({c} as varchar) as value, '{kind}' as report from rep"
+        for c in COUNTS
+    )
+    return f"select * from (with rep as ({clean_summary_sql(kind)}) {rows}) z"
+
+
+def _restart(spark, sf_dir):
+    """The report over two streams: the first up to 15 January, then, its checkpoint lost and its
+    batches folded, a new one over all messages."""
+    root = shared_folder(spark, "restart")
+    everything = _messages(spark, sf_dir)
+    until = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")
+    first = reports.AnswerReport(spark, root, checkpoint=f"{root}/checkpoint-1")
+    _finish(first.writer(everything.filter(until)))
+    first.compact()
+    second = reports.AnswerReport(spark, root, checkpoint=f"{root}/checkpoint-2")
+    _finish(second.writer(everything))
+    table = X.tables(spark, sf_dir)
+    return second.papers(X.question_points(table("part")), X.paper_tasks(table("events"))).drop("last_seq")
+
+
 def _rejects(spark, sf_dir):
     report = reports.AnswerReport(spark, shared_folder(spark, "rejects"))
     _finish(report.writer(_messages(spark, sf_dir)))
@@ -64,8 +120,8 @@ def _dedupe(spark, sf_dir):
     marks, out = Marks(spark, f"{root}/marks"), BatchFolder(spark, f"{root}/applied")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        out.write(unseen(batch, marks.before(batch_id)).select("partition", "offset", "key"), batch_id)
-        marks.save(batch_id, batch)
+        out.write(unseen(batch, marks.before((0, batch_id))).select("partition", "offset", "key"), (0, batch_id))
+        marks.save((0, batch_id), batch)
 
     twice = _messages(spark, sf_dir).unionByName(_messages(spark, sf_dir))
     _finish(twice.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint"))
@@ -79,7 +135,11 @@ def _record(fields, key):
     )
 
 
-def _dim_points(spark, sf_dir):
+def _feed(spark, sf_dir, name):
+    return (_point_records if name == "points" else _task_records)(spark, sf_dir)
+
+
+def _point_records(spark, sf_dir):
     part = _table_stream(spark, sf_dir, "part")
     fields = [
         F.col("p_partkey").alias("id"),
@@ -87,12 +147,17 @@ def _dim_points(spark, sf_dir):
         (F.col("p_size") % 12).cast("bigint").alias("PointId"),
     ]
     records = part.select(*_record(fields, F.col("p_partkey") % 37), F.col("p_partkey").alias("offset"))
+    return records, reports.question_point_cells, "qp"
+
+
+def _dim_points(spark, sf_dir):
     path = shared_folder(spark, "question_point")
-    _finish(reports.feed_cells(spark, records, reports.question_point_cells, path, "qp"))
+    records, to_cells, family = _point_records(spark, sf_dir)
+    _finish(reports.feed_cells(spark, records, to_cells, path, family))
     return celltables.current_cells(spark, path).drop("version")
 
 
-def _dim_tasks(spark, sf_dir):
+def _task_records(spark, sf_dir):
     events = _table_stream(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
     sitting = F.col("user_id") * 4 + F.col("event_id") % 4
     fields = [
@@ -103,8 +168,16 @@ def _dim_tasks(spark, sf_dir):
         F.col("user_id").alias("UserID"),
     ]
     records = events.select(*_record(fields, F.col("user_id")), F.col("event_id").alias("offset"))
+    return records, reports.paper_task_cells, "i"
+
+
+def _dim_tasks(spark, sf_dir):
     path = shared_folder(spark, "paper_task")
-    _finish(reports.feed_cells(spark, records, reports.paper_task_cells, path, "i"))
+    records, to_cells, family = _task_records(spark, sf_dir)
+    # A second stream with a checkpoint of its own reads everything again over folded batches.
+    for number in (1, 2):
+        _finish(reports.feed_cells(spark, records, to_cells, path, family, f"{path}/checkpoint-{number}"))
+        celltables.compact_table(spark, path)
     return celltables.current_cells(spark, path).drop("version")
 
 
@@ -124,6 +197,19 @@ def register(reg: Registry) -> None:
     )
     reg.add("st_relay_b", _relay(relay.relay_b), f"{RECORDS} select concat('>>>>:', mvalue) as value, 'target' as topic from m")
     reg.add("st_report", _report("clean", "paper"), clean_summary_sql("paper"))
+    reg.add("st_report_restart", _restart, clean_summary_sql("paper"))
+    boards = " union all ".join(
+        f"select * from ({sql}) b{i}"
+        for i, sql in enumerate(
+            [
+                score_sql("task_id", B.TASK_SCORE), score_sql("customs_id", B.CUSTOMS_SCORE),
+                accuracy_sql("task", "clean"), accuracy_sql("customs", "clean"),
+            ]
+        )
+    )
+    reg.add("st_boards", _published(Publisher.current_boards), boards)
+    cells = " union all ".join(_summary_cells_sql(kind) for kind in ("paper", "customs"))
+    reg.add("st_summary_cells", _published(_summary_cells), cells)
     reg.add("st_report_compat", _report("compat", "customs"), compat_summary_sql("customs"))
     reg.add("st_rejects", _rejects, f"{RECORDS} select {POSITION} from m where IsRight is null")
     reg.add("st_dedupe", _dedupe, f"{RECORDS} select {POSITION} from m")

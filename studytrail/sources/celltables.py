@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studytrail.operators.cellfilters import COLUMNS, latest
-from studytrail.streaming.batches import BatchFolder
+from studytrail.streaming.batches import Batch, BatchFolder
 
 CELL_SCHEMA = "rowkey string, family string, qualifier string, version long, value string"
 
@@ -37,8 +37,8 @@ def families(spark: SparkSession, path: str) -> list[str]:
     return sorted(r.family for r in spark.read.parquet(f"{path}/families").collect())
 
 
-def put_cells(spark: SparkSession, path: str, cells: DataFrame, batch_id: int) -> None:
-    """Store cells under a batch number; the same number again replaces the batch.
+def put_cells(spark: SparkSession, path: str, cells: DataFrame, batch: Batch) -> None:
+    """Store cells as a batch (generation, number); the same batch again replaces it.
 
     A family the table does not have is an error.
     """
@@ -48,7 +48,7 @@ def put_cells(spark: SparkSession, path: str, cells: DataFrame, batch_id: int) -
         "family", F.when(F.col("family").isin(known), F.col("family")).otherwise(wrong)
     )
     ordered = checked.repartitionByRange("rowkey", "family", "qualifier").sortWithinPartitions("rowkey")
-    BatchFolder(spark, f"{path}/cells").write(ordered, batch_id)
+    BatchFolder(spark, f"{path}/cells").write(ordered, batch)
 
 
 def all_versions(spark: SparkSession, path: str) -> DataFrame:
@@ -59,7 +59,7 @@ def current_cells(spark: SparkSession, path: str) -> DataFrame:
     return latest(all_versions(spark, path))
 
 
-def compact_table(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+def compact_table(spark: SparkSession, path: str, before: Batch | None = None) -> Batch | None:
     """Fold batches into one base folder that keeps only current cells."""
 
     def merge(cells: DataFrame) -> DataFrame:

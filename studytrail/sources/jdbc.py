@@ -57,7 +57,7 @@ def read_table_by_range(
 
 def new_rows(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not stored yet (null keys compare equal)."""
-    known = stored.select(*[stored[k].alias(f"__{k}") for k in keys]).distinct()
+    known = stored.select(*[stored[k].alias(f"__{k}") for k in keys])
     match = None
     for k in keys:
         part = rows[k].eqNullSafe(known[f"__{k}"])
@@ -73,7 +73,15 @@ def append_table(rows: DataFrame, connection: Mapping[str, str], table: str, bat
 
 
 def append_new(
-    spark: SparkSession, rows: DataFrame, connection: Mapping[str, str], table: str, keys: Sequence[str]
+    spark: SparkSession, rows: DataFrame, connection: Mapping[str, str], table: str, keys: Sequence[str], partitions: int
 ) -> None:
-    """Append only rows whose key the table lacks."""
-    append_table(new_rows(rows, read_table(spark, connection, table), keys), connection, table)
+    """Append only rows whose key the table lacks; the table is read in ranges of its first key."""
+    stored = read_table_by_range(spark, connection, table, keys[0], partitions)
+    append_table(new_rows(rows, stored, keys), connection, table)
+
+
+def replace_table(rows: DataFrame, connection: Mapping[str, str], table: str, batch_size: int = 10_000) -> None:
+    """The rows in place of the table's, whose definition stays."""
+    rows.write.format("jdbc").options(**connection).option("dbtable", table).option("batchsize", batch_size).option(
+        "truncate", "true"
+    ).mode("overwrite").save()

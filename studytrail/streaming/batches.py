@@ -1,86 +1,143 @@
 """Results of micro-batches as folders that can be written again without harm.
 
-Each batch owns one subfolder, overwritten when the batch is replayed, and readers
-take only folders whose write finished. Merging is left to the reader's aggregate,
-so a batch costs its own rows, not the size of the table. ``compact`` folds older
-batches into one base folder, which keeps the number of folders bounded.
+A batch is named by (generation, number). Numbers come from a stream's checkpoint and start at
+0 with a new one, so every checkpoint has a generation of its own (``generation``): batches of
+a new stream neither replace nor hide those of an old one. Each batch owns one subfolder,
+overwritten when the batch is replayed, and readers take only folders whose write finished.
+Merging is left to the reader's aggregate, so a batch costs its own rows, not the size of the
+table. ``compact`` folds batches into bases and bases of like size into larger ones, which
+keeps the folders few and rewrites a row only a logarithmic number of times.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+Batch = tuple[int, int]
+
+
+def _system(spark: SparkSession, root: str):
+    """The root's file system and the path type, as the cluster is configured."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    return path(root).getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _names(spark: SparkSession, root: str) -> list[str]:
+    fs, path = _system(spark, root)
+    return [s.getPath().getName() for s in fs.listStatus(path(root))] if fs.exists(path(root)) else []
+
+
+def generation(spark: SparkSession, root: str, checkpoint: str) -> int:
+    """The number of a checkpoint's stream among all streams that wrote under ``root``.
+
+    The stream's id is fixed when its checkpoint is created; it is noted here with the next
+    number the first time it is met."""
+    row = spark.read.text(f"{checkpoint}/metadata").first()
+    identity = json.loads(row[0])["id"]
+    known = [name.split("_", 1) for name in _names(spark, f"{root}/generations")]
+    numbers = {name: int(number) for number, name in known}
+    if identity in numbers:
+        return numbers[identity]
+    number = max(numbers.values(), default=-1) + 1
+    fs, path = _system(spark, root)
+    fs.create(path(f"{root}/generations/{number}_{identity}"), False).close()
+    return number
+
 
 class BatchFolder:
+    """Folders ``batch-G-N`` and ``base-G-N-L``; a base of level L holds the batches up to
+    (G, N) that the base before it does not hold."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _files(self):
-        """The root's file system and the path type, as the cluster is configured."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path
-        return path(self.root).getFileSystem(self.spark._jsc.hadoopConfiguration()), path
-
-    def _is_finished(self, name: str) -> bool:
-        fs, path = self._files()
+    def is_finished(self, name: str) -> bool:
+        fs, path = _system(self.spark, self.root)
         return fs.exists(path(f"{self.root}/{name}/_SUCCESS"))
 
-    def _numbers(self) -> dict[str, list[int]]:
-        """Numbers of finished folders by kind (``batch``, ``base``)."""
-        fs, path = self._files()
-        found: dict[str, list[int]] = {"batch": [], "base": []}
-        if fs.exists(path(self.root)):
-            for status in fs.listStatus(path(self.root)):
-                name = status.getPath().getName()
-                kind, _, number = name.partition("-")
-                if kind in found and number.isdigit() and self._is_finished(name):
-                    found[kind].append(int(number))
-        return {kind: sorted(numbers) for kind, numbers in found.items()}
-
-    def write(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/batch-{batch_id}")
+    def batches(self) -> list[Batch]:
+        """Finished batches that still have a folder."""
+        return sorted(key for key, _ in self._finished("batch"))
+
+    def bases(self) -> list[tuple[Batch, int]]:
+        """Finished bases in use: (last batch, level), oldest first. A base folded into a larger
+        one has the same or an earlier end and a lower level."""
+        found = sorted(((key, level[0]) for key, level in self._finished("base")), key=lambda b: (b[0], b[1]))
+        used: list[tuple[Batch, int]] = []
+        for key, level in found:
+            while used and used[-1][1] < level:
+                used.pop()
+            used.append((key, level))
+        return used
+
+    def _finished(self, kind: str) -> list[tuple[Batch, list[int]]]:
+        out = []
+        for name in _names(self.spark, self.root):
+            first, *numbers = name.split("-")
+            if first == kind and all(n.isdigit() for n in numbers) and self.is_finished(name):
+                g, n, *rest = map(int, numbers)
+                out.append(((g, n), rest))
+        return out
+
+    def write(self, df: DataFrame, batch: Batch) -> None:
+        df.write.mode("overwrite").parquet(f"{self.root}/{_batch(batch)}")
 
     def read(self, schema: str) -> DataFrame:
         """Rows of all finished batches."""
-        return self._load(self._names(), schema)
-
-    def read_last(self, before: int, schema: str) -> DataFrame:
-        """Rows of the last finished batch below ``before``: in a running stream the
-        one just before, so one look and no listing."""
-        for number in range(before - 1, -1, -1):
-            if self._is_finished(f"batch-{number}"):
-                return self._load([f"batch-{number}"], schema)
-        return self._load([], schema)
-
-    def compact(self, merge: Callable[[DataFrame], DataFrame], schema: str, before: int | None = None) -> int | None:
-        """Fold finished batches (below ``before``) into one base; returns the last it holds.
-
-        Folders folded by the base before this one are removed; those of this one stay
-        until the next, for readers still on them.
-        """
-        numbers = self._numbers()
-        last_base = numbers["base"][-1] if numbers["base"] else -1
-        batches = [n for n in numbers["batch"] if n > last_base and (before is None or n < before)]
+        bases = self.bases()
+        start = bases[-1][0] if bases else (-1, -1)
+        return self._load([_base(*b) for b in bases] + [_batch(b) for b in self.batches() if b > start], schema)
+
+    def read_batch(self, batch: Batch, schema: str) -> DataFrame:
+        return self._load([_batch(batch)], schema)
+
+    def read_last(self, before: Batch, schema: str) -> DataFrame:
+        """Rows of the last finished batch below ``before``, of this or an earlier generation. In
+        a running stream that is the one just before, found by one look and no listing."""
+        g, n = before
+        if n and self.is_finished(_batch((g, n - 1))):
+            return self._load([_batch((g, n - 1))], schema)
+        return self._load([_batch(b) for b in self.batches() if b < before][-1:], schema)
+
+    def compact(
+        self, merge: Callable[[DataFrame], DataFrame], schema: str, before: Batch | None = None, fanout: int = 4
+    ) -> Batch | None:
+        """Fold finished batches (below ``before``) into a base, and ``fanout`` bases of one level
+        into one of the next; returns the last batch folded.
+
+        Folders folded now stay until the next call, for readers still on them."""
+        self._remove_folded()
+        bases = self.bases()
+        start = bases[-1][0] if bases else (-1, -1)
+        batches = [b for b in self.batches() if b > start and (before is None or b < before)]
         if not batches:
             return None
-        names = [f"base-{n}" for n in numbers["base"][-1:]] + [f"batch-{n}" for n in batches]
-        merge(self._load(names, schema)).write.mode("overwrite").parquet(f"{self.root}/base-{batches[-1]}")
-        self._remove([f"batch-{n}" for n in numbers["batch"] if n <= last_base])
-        self._remove([f"base-{n}" for n in numbers["base"][:-1]])
-        return batches[-1]
-
-    def keep_last(self, batch_id: int, count: int = 10) -> None:
+        end = batches[-1]
+        merge(self._load([_batch(b) for b in batches], schema)).write.mode("overwrite").parquet(f"{self.root}/{_base(end, 0)}")
+        level = 0
+        while len(same := [b for b in self.bases() if b[1] == level]) >= fanout:
+            rows = merge(self._load([_base(*b) for b in same], schema))
+            rows.write.mode("overwrite").parquet(f"{self.root}/{_base(same[-1][0], level + 1)}")
+            level += 1
+        return end
+
+    def _remove_folded(self) -> None:
+        bases = self.bases()
+        if not bases:
+            return
+        used = {_base(*b) for b in bases}
+        self._remove([_batch(b) for b in self.batches() if b <= bases[-1][0]])
+        self._remove([name for key, level in self._finished("base") if (name := _base(key, level[0])) not in used])
+
+    def keep_last(self, batch: Batch, count: int = 10) -> None:
         """Remove the batch that is ``count`` behind; for tables whose last batch says all."""
-        if batch_id >= count:
-            self._remove([f"batch-{batch_id - count}"])
-
-    def _names(self) -> list[str]:
-        numbers = self._numbers()
-        base = numbers["base"][-1:]
-        start = base[0] if base else -1
-        return [f"base-{n}" for n in base] + [f"batch-{n}" for n in numbers["batch"] if n > start]
+        g, n = batch
+        if n >= count:
+            self._remove([_batch((g, n - count))])
 
     def _load(self, names: list[str], schema: str) -> DataFrame:
         if not names:
@@ -88,6 +145,14 @@ class BatchFolder:
         return self.spark.read.schema(schema).parquet(*[f"{self.root}/{n}" for n in names])
 
     def _remove(self, names: list[str]) -> None:
-        fs, path = self._files()
+        fs, path = _system(self.spark, self.root)
         for name in names:
             fs.delete(path(f"{self.root}/{name}"), True)
+
+
+def _batch(batch: Batch) -> str:
+    return f"batch-{batch[0]}-{batch[1]}"
+
+
+def _base(end: Batch, level: int) -> str:
+    return f"base-{end[0]}-{end[1]}-{level}"

@@ -8,10 +8,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from studytrail.streaming.batches import BatchFolder
+from studytrail.streaming.batches import Batch, BatchFolder
 
 PLACE = ("topic", "partition")
 MARK_SCHEMA = "topic string, partition int, offset long, from_offset long"
+RANGE_SCHEMA = "generation int, batch long, topic string, partition int, from_offset long, until_offset long"
 
 
 def resume_offsets(saved: Mapping[int, int], earliest: Mapping[int, int]) -> dict[int, int]:
@@ -52,21 +53,30 @@ def batch_ranges(records: DataFrame) -> DataFrame:
     )
 
 
+def _with_last(records: DataFrame, marks: DataFrame) -> DataFrame:
+    """Records with ``__new``. ``marks`` has one row per topic partition, a number the broker
+    bounds."""
+    last = marks.select(*PLACE, F.col("offset").alias("__last"))
+    new = F.col("__last").isNull() | (F.col("offset") > F.col("__last"))
+    return records.join(F.broadcast(last), list(PLACE), "left").withColumn("__new", new).drop("__last")
+
+
 def unseen(records: DataFrame, marks: DataFrame, copies: bool = True) -> DataFrame:
     """Records beyond the last applied offset of their partition, each position once.
 
-    ``marks`` has one row per topic partition, a number the broker bounds. A source
-    that never repeats a position inside a batch (a topic) needs no shuffle for it:
+    A source that never repeats a position inside a batch (a topic) needs no shuffle for it:
     ``copies=False``.
     """
-    last = marks.select(*PLACE, F.col("offset").alias("__last"))
-    new = records.join(F.broadcast(last), list(PLACE), "left").filter(
-        F.col("__last").isNull() | (F.col("offset") > F.col("__last"))
-    )
-    new = new.drop("__last")
+    new = _with_last(records, marks).filter("__new").drop("__new")
     return new.dropDuplicates([*PLACE, "offset"]) if copies else new
 
 
+def passed_over(records: DataFrame, marks: DataFrame) -> DataFrame:
+    """Records at or below the last applied offset: read again, or late on a source that does
+    not keep the order of offsets."""
+    return _with_last(records, marks).filter("not __new").drop("__new")
+
+
 def advance(marks: DataFrame, records: DataFrame) -> DataFrame:
     """Last applied offset per partition after the records, and where they began
     (``from_offset``, null for a partition without records)."""
@@ -78,19 +88,43 @@ def advance(marks: DataFrame, records: DataFrame) -> DataFrame:
 
 
 class Marks:
-    """Last applied offsets kept with the results; each batch stores the full small table."""
+    """Last applied offsets kept with the results; each batch stores the full small table, and
+    its offset ranges for good."""
 
     def __init__(self, spark, root: str):
-        self.folder = BatchFolder(spark, root)
-
-    def before(self, batch_id: int) -> DataFrame:
-        return self.folder.read_last(batch_id, MARK_SCHEMA)
-
-    def ranges(self, batch_id: int) -> DataFrame:
-        """Offset ranges [from_offset, until_offset) of one of the last batches."""
-        covered = self.folder.read_last(batch_id + 1, MARK_SCHEMA).filter(F.col("from_offset").isNotNull())
-        return covered.select(*PLACE, "from_offset", (F.col("offset") + 1).alias("until_offset"))
-
-    def save(self, batch_id: int, records: DataFrame) -> None:
-        self.folder.write(advance(self.before(batch_id), records).coalesce(1), batch_id)
-        self.folder.keep_last(batch_id)
+        self.folder = BatchFolder(spark, f"{root}/last")
+        self.covered = BatchFolder(spark, f"{root}/ranges")
+
+    def before(self, batch: Batch) -> DataFrame:
+        return self.folder.read_last(batch, MARK_SCHEMA)
+
+    def latest(self) -> DataFrame:
+        """Last applied offset of every topic partition."""
+        return self.folder.read_last((1 << 62, 0), MARK_SCHEMA)
+
+    def all_ranges(self) -> DataFrame:
+        """Offset ranges [from_offset, until_offset) of every batch of every generation."""
+        return self.covered.read(RANGE_SCHEMA)
+
+    def ranges(self, batch: Batch) -> DataFrame:
+        own = (F.col("generation") == batch[0]) & (F.col("batch") == batch[1])
+        return self.all_ranges().filter(own).select(*PLACE, "from_offset", "until_offset")
+
+    def save(self, batch: Batch, records: DataFrame) -> None:
+        """Note what a batch covered. A batch noted before has to cover the same offsets."""
+        found = batch_ranges(records).select(
+            F.lit(batch[0]).cast("int").alias("generation"), F.lit(batch[1]).cast("bigint").alias("batch"),
+            *PLACE, "from_offset", "until_offset",
+        )
+        # A row per topic partition.
+        ranges = found.collect()
+        old = [tuple(r) for r in self.ranges(batch).select(*PLACE, "from_offset", "until_offset").collect()]
+        if old and sorted(old) != sorted(tuple(r)[2:] for r in ranges):
+            raise ValueError(f"batch {batch} covered other offsets before")
+        rows = records.sparkSession.createDataFrame(ranges, RANGE_SCHEMA).coalesce(1)
+        self.covered.write(rows, batch)
+        self.folder.write(advance(self.before(batch), records).coalesce(1), batch)
+        self.folder.keep_last(batch)
+
+    def compact(self, before: Batch | None = None) -> None:
+        self.covered.compact(lambda r: r.coalesce(1), RANGE_SCHEMA, before)

@@ -8,7 +8,7 @@ after any failure counts every event once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -21,56 +21,72 @@ from studytrail.functions.keys import (
 )
 from studytrail.operators import answers as A
 from studytrail.sources import celltables
-from studytrail.streaming.batches import BatchFolder
-from studytrail.streaming.offsets import Marks, unseen
+from studytrail.streaming.batches import Batch, BatchFolder, generation
+from studytrail.streaming.offsets import Marks, passed_over, unseen
 
+# Events are ordered by time; offsets of different partitions do not compare.
+PLACE_IN_TIME = "struct<timestamp:timestamp,partition:int,offset:bigint>"
 CELLS_SCHEMA = (
     "user_id long, testpaper_user_id long, question_id long, attempts long, right long, wrong long, "
-    "first_seq long, first_right int, last_seq long, last_right int"
+    f"first_seq {PLACE_IN_TIME}, first_right int, last_seq {PLACE_IN_TIME}, last_right int"
 )
-# Batches between two compactions; bounds the folders a reader lists.
-COMPACT_EVERY = 500
 REJECT_SCHEMA = "topic string, partition int, offset long, key string, value string"
 
 
 def decode_answers(records: DataFrame) -> DataFrame:
-    """Answer fields next to the record; the offset is the event order of a learner,
-    whose messages share a partition because the learner is the message key."""
+    """Answer fields next to the record, with ``log_offset``, the place in the order of events:
+    time, then partition and offset. A message key may be any."""
     return records.select(
         "key", "value", "topic", "partition", "offset",
         parse_json(F.col("value"), ANSWER_SCHEMA).alias("m"),
-    ).select("key", "value", "topic", "partition", "offset", "m.*", F.col("offset").alias("log_offset"))
+        F.struct("timestamp", "partition", F.col("offset").cast("bigint").alias("offset")).alias("log_offset"),
+    ).select("key", "value", "topic", "partition", "offset", "m.*", "log_offset")
+
+
+def feed_version(records: DataFrame) -> Column:
+    """Version of the cells a message writes: its time in microseconds, else its offset."""
+    offset = F.col("offset").cast("bigint")
+    return F.coalesce(F.unix_micros("timestamp"), offset) if "timestamp" in records.columns else offset
 
 
 class AnswerReport:
     """Tables of the running report under one root folder.
 
-    ``copies`` says whether the source may repeat a position inside one batch."""
+    ``copies`` says whether the source may repeat a position inside one batch. ``checkpoint``
+    may be a new one at any time: positions applied under an old one stay applied."""
 
-    def __init__(self, spark: SparkSession, root: str, mode: str = "clean", copies: bool = True):
+    def __init__(
+        self, spark: SparkSession, root: str, mode: str = "clean", copies: bool = True, checkpoint: str | None = None
+    ):
         self.spark = spark
         self.mode = mode
         self.copies = copies
         self.cells = BatchFolder(spark, f"{root}/question_cells")
         self.rejects = BatchFolder(spark, f"{root}/rejects")
+        self.skipped = BatchFolder(spark, f"{root}/skipped")
         self.marks = Marks(spark, f"{root}/marks")
-        self.checkpoint = f"{root}/checkpoint"
+        self.root = root
+        self.checkpoint = checkpoint or f"{root}/checkpoint"
+        self.generation: int | None = None
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
-        """One micro-batch. The marks go last: without them the batch is done again.
-
-        Compaction covers only batches before this one, which the stream has committed."""
-        if batch_id and batch_id % COMPACT_EVERY == 0:
-            self.compact(batch_id)
-        fresh = decode_answers(unseen(records, self.marks.before(batch_id), self.copies)).persist()
+        """One micro-batch. The marks go last: without them the batch is done again."""
+        if self.generation is None:
+            self.generation = generation(self.spark, self.root, self.checkpoint)
+        batch = (self.generation, batch_id)
+        records = records.persist()
+        marks = self.marks.before(batch)
+        fresh = decode_answers(unseen(records, marks, self.copies)).persist()
         try:
-            self.cells.write(A.question_cells(fresh, self.mode), batch_id)
+            self.cells.write(A.question_cells(fresh, self.mode), batch)
             left_out = ~F.coalesce(A.is_counted(self.mode), F.lit(False))
             bad = fresh.filter(left_out).select("topic", "partition", "offset", "key", "value")
-            self.rejects.write(bad, batch_id)
-            self.marks.save(batch_id, records)
+            self.rejects.write(bad, batch)
+            self.skipped.write(passed_over(records, marks).select("topic", "partition", "offset", "key", "value"), batch)
+            self.marks.save(batch, records)
         finally:
             fresh.unpersist()
+            records.unpersist()
 
     def writer(self, records: DataFrame) -> DataStreamWriter:
         return records.writeStream.foreachBatch(self.apply).option("checkpointLocation", self.checkpoint)
@@ -81,8 +97,16 @@ class AnswerReport:
     def rejected(self) -> DataFrame:
         return self.rejects.read(REJECT_SCHEMA)
 
-    def compact(self, before: int | None = None) -> int | None:
+    def passed_over(self) -> DataFrame:
+        """Messages at positions that were applied already; those of a late arrival among them
+        are known by a (partition, offset) that occurs nowhere in the applied ranges' messages."""
+        return self.skipped.read(REJECT_SCHEMA)
+
+    def compact(self, before: Batch | None = None) -> Batch | None:
+        """Fold finished batches together; a job of its own, beside the stream."""
         self.rejects.compact(lambda r: r, REJECT_SCHEMA, before)
+        self.skipped.compact(lambda r: r, REJECT_SCHEMA, before)
+        self.marks.compact(before)
         return self.cells.compact(lambda c: A.merge_cells(c, [*A.PAPER, "question_id"]), CELLS_SCHEMA, before)
 
     def papers(self, question_point: DataFrame, paper_task: DataFrame) -> DataFrame:
@@ -94,19 +118,19 @@ class AnswerReport:
 
 def question_point_cells(records: DataFrame) -> DataFrame:
     """Question/point messages as cells: key question_point, one constant column."""
-    m = records.select("offset", parse_json(F.col("value"), QUESTION_POINT_SCHEMA).alias("m"))
+    m = records.select(feed_version(records).alias("version"), parse_json(F.col("value"), QUESTION_POINT_SCHEMA).alias("m"))
     return m.select(
         join_key(F.col("m.QuestionId"), F.col("m.PointId")).alias("rowkey"),
         F.lit("qp").alias("family"),
         F.lit("coeffcient").alias("qualifier"),
-        F.col("offset").alias("version"),
+        "version",
         F.lit("0").alias("value"),
     )
 
 
 def paper_task_cells(records: DataFrame) -> DataFrame:
     """Paper/task messages as cells: key sitting_task_customs, columns TaskID and UserID."""
-    m = records.select("offset", parse_json(F.col("value"), PAPER_TASK_SCHEMA).alias("m"))
+    m = records.select(feed_version(records).alias("version"), parse_json(F.col("value"), PAPER_TASK_SCHEMA).alias("m"))
     pair = F.array(
         *[
             F.struct(F.lit(c).alias("qualifier"), F.coalesce(F.col(f"m.{c}").cast("string"), F.lit("null")).alias("value"))
@@ -116,22 +140,26 @@ def paper_task_cells(records: DataFrame) -> DataFrame:
     return m.select(
         join_key(F.col("m.testPaper_user_id"), F.col("m.TaskID"), F.col("m.CustomsID")).alias("rowkey"),
         F.lit("i").alias("family"),
-        F.col("offset").alias("version"),
+        "version",
         F.explode(pair).alias("c"),
     ).select("rowkey", "family", "c.qualifier", "version", "c.value")
 
 
-def feed_cells(spark: SparkSession, records: DataFrame, to_cells, path: str, family: str) -> DataStreamWriter:
+def feed_cells(
+    spark: SparkSession, records: DataFrame, to_cells, path: str, family: str, checkpoint: str | None = None
+) -> DataStreamWriter:
     """A dimension feed: every batch upserts its cells into the cell table at ``path``."""
     celltables.create_table(spark, path, [family])
+    checkpoint = checkpoint or f"{path}/checkpoint"
+    number: list[int] = []
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        if batch_id and batch_id % COMPACT_EVERY == 0:
-            celltables.compact_table(spark, path, batch_id)
+        if not number:
+            number.append(generation(spark, path, checkpoint))
         # Equal cells of one batch collapse before they are written.
-        celltables.put_cells(spark, path, celltables.latest(to_cells(batch)), batch_id)
+        celltables.put_cells(spark, path, celltables.latest(to_cells(batch)), (number[0], batch_id))
 
-    return records.writeStream.foreachBatch(apply).option("checkpointLocation", f"{path}/checkpoint")
+    return records.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
 def question_points_of(cells: DataFrame) -> DataFrame:

@@ -106,10 +106,10 @@ def test_cell_table(spark, tmp_path, cells):
     assert T.create_table(spark, path, ["course", "grad", "info"])
     assert not T.create_table(spark, path, ["other"])
     assert T.families(spark, path) == ["course", "grad", "info"]
-    T.put_cells(spark, path, cells, 0)
+    T.put_cells(spark, path, cells, (0, 0))
     newer = spark.createDataFrame([("lisi01", "course", "art", 9, "70"), ("lisi01", "course", "math", 1, "1")], T.CELL_SCHEMA)
-    T.put_cells(spark, path, newer, 1)
-    T.put_cells(spark, path, newer, 1)
+    T.put_cells(spark, path, newer, (0, 1))
+    T.put_cells(spark, path, newer, (0, 1))
 
     def current():
         return {(r.rowkey, r.qualifier): r.value for r in T.current_cells(spark, path).collect()}
@@ -119,8 +119,8 @@ def test_cell_table(spark, tmp_path, cells):
     assert T.all_versions(spark, path).count() == len(ROWS) + 2
     shown = C.latest(C.delete_newest(T.all_versions(spark, path), newer.limit(1)))
     assert {r.value for r in shown.filter("rowkey = 'lisi01' and qualifier = 'art'").collect()} == {"89"}
-    assert T.compact_table(spark, path) == 1
+    assert T.compact_table(spark, path) == (0, 1)
     assert current() == before and T.all_versions(spark, path).count() == len(ROWS)
     with pytest.raises(Exception, match="unknown column family"):
-        T.put_cells(spark, path, newer.withColumn("family", F.lit("nope")), 2)
+        T.put_cells(spark, path, newer.withColumn("family", F.lit("nope")), (0, 2))
     assert current() == before

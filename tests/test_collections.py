@@ -82,7 +82,7 @@ def test_lists(spark, limit):
     assert values(L.list_index(df, -1, limit)) == whole[-1:]
     assert {r.key for r in L.list_index(df, 5, limit).collect()} == {"big"}
     assert values(L.list_trim(df, 1, -2, limit), "pos") == whole[1:-1]
-    assert values(L.list_sort(df, True, 2, 50, limit)) == sorted(whole, reverse=True)[2:52]
+    assert values(L.list_sort(df, True, 2, 50, limit, alpha=True)) == sorted(whole, reverse=True)[2:52]
     left = values(L.list_remove(df, -2, "x", limit), "pos")
     assert left == whole[:114] + ["y", "z", "y", "z"]
     assert values(L.list_remove(df, 5000, "x", limit), "pos") == [v for v in whole if v != "x"]

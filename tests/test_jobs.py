@@ -21,7 +21,12 @@ def database(spark, tmp_path, monkeypatch):
         rows.write.mode("append").parquet(str(tmp_path / table))
 
     monkeypatch.setattr(jdbc, "read_table", read)
+    def replace(rows, connection, table):
+        rows = spark.createDataFrame(rows.collect(), rows.schema)
+        rows.write.mode("overwrite").parquet(str(tmp_path / table))
+
     monkeypatch.setattr(jdbc, "append_table", append)
+    monkeypatch.setattr(jdbc, "replace_table", replace)
     monkeypatch.setattr(jdbc, "read_table_by_range", lambda s, c, t, column, n: read(s, c, t))
     return tmp_path
 
@@ -36,11 +41,29 @@ def test_session_job_twice(spark, database, mode):
     empty = S.sessionize(spark.createDataFrame([], schema_of(S.COURSE)), spark.createDataFrame([], HEART), S.COURSE)
     empty.write.parquet(str(database / "session_course"))
     for _ in range(2):
-        jobs.session_job(spark, {}, "course", mode)
+        jobs.session_jobs(spark, {}, ["course"], mode)
     stored = sorted(map(tuple, spark.read.parquet(str(database / "session_course")).collect()))
+    if mode == "clean":
+        stored = sorted(stored + list(map(tuple, spark.read.parquet(str(database / jobs.open_table("course"))).collect())))
     assert stored == (want if mode == "clean" else sorted(want * 2))
 
 
+def test_growing_log_has_no_stale_ends(spark, database):
+    rng = random.Random(3)
+    log = sorted(make_log(S.COURSE, rng, 160, nulls=False), key=lambda r: r[-1])
+    beats = sorted(make_beats(rng, 60), key=lambda r: r[-1])
+    empty = S.sessionize(spark.createDataFrame([], schema_of(S.COURSE)), spark.createDataFrame([], HEART), S.COURSE)
+    empty.write.parquet(str(database / "session_course"))
+    ends = sorted(r[-1] for r in log)
+    for cut in (ends[50], ends[110], ends[-1]):
+        some = [r for r in log if r[-1] <= cut], [r for r in beats if r[-1] <= cut]
+        spark.createDataFrame(some[0], schema_of(S.COURSE)).write.mode("overwrite").parquet(str(database / "r_courseop"))
+        spark.createDataFrame(some[1], HEART).write.mode("overwrite").parquet(str(database / "r_timestat"))
+        jobs.session_jobs(spark, {}, ["course"])
+        tables = [spark.read.parquet(str(database / t)) for t in ("session_course", jobs.open_table("course"))]
+        assert sorted(map(tuple, tables[0].union(tables[1]).collect())) == replay_clean(S.COURSE, *some)
+
+
 def test_staging_is_removed(spark):
     with jobs.Staging(spark) as staging:
         copy = staging.copy(spark.range(3), "probe")
@@ -79,13 +102,13 @@ def test_command_line(spark, monkeypatch, tmp_path):
 
     calls = []
     monkeypatch.setattr(cli, "build_session", lambda name, master: spark)
-    monkeypatch.setattr(jobs, "session_job", lambda *a: calls.append(a[1:]))
+    monkeypatch.setattr(jobs, "session_jobs", lambda *a: calls.append(a[1:]))
     secret = tmp_path / "connection.json"
     secret.write_text('{"url": "other", "user": "u"}')
     cli.main(["sessions", "login", "--jdbc", "url=jdbc:x", "--jdbc-file", str(secret), "--mode", "compat"])
-    assert calls == [({"url": "jdbc:x", "user": "u"}, "login", "compat", 200)]
+    assert calls == [({"url": "jdbc:x", "user": "u"}, ["login"], "compat", 200)]
     cli.main(["sessions", "all", "--jdbc", "url=jdbc:x"])
-    assert [c[1] for c in calls[1:]] == list(jobs.SESSION_TABLES)
+    assert [c[1] for c in calls[1:]] == [list(jobs.SESSION_TABLES)]
 
     class Query:
         def awaitTermination(self):

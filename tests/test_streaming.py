@@ -1,5 +1,7 @@
 """Streams on files: many batches, restarts, failures between writes, replays."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,7 +69,8 @@ def test_report_over_restarts_equals_batch(spark, world, mode):
     tasks = spark.createDataFrame(TASKS, "testPaper_user_id long, TaskID long, CustomsID long")
     assert rows_of(report.papers(points, tasks)) == rows_of(A.paper_summary(want, points, tasks, mode))
     assert rows_of(report.customs(points, tasks)) == rows_of(A.customs_summary(want, points, tasks, mode))
-    ranges = {r.partition: (r.from_offset, r.until_offset) for r in report.marks.ranges(3).collect()}
+    # Three batches before the restart, then one per file.
+    ranges = {r.partition: (r.from_offset, r.until_offset) for r in report.marks.ranges((0, 3)).collect()}
     assert ranges == {1: (26, 59), 2: (25, 60)}
     bad = {r.offset for r in report.rejected().collect()}
     assert bad == {i for i in range(60) if i % 7 == 0 or i == 33}
@@ -94,39 +97,88 @@ def test_failure_between_writes_counts_once(spark, world, monkeypatch):
 def test_unfinished_folder_is_not_read(spark, tmp_path):
     folder = BatchFolder(spark, str(tmp_path / "b"))
     assert folder.read("id long").count() == 0 and folder.compact(lambda d: d, "id long") is None
-    folder.write(spark.range(3), 0)
-    folder.write(spark.range(3, 5), 1)
-    (tmp_path / "b" / "batch-1" / "_SUCCESS").unlink()
+    folder.write(spark.range(3), (0, 0))
+    folder.write(spark.range(3, 5), (0, 1))
+    (tmp_path / "b" / "batch-0-1" / "_SUCCESS").unlink()
     assert folder.read("id long").count() == 3
-    folder.write(spark.range(3, 5), 1)
-    assert folder.read("id long").count() == 5 and folder.read_last(1, "id long").count() == 3
+    folder.write(spark.range(3, 5), (0, 1))
+    assert folder.read("id long").count() == 5 and folder.read_last((0, 1), "id long").count() == 3
 
 
 def test_compaction_keeps_rows_and_few_folders(spark, tmp_path):
     folder = BatchFolder(spark, str(tmp_path / "b"))
-    for n in range(9):
-        folder.write(spark.range(n, n + 1).coalesce(1), n)
-        if n and n % 2 == 0:
-            assert folder.compact(lambda d: d.coalesce(1), "id long", before=n) == n - 1
-        assert sorted(r.id for r in folder.read("id long").collect()) == list(range(n + 1))
-    left = sorted(p.name for p in (tmp_path / "b").iterdir())
-    assert left == ["base-5", "base-7", "batch-6", "batch-7", "batch-8"]
+    count = 0
+    for generation in range(3):
+        for n in range(8):
+            folder.write(spark.range(count, count + 1).coalesce(1), (generation, n))
+            count += 1
+            if n % 2:
+                assert folder.compact(lambda d: d.coalesce(1), "id long", fanout=2) == (generation, n)
+            assert sorted(r.id for r in folder.read("id long").collect()) == list(range(count))
+    # 24 batches as bases of 16 and 8; folders of the last fold stay for readers still on them.
+    assert folder.bases() == [((1, 7), 3), ((2, 7), 2)]
+    assert folder.compact(lambda d: d, "id long") is None
+    assert sorted(p.name for p in (tmp_path / "b").iterdir()) == ["base-1-7-3", "base-2-7-2"]
     for n in range(9, 25):
-        folder.keep_last(n, count=3)
-    assert not (tmp_path / "b" / "batch-8").exists()
+        folder.write(spark.range(1), (3, n))
+        folder.keep_last((3, n), count=3)
+    assert folder.batches() == [(3, 22), (3, 23), (3, 24)]
 
 
-def test_report_compacts_on_its_way(spark, world, monkeypatch):
+def test_new_checkpoint_neither_hides_nor_replaces(spark, world):
     src, put, root = world
-    monkeypatch.setattr(reports, "COMPACT_EVERY", 2)
-    for n in range(1, 6):
-        put([record(i) for i in range(n * 5, n * 5 + 5)])
-    report = reports.AnswerReport(spark, f"{root}/r")
-    run(report.writer(topics.file_stream(spark, src, files_per_batch=1)))
-    seen = [record(i) for i in [0, *range(5, 30)]]
-    want = A.question_cells(reports.decode_answers(spark.createDataFrame(seen, topics.RECORD_SCHEMA)))
-    assert rows_of(report.question_cells()) == rows_of(want)
-    assert report.cells._numbers()["base"]
+    put([record(i) for i in range(1, 20)])
+    stream = topics.file_stream(spark, src, files_per_batch=1)
+    run(reports.AnswerReport(spark, f"{root}/r", checkpoint=f"{root}/one").writer(stream))
+    reports.AnswerReport(spark, f"{root}/r").compact()
+    put([record(i) for i in range(20, 45)])
+    for checkpoint in ("two", "three"):
+        report = reports.AnswerReport(spark, f"{root}/r", checkpoint=f"{root}/{checkpoint}")
+        run(report.writer(stream))
+        assert rows_of(report.question_cells()) == rows_of(batch(spark, 45, "clean"))
+    ranges = report.marks.all_ranges().collect()
+    assert {r.generation for r in ranges} == {0, 1, 2}
+    assert {r.partition: r.offset for r in report.marks.latest().collect()} == {1: 44, 2: 43}
+    assert {r.offset for r in report.passed_over().collect()} == set(range(45))
+
+
+def test_batch_must_cover_the_same_offsets(spark, tmp_path):
+    marks = offsets.Marks(spark, str(tmp_path / "m"))
+    rows = spark.createDataFrame([record(i) for i in range(6)], topics.RECORD_SCHEMA)
+    marks.save((0, 0), rows)
+    marks.save((0, 0), rows)
+    with pytest.raises(ValueError, match="other offsets"):
+        marks.save((0, 0), rows.limit(2))
+
+
+def test_order_is_time_not_offset(spark):
+    """Two partitions of one learner: the later message has the smaller offset."""
+    from datetime import datetime
+
+    def message(partition, offset, minute, right):
+        value = f'{{"TestPaper_User_ID":"5","QuestionID":1,"CreateUser":"3","IsRight":"{right}"}}'
+        return ("x", value, "t", partition, offset, datetime(2024, 1, 1, 0, minute))
+
+    df = spark.createDataFrame([message(0, 900, 1, 0), message(1, 7, 2, 1)], topics.RECORD_SCHEMA)
+    (cell,) = A.question_cells(reports.decode_answers(df)).collect()
+    assert (cell.user_id, cell.first_right, cell.last_right) == (3, 0, 1)
+
+
+def test_messages_with_quoted_and_missing_numbers(spark):
+    fields = {"TestPaper_User_ID": 5, "QuestionID": 1, "CreateUser": 3, "IsRight": 1}
+    good = [json.dumps(fields), json.dumps({k: str(v) for k, v in fields.items()})]
+    bad = [json.dumps({**fields, k: v}) for k in fields for v in (None, "", "x", {"y": 1})] + ["", "[]", "5", None]
+    df = spark.createDataFrame([("k", v, "t", 0, i, None) for i, v in enumerate(good + bad)], topics.RECORD_SCHEMA)
+    decoded = reports.decode_answers(df)
+    assert {r.offset for r in decoded.filter(A.is_valid()).collect()} == {0, 1}
+    # The older rule asks for two fields only.
+    older = {r.offset for r in decoded.filter(A.is_valid(A.REQUIRED_OLDER)).collect()}
+    assert older == {0, 1} | {i for i, v in enumerate(good + bad) if i > 1 and v and v.startswith("{") and fits(v)}
+
+
+def fits(value):
+    fields = json.loads(value)
+    return all(str(fields[k]).isdigit() for k in ("TestPaper_User_ID", "IsRight"))
 
 
 def test_relays(spark, world):
