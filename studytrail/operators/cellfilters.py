@@ -276,8 +276,11 @@ def put(cells: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def delete_newest(cells: DataFrame, targets: DataFrame) -> DataFrame:
-    """All versions but the newest one of each target cell (older ones show again)."""
-    hit = cells.join(targets.select(*CELL).distinct(), list(CELL), "left_semi")
-    newest = hit.groupBy(*CELL).agg(F.max("version").alias("version"))
-    return cells.join(newest, [*CELL, "version"], "left_anti")
+    """All versions but the newest one of each target cell (older ones show again). The join and
+    the window share one exchange of the cells."""
+    marked = cells.join(targets.select(*CELL, F.lit(True).alias("__target")).distinct(), list(CELL), "left")
+    whole = Window.partitionBy(*CELL).orderBy(*CELL).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    newest = marked.withColumn("__newest", F.max("version").over(whole))
+    kept = F.col("__target").isNull() | (F.col("version") < F.col("__newest"))
+    return newest.filter(kept).select(*cells.columns)
 

@@ -206,16 +206,12 @@ def _runs(
     runs = chain(marked, part, sort)
     if slices is None:
         return runs.drop(SLICE, *sort)
-    # Pieces at a slice border of a cut group meet in one small partition (-1);
-    # all others keep their slice and pass through unchanged.
+    # Only the pieces at the borders of a cut group's slices meet again, at most two a slice; all
+    # other runs stay where they are.
     border = (F.col("head") | F.col("tail")) & slices.is_hot()
-    pieces = runs.withColumn("__piece", F.when(border, F.lit(-1)).otherwise(F.col(SLICE)))
-    pieces = pieces.withColumnsRenamed({"head": "__head", "tail": "__tail"})
-    stitched = chain(pieces, [*keys, "__piece"], [SLICE, *sort])
-    # Only border pieces of a cut group can be its first or last run.
-    inner = slices.is_hot() & (F.col("__piece") != -1)
-    stitched = stitched.withColumn("tail", ~inner & F.col("tail"))
-    return stitched.drop(SLICE, "__piece", "__head", "__tail", *sort)
+    pieces = runs.filter(border).drop("head", "tail")
+    stitched = chain(pieces, keys, [SLICE, *sort])
+    return runs.filter(~border).drop(SLICE, *sort).unionByName(stitched.drop(SLICE, *sort))
 
 
 def _whole_peaks(sessions: DataFrame, rows: DataFrame, spec: SessionSpec, slices: Slices) -> DataFrame:

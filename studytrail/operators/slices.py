@@ -3,15 +3,16 @@
 A window over one key runs in one task. When a single user, board or list holds
 a large part of all rows that task never ends, so groups above a row limit are
 cut into consecutive pieces along their sort order. The cut points come from a
-bounded sample and enter the plan as literals: a row's slice depends on its own
+bounded sample and enter the plan as one literal: a row's slice depends on its own
 values only, so retried tasks and repeated scans always agree.
 
 Callers compute per (group, slice) and then stitch the pieces; the number of
-pieces is bounded by ``MAX_SLICES``, whatever the data size.
+pieces is bounded by ``MAX_SLICES``: 10^12 rows give slices of 15 million.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -19,22 +20,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 8192
+MAX_SLICES = 65_536
 SAMPLE_PER_SLICE = 20
 
 SLICE = "__slice"
 
 
-def _sql_literal(value: str | None, sql_type: str) -> str:
-    """A typed literal; text goes in as hex, so no character of it can act as SQL."""
-    if value is None:
-        return f"cast(null as {sql_type})"
-    return f"cast(cast(X'{value.encode().hex()}' as string) as {sql_type})"
-
-
 @dataclass(frozen=True)
 class Slices:
-    """Cut points of the hot groups, each a (keys..., order...) tuple of text."""
+    """Cut points of the hot groups, each a (keys..., order...) tuple of text, in sort order;
+    ``hot`` are the keys of the cut groups, in the same order."""
 
     keys: tuple[str, ...]
     order: tuple[str, ...]
@@ -43,11 +38,6 @@ class Slices:
     has_copies: bool = False
     hot: list[tuple[str | None, ...]] = field(default_factory=list)
 
-    def _struct_sql(self, names: Sequence[str], values: Sequence[str | None]) -> str:
-        return "named_struct(%s)" % ", ".join(
-            f"'{n}', {_sql_literal(v, self.types[n])}" for n, v in zip(names, values)
-        )
-
     def is_split(self, names: Sequence[str]) -> Column:
         """True where rows that agree on ``names``, leading columns of the sort order,
         may lie in several slices: only values with a cut among them do."""
@@ -59,19 +49,18 @@ class Slices:
         """True for rows whose group is cut."""
         return self._is_one_of(self.keys, self.hot) if self.keys else F.lit(True)
 
-    def _is_one_of(self, names: Sequence[str], values: Iterable[Sequence[str | None]]) -> Column:
-        """Lookup in a literal set."""
-        probe = "named_struct(%s)" % ", ".join(f"'{k}', `{k}`" for k in names)
-        members = ", ".join(self._struct_sql(names, v) for v in values)
-        return F.expr(f"{probe} in ({members})")
-
-    def index(self) -> Column:
-        """Number of cut points below the row, by binary search over the literal array."""
-        names = self.keys + self.order
-        cuts = F.expr("array(%s)" % ", ".join(self._struct_sql(names, c) for c in self.cuts))
-        probe = F.struct(*[F.col(f"`{n}`").alias(n) for n in names])
-        step = 1
-        while step * 2 <= len(self.cuts):
+    def _table(self, names: Sequence[str], values: Sequence[Sequence[str | None]]) -> Column:
+        """The values as an array of typed structs, from JSON text that is read once, when the
+        query is planned; thousands of literals would take seconds each time."""
+        places = [f"c{i}" for i in range(len(names))]
+        text = json.dumps([dict(zip(places, v)) for v in values])
+        raw = F.from_json(F.lit(text), "array<struct<%s>>" % ",".join(f"{p}:string" for p in places))
+        return raw.cast("array<struct<%s>>" % ",".join(f"`{n}`:{self.types[n]}" for n in names))
+
+    def _below(self, names: Sequence[str], values: Sequence[Sequence[str | None]], probe: Column) -> Column:
+        """Number of the sorted values below the probe, by binary search."""
+        table, count, step = self._table(names, values), len(values), 1
+        while step * 2 <= count:
             step *= 2
         steps = []
         while step:
@@ -80,14 +69,29 @@ class Slices:
 
         def search(place: Column) -> Column:
             def advance(pos: Column, width: Column) -> Column:
-                below = F.get(cuts, pos + width - F.lit(1)) < place
-                return F.when((pos + width <= F.lit(len(self.cuts))) & below, pos + width).otherwise(pos)
+                below = F.get(table, pos + width - F.lit(1)) < place
+                return F.when((pos + width <= F.lit(count)) & below, pos + width).otherwise(pos)
 
             return F.aggregate(F.array(*steps), F.lit(0), advance)
 
         # The one-element array binds the row's tuple once for all steps.
         return F.get(F.transform(F.array(probe), search), F.lit(0))
 
+    def _probe(self, names: Sequence[str]) -> Column:
+        return F.struct(*[F.col(f"`{n}`").alias(n) for n in names])
+
+    def _is_one_of(self, names: Sequence[str], values: Iterable[Sequence[str | None]]) -> Column:
+        """Lookup in a sorted set."""
+        values, probe = list(values), self._probe(names)
+        if not values:
+            return F.lit(False)
+        return F.get(self._table(names, values), self._below(names, values, probe)).eqNullSafe(probe)
+
+    def index(self) -> Column:
+        """Number of cut points below the row."""
+        names = self.keys + self.order
+        return self._below(names, self.cuts, self._probe(names))
+
     def column(self) -> Column:
         return F.when(self.is_hot(), self.index()).otherwise(F.lit(0))
 

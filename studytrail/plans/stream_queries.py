@@ -10,7 +10,7 @@ from studytrail.operators.answers import COUNTS
 from studytrail.plans import fixtures as X
 from studytrail.plans.registry import Registry, ctes
 from studytrail.plans.report_queries import accuracy_sql, clean_summary_sql, compat_summary_sql, score_sql
-from studytrail.runtime import shared_folder
+from studytrail.runtime import temporary_folder
 from studytrail.sources import celltables
 from studytrail.sources.topics import file_stream, to_files, trigger
 from studytrail.streaming import relay, reports
@@ -35,7 +35,7 @@ def _finish(writer) -> None:
 
 def _relay(rewrite):
     def run(spark, sf_dir):
-        root = shared_folder(spark, "relay")
+        root = temporary_folder(spark, "relay")
         out = rewrite(_messages(spark, sf_dir), "target")
         _finish(to_files(out, f"{root}/target", f"{root}/checkpoint"))
         return spark.read.schema("key string, value string, topic string").parquet(f"{root}/target").select("value", "topic")
@@ -45,7 +45,7 @@ def _relay(rewrite):
 
 def _report(mode: str, kind: str):
     def run(spark, sf_dir):
-        report = reports.AnswerReport(spark, shared_folder(spark, "report"), mode)
+        report = reports.AnswerReport(spark, temporary_folder(spark, "report"), mode)
         _finish(report.writer(_messages(spark, sf_dir)))
         table = X.tables(spark, sf_dir)
         points, tasks = X.question_points(table("part")), X.paper_tasks(table("events"))
@@ -59,7 +59,7 @@ def _published(make):
     """Report and both feeds from their messages, published after each half of the answers."""
 
     def run(spark, sf_dir):
-        root = shared_folder(spark, "published")
+        root = temporary_folder(spark, "published")
         for name, path in (("points", f"{root}/points"), ("tasks", f"{root}/tasks")):
             records, to_cells, family = _feed(spark, sf_dir, name)
             _finish(reports.feed_cells(spark, records, to_cells, path, family))
@@ -96,7 +96,7 @@ def _summary_cells_sql(kind: str) -> str:
 def _restart(spark, sf_dir):
     """The report over two streams: the first up to 15 January, then, its checkpoint lost and its
     batches folded, a new one over all messages."""
-    root = shared_folder(spark, "restart")
+    root = temporary_folder(spark, "restart")
     everything = _messages(spark, sf_dir)
     until = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")
     first = reports.AnswerReport(spark, root, checkpoint=f"{root}/checkpoint-1")
@@ -109,14 +109,14 @@ def _restart(spark, sf_dir):
 
 
 def _rejects(spark, sf_dir):
-    report = reports.AnswerReport(spark, shared_folder(spark, "rejects"))
+    report = reports.AnswerReport(spark, temporary_folder(spark, "rejects"))
     _finish(report.writer(_messages(spark, sf_dir)))
     return report.rejected().select("partition", "offset", "key")
 
 
 def _dedupe(spark, sf_dir):
     """Every record delivered twice; each position is applied once."""
-    root = shared_folder(spark, "dedupe")
+    root = temporary_folder(spark, "dedupe")
     marks, out = Marks(spark, f"{root}/marks"), BatchFolder(spark, f"{root}/applied")
 
     def apply(batch: DataFrame, batch_id: int) -> None:
@@ -151,7 +151,7 @@ def _point_records(spark, sf_dir):
 
 
 def _dim_points(spark, sf_dir):
-    path = shared_folder(spark, "question_point")
+    path = temporary_folder(spark, "question_point")
     records, to_cells, family = _point_records(spark, sf_dir)
     _finish(reports.feed_cells(spark, records, to_cells, path, family))
     return celltables.current_cells(spark, path).drop("version")
@@ -172,7 +172,7 @@ def _task_records(spark, sf_dir):
 
 
 def _dim_tasks(spark, sf_dir):
-    path = shared_folder(spark, "paper_task")
+    path = temporary_folder(spark, "paper_task")
     records, to_cells, family = _task_records(spark, sf_dir)
     # A second stream with a checkpoint of its own reads everything again over folded batches.
     for number in (1, 2):

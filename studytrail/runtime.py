@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -62,10 +64,31 @@ def drop_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+_temporary: list[tuple[SparkSession, str]] = []
+
+
+def temporary_folder(spark: SparkSession, name: str) -> str:
+    """As ``shared_folder``, removed when the driver ends."""
+    path = shared_folder(spark, name)
+    _temporary.append((spark, path))
+    return path
+
+
+@atexit.register
+def _drop_temporary() -> None:
+    for spark, path in _temporary:
+        try:
+            drop_folder(spark, path)
+        except Exception:  # the session has ended before
+            if "://" not in path:
+                shutil.rmtree(path, ignore_errors=True)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder. Operators that look at their input more
-    than once (ranks, row filters) should get a table, not a long derivation."""
+    """The rows as a table in the shared folder, for as long as the driver runs. Operators that
+    look at their input more than once (ranks, row filters) should get a table, not a long
+    derivation."""
     spark = df.sparkSession
-    path = shared_folder(spark, name)
+    path = temporary_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

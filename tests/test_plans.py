@@ -6,12 +6,13 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from studytrail.plans.catalog import catalog
 
 SF = "/root/testdata/sf0.001"
 if not os.path.isdir(SF):
     pytest.skip("no test tables here", allow_module_level=True)
 
-BATCH = [n for n in sorted(entry.queries()) if not n.startswith("st_")]
+BATCH = [n for n in sorted(catalog().queries) if not n.startswith("st_")]
 
 
 def plan(spark, name):
@@ -46,6 +47,13 @@ def test_a_session_job_shuffles_its_rows_once(spark, name):
     assert text.count("Exchange hashpartitioning") == 1 and text.count("FileScan") == 2
 
 
+def test_sliced_sessions_shuffle_their_rows_once(spark):
+    """The pieces that meet again are a second, small exchange over the same first one."""
+    text = plan(spark, "ses_course_clean_sliced")
+    first = re.findall(r"Exchange hashpartitioning\([^)]*__slice[^)]*\)", text)
+    assert first and text.count("Exchange hashpartitioning") <= 3
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     from studytrail.operators import cellfilters as C
     from studytrail.plans import fixtures as X
