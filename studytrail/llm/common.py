@@ -2,22 +2,19 @@
 
 from __future__ import annotations
 
-import atexit
 import os
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studytrail.runtime import drop_folder, shared_folder
+from studytrail.runtime import temporary_folder
 
 # The six ASCII white-space characters, as a regular expression and as a set.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\f\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
-_made: list[tuple[SparkSession, str]] = []
-
 
 def whole(text: str | Column) -> Column:
     """The text, empty where it is null."""
@@ -47,9 +44,7 @@ def stripped(text: Column) -> Column:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, removed when the driver ends."""
-    path = shared_folder(spark, name)
-    _made.append((spark, path))
-    return path
+    return temporary_folder(spark, name)
 
 
 def kept(df: DataFrame, name: str) -> DataFrame:
@@ -61,15 +56,6 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@atexit.register
-def _drop_scratch() -> None:
-    for spark, path in _made:
-        try:
-            drop_folder(spark, path)
-        except Exception:  # the session has ended before; its folder stays to the cluster's cleaner
-            return
-
-
 def local_path(uri: str) -> str:
     """The path of a ``file:`` URI or plain path."""
     parts = urlparse(uri)
@@ -89,8 +75,3 @@ def open_new(uri: str):
 
     store, path = fs.FileSystem.from_uri(uri)
     return store.open_output_stream(path)
-
-
-def partitions(spark: SparkSession) -> int:
-    """Partitions a shuffle starts with here."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

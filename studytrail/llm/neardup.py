@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from studytrail.llm.common import kept, whole
+from studytrail.llm.common import kept, packed, whole
 
 SHINGLE = 5
 PERCENT = 75
@@ -36,6 +36,8 @@ COORDINATES = 48
 MATCHES = 22
 SHORT = 64
 BLOCK_SHINGLES = 1 << 21
+# Ids that are sent to every task to pick their texts; more of them meet the texts in a shuffle.
+SMALL_IDS = 1_000_000
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(32)
@@ -157,11 +159,22 @@ def matching(pairs: DataFrame, classes: DataFrame, matches: int = MATCHES, perce
     return both.filter(fits & (collisions >= matches)).select("a", "b").distinct()
 
 
+def sized(table: DataFrame) -> DataFrame:
+    """A stored table for the small side of a join: sent to every task up to SMALL_IDS rows,
+    shuffled beyond."""
+    return F.broadcast(table) if table.count() <= SMALL_IDS else table
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(id, text) of the documents with the given ids."""
+    chosen = kept(ids.toDF("id").distinct(), "neardup-ids")
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), whole("text").alias("text"))
+    return texts.join(sized(chosen), "id", "left_semi")
+
+
 def confirmed(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Pairs whose full shingle sets reach the similarity."""
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("id"), whole("text").alias("text"))
-    ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    needed = texts.join(ends, "id", "left_semi")
+    needed = texts_of(docs, pairs.select("a").union(pairs.select("b")))
     both = (
         pairs.join(needed.select(F.col("id").alias("a"), F.col("text").alias("t_a")), "a")
         .join(needed.select(F.col("id").alias("b"), F.col("text").alias("t_b")), "b")
@@ -188,32 +201,35 @@ def component_labels(links: DataFrame) -> DataFrame:
     """(id, label): the least id reachable, for every id in a link (a, b).
 
     Each round takes the least label among the neighbours and then that label's own label,
-    so long chains close in few rounds. Rounds are written to the shared folder."""
+    so long chains close in few rounds. Rounds are written to the shared folder; small ones in
+    few files, with joins that need no shuffle."""
     both = kept(
         links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
         .union(links.select(F.col("b").alias("src"), F.col("a").alias("dst")))
         .distinct(),
         "neardup-edges",
     )
+    few = (lambda df: df.coalesce(8)) if both.count() <= 2 * SMALL_IDS else (lambda df: df)
     labels = both.groupBy(F.col("src").alias("id")).agg(F.min("dst").alias("near"))
-    labels = kept(labels.select("id", F.least("id", "near").alias("label"), F.lit(True).alias("moved")), "neardup-labels")
+    labels = kept(few(labels.select("id", F.least("id", "near").alias("label"), F.lit(True).alias("moved"))), "neardup-labels")
     while not labels.filter("moved").isEmpty():
-        old = labels.select("id", "label")
+        old = sized(labels.select("id", "label"))
         near = both.join(old, both.dst == old.id).groupBy("src").agg(F.min("label").alias("near"))
-        nearer = old.join(near, old.id == near.src).select(
+        near = kept(few(near), "neardup-near")
+        nearer = labels.select("id", "label").join(sized(near), F.col("id") == F.col("src")).select(
             "id", F.col("label").alias("old"), F.least("label", "near").alias("label")
         )
-        above = old.select(F.col("id").alias("label"), F.col("label").alias("top"))
+        above = sized(labels.select(F.col("id").alias("label"), F.col("label").alias("top")))
         stepped = nearer.join(above, "label", "left").select(
             "id", F.least("label", "top").alias("label"), (F.least("label", "top") < F.col("old")).alias("moved")
         )
-        labels = kept(stepped, "neardup-labels")
+        labels = kept(few(stepped), "neardup-labels")
     return labels.select("id", "label")
 
 
 def relabel(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """``rows`` with the label of each rep, its own id where it has no link."""
-    known = labels.select(F.col("id").alias("rep"), "label")
+    known = sized(labels.select(F.col("id").alias("rep"), "label"))
     return rows.join(known, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
 
 
@@ -224,16 +240,17 @@ def _size_class(n: Column) -> Column:
 
 
 def unsettled(long: DataFrame, classes: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows to compare in blocks: per list and size class, members of the largest class so far
-    once, and all others ("probes") in every block. Lists all of one label are left out."""
+    """Rows to compare in blocks: per list, members of the largest class so far once, and all
+    others ("probes") in every block. Lists all of one label are left out. Lists of several
+    blocks are cut by size first, each size class with the next larger one."""
     sizes = classes.select("rep", "n_shingles")
     members = relabel(long.select("token", "rep").join(sizes, "rep"), labels)
+    weights = members.groupBy("token").agg(F.sum("n_shingles") <= BLOCK_SHINGLES).toDF("token", "one_block")
     base = _size_class(F.col("n_shingles"))
-    spread = members.select(
-        "token", "rep", "label", "n_shingles",
-        F.explode(F.array(F.struct(base.alias("size_class"), F.lit(True).alias("own")),
-                          F.struct((base - 1).alias("size_class"), F.lit(False).alias("own")))).alias("s"),
-    ).select("token", "rep", "label", "n_shingles", "s.size_class", "s.own")
+    part = lambda number, own: F.struct(number.cast("int").alias("size_class"), F.lit(own).alias("own"))
+    parts = F.when(F.col("one_block"), F.array(part(F.lit(-1), True))).otherwise(F.array(part(base, True), part(base - 1, False)))
+    spread = members.join(weights, "token").select("token", "rep", "label", "n_shingles", F.explode(parts).alias("s"))
+    spread = spread.select("token", "rep", "label", "n_shingles", "s.size_class", "s.own")
     counts = spread.groupBy("token", "size_class", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
     lists = counts.groupBy("token", "size_class").agg(
         F.max_by("label", "n").alias("major"),
@@ -244,9 +261,8 @@ def unsettled(long: DataFrame, classes: DataFrame, docs: DataFrame, labels: Data
     home = F.pmod(F.xxhash64("rep"), F.col("blocks"))
     block = F.when(F.col("label") == F.col("major"), F.array(home)).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
     rows = rows.select("token", "size_class", "rep", "label", "own", F.explode(block).alias("block"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), whole("text").alias("text"))
-    needed = texts.join(rows.select("rep").distinct(), "rep", "left_semi")
-    return rows.join(shingle_sets(needed), "rep")
+    rows = kept(rows, "neardup-blocks")
+    return rows.join(shingle_sets(texts_of(docs, rows.select("rep")).withColumnRenamed("id", "rep")), "rep")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -366,12 +382,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             late = component_labels(relabel(left, labels).select("a", F.col("label").alias("b")).filter("a != b"))
             moved = late.select(F.col("id").alias("label"), F.col("label").alias("top"))
             ends = relabel(ends.select("rep").union(ends.select("other")).distinct(), labels).select(F.col("rep").alias("id"), "label")
+            # An id of either table has one label.
             labels = kept(
                 labels.union(ends).distinct().join(moved, "label", "left").select("id", F.coalesce("top", "label").alias("label")),
                 "neardup-labels",
             )
     # Several classes may share a representative's id only if rows share a doc_id.
-    named_classes = relabel(classes.select("key_a", "key_b", "rep"), labels.groupBy("id").agg(F.min("label").alias("label")))
+    named_classes = relabel(classes.select("key_a", "key_b", "rep"), labels)
     out = sketched.select("doc_id", "n_shingles", "key_a", "key_b").join(
         named_classes.select("key_a", "key_b", "label"), ["key_a", "key_b"], "left"
     )
@@ -384,8 +401,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents with one left of every group: the one with the least doc_id, and of rows
     with that doc_id the one whose text hashes lowest. Rows without doc_id stay."""
-    chosen = near_duplicates(docs).filter("kept and doc_id is not null").select(F.col("doc_id").alias("__id")).distinct()
-    named = docs.filter("doc_id is not null").join(chosen, F.col("doc_id").cast("bigint") == F.col("__id"), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    named = named.withColumn("__rank", F.row_number().over(first)).filter("__rank = 1").drop("__rank")
-    return named.unionByName(docs.filter("doc_id is null"))
+    chosen = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
+    rows = packed(docs).withColumn("doc_id", F.col("row.doc_id").cast("bigint"))
+    first = Window.partitionBy("doc_id").orderBy(F.xxhash64("row.text"))
+    named = rows.join(chosen, "doc_id", "left_semi").withColumn("rank", F.row_number().over(first)).filter("rank = 1")
+    return named.select("row.*").union(rows.filter("doc_id is null").select("row.*"))
