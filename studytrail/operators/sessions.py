@@ -209,9 +209,9 @@ def _runs(
     # Only the pieces at the borders of a cut group's slices meet again, at most two a slice; all
     # other runs stay where they are.
     border = (F.col("head") | F.col("tail")) & slices.is_hot()
-    pieces = runs.filter(border).drop("head", "tail")
-    stitched = chain(pieces, keys, [SLICE, *sort])
-    return runs.filter(~border).drop(SLICE, *sort).unionByName(stitched.drop(SLICE, *sort))
+    pieces = runs.filter(border).drop("head", "tail").withColumn("__piece", F.least(SLICE, F.lit(-1)))
+    stitched = chain(pieces, [*keys, "__piece"], [SLICE, *sort])
+    return runs.filter(~border).drop(SLICE, *sort).unionByName(stitched.drop(SLICE, "__piece", *sort))
 
 
 def _whole_peaks(sessions: DataFrame, rows: DataFrame, spec: SessionSpec, slices: Slices) -> DataFrame:
