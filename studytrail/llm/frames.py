@@ -123,6 +123,18 @@ class FrameReader:
         ids = self.frame(number)[start - before : end - before]
         return (int(row["doc_id"]) if row["named"] else None), ids
 
+    def documents(self) -> Iterator[tuple[int | None, np.ndarray]]:
+        """All documents in order, frame by frame."""
+        place, at = 0, 0
+        sizes = self.index["n"].tolist()
+        named, ids = self.index["named"].tolist(), self.index["doc_id"].tolist()
+        for number, end in enumerate(self.frame_ends.tolist()):
+            before, content = at, self.frame(number) if end > at else None
+            while at < end:
+                yield (ids[place] if named[place] else None), content[at - before : at - before + sizes[place]]
+                at += sizes[place]
+                place += 1
+
     def find(self, doc_id: int) -> list[np.ndarray]:
         """Ids of every document with this doc_id."""
         places = np.nonzero(self.index["named"] & (self.index["doc_id"] == doc_id))[0]
@@ -199,9 +211,8 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
             for data, start in zip(batch.column(0), batch.column(1).to_pylist()):
                 reader = FrameReader(data.as_py())
                 rows = []
-                for place in range(len(reader)):
-                    doc_id, ids = reader.document(place)
-                    rows.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
+                for doc_id, ids in reader.documents():
+                    rows.append((doc_id, start, len(ids), zlib.crc32(ids)))
                     start += len(ids)
                 columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 4)]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "start", "n_tokens", "ids_crc32"])

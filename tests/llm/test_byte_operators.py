@@ -21,7 +21,7 @@ def tokenizer():
     return Tokenizer.from_file(VOCABULARY)
 
 
-PIECES = ["a", "Th", " ", " ", "\n", "\t", "\x0b", "\x1c", "é", "!", "'s", "1", " ", "　", "日", "<|endoftext|>", "x"]
+PIECES = ["a", "Th", " ", " ", "\n", "\t", "\x0b", "\x1c", "é", "!", "'s", "1", " ", "　", "日", "<|endoftext|>", "x", "re", "ll,", "?", "\\", "\x01", "Ö#", "\r"]
 
 
 def mixed_texts(n, seed=1):
