@@ -16,7 +16,8 @@ from studytrail.llm.common import kept, packed
 SEED = 8
 # Sources whose rates are sent to every task; beyond this the rates are joined by a shuffle.
 SMALL = 20_000
-# Up to this rate the whole table of the distribution function is kept with the rate.
+# Up to this rate the whole table of the distribution function is kept with the rate; beyond it,
+# the part around the rate. Rates of a caller above it are refused.
 MOST_RATE = 500.0
 
 
@@ -53,22 +54,47 @@ def cumulative(rate: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), upto), start, step, lambda acc: acc["all"])
 
 
-def replicated(docs: DataFrame, rates: DataFrame, seed: int = SEED) -> DataFrame:
+def lowest(rate: Column) -> Column:
+    """The count that ``around`` begins with; what lies below it is below the uniform's resolution."""
+    return (F.floor(rate) - F.ceil(12 * F.sqrt(rate) + 30)).cast("bigint")
+
+
+def around(rate: Column) -> Column:
+    """P(count <= k) for k = lowest(rate), ... to as far above the rate, for rates above MOST_RATE.
+
+    exp(-rate) leaves the range of doubles at 745, so the terms are relative to the first one and
+    divided by their sum."""
+    first, upto = lowest(rate), (F.floor(rate) + F.ceil(12 * F.sqrt(rate) + 30)).cast("bigint")
+    one = F.lit(1.0)
+    start = F.struct(one.alias("p"), one.alias("c"), F.array(one).alias("all"))
+
+    def step(acc: Column, k: Column) -> Column:
+        p = acc.p * rate / k
+        return F.struct(p.alias("p"), (acc.c + p).alias("c"), F.concat(acc["all"], F.array(acc.c + p)).alias("all"))
+
+    return F.aggregate(F.sequence(first + 1, upto), start, step, lambda acc: F.transform(acc["all"], lambda c: c / acc.c))
+
+
+def replicated(docs: DataFrame, rates: DataFrame, seed: int = SEED, most: float | None = MOST_RATE) -> DataFrame:
     """(row, copy): the columns of ``docs`` and 0, 1, ..., each row as often as its draw says.
 
     A source without a rate, or with rate null or below zero, is left out; so is every row of a
-    source of rate zero. Rates up to 500 are allowed. Repeated rows draw the same number, and
-    rows without doc_id one common number per source."""
-    if not rates.filter(F.col("rate") > MOST_RATE).isEmpty():
-        raise ValueError(f"a rate is above {MOST_RATE}")
+    source of rate zero. Rates above ``most`` are an error, None allows any. Repeated rows draw the
+    same number, and rows without doc_id one common number per source."""
+    if most is not None and not rates.filter(F.col("rate") > most).isEmpty():
+        raise ValueError(f"a rate is above {most}")
+    rate = F.col("rate")
     table = rates.filter("rate > 0").select(
-        F.coalesce("source", F.lit("")).alias("source"), cumulative(F.col("rate")).alias("cdf")
+        F.coalesce("source", F.lit("")).alias("source"),
+        F.when(rate <= MOST_RATE, F.lit(0)).otherwise(lowest(rate)).alias("least"),
+        F.when(rate <= MOST_RATE, cumulative(rate)).otherwise(around(rate)).alias("cdf"),
     )
     if table.count() <= SMALL:
         table = F.broadcast(table)
     rows = packed(docs).withColumn("source", F.coalesce("row.source", F.lit("")))
     drawn = rows.join(table, "source").withColumn("u", uniform(seed, "row.doc_id"))
-    counted = drawn.select("row", F.size(F.filter("cdf", lambda c: c <= F.col("u"))).alias("n")).filter("n > 0")
+    below = F.size(F.filter("cdf", lambda c: c <= F.col("u")))
+    counted = drawn.select("row", (F.col("least") + below).cast("int").alias("n")).filter("n > 0")
     return counted.select("row", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
 
 
@@ -81,5 +107,8 @@ def shuffled(copies: DataFrame, seed: int = SEED) -> DataFrame:
 
 def mixed(docs: DataFrame, rates: DataFrame | None = None, seed: int = SEED) -> DataFrame:
     """(row, copy) of ``docs`` replicated and shuffled; by default each source weighs as the
-    square root of its size. An empty table gives an empty result."""
-    return shuffled(replicated(docs, kept(source_rates(docs), "rates") if rates is None else rates, seed), seed)
+    square root of its size, whatever rate that gives a small source. An empty table gives an
+    empty result."""
+    if rates is None:
+        return shuffled(replicated(docs, kept(source_rates(docs), "rates"), seed, most=None), seed)
+    return shuffled(replicated(docs, rates, seed), seed)

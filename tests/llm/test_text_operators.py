@@ -165,6 +165,37 @@ def test_mixing_edges(make_docs, spark):
         mixing.mixed(make_docs(rows), spark.createDataFrame([("big", 600.0)], "source string, rate double"))
 
 
+def inverse(u, rate):
+    """The least count whose distribution function is above u, from terms in the log domain."""
+    k, total = 0, math.exp(-rate)
+    while u >= total:
+        k += 1
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
+    return k
+
+
+def test_default_weights_serve_any_rate(make_docs, spark):
+    """One document without a source beside 300000 others: its rate is 547."""
+    n = 300_000
+    docs = spark.range(n + 1).selectExpr("id as doc_id", "'t' as text", "case when id < 300000 then 'big' end as source")
+    (rate,) = [r.rate for r in mixing.source_rates(docs).collect() if r.source == ""]
+    assert rate > mixing.MOST_RATE
+    out = mixing.mixed(docs).select("row.doc_id", "row.source", "copy")
+    copies = sorted(r["copy"] for r in out.filter("source is null").collect())
+    u = int(hashlib.md5(f"8|{n}".encode()).hexdigest()[:13], 16) / 2**52
+    assert copies == list(range(inverse(u, rate)))
+    assert abs(out.count() / n - 1) < 0.02
+
+
+def test_counts_at_large_rates(make_docs, spark):
+    for rate in (501.0, 640.5, 2449.0):
+        rates = spark.createDataFrame([("s", rate)], "source string, rate double")
+        out = mixing.replicated(make_docs([(i, "t") for i in range(200)]), rates, most=None)
+        got = Counter(r.row.doc_id for r in out.collect())
+        for i in range(200):
+            assert got[i] == inverse(int(hashlib.md5(f"8|{i}".encode()).hexdigest()[:13], 16) / 2**52, rate)
+
+
 def test_order_is_shuffled_and_repeats(make_docs):
     docs = make_docs([(i, f"t{i}") for i in range(300)])
     first = [r.row.doc_id for r in mixing.mixed(docs).collect()]
