@@ -12,7 +12,8 @@ two signatures. Pairs at or above the threshold are confirmed on the full shingl
 
 No list is expanded into all its pairs beyond ``SHORT`` members. Longer lists are linked
 first through hubs of small buckets; then, per list, only documents outside the list's
-largest class so far are compared with the others, block by block inside a task.
+largest class so far are compared with the others. Both are cut into chunks of bounded weight
+and compared chunk against chunk, one such block at a time inside a task.
 
 Equal sets are one class from the start, so thousands of copies cost one signature.
 """
@@ -240,9 +241,13 @@ def _size_class(n: Column) -> Column:
 
 
 def unsettled(long: DataFrame, classes: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Rows to compare in blocks: per list, members of the largest class so far once, and all
-    others ("probes") in every block. Lists all of one label are left out. Lists of several
-    blocks are cut by size first, each size class with the next larger one."""
+    """Rows to compare in blocks: per list, each chunk of the members outside the largest class so
+    far ("probes") with itself, with every other such chunk and with every chunk of the largest
+    class, whose members need no comparison among themselves. A chunk weighs about half of
+    BLOCK_SHINGLES, so no block holds more than two of them however many labels a list has; a
+    list below that weight is one block. ``side`` is 0 for rows that search in their block, 1
+    for rows that are searched, 2 for both. Lists all of one label are left out. Lists of
+    several blocks are cut by size first, each size class with the next larger one."""
     sizes = classes.select("rep", "n_shingles")
     members = relabel(long.select("token", "rep").join(sizes, "rep"), labels)
     weights = members.groupBy("token").agg(F.sum("n_shingles") <= BLOCK_SHINGLES).toDF("token", "one_block")
@@ -253,15 +258,28 @@ def unsettled(long: DataFrame, classes: DataFrame, docs: DataFrame, labels: Data
     spread = spread.select("token", "rep", "label", "n_shingles", "s.size_class", "s.own")
     counts = spread.groupBy("token", "size_class", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("w"))
     lists = counts.groupBy("token", "size_class").agg(
-        F.max_by("label", "n").alias("major"),
-        F.count(F.lit(1)).alias("n_labels"),
-        F.greatest(F.ceil(F.sum("w") / BLOCK_SHINGLES), F.lit(1)).cast("bigint").alias("blocks"),
+        F.max_by(F.struct("label", "w"), "n").alias("most"), F.count(F.lit(1)).alias("n_labels"), F.sum("w").alias("w")
     ).filter("n_labels > 1")
-    rows = spread.join(lists, ["token", "size_class"])
-    home = F.pmod(F.xxhash64("rep"), F.col("blocks"))
-    block = F.when(F.col("label") == F.col("major"), F.array(home)).otherwise(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
-    rows = rows.select("token", "size_class", "rep", "label", "own", F.explode(block).alias("block"))
-    rows = kept(rows, "neardup-blocks")
+    chunks = lambda w: F.greatest(F.ceil(2 * w / BLOCK_SHINGLES), F.lit(1)).cast("bigint")
+    lists = lists.select(
+        "token", "size_class", F.col("most.label").alias("major"), (F.col("w") <= BLOCK_SHINGLES).alias("one_block"),
+        chunks(F.col("w") - F.col("most.w")).alias("probes"), chunks(F.col("most.w")).alias("dealt"),
+    )
+    # Chunks of probes are numbered first, those of the largest class behind them.
+    is_major = F.col("label") == F.col("major")
+    dealt = F.pmod(F.xxhash64("rep"), F.when(is_major, F.col("dealt")).otherwise(F.col("probes")))
+    chunk, all_chunks, zero = F.col("chunk"), F.col("probes") + F.col("dealt"), F.lit(0).cast("bigint")
+    rows = spread.join(lists, ["token", "size_class"]).withColumn("chunk", F.when(is_major, F.col("probes")).otherwise(zero) + dealt)
+    met = F.sequence(zero, F.when(is_major, F.col("probes")).otherwise(all_chunks) - 1)
+    place = lambda block, side: F.struct(block.alias("block"), side.alias("side"))
+    places = F.when(F.col("one_block"), F.array(place(zero, F.lit(2)))).otherwise(
+        F.transform(met, lambda other: place(
+            F.least(chunk, other) * all_chunks + F.greatest(chunk, other),
+            F.when(other > chunk, F.lit(0)).when(other < chunk, F.lit(1)).otherwise(F.lit(2)),
+        ))
+    )
+    rows = rows.select("token", "size_class", "rep", "label", "own", F.explode(places).alias("p"))
+    rows = kept(rows.select("token", "size_class", "rep", "label", "own", "p.block", "p.side"), "neardup-blocks")
     return rows.join(shingle_sets(texts_of(docs, rows.select("rep")).withColumnRenamed("id", "rep")), "rep")
 
 
@@ -276,25 +294,35 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(cut, "rep long, shingles binary")
 
 
-def block_links(members: list[tuple[int, int, bool, bytes]], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links that join the members (rep, label, own, set) of one block as all links would.
+def block_links(
+    members: list[tuple[int, int, bool, bytes]], percent: int = PERCENT, sides: list[int] | None = None
+) -> list[tuple[int, int]]:
+    """Links that join the members (rep, label, own, set) of one block as all links would; with
+    ``sides``, as all links from a member of side 0 or 2 to one of side 1 or 2 would.
 
     Members of one label are joined already. A search starts at members outside the largest
     label and meets every member not yet joined to it; intersections are counted over the
     block's own posting lists."""
+    side = np.array(sides if sides is not None else [2] * len(members))
+    one_chunk = bool((side == 2).all())
     sets = [np.frombuffer(m[3], np.uint64) for m in members]
     sizes = np.array([len(s) for s in sets], np.int64)
     own = np.array([m[2] for m in members])
     names, label = np.unique(np.array([m[1] for m in members]), return_inverse=True)
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    flat = np.concatenate(sets)
+    met = np.nonzero(side != 0)[0]
+    if not len(met):
+        return []
+    owner = np.repeat(met, sizes[met])
+    flat = np.concatenate([sets[j] for j in met])
     order = np.argsort(flat, kind="stable")
     flat, owner = flat[order], owner[order]
     group = label.copy()
     counts = np.bincount(label, minlength=len(names))
     links = []
     for i in np.argsort(counts[label], kind="stable"):
-        if counts[label[i]] == counts.max() and counts[label[i]] * 2 > len(members):
+        if side[i] == 1:
+            continue
+        if one_chunk and counts[label[i]] == counts.max() and counts[label[i]] * 2 > len(members):
             break
         others = group != group[i]
         if not others.any():
@@ -302,7 +330,7 @@ def block_links(members: list[tuple[int, int, bool, bytes]], percent: int = PERC
         lo, hi = np.searchsorted(flat, sets[i], "left"), np.searchsorted(flat, sets[i], "right")
         hits = np.concatenate([owner[a:b] for a, b in zip(lo, hi)])
         shared = np.bincount(hits, minlength=len(sets))
-        good = others & (own | own[i]) & (100 * shared >= percent * (sizes + sizes[i] - shared))
+        good = others & (side != 0) & (own | own[i]) & (100 * shared >= percent * (sizes + sizes[i] - shared))
         for g in np.unique(group[good]):
             j = int(np.nonzero(good & (group == g))[0][0])
             links.append((members[i][0], members[j][0]))
@@ -314,23 +342,24 @@ def searched(rows: DataFrame) -> DataFrame:
     """Links found inside the blocks of ``unsettled``; each block is one run of sorted rows."""
     keys = ["token", "size_class", "block"]
     sorted_rows = (
-        rows.select(*keys, "rep", "label", "own", "shingles").repartition(*keys).sortWithinPartitions(*keys, "rep")
+        rows.select(*keys, "rep", "label", "own", "side", "shingles").repartition(*keys).sortWithinPartitions(*keys, "rep")
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, members = None, []
+        current, members, sides = None, [], []
 
         def links() -> pa.RecordBatch:
-            found = block_links(members) if len(members) > 1 else []
+            found = block_links(members, sides=sides) if len(members) > 1 else []
             ends = list(zip(*found)) or [[], []]
             return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()) for e in ends], names=["a", "b"])
 
         for batch in batches:
-            for token, size_class, block, rep, label, own, shingles in zip(*[c.to_pylist() for c in batch.columns]):
+            for token, size_class, block, rep, label, own, side, shingles in zip(*[c.to_pylist() for c in batch.columns]):
                 if (token, size_class, block) != current:
                     yield links()
-                    current, members = (token, size_class, block), []
+                    current, members, sides = (token, size_class, block), [], []
                 members.append((rep, label, own, shingles))
+                sides.append(side)
         yield links()
 
     return sorted_rows.mapInArrow(search, "a long, b long")

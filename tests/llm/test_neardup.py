@@ -58,6 +58,52 @@ def test_equals_all_pairs(spark, make_docs, monkeypatch, short, block):
     assert found(make_docs(rows)) == brute(rows)
 
 
+def test_blocks_are_bounded_where_every_label_differs(make_docs, monkeypatch):
+    """One long licence in many texts that differ otherwise: their lists have as many labels as
+    members, and no block may hold them all."""
+    monkeypatch.setattr(N, "SHORT", 8)
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 2000)
+    rng = random.Random(11)
+    licence = " ".join(f"l{i}" for i in range(80))
+    own = lambda n: " ".join(f"x{rng.randrange(10**9)}" for _ in range(n))
+    texts = [f"{licence} {own(rng.choice((22, 24, 26, 38)))}" for _ in range(160)]
+    texts += [f"{t} {own(3)}" for t in texts[:12]]
+    rng.shuffle(texts)
+    weights = []
+
+    def weighed(rows, searched=N.searched):
+        sizes = rows.selectExpr("token", "size_class", "block", "octet_length(shingles) div 8 as n").groupBy("token", "size_class", "block")
+        weights.extend(r[3] for r in sizes.sum("n").collect())
+        return searched(rows)
+
+    monkeypatch.setattr(N, "searched", weighed)
+    rows = list(enumerate(texts))
+    assert found(make_docs(rows)) == brute(rows)
+    # Chunks are dealt by a hash, so their weight varies about the bound.
+    assert len(weights) > 50 and max(weights) < 2 * 2000
+
+
+def test_links_between_chunks_join_what_all_links_join():
+    rng = np.random.default_rng(2)
+    base = np.arange(1, 200, dtype=np.uint64)
+    sets = [np.unique(np.where(rng.random(199) < 0.12, rng.integers(1000, 10**6, 199).astype(np.uint64), base)) for _ in range(40)]
+    for majority in (False, True):
+        # With a majority of one label among those that search, they search all the same.
+        members = [(i, 0 if majority and i < 25 else i, True, s.tobytes()) for i, s in enumerate(sets)]
+        sides = [0] * 25 + [1] * 15
+
+        def classes(links, members=members):
+            label = [m[1] for m in members]
+            for a, b in links:
+                lo, hi = sorted((label[a], label[b]))
+                label = [lo if x == hi else x for x in label]
+            return label
+
+        near = [(a, b) for a in range(25) for b in range(25, 40)
+                if N.similar(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))]
+        assert near and classes(N.block_links(members, sides=sides)) == classes(near)
+
+
 def test_edges(make_docs):
     rows = [(1, None), (2, ""), (3, "a b c"), (4, "A B\nc"), (None, "a b c"), (5, "a b")]
     out = N.near_duplicates(make_docs(rows)).collect()
