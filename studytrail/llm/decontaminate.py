@@ -3,8 +3,8 @@
 Texts become sequences of template words: numbers, names and units turn into placeholders,
 all other words are lowered and stripped of punctuation. Windows of template words of items
 and documents are joined by hash; the values behind the placeholders are then compared: one
-value of the item must stand for one value of the document throughout, else the likeness is
-chance. So a question with other numbers and names is found as well as a verbatim one.
+value of the item must stand for one value of the document, and windows that say otherwise do
+not count. A name without a meaning that prevails makes all windows with slots chance. So a question with other numbers and names is found as well as a verbatim one.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from studytrail.llm.common import kept, packed
 WINDOW = 5
 # Words of a window that have to be words and not placeholders.
 LITERALS = 3
+# Share of the windows with a name that its most frequent meaning needs, else it has none.
+PREVAILS = 75
 # Share of an item's windows that make a document a leak.
 PERCENT = 40
 # Windows of items that are sent to every task as a filter (8 bytes each); with more of them
@@ -126,8 +128,8 @@ def windows(hashes: np.ndarray, kinds: np.ndarray, width: int, literals: int = L
 
 
 def slots(words: list[str], kinds: np.ndarray, place: np.ndarray, at: int, width: int) -> list[str]:
-    """Values behind the placeholders of one window."""
-    return [EDGE.sub("", words[place[i]]).lower() for i in range(at, at + width) if kinds[i] != _WORD]
+    """Kinds and values behind the placeholders of one window."""
+    return [str(kinds[i]) + EDGE.sub("", words[place[i]]).lower() for i in range(at, at + width) if kinds[i] != _WORD]
 
 
 HIT_SCHEMA = "id long, width int, window long, at long, slots array<string>"
@@ -184,6 +186,25 @@ def item_windows(items: DataFrame) -> DataFrame:
     return items.mapInArrow(cut, HIT_SCHEMA)
 
 
+def prevailing(found: DataFrame, run: list[str]) -> DataFrame:
+    """The windows (run, at, pairs) that agree with the most frequent meaning of each of their
+    values in the run, of equally frequent ones the item's own. Windows without slots always
+    stay. Equal numbers may mean different things, a name means one person: in a run where a name
+    has no meaning in PREVAILS percent of its windows only those without slots stay."""
+    values = found.select(*run, F.explode(F.array_distinct("pairs")).alias("p")).select(*run, "p.theirs", "p.ours")
+    counts = values.groupBy(*run, "theirs", "ours").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy(*run, "theirs").agg(
+        F.max_by("ours", F.struct("n", F.col("ours") == F.col("theirs"), "ours")).alias("meaning"),
+        (F.max("n") * 100 < F.sum("n") * PREVAILS).alias("open"),
+    )
+    unnamed = F.col("theirs").startswith(str(_NAME)) & F.col("open")
+    meanings = best.groupBy(*run).agg(
+        F.map_from_entries(F.collect_list(F.struct("theirs", "meaning"))).alias("meanings"), F.bool_or(unnamed).alias("chance")
+    )
+    agrees = F.forall("pairs", lambda p: F.col("meanings")[p["theirs"]] == p["ours"])
+    return found.join(meanings, run).filter((F.size("pairs") == 0) | (~F.col("chance") & agrees)).select(*run, "at", "pairs")
+
+
 def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, item_id, item_windows, n_windows, kind) for every document that holds an item.
 
@@ -211,12 +232,14 @@ def leaks(docs: DataFrame, items: DataFrame, percent: int = PERCENT) -> DataFram
         F.arrays_zip(F.col("item_slots").alias("theirs"), F.col("slots").alias("ours")).alias("pairs"),
     )
     # Along one diagonal the words stand in the item's order; there a value has one meaning.
-    runs = met.groupBy("doc_id", "item_id", "shift").agg(
-        F.collect_set("item_at").alias("ats"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")
-    )
-    meanings = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["theirs"])))
+    run = ["doc_id", "item_id", "shift"]
+    runs = kept(met.groupBy(*run).agg(F.collect_set(F.struct("item_at", "pairs")).alias("found")), "window-runs")
+    pairs = F.array_distinct(F.flatten("found.pairs"))
+    one_meaning = F.size(pairs) == F.size(F.array_distinct(F.transform(pairs, lambda p: p["theirs"])))
+    each = lambda rows: rows.select(*run, F.explode("found").alias("w")).select(*run, F.col("w.item_at").alias("at"), "w.pairs")
+    sound = each(runs.filter(one_meaning)).unionByName(prevailing(each(runs.filter(~one_meaning)), run))
     same = ~F.exists("pairs", lambda p: p["theirs"] != p["ours"])
-    sound = runs.filter(meanings).select("doc_id", "item_id", F.explode("ats").alias("at"), same.alias("same"))
+    sound = sound.select("doc_id", "item_id", "at", same.alias("same"))
     counted = sound.groupBy("doc_id", "item_id").agg(
         F.count_distinct("at").alias("n_windows"), F.count_distinct(F.when(F.col("same"), F.col("at"))).alias("n_same")
     )

@@ -66,6 +66,22 @@ def test_other_numbers_and_names(spark, make_docs):
     assert (4, 1) not in found(spark, make_docs, [(4, mixed)], [(1, QUESTION)])
 
 
+def test_one_changed_number_does_not_hide_a_passage(spark, make_docs):
+    rng = random.Random(5)
+    a, b, c = prose(rng, 60), prose(rng, 80), prose(rng, 60)
+    pens = "a shop sells 2 pens for every customer who buys 2 books during the long summer sale in town"
+    items = [(1, f"{a} 2 {b} 2 {c}"), (2, pens), (3, f"{a} then Anna {b}  and Anna {c}")]
+    docs = [(1, f"{prose(rng, 30)} {a} 2 {b} 3 {c}"), (2, pens.replace("2 pens", "3 pens").replace("2 books", "4 books"))]
+    docs.append((3, f"{a} then Max {b} and Tim {c}"))
+    got = found(spark, make_docs, docs, items)
+    # Five windows hold the changed number; the other occurrence keeps the item's own.
+    assert (got[1, 1].item_windows, got[1, 1].n_windows, got[1, 1].kind) == (198, 193, "verbatim")
+    # One of two meanings of the item's 2 stays.
+    assert got[2, 2].n_windows < got[2, 2].item_windows and got[2, 2].kind == "reparameterised"
+    # Two persons for one: the windows without a name stay.
+    assert got[3, 3].item_windows - got[3, 3].n_windows == 10
+
+
 def test_placeholders_alone_do_not_match(spark, make_docs):
     items = [(1, "12 km 5 km 7 km 8 km 9 km"), (2, "so Anna Berta Clara Dora Emma Frida Greta")]
     assert found(spark, make_docs, [(1, "1 km 2 km 3 km 4 km 5 km 6 km"), (2, "then Paul Otto Max Udo Kai Jan Tim")], items) == {}
