@@ -5,16 +5,18 @@ from __future__ import annotations
 import json
 from functools import cache
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from studytrail.llm import chat, decontaminate, lengths, linededup, mixing, neardup, pagediff, quality, tokens, warc
+from studytrail.llm import chat, decontaminate, hardnegatives, lengths, linededup, mixing, neardup, pagediff, pieces, prefixtrie, quality, tokens, warc
 from studytrail.llm import frames as token_frames
 from studytrail.llm import sql as Q
 from studytrail.plans.registry import Registry
 
 VOCABULARY = corpus_pipeline.VOCABULARY
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +88,19 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hardnegatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pieces.token_digests(table(spark, sf_dir, "documents"), PIECES)
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixtrie.trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -103,5 +118,8 @@ def registry() -> Registry:
     reg.add("op8_mixing", op8_mixing, Q.MIXING)
     reg.add("op9_html_extraction", op9_html_extraction)
     reg.add("op10_line_dedup", op10_line_dedup, Q.LINE_DEDUP)
+    reg.add("op11_hard_negatives", op11_hard_negatives, Q.HARD_NEGATIVES)
+    reg.add("op12_sentencepiece", op12_sentencepiece)
+    reg.add("op13_prefix_trie", op13_prefix_trie, Q.PREFIX_TRIE)
     reg.add("pipeline", pipeline, corpus_pipeline.ORACLE_SQL)
     return reg

@@ -178,3 +178,69 @@ select doc_id, count(*) as n_lines, count(s.key) as n_dropped,
        sha256(coalesce(string_agg(case when s.key is null then line end, chr(10) order by pos), '')) as kept_sha256
 from k left join shared s on k.key = s.key group by doc_id
 """
+
+
+HARD_NEGATIVES = """
+with v as (
+    select vec_id, embedding, label from embeddings
+    where vec_id is not null and label is not null and embedding is not null
+      and coalesce(list_bool_and([coalesce(isfinite(x), false) for x in embedding]), true)
+), r as (
+    select row_number() over () as n, vec_id,
+           case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           [cast(floor(256 * cast(x as double)) as bigint) for x in embedding] as q
+    from v
+), s as (
+    select a.n, a.vec_id as anchor_id, a.label as anchor_label, b.vec_id, b.label,
+           coalesce(list_sum([a.q[i] * b.q[i] for i in range(1, least(len(a.q), len(b.q)) + 1)]), 0) as score
+    from r a, r b where a.vec_id % 100 = 0
+), p as (
+    select n, anchor_id, anchor_label, vec_id as positive_id, score as positive_score,
+           row_number() over (partition by n order by score desc, vec_id) as place
+    from s where label = anchor_label and vec_id <> anchor_id
+    qualify place <= 5
+), f as (
+    select p.n, p.place, anchor_id, positive_id, positive_score, s.vec_id as negative_id, score as negative_score,
+           row_number() over (partition by p.n, place order by score desc, s.vec_id) as rank
+    from p join s using (n, anchor_id)
+    where s.label <> s.anchor_label and 100 * score between 80 * positive_score and 100 * positive_score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id,
+       cast(positive_score as bigint) as positive_score, cast(negative_score as bigint) as negative_score
+from f where rank <= 5
+"""
+
+# CRC-32 of the decimal conv_id, a byte at a time, over a table that is made eight bits at a time.
+PREFIX_TRIE = """
+with k as (
+    select [list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)
+            for i in range(256)] as entries
+), o as (
+    select conv_id, list({'r': coalesce(role, ''), 'x': coalesce(text, '')}
+                         order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as own
+    from conversations where conv_id is not null group by conv_id
+), h as (
+    select conv_id, own, conv_id - conv_id % 100 as base,
+           xor(list_reduce(list_prepend(4294967295, [cast(ascii(c) as bigint) for c in string_split(cast(conv_id as varchar), '')]),
+               lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1])), 4294967295) % 6 as h
+    from o, k
+), b as (
+    select h.conv_id, list_concat(coalesce(m.own[1:h.h], []), h.own[h.h + 1:]) as seq from h left join o m on m.conv_id = h.base
+), n as (
+    select seq[1:d] as path, any_value(d) as depth, min(conv_id) as conv_id, count(*) as n_convs,
+           sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (len(seq) = d), '')) as ends_sha256
+    from (select conv_id, seq, unnest(range(len(seq) + 1)) as d from b) group by 1
+), c as (
+    select path[1:depth - 1] as path, count(*) as n_children from n where depth > 0 group by 1
+), w as (
+    select n.path, depth, conv_id, n_convs, ends_sha256, coalesce(n_children, 0) as n_children,
+           (n_convs - 1) * case when depth = 0 then 0 else length(n.path[depth].x) end as saved
+    from n left join c on c.path = n.path
+), t as (
+    select path[1:d] as path, count(*) filter (n_children = 0) as n_leaves, sum(saved) as saved_tokens
+    from (select path, n_children, saved, unnest(range(depth + 1)) as d from w) group by 1
+)
+select w.conv_id, w.depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, n_leaves,
+       cast(saved_tokens as bigint) as saved_tokens, w.ends_sha256
+from w join t on t.path = w.path left join w p on w.depth > 0 and p.path = w.path[1:w.depth - 1]
+"""
