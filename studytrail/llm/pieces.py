@@ -28,12 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Parts remembered per task process in each of two generations, about 100 MB in all.
-REMEMBERED = 300_000
+# Parts remembered per task process in each of two generations, about 60 MB in all.
+REMEMBERED = 120_000
 # Longest part whose agenda is a matrix row; longer ones have a heap.
 IN_STEP = 48
-# Characters of the texts that are handled at a time.
-AT_ONCE = 4 << 20
+# Bytes of the texts that are handled at a time; one text more at most.
+AT_ONCE = 1 << 20
 
 # Fixed values of the file format: the mark that stands for a space, the text of an unknown piece.
 SPACE_MARK = "▁"
@@ -279,17 +279,15 @@ def coder(path: str) -> PieceCoder:
     return PieceCoder(path)
 
 
-def runs(texts: list[str]) -> Iterator[list[str]]:
-    """The texts in order, about AT_ONCE characters at a time."""
-    some, weight = [], 0
-    for text in texts:
-        some.append(text)
-        weight += len(text)
-        if weight >= AT_ONCE:
-            yield some
-            some, weight = [], 0
-    if some:
-        yield some
+def runs(texts: pa.Array) -> Iterator[pa.Array]:
+    """The texts in order, about AT_ONCE bytes at a time."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = int(upto[at - 1]) if at else 0
+        end = max(at + 1, int(np.searchsorted(upto, before + AT_ONCE, "right")))
+        yield texts.slice(at, end - at)
+        at = end
 
 
 def lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -298,8 +296,12 @@ def lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(edges, np.concatenate([np.empty(0, np.int32), *arrays]).astype(np.int32))
 
 
-def encoded(docs: DataFrame, model: str, checked: bool = True) -> DataFrame:
-    """(doc_id, ids, agreed): one row per input row, the ids of the whole text and the end id.
+ENCODED = "doc_id long, ids array<int>, agreed boolean"
+
+
+def encoded(docs: DataFrame, model: str, checked: bool = True, decode: bool = False) -> DataFrame:
+    """(doc_id, ids, agreed): one row per input row, the ids of the whole text and the end id; with
+    ``decode`` also ``text``, decoded from these ids in the same task.
 
     A null or empty text has the end id alone. Null doc_ids stay null and repeated rows stay
     repeated; columns other than doc_id and text are not read; an empty table gives an empty
@@ -311,21 +313,25 @@ def encoded(docs: DataFrame, model: str, checked: bool = True) -> DataFrame:
         end = np.array([known.end_id], np.int32)
         for batch in batches:
             at = 0
-            for texts in runs(pc.fill_null(batch.column(1), "").to_pylist()):
+            for some in runs(batch.column(1)):
+                texts = pc.fill_null(some, "").to_pylist()
                 found = known.encode(texts)
                 agreed: list[bool | None] = [None] * len(texts)
                 if checked:
-                    for i, ids in enumerate(known.library.encode(texts, num_threads=1)):
+                    for i, text in enumerate(texts):
+                        ids = known.library.encode(text)
                         agreed[i] = ids == found[i].tolist()
                         if not agreed[i]:
                             found[i] = np.array(ids, np.int32)
-                ids = lists([np.concatenate([f, end]) for f in found])
-                columns = [batch.column(0).slice(at, len(texts)), ids, pa.array(agreed, pa.bool_())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "agreed"])
+                found = [np.concatenate([f, end]) for f in found]
+                columns = {"doc_id": batch.column(0).slice(at, len(texts)), "ids": lists(found), "agreed": pa.array(agreed, pa.bool_())}
+                if decode:
+                    columns["text"] = pa.array([known.decode(f) for f in found], pa.string())
+                yield pa.RecordBatch.from_pydict(columns)
                 at += len(texts)
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, ids array<int>, agreed boolean"
+        run, ENCODED + (", text string" if decode else "")
     )
 
 
@@ -335,16 +341,19 @@ def decoded(tokens: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = coder(model)
+        none = np.empty(0, np.int32)
         for batch in batches:
-            texts = [known.decode(np.array([], np.int32) if not row.is_valid else row.values.to_numpy()) for row in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "agreed", "text"])
+            for at in range(0, len(batch), 256):
+                some = batch.slice(at, 256)
+                texts = [known.decode(row.values.to_numpy() if row.is_valid else none) for row in some.column(1)]
+                yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "agreed", "text"])
 
-    return tokens.select("doc_id", "ids", "agreed").mapInArrow(run, "doc_id long, ids array<int>, agreed boolean, text string")
+    return tokens.select("doc_id", "ids", "agreed").mapInArrow(run, ENCODED + ", text string")
 
 
 def token_digests(docs: DataFrame, model: str) -> DataFrame:
     """doc_id, n_tokens, digests of the ids and of the text decoded from them, agreed."""
-    back = decoded(encoded(docs, model), model)
+    back = encoded(docs, model, decode=True)
     return back.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),

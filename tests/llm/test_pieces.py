@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 
 from studytrail.llm import pieces
@@ -66,6 +67,14 @@ def test_rows(make_docs):
     want = sorted((i is None, i or 0, [*library.encode(t or ""), 2], library.decode([*library.encode(t or ""), 2])) for i, t in rows)
     assert sorted((r.doc_id is None, r.doc_id or 0, r.ids, r.text) for r in back) == want
     assert all(r.agreed for r in back)
+    assert {r.agreed for r in pieces.encoded(docs, MODEL, checked=False).collect()} == {None}
+
+
+def test_runs_keep_every_text(monkeypatch):
+    monkeypatch.setattr(pieces, "AT_ONCE", 10)
+    texts = pa.array(["a" * 4, None, "b" * 30, "", "c" * 5, "d" * 5, "e"])
+    assert [t for some in pieces.runs(texts) for t in some.to_pylist()] == texts.to_pylist()
+    assert len(list(pieces.runs(texts))) == 4
 
 
 def test_query_digests(make_docs):
