@@ -130,8 +130,8 @@ def report_job(
 ) -> StreamingQuery:
     """The running answer report of a topic of answers. A new ``checkpoint`` starts at the offsets
     that the report has applied, given the ``earliest`` ones the broker still has."""
-    report = reports.AnswerReport(spark, root, mode, copies=False, checkpoint=checkpoint)
-    saved = {r.partition: r.offset + 1 for r in report.marks.latest().filter(F.col("topic") == topic).collect()}
+    report = reports.AnswerReport(spark, root, mode, ordered=True, checkpoint=checkpoint)
+    saved = {r.partition: r.offset for r in report.positions.resume().filter(F.col("topic") == topic).collect()}
     starting = starting_offsets(topic, resume_offsets(saved, earliest or {})) if saved else "earliest"
     options = topics.kafka_source_options(servers, topic, starting, max_per_batch)
     return topics.trigger(report.writer(topics.kafka_stream(spark, options)), seconds).start()

@@ -129,12 +129,12 @@ def cells(events: DataFrame) -> DataFrame:
 
 
 def boards(events: DataFrame) -> DataFrame:
-    """Three leaderboards: purchases and clicks per user, counted on the board of the event's
-    number; a board takes two of three users, so members differ."""
+    """A leaderboard for each hour of the day: purchases and clicks per learner. Who made none in an
+    hour is not on its board."""
     return (
-        events.filter(F.col("event_type").isin("purchase", "click") & ((F.col("user_id") + F.col("event_id")) % 3 != 0))
+        events.filter(F.col("event_type").isin("purchase", "click"))
         .groupBy(
-            F.concat(F.lit("board_"), (F.col("event_id") % 3).cast("string")).alias("board"),
+            F.concat(F.lit("board_"), F.hour("ts").cast("string")).alias("board"),
             F.col("user_id").cast("string").alias("member"),
         )
         .agg(F.count(F.lit(1)).cast("double").alias("score"))
@@ -219,8 +219,8 @@ FIXTURE_SQL = {
  cast(floor(event_id/25) as bigint) as version, cast(event_id%110 as varchar) as value,
  row_number() over (partition by user_id, event_id%2, event_type order by event_id desc) as rn from events) z
  where rn=1""",
-    "boards": """select concat('board_', cast(event_id%3 as varchar)) as board, cast(user_id as varchar) as member,
- cast(count(*) as double) as score from events where event_type in ('purchase','click') and (user_id+event_id)%3<>0 group by 1, 2""",
+    "boards": """select concat('board_', cast(hour(ts) as varchar)) as board, cast(user_id as varchar) as member,
+ cast(count(*) as double) as score from events where event_type in ('purchase','click') group by 1, 2""",
     "member_sets": """select distinct event_type as key,
  concat(cast(user_id as varchar), '_', cast(event_id%16 as varchar)) as member from events""",
     "hashes": """select concat('user_', cast(user_id as varchar)) as key, event_type as field,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +16,8 @@ from studytrail.sources import celltables
 from studytrail.sources.topics import file_stream, to_files, trigger
 from studytrail.streaming import relay, reports
 from studytrail.streaming.batches import BatchFolder
-from studytrail.streaming.offsets import Marks, unseen
+from studytrail.streaming.commits import CommitLog
+from studytrail.streaming.offsets import Positions, passed_over, unseen
 from studytrail.streaming.publish import Publisher
 
 
@@ -78,6 +80,30 @@ def _published(make):
     return run
 
 
+def _moved_task_records(spark, sf_dir):
+    """The task feed again, with a second row for every signup: its sitting moves to customs and
+    tasks that come first in byte order, some of them none."""
+    records, to_cells, family = _task_records(spark, sf_dir, moved=True)
+    return records, to_cells, family
+
+
+def _late_tasks(spark, sf_dir):
+    """Answers published first, then the points and tasks, then the tasks that change."""
+    root = temporary_folder(spark, "late")
+    for name, family in (("points", "qp"), ("tasks", "i")):
+        celltables.create_table(spark, f"{root}/{name}", [family])
+    report = reports.AnswerReport(spark, f"{root}/report")
+    publisher = Publisher(report, f"{root}/points", f"{root}/tasks")
+    _finish(report.writer(_messages(spark, sf_dir)))
+    publisher.run()
+    for name, make in (("points", _point_records), ("tasks", _task_records), ("tasks", _moved_task_records)):
+        records, to_cells, family = make(spark, sf_dir)
+        checkpoint = f"{root}/checkpoint-{make.__name__}"
+        _finish(reports.feed_cells(spark, records, to_cells, f"{root}/{name}", family, checkpoint))
+        publisher.run()
+    return publisher.current_boards()
+
+
 def _summary_cells(publisher: Publisher) -> DataFrame:
     tables = [publisher.summary_cells(kind).withColumn("report", F.lit(kind)) for kind in ("paper", "customs")]
     return tables[0].union(tables[1]).drop("version")
@@ -114,18 +140,65 @@ def _rejects(spark, sf_dir):
     return report.rejected().select("partition", "offset", "key")
 
 
+def _crash(spark, sf_dir):
+    """The report over a stream that dies with all folders of a batch written but not recorded, and
+    then over a new stream with a checkpoint of its own."""
+    root = temporary_folder(spark, "crash")
+    messages = _messages(spark, sf_dir)
+    until = F.col("timestamp") < F.lit("2024-01-15").cast("timestamp")
+    first = reports.AnswerReport(spark, root, checkpoint=f"{root}/checkpoint-1")
+
+    def die(batch, content):
+        raise RuntimeError("lost before the commit record")
+
+    first.commits.add = die
+    try:
+        _finish(first.writer(messages.filter(until)))
+    except StreamingQueryException:
+        pass
+    second = reports.AnswerReport(spark, root, checkpoint=f"{root}/checkpoint-2")
+    _finish(second.writer(messages))
+    table = X.tables(spark, sf_dir)
+    return second.papers(X.question_points(table("part")), X.paper_tasks(table("events"))).drop("last_seq")
+
+
+class _Deduped:
+    """Records applied once each and those passed over, under one commit record a batch."""
+
+    def __init__(self, spark: SparkSession):
+        self.root = temporary_folder(spark, "dedupe")
+        self.commits = CommitLog(spark, self.root)
+        self.positions = Positions(spark, f"{self.root}/positions", self.commits)
+        self.folders = {name: BatchFolder(spark, f"{self.root}/{name}", self.commits) for name in ("new", "again")}
+
+    def apply(self, records: DataFrame, batch_id: int) -> None:
+        batch, columns = (0, batch_id), ["partition", "offset", "key"]
+        applied = self.positions.after(self.commits.last_of_each())
+        self.folders["new"].write(unseen(records, applied).select(*columns), batch)
+        self.folders["again"].write(passed_over(records, applied).select(*columns), batch)
+        self.positions.write(batch, records, applied)
+        self.commits.add(batch, {})
+
+    def run(self, records: DataFrame) -> dict[str, DataFrame]:
+        _finish(records.writeStream.foreachBatch(self.apply).option("checkpointLocation", f"{self.root}/checkpoint"))
+        return {name: folder.read("partition int, offset long, key string") for name, folder in self.folders.items()}
+
+
 def _dedupe(spark, sf_dir):
     """Every record delivered twice; each position is applied once."""
-    root = temporary_folder(spark, "dedupe")
-    marks, out = Marks(spark, f"{root}/marks"), BatchFolder(spark, f"{root}/applied")
+    twice = _messages(spark, sf_dir).unionByName(_messages(spark, sf_dir))
+    return _Deduped(spark).run(twice)["new"]
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        out.write(unseen(batch, marks.before((0, batch_id))).select("partition", "offset", "key"), (0, batch_id))
-        marks.save((0, batch_id), batch)
 
-    twice = _messages(spark, sf_dir).unionByName(_messages(spark, sf_dir))
-    _finish(twice.writeStream.foreachBatch(apply).option("checkpointLocation", f"{root}/checkpoint"))
-    return out.read("partition int, offset long, key string")
+def _dedupe_unordered(spark, sf_dir):
+    """Every record in one of six files by its hash, and all of them once more in a seventh: a batch a
+    file. Late offsets are applied, once; the replays, and they alone, are passed over."""
+    source = f"{temporary_folder(spark, 'unordered')}/in"
+    records = X.messages(X.answers(X.tables(spark, sf_dir)("events"))).select("key", "value", "topic", "partition", "offset", "timestamp")
+    for part in (*(F.pmod(F.xxhash64("offset"), F.lit(6)) == n for n in range(6)), F.lit(True)):
+        records.filter(part).coalesce(1).write.mode("append").parquet(source)
+    found = _Deduped(spark).run(file_stream(spark, source, files_per_batch=1))
+    return found["new"].withColumn("times", F.lit(0)).union(found["again"].withColumn("times", F.lit(1)))
 
 
 def _record(fields, key):
@@ -157,14 +230,14 @@ def _dim_points(spark, sf_dir):
     return celltables.current_cells(spark, path).drop("version")
 
 
-def _task_records(spark, sf_dir):
+def _task_records(spark, sf_dir, moved: bool = False):
     events = _table_stream(spark, sf_dir, "events").filter(F.col("event_type") == "signup")
     sitting = F.col("user_id") * 4 + F.col("event_id") % 4
     fields = [
         F.col("event_id").alias("id"),
         sitting.alias("testPaper_user_id"),
-        (sitting % 6).alias("CustomsID"),
-        (sitting % 9).alias("TaskID"),
+        ((sitting + 1) % 6 if moved else sitting % 6).alias("CustomsID"),
+        (sitting % 3 if moved else sitting % 9).alias("TaskID"),
         F.col("user_id").alias("UserID"),
     ]
     records = events.select(*_record(fields, F.col("user_id")), F.col("event_id").alias("offset"))
@@ -189,6 +262,29 @@ RECORDS = ctes("answers").rstrip() + """, m as (select *, cast(CreateUser as var
 POSITION = "cast(CreateUser%4 as integer) as partition, log_offset as \"offset\", mkey as key"
 
 
+def _boards_sql() -> str:
+    return " union all ".join(
+        f"select * from ({sql}) b{i}"
+        for i, sql in enumerate(
+            [
+                score_sql("task_id", B.TASK_SCORE), score_sql("customs_id", B.CUSTOMS_SCORE),
+                accuracy_sql("task", "clean"), accuracy_sql("customs", "clean"),
+            ]
+        )
+    )
+
+
+# The sitting's second row, which the late feed brings.
+MOVED_TASKS = """select testPaper_user_id, TaskID, CustomsID, UserID from first_rows
+ union select testPaper_user_id, testPaper_user_id%3, (testPaper_user_id+1)%6, UserID from first_rows"""
+
+
+def _late_boards_sql() -> str:
+    """The boards over the tasks of both feeds."""
+    first = X.FIXTURE_SQL["paper_task"]
+    return _boards_sql().replace(f"paper_task as ({first})", f"first_rows as ({first}), paper_task as ({MOVED_TASKS})")
+
+
 def register(reg: Registry) -> None:
     reg.add(
         "st_relay_a",
@@ -198,21 +294,15 @@ def register(reg: Registry) -> None:
     reg.add("st_relay_b", _relay(relay.relay_b), f"{RECORDS} select concat('>>>>:', mvalue) as value, 'target' as topic from m")
     reg.add("st_report", _report("clean", "paper"), clean_summary_sql("paper"))
     reg.add("st_report_restart", _restart, clean_summary_sql("paper"))
-    boards = " union all ".join(
-        f"select * from ({sql}) b{i}"
-        for i, sql in enumerate(
-            [
-                score_sql("task_id", B.TASK_SCORE), score_sql("customs_id", B.CUSTOMS_SCORE),
-                accuracy_sql("task", "clean"), accuracy_sql("customs", "clean"),
-            ]
-        )
-    )
-    reg.add("st_boards", _published(Publisher.current_boards), boards)
+    reg.add("st_report_crash", _crash, clean_summary_sql("paper"))
+    reg.add("st_boards", _published(Publisher.current_boards), _boards_sql())
+    reg.add("st_boards_late_tasks", _late_tasks, _late_boards_sql())
     cells = " union all ".join(_summary_cells_sql(kind) for kind in ("paper", "customs"))
     reg.add("st_summary_cells", _published(_summary_cells), cells)
     reg.add("st_report_compat", _report("compat", "customs"), compat_summary_sql("customs"))
     reg.add("st_rejects", _rejects, f"{RECORDS} select {POSITION} from m where IsRight is null")
     reg.add("st_dedupe", _dedupe, f"{RECORDS} select {POSITION} from m")
+    reg.add("st_dedupe_unordered", _dedupe_unordered, f"{RECORDS} select {POSITION}, times from m, (values (0), (1)) t(times)")
     reg.add(
         "st_dim_points",
         _dim_points,

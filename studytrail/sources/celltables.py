@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from studytrail.operators.cellfilters import COLUMNS, latest
-from studytrail.streaming.batches import Batch, BatchFolder
+from studytrail.streaming.batches import BatchFolder
+from studytrail.streaming.commits import Batch, CommitLog
 
 CELL_SCHEMA = "rowkey string, family string, qualifier string, version long, value string"
 
@@ -51,18 +52,25 @@ def put_cells(spark: SparkSession, path: str, cells: DataFrame, batch: Batch) ->
     BatchFolder(spark, f"{path}/cells").write(ordered, batch)
 
 
-def all_versions(spark: SparkSession, path: str) -> DataFrame:
-    return BatchFolder(spark, f"{path}/cells").read(CELL_SCHEMA)
+def cell_batches(spark: SparkSession, path: str, commits: CommitLog | None = None) -> BatchFolder:
+    """The table's batches; with a commit log, only those it has recorded."""
+    return BatchFolder(spark, f"{path}/cells", commits)
 
 
-def current_cells(spark: SparkSession, path: str) -> DataFrame:
-    return latest(all_versions(spark, path))
+def all_versions(spark: SparkSession, path: str, commits: CommitLog | None = None) -> DataFrame:
+    return cell_batches(spark, path, commits).read(CELL_SCHEMA)
 
 
-def compact_table(spark: SparkSession, path: str, before: Batch | None = None) -> Batch | None:
+def current_cells(spark: SparkSession, path: str, commits: CommitLog | None = None) -> DataFrame:
+    return latest(all_versions(spark, path, commits))
+
+
+def compact_table(
+    spark: SparkSession, path: str, before: Batch | None = None, commits: CommitLog | None = None
+) -> Batch | None:
     """Fold batches into one base folder that keeps only current cells."""
 
     def merge(cells: DataFrame) -> DataFrame:
         return latest(cells).repartitionByRange("rowkey").sortWithinPartitions("rowkey")
 
-    return BatchFolder(spark, f"{path}/cells").compact(merge, CELL_SCHEMA, before)
+    return cell_batches(spark, path, commits).compact(merge, CELL_SCHEMA, before)

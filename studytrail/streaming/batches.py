@@ -3,7 +3,8 @@
 A batch is named by (generation, number). Numbers come from a stream's checkpoint and start at
 0 with a new one, so every checkpoint has a generation of its own (``generation``): batches of
 a new stream neither replace nor hide those of an old one. Each batch owns one subfolder,
-overwritten when the batch is replayed, and readers take only folders whose write finished.
+overwritten when the batch is replayed. Readers take batches that a commit log has recorded;
+a table of its own, without a log, those whose write finished.
 Merging is left to the reader's aggregate, so a batch costs its own rows, not the size of the
 table. ``compact`` folds batches into bases and bases of like size into larger ones, which
 keeps the folders few and rewrites a row only a logarithmic number of times.
@@ -12,11 +13,11 @@ keeps the folders few and rewrites a row only a logarithmic number of times.
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-Batch = tuple[int, int]
+from studytrail.streaming.commits import Batch, CommitLog
 
 
 def _system(spark: SparkSession, root: str):
@@ -34,31 +35,41 @@ def generation(spark: SparkSession, root: str, checkpoint: str) -> int:
     """The number of a checkpoint's stream among all streams that wrote under ``root``.
 
     The stream's id is fixed when its checkpoint is created; it is noted here with the next
-    number the first time it is met."""
+    number the first time it is met, and again when it goes on after a stream of another
+    checkpoint: later batches have higher numbers, whichever stream they come from."""
     row = spark.read.text(f"{checkpoint}/metadata").first()
     identity = json.loads(row[0])["id"]
-    known = [name.split("_", 1) for name in _names(spark, f"{root}/generations")]
-    numbers = {name: int(number) for number, name in known}
-    if identity in numbers:
-        return numbers[identity]
-    number = max(numbers.values(), default=-1) + 1
+    numbers = {int(number): name for number, name in (n.split("_", 1) for n in _names(spark, f"{root}/generations"))}
+    last = max(numbers, default=-1)
+    if numbers.get(last) == identity:
+        return last
     fs, path = _system(spark, root)
-    fs.create(path(f"{root}/generations/{number}_{identity}"), False).close()
-    return number
+    fs.create(path(f"{root}/generations/{last + 1}_{identity}"), False).close()
+    return last + 1
 
 
 class BatchFolder:
     """Folders ``batch-G-N`` and ``base-G-N-L``; a base of level L holds the batches up to
     (G, N) that the base before it does not hold."""
 
-    def __init__(self, spark: SparkSession, root: str):
+    def __init__(self, spark: SparkSession, root: str, commits: CommitLog | None = None):
         self.spark = spark
         self.root = root.rstrip("/")
+        self.commits = commits
 
     def is_finished(self, name: str) -> bool:
         fs, path = _system(self.spark, self.root)
         return fs.exists(path(f"{self.root}/{name}/_SUCCESS"))
 
+    def has(self, batch: Batch) -> bool:
+        """Whether the batch, recorded before, still has a folder."""
+        return self.is_finished(_batch(batch))
+
+    def stored(self) -> set[Batch]:
+        """Batches that have a folder, recorded or not."""
+        names = [n.split("-") for n in _names(self.spark, self.root)]
+        return {(int(n[1]), int(n[2])) for n in names if n[0] == "batch"}
+
     def batches(self) -> list[Batch]:
         """Finished batches that still have a folder."""
         return sorted(key for key, _ in self._finished("batch"))
@@ -76,13 +87,18 @@ class BatchFolder:
 
     def _finished(self, kind: str) -> list[tuple[Batch, list[int]]]:
         out = []
+        recorded = set(self.commits.batches()) if self.commits and kind == "batch" else None
         for name in _names(self.spark, self.root):
             first, *numbers = name.split("-")
-            if first == kind and all(n.isdigit() for n in numbers) and self.is_finished(name):
+            if first == kind and all(n.isdigit() for n in numbers):
                 g, n, *rest = map(int, numbers)
-                out.append(((g, n), rest))
+                if (g, n) in recorded if recorded is not None else self.is_finished(name):
+                    out.append(((g, n), rest))
         return out
 
+    def name(self, batch: Batch) -> str:
+        return _batch(batch)
+
     def write(self, df: DataFrame, batch: Batch) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/{_batch(batch)}")
 
@@ -92,16 +108,8 @@ class BatchFolder:
         start = bases[-1][0] if bases else (-1, -1)
         return self._load([_base(*b) for b in bases] + [_batch(b) for b in self.batches() if b > start], schema)
 
-    def read_batch(self, batch: Batch, schema: str) -> DataFrame:
-        return self._load([_batch(batch)], schema)
-
-    def read_last(self, before: Batch, schema: str) -> DataFrame:
-        """Rows of the last finished batch below ``before``, of this or an earlier generation. In
-        a running stream that is the one just before, found by one look and no listing."""
-        g, n = before
-        if n and self.is_finished(_batch((g, n - 1))):
-            return self._load([_batch((g, n - 1))], schema)
-        return self._load([_batch(b) for b in self.batches() if b < before][-1:], schema)
+    def read_some(self, batches: Sequence[Batch], schema: str) -> DataFrame:
+        return self._load([_batch(b) for b in batches], schema)
 
     def compact(
         self, merge: Callable[[DataFrame], DataFrame], schema: str, before: Batch | None = None, fanout: int = 4
@@ -133,12 +141,6 @@ class BatchFolder:
         self._remove([_batch(b) for b in self.batches() if b <= bases[-1][0]])
         self._remove([name for key, level in self._finished("base") if (name := _base(key, level[0])) not in used])
 
-    def keep_last(self, batch: Batch, count: int = 10) -> None:
-        """Remove the batch that is ``count`` behind; for tables whose last batch says all."""
-        g, n = batch
-        if n >= count:
-            self._remove([_batch((g, n - count))])
-
     def _load(self, names: list[str], schema: str) -> DataFrame:
         if not names:
             return self.spark.createDataFrame([], schema)

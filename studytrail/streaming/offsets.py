@@ -1,18 +1,29 @@
-"""Positions in a topic: where to resume, what a batch covered, what was applied."""
+"""Positions in a topic: where to resume, what a batch covered, what was applied.
+
+What was applied is a set of disjoint offset intervals per partition, merged by an aggregate.
+A source that keeps the order of offsets has one interval a partition; one that does not (files
+in any order) has as many as there are gaps, and a late record fills its gap and counts once.
+"""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from studytrail.streaming.batches import Batch, BatchFolder
+from studytrail.streaming.batches import BatchFolder
+from studytrail.streaming.commits import Batch, CommitLog
 
 PLACE = ("topic", "partition")
-MARK_SCHEMA = "topic string, partition int, offset long, from_offset long"
-RANGE_SCHEMA = "generation int, batch long, topic string, partition int, from_offset long, until_offset long"
+BOUNDS = ("from_offset", "until_offset")
+# ``own`` rows are what a batch covered, the others all that was applied after it.
+POSITION_SCHEMA = (
+    "generation int, batch long, topic string, partition int, from_offset long, until_offset long, own boolean"
+)
+# Offsets that meet the intervals under one key.
+BUCKET = 1 << 16
 
 
 def resume_offsets(saved: Mapping[int, int], earliest: Mapping[int, int]) -> dict[int, int]:
@@ -30,101 +41,137 @@ def starting_offsets(topic: str, offsets: Mapping[int, int]) -> str:
     return json.dumps({topic: {str(p): int(o) for p, o in sorted(offsets.items())}})
 
 
-def progress_ranges(progress: Mapping) -> list[tuple[str, int, int, int]]:
-    """(topic, partition, from, until) of each source in a streaming progress report."""
-    ranges = []
-    for source in progress.get("sources", []):
-        start, end = (
-            json.loads(o) if isinstance(o, str) else (o or {})
-            for o in (source.get("startOffset"), source.get("endOffset"))
-        )
-        for topic, ends in end.items():
-            if isinstance(ends, Mapping):
-                for partition, until in ends.items():
-                    begin = (start.get(topic) or {}).get(partition, 0)
-                    ranges.append((topic, int(partition), int(begin), int(until)))
-    return sorted(ranges)
-
-
 def batch_ranges(records: DataFrame) -> DataFrame:
-    """Offsets covered by the records: [from_offset, until_offset) per partition."""
+    """Offsets covered by the records of a source that keeps their order: [from_offset,
+    until_offset) per partition."""
     return records.groupBy(*PLACE).agg(
         F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset")
     )
 
 
-def _with_last(records: DataFrame, marks: DataFrame) -> DataFrame:
-    """Records with ``__new``. ``marks`` has one row per topic partition, a number the broker
-    bounds."""
-    last = marks.select(*PLACE, F.col("offset").alias("__last"))
-    new = F.col("__last").isNull() | (F.col("offset") > F.col("__last"))
-    return records.join(F.broadcast(last), list(PLACE), "left").withColumn("__new", new).drop("__last")
+def _bucket(offset) -> F.Column:
+    return F.floor(offset / BUCKET).cast("bigint")
 
 
-def unseen(records: DataFrame, marks: DataFrame, copies: bool = True) -> DataFrame:
-    """Records beyond the last applied offset of their partition, each position once.
+def intervals_of(records: DataFrame, ordered: bool = False) -> DataFrame:
+    """Disjoint intervals [from_offset, until_offset) per partition that hold the records' offsets
+    and, unless the source is ``ordered``, no others. Runs are found inside buckets first, so a
+    partition of any size is merged from a row per run and bucket."""
+    if ordered:
+        return batch_ranges(records)
+    grouped = records.groupBy(*PLACE, _bucket(F.col("offset")).alias("bucket")).agg(
+        F.array_sort(F.collect_set(F.col("offset").cast("bigint"))).alias("o")
+    )
+    first = F.filter("o", lambda x, i: F.coalesce(F.get("o", i - 1) != x - 1, F.lit(True)))
+    last = F.filter("o", lambda x, i: F.coalesce(F.get("o", i + 1) != x + 1, F.lit(True)))
+    runs = grouped.select(*PLACE, F.explode(F.arrays_zip(first.alias("first"), last.alias("last"))).alias("r"))
+    return merged(runs.select(*PLACE, F.col("r.first").alias("from_offset"), (F.col("r.last") + 1).alias("until_offset")))
+
+
+def merged(intervals: DataFrame) -> DataFrame:
+    """The union of intervals as disjoint ones, neighbours joined."""
+    order = Window.partitionBy(*PLACE).orderBy("from_offset", "until_offset")
+    reach = F.max("until_offset").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("from_offset") > reach, F.lit(True)).cast("int")
+    numbered = intervals.select(*PLACE, *BOUNDS, opens.alias("__opens")).withColumn("__run", F.sum("__opens").over(order))
+    return numbered.groupBy(*PLACE, "__run").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")
+    ).drop("__run")
+
+
+def _matched(records: DataFrame, applied: DataFrame, how: str) -> DataFrame:
+    """Records joined to the interval that holds their offset. Only the part of an interval that
+    lies among the records' offsets is cut into buckets."""
+    seen = records.groupBy(F.col("topic").alias("__t"), F.col("partition").alias("__p")).agg(
+        F.min("offset").alias("__lo"), F.max("offset").alias("__hi")
+    )
+    here = F.col("topic").eqNullSafe(F.col("__t")) & (F.col("partition") == F.col("__p"))
+    near = applied.join(seen, here & (F.col("from_offset") <= F.col("__hi")) & (F.col("until_offset") > F.col("__lo")))
+    first, last = F.greatest("from_offset", "__lo"), F.least(F.col("until_offset") - 1, F.col("__hi"))
+    spread = near.select(
+        "__t", "__p", F.col("from_offset").alias("__from"), F.col("until_offset").alias("__until"), F.explode(F.sequence(_bucket(first), _bucket(last))).alias("__b"),
+    )
+    same = (
+        F.col("topic").eqNullSafe(F.col("__t"))
+        & (F.col("partition") == F.col("__p"))
+        & (_bucket(F.col("offset")) == F.col("__b"))
+        & (F.col("offset") >= F.col("__from"))
+        & (F.col("offset") < F.col("__until"))
+    )
+    return records.join(spread, same, how)
 
-    A source that never repeats a position inside a batch (a topic) needs no shuffle for it:
-    ``copies=False``.
-    """
-    new = _with_last(records, marks).filter("__new").drop("__new")
-    return new.dropDuplicates([*PLACE, "offset"]) if copies else new
 
+def unseen(records: DataFrame, applied: DataFrame, ordered: bool = False) -> DataFrame:
+    """Records at offsets that no applied interval holds, each position once.
 
-def passed_over(records: DataFrame, marks: DataFrame) -> DataFrame:
-    """Records at or below the last applied offset: read again, or late on a source that does
-    not keep the order of offsets."""
-    return _with_last(records, marks).filter("not __new").drop("__new")
+    A source that never repeats a position inside a batch (``ordered``: a topic) needs no
+    shuffle for it.
+    """
+    new = _matched(records, applied, "left_anti")
+    return new if ordered else new.dropDuplicates([*PLACE, "offset"])
 
 
-def advance(marks: DataFrame, records: DataFrame) -> DataFrame:
-    """Last applied offset per partition after the records, and where they began
-    (``from_offset``, null for a partition without records)."""
-    old = marks.select(*PLACE, "offset", F.lit(None).cast("bigint").alias("from_offset"))
-    new = records.select(*PLACE, "offset", F.col("offset").alias("from_offset"))
-    return old.unionByName(new).groupBy(*PLACE).agg(
-        F.max("offset").alias("offset"), F.min("from_offset").alias("from_offset")
-    )
+def passed_over(records: DataFrame, applied: DataFrame) -> DataFrame:
+    """Records at positions that were applied before."""
+    return _matched(records, applied, "left_semi")
 
 
-class Marks:
-    """Last applied offsets kept with the results; each batch stores the full small table, and
-    its offset ranges for good."""
+class Positions:
+    """Applied positions kept with the results; each recorded batch stores what it covered, for
+    good, and all that was applied after it."""
 
-    def __init__(self, spark, root: str):
-        self.folder = BatchFolder(spark, f"{root}/last")
-        self.covered = BatchFolder(spark, f"{root}/ranges")
+    def __init__(self, spark: SparkSession, root: str, commits: CommitLog):
+        self.commits = commits
+        self.folder = BatchFolder(spark, root, commits)
 
-    def before(self, batch: Batch) -> DataFrame:
-        return self.folder.read_last(batch, MARK_SCHEMA)
+    def after(self, batches: Sequence[Batch]) -> DataFrame:
+        """The intervals applied after the given batches, one of each generation: what a batch knows
+        to be applied includes all that came before it."""
+        if all(self.folder.has(b) for b in batches):
+            rows = self.folder.read_some(batches, POSITION_SCHEMA)
+        else:
+            rows = self.folder.read(POSITION_SCHEMA)
+        known = F.lit(False)
+        for g, n in batches:
+            known = known | ((F.col("generation") == g) & (F.col("batch") == n))
+        rows = rows.filter(known & ~F.col("own")).select(*PLACE, *BOUNDS)
+        return rows if len(batches) == 1 else merged(rows)
 
-    def latest(self) -> DataFrame:
-        """Last applied offset of every topic partition."""
-        return self.folder.read_last((1 << 62, 0), MARK_SCHEMA)
+    def applied(self) -> DataFrame:
+        """All intervals applied so far."""
+        return self.after(self.commits.last_of_each())
+
+    def resume(self) -> DataFrame:
+        """(topic, partition, offset): the first offset of each partition that is not applied behind
+        the first one that is."""
+        return self.applied().groupBy(*PLACE).agg(F.min_by("until_offset", "from_offset").alias("offset"))
 
     def all_ranges(self) -> DataFrame:
-        """Offset ranges [from_offset, until_offset) of every batch of every generation."""
-        return self.covered.read(RANGE_SCHEMA)
+        """What every batch of every generation covered, replays included."""
+        return self.folder.read(POSITION_SCHEMA).filter("own").drop("own")
 
     def ranges(self, batch: Batch) -> DataFrame:
         own = (F.col("generation") == batch[0]) & (F.col("batch") == batch[1])
-        return self.all_ranges().filter(own).select(*PLACE, "from_offset", "until_offset")
-
-    def save(self, batch: Batch, records: DataFrame) -> None:
-        """Note what a batch covered. A batch noted before has to cover the same offsets."""
-        found = batch_ranges(records).select(
-            F.lit(batch[0]).cast("int").alias("generation"), F.lit(batch[1]).cast("bigint").alias("batch"),
-            *PLACE, "from_offset", "until_offset",
-        )
-        # A row per topic partition.
-        ranges = found.collect()
-        old = [tuple(r) for r in self.ranges(batch).select(*PLACE, "from_offset", "until_offset").collect()]
-        if old and sorted(old) != sorted(tuple(r)[2:] for r in ranges):
+        return self.all_ranges().filter(own).select(*PLACE, *BOUNDS)
+
+    def write(self, batch: Batch, records: DataFrame, applied: DataFrame, ordered: bool = False) -> None:
+        covered = intervals_of(records, ordered).select(*PLACE, *BOUNDS)
+        named = [F.lit(batch[0]).cast("int").alias("generation"), F.lit(batch[1]).cast("bigint").alias("batch"), *PLACE, *BOUNDS]
+        own = covered.select(*named, F.lit(True).alias("own"))
+        total = merged(covered.union(applied.select(*PLACE, *BOUNDS))).select(*named, F.lit(False).alias("own"))
+        self.folder.write(own.union(total).coalesce(1), batch)
+
+    def check(self, batch: Batch, records: DataFrame, ordered: bool = False) -> None:
+        """A recorded batch that comes again has to cover the same offsets."""
+        now = intervals_of(records, ordered).select(*PLACE, *BOUNDS)
+        then = self.ranges(batch)
+        if not (now.exceptAll(then).isEmpty() and then.exceptAll(now).isEmpty()):
             raise ValueError(f"batch {batch} covered other offsets before")
-        rows = records.sparkSession.createDataFrame(ranges, RANGE_SCHEMA).coalesce(1)
-        self.covered.write(rows, batch)
-        self.folder.write(advance(self.before(batch), records).coalesce(1), batch)
-        self.folder.keep_last(batch)
 
     def compact(self, before: Batch | None = None) -> None:
-        self.covered.compact(lambda r: r.coalesce(1), RANGE_SCHEMA, before)
+        def merge(rows: DataFrame) -> DataFrame:
+            last = rows.groupBy("generation").agg(F.max("batch").alias("__last"))
+            kept = rows.join(F.broadcast(last), "generation").filter(F.col("own") | (F.col("batch") == F.col("__last")))
+            return kept.drop("__last").select(*rows.columns).coalesce(1)
+
+        self.folder.compact(merge, POSITION_SCHEMA, before)

@@ -1,9 +1,10 @@
 """The running answer report and the two dimension feeds.
 
 A batch adds mergeable question cells for its own events only; reports are finished
-from the merged cells when read, with the dimensions as they then are. Replaying a
-batch replaces its folder, and positions already applied are skipped, so a restart
-after any failure counts every event once.
+from the merged cells when read, with the dimensions as they then are. A batch counts
+once its commit record exists, which is created last; positions that recorded batches
+applied are skipped, so a restart after any failure, on the same checkpoint or a new one,
+counts every event once.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from studytrail.functions.keys import (
 from studytrail.operators import answers as A
 from studytrail.sources import celltables
 from studytrail.streaming.batches import Batch, BatchFolder, generation
-from studytrail.streaming.offsets import Marks, passed_over, unseen
+from studytrail.streaming.commits import CommitLog
+from studytrail.streaming.offsets import Positions, passed_over, unseen
 
 # Events are ordered by time; offsets of different partitions do not compare.
 PLACE_IN_TIME = "struct<timestamp:timestamp,partition:int,offset:bigint>"
@@ -30,7 +32,8 @@ CELLS_SCHEMA = (
     "user_id long, testpaper_user_id long, question_id long, attempts long, right long, wrong long, "
     f"first_seq {PLACE_IN_TIME}, first_right int, last_seq {PLACE_IN_TIME}, last_right int"
 )
-REJECT_SCHEMA = "topic string, partition int, offset long, key string, value string"
+# Messages set aside: rejected ones, and those at positions applied before.
+ASIDE_SCHEMA = "topic string, partition int, offset long, key string, value string, reason string"
 
 
 def decode_answers(records: DataFrame) -> DataFrame:
@@ -52,62 +55,80 @@ def feed_version(records: DataFrame) -> Column:
 class AnswerReport:
     """Tables of the running report under one root folder.
 
-    ``copies`` says whether the source may repeat a position inside one batch. ``checkpoint``
-    may be a new one at any time: positions applied under an old one stay applied."""
+    ``ordered`` says that the source keeps the order of offsets and repeats no position inside
+    one batch, as a topic does. ``checkpoint`` may be a new one at any time: positions applied
+    under an old one stay applied."""
 
     def __init__(
-        self, spark: SparkSession, root: str, mode: str = "clean", copies: bool = True, checkpoint: str | None = None
+        self, spark: SparkSession, root: str, mode: str = "clean", ordered: bool = False, checkpoint: str | None = None
     ):
         self.spark = spark
         self.mode = mode
-        self.copies = copies
-        self.cells = BatchFolder(spark, f"{root}/question_cells")
-        self.rejects = BatchFolder(spark, f"{root}/rejects")
-        self.skipped = BatchFolder(spark, f"{root}/skipped")
-        self.marks = Marks(spark, f"{root}/marks")
+        self.ordered = ordered
+        self.commits = CommitLog(spark, root)
+        self.cells = BatchFolder(spark, f"{root}/question_cells", self.commits)
+        self.aside = BatchFolder(spark, f"{root}/set_aside", self.commits)
+        self.positions = Positions(spark, f"{root}/positions", self.commits)
         self.root = root
         self.checkpoint = checkpoint or f"{root}/checkpoint"
         self.generation: int | None = None
+        self.before: list[Batch] | None = None
 
     def apply(self, records: DataFrame, batch_id: int) -> None:
-        """One micro-batch. The marks go last: without them the batch is done again."""
+        """One micro-batch: three folders, then the record that makes them count. The history is
+        listed once per start of the stream."""
         if self.generation is None:
             self.generation = generation(self.spark, self.root, self.checkpoint)
         batch = (self.generation, batch_id)
+        if self.commits.has(batch):
+            # Recorded, but the stream died before it noted so itself.
+            self.positions.check(batch, records, self.ordered)
+            return
+        if self.before is None:
+            self.before = self.commits.last_of_each()
         records = records.persist()
-        marks = self.marks.before(batch)
-        fresh = decode_answers(unseen(records, marks, self.copies)).persist()
+        applied = self.positions.after(self.before)
+        fresh = decode_answers(unseen(records, applied, self.ordered)).persist()
         try:
             self.cells.write(A.question_cells(fresh, self.mode), batch)
             left_out = ~F.coalesce(A.is_counted(self.mode), F.lit(False))
-            bad = fresh.filter(left_out).select("topic", "partition", "offset", "key", "value")
-            self.rejects.write(bad, batch)
-            self.skipped.write(passed_over(records, marks).select("topic", "partition", "offset", "key", "value"), batch)
-            self.marks.save(batch, records)
+            columns = ["topic", "partition", "offset", "key", "value"]
+            rejected = fresh.filter(left_out).select(*columns, F.lit("rejected").alias("reason"))
+            again = passed_over(records, applied).select(*columns, F.lit("applied").alias("reason"))
+            self.aside.write(rejected.union(again), batch)
+            self.positions.write(batch, records, applied, self.ordered)
+            self.commits.add(batch, {f.root.rsplit("/", 1)[1]: f.name(batch) for f in self._folders()})
+            self.before = [batch]
         finally:
             fresh.unpersist()
             records.unpersist()
 
+    def _folders(self) -> list[BatchFolder]:
+        return [self.cells, self.aside, self.positions.folder]
+
     def writer(self, records: DataFrame) -> DataStreamWriter:
+        self.before = None
         return records.writeStream.foreachBatch(self.apply).option("checkpointLocation", self.checkpoint)
 
     def question_cells(self) -> DataFrame:
         return A.merge_cells(self.cells.read(CELLS_SCHEMA), [*A.PAPER, "question_id"])
 
     def rejected(self) -> DataFrame:
-        return self.rejects.read(REJECT_SCHEMA)
+        return self.aside.read(ASIDE_SCHEMA).filter("reason = 'rejected'").drop("reason")
 
     def passed_over(self) -> DataFrame:
-        """Messages at positions that were applied already; those of a late arrival among them
-        are known by a (partition, offset) that occurs nowhere in the applied ranges' messages."""
-        return self.skipped.read(REJECT_SCHEMA)
+        """Messages at positions that were applied already."""
+        return self.aside.read(ASIDE_SCHEMA).filter("reason = 'applied'").drop("reason")
 
     def compact(self, before: Batch | None = None) -> Batch | None:
-        """Fold finished batches together; a job of its own, beside the stream."""
-        self.rejects.compact(lambda r: r, REJECT_SCHEMA, before)
-        self.skipped.compact(lambda r: r, REJECT_SCHEMA, before)
-        self.marks.compact(before)
-        return self.cells.compact(lambda c: A.merge_cells(c, [*A.PAPER, "question_id"]), CELLS_SCHEMA, before)
+        """Fold finished batches together; a job of its own, beside the stream. Records of batches
+        that an earlier call folded, and whose folders are gone, are removed."""
+        folded = set(self.commits.batches()).difference(*[f.stored() for f in self._folders()])
+        self.aside.compact(lambda r: r, ASIDE_SCHEMA, before)
+        self.positions.compact(before)
+        end = self.cells.compact(lambda c: A.merge_cells(c, [*A.PAPER, "question_id"]), CELLS_SCHEMA, before)
+        self.commits.forget(folded)
+        return end
 
     def papers(self, question_point: DataFrame, paper_task: DataFrame) -> DataFrame:
         return A.paper_summary(self.question_cells(), question_point, paper_task, self.mode)

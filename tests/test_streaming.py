@@ -1,6 +1,7 @@
 """Streams on files: many batches, restarts, failures between writes, replays."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,6 +10,7 @@ from studytrail.operators import answers as A
 from studytrail.sources import celltables, topics
 from studytrail.streaming import offsets, relay, reports
 from studytrail.streaming.batches import BatchFolder
+from studytrail.streaming.commits import CommitLog
 
 POINTS = [(1, 1), (1, 2), (2, 2), (3, 3)]
 TASKS = [(10, 3, 2), (11, 4, 0), (20, 5, 1)]
@@ -69,29 +71,95 @@ def test_report_over_restarts_equals_batch(spark, world, mode):
     tasks = spark.createDataFrame(TASKS, "testPaper_user_id long, TaskID long, CustomsID long")
     assert rows_of(report.papers(points, tasks)) == rows_of(A.paper_summary(want, points, tasks, mode))
     assert rows_of(report.customs(points, tasks)) == rows_of(A.customs_summary(want, points, tasks, mode))
-    # Three batches before the restart, then one per file.
-    ranges = {r.partition: (r.from_offset, r.until_offset) for r in report.marks.ranges((0, 3)).collect()}
-    assert ranges == {1: (26, 59), 2: (25, 60)}
+    # Three batches before the restart, then one per file; partitions hold every other offset.
+    ranges = {(r.partition, r.from_offset, r.until_offset) for r in report.positions.ranges((0, 3)).collect()}
+    assert ranges == {(1 + i % 2, i, i + 1) for i in range(25, 60)}
     bad = {r.offset for r in report.rejected().collect()}
     assert bad == {i for i in range(60) if i % 7 == 0 or i == 33}
 
 
-def test_failure_between_writes_counts_once(spark, world, monkeypatch):
+GAPS = {
+    "before cells": (BatchFolder, "write", 0),
+    "before aside": (BatchFolder, "write", 1),
+    "before positions": (BatchFolder, "write", 2),
+    "before record": (CommitLog, "add", 0),
+}
+
+
+@pytest.mark.parametrize("new_checkpoint", [False, True])
+@pytest.mark.parametrize("gap", GAPS)
+def test_failure_between_writes_counts_once(spark, world, monkeypatch, gap, new_checkpoint):
+    """A batch dies in front of each of its writes; the same or a new checkpoint goes on."""
+    src, put, root = world
+    put([record(i) for i in range(1, 30)])
+    stream = topics.file_stream(spark, src)
+    kind, method, allowed = GAPS[gap]
+    kept, calls = getattr(kind, method), []
+
+    def fail(self, *args):
+        calls.append(self)
+        if len(calls) > allowed:
+            raise RuntimeError("lost")
+        return kept(self, *args)
+
+    monkeypatch.setattr(kind, method, fail)
+    with pytest.raises(Exception, match="lost"):
+        run(reports.AnswerReport(spark, f"{root}/r", checkpoint=f"{root}/one").writer(stream))
+    monkeypatch.setattr(kind, method, kept)
+    report = reports.AnswerReport(spark, f"{root}/r", checkpoint=f"{root}/{'two' if new_checkpoint else 'one'}")
+    assert report.question_cells().count() == 0 and report.rejected().count() == 0
+    run(report.writer(stream))
+    assert rows_of(report.question_cells()) == rows_of(batch(spark, 30, "clean"))
+    assert {r.offset for r in report.rejected().collect()} == set(range(0, 30, 7))
+    assert report.passed_over().count() == 0
+
+
+def test_death_after_the_record_counts_once(spark, world, monkeypatch):
+    """Recorded, but the stream's own checkpoint does not know: the batch comes again and is left."""
     src, put, root = world
     put([record(i) for i in range(1, 30)])
-    report = reports.AnswerReport(spark, f"{root}/r")
     stream = topics.file_stream(spark, src)
-    saved = offsets.Marks.save
+    kept = CommitLog.add
 
     def fail(self, *args):
+        kept(self, *args)
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(offsets.Marks, "save", fail)
+    monkeypatch.setattr(CommitLog, "add", fail)
     with pytest.raises(Exception, match="lost"):
-        run(report.writer(stream))
-    monkeypatch.setattr(offsets.Marks, "save", saved)
+        run(reports.AnswerReport(spark, f"{root}/r").writer(stream))
+    monkeypatch.setattr(CommitLog, "add", kept)
+    report = reports.AnswerReport(spark, f"{root}/r")
     run(report.writer(stream))
     assert rows_of(report.question_cells()) == rows_of(batch(spark, 30, "clean"))
+    with pytest.raises(ValueError, match="other offsets"):
+        report.apply(spark.createDataFrame([record(3)], topics.RECORD_SCHEMA), 0)
+
+
+def test_old_checkpoint_goes_on_after_a_new_one(spark, world):
+    """Streams of two checkpoints take turns, with folds between; no batch hides behind a base."""
+    src, put, root = world
+    stream = topics.file_stream(spark, src)
+    upto = 1
+    for checkpoint in ("one", "two", "one", "two", "one"):
+        put([record(i) for i in range(upto, upto + 10)])
+        upto += 10
+        report = reports.AnswerReport(spark, f"{root}/r", checkpoint=f"{root}/{checkpoint}")
+        run(report.writer(stream))
+        report.compact()
+        assert rows_of(report.question_cells()) == rows_of(batch(spark, upto, "clean"))
+
+
+def test_records_are_few_after_folds(spark, world):
+    src, put, root = world
+    report = reports.AnswerReport(spark, f"{root}/r")
+    for n in range(4):
+        put([record(i) for i in range(1 + 5 * n, 6 + 5 * n)])
+        run(report.writer(topics.file_stream(spark, src, files_per_batch=1)))
+        report.compact()
+    assert len(report.commits.batches()) <= 2
+    assert rows_of(report.question_cells()) == rows_of(batch(spark, 21, "clean"))
+    assert {r.partition: r.offset for r in report.positions.resume().collect()} == {1: 1, 2: 2}
 
 
 def test_unfinished_folder_is_not_read(spark, tmp_path):
@@ -102,7 +170,7 @@ def test_unfinished_folder_is_not_read(spark, tmp_path):
     (tmp_path / "b" / "batch-0-1" / "_SUCCESS").unlink()
     assert folder.read("id long").count() == 3
     folder.write(spark.range(3, 5), (0, 1))
-    assert folder.read("id long").count() == 5 and folder.read_last((0, 1), "id long").count() == 3
+    assert folder.read("id long").count() == 5
 
 
 def test_compaction_keeps_rows_and_few_folders(spark, tmp_path):
@@ -119,10 +187,6 @@ def test_compaction_keeps_rows_and_few_folders(spark, tmp_path):
     assert folder.bases() == [((1, 7), 3), ((2, 7), 2)]
     assert folder.compact(lambda d: d, "id long") is None
     assert sorted(p.name for p in (tmp_path / "b").iterdir()) == ["base-1-7-3", "base-2-7-2"]
-    for n in range(9, 25):
-        folder.write(spark.range(1), (3, n))
-        folder.keep_last((3, n), count=3)
-    assert folder.batches() == [(3, 22), (3, 23), (3, 24)]
 
 
 def test_new_checkpoint_neither_hides_nor_replaces(spark, world):
@@ -136,19 +200,58 @@ def test_new_checkpoint_neither_hides_nor_replaces(spark, world):
         report = reports.AnswerReport(spark, f"{root}/r", checkpoint=f"{root}/{checkpoint}")
         run(report.writer(stream))
         assert rows_of(report.question_cells()) == rows_of(batch(spark, 45, "clean"))
-    ranges = report.marks.all_ranges().collect()
+    ranges = report.positions.all_ranges().collect()
     assert {r.generation for r in ranges} == {0, 1, 2}
-    assert {r.partition: r.offset for r in report.marks.latest().collect()} == {1: 44, 2: 43}
+    applied = report.positions.applied().collect()
+    assert {(r.partition, r.from_offset, r.until_offset) for r in applied} == {(1 + i % 2, i, i + 1) for i in range(45)}
     assert {r.offset for r in report.passed_over().collect()} == set(range(45))
 
 
-def test_batch_must_cover_the_same_offsets(spark, tmp_path):
-    marks = offsets.Marks(spark, str(tmp_path / "m"))
-    rows = spark.createDataFrame([record(i) for i in range(6)], topics.RECORD_SCHEMA)
-    marks.save((0, 0), rows)
-    marks.save((0, 0), rows)
-    with pytest.raises(ValueError, match="other offsets"):
-        marks.save((0, 0), rows.limit(2))
+INTERVALS = "topic string, partition int, from_offset long, until_offset long"
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_applied_intervals_are_exact(spark, seed, monkeypatch):
+    """Any offsets against any intervals, over bucket borders, with a null topic."""
+    rng = random.Random(seed)
+    monkeypatch.setattr(offsets, "BUCKET", 8)
+    place = lambda: (rng.choice(["t", "s", None]), rng.randrange(2))
+    rows = [(None, "v", *place(), rng.randrange(60), None) for _ in range(150)]
+    records = spark.createDataFrame([(k, v, t, p, o, None) for k, v, t, p, o, _ in rows], topics.RECORD_SCHEMA)
+    spans = [(*place(), a, a + rng.randrange(1, 12)) for a in (rng.randrange(60) for _ in range(12))]
+    applied = offsets.merged(spark.createDataFrame(spans, INTERVALS))
+    held = {(t, p, o) for t, p, a, b in spans for o in range(a, b)}
+    assert held == {(r.topic, r.partition, o) for r in applied.collect() for o in range(r.from_offset, r.until_offset)}
+    ends = {}
+    for r in sorted(applied.collect(), key=str):
+        ends.setdefault((r.topic, r.partition), []).append((r.from_offset, r.until_offset))
+    assert all(b[0] > a[1] for spans in map(sorted, ends.values()) for a, b in zip(spans, spans[1:]))
+    found = [(r.topic, r.partition, r.offset) for r in offsets.unseen(records, applied).collect()]
+    assert sorted(found, key=str) == sorted({(t, p, o) for _, _, t, p, o, _ in rows} - held, key=str)
+    again = [(r.topic, r.partition, r.offset) for r in offsets.passed_over(records, applied).collect()]
+    assert sorted(again, key=str) == sorted([(t, p, o) for _, _, t, p, o, _ in rows if (t, p, o) in held], key=str)
+    covered = offsets.intervals_of(records).collect()
+    assert {(r.topic, r.partition, o) for r in covered for o in range(r.from_offset, r.until_offset)} == {
+        (t, p, o) for _, _, t, p, o, _ in rows
+    }
+
+
+def test_an_ordered_source_is_one_interval(spark):
+    df = spark.createDataFrame([record(i) for i in range(6)], topics.RECORD_SCHEMA)
+    got = {r.partition: (r.from_offset, r.until_offset) for r in offsets.intervals_of(df, ordered=True).collect()}
+    assert got == {1: (0, 5), 2: (1, 6)}
+
+
+def test_late_records_of_an_unordered_source_count_once(spark, world):
+    src, put, root = world
+    order = list(range(1, 40))
+    random.Random(4).shuffle(order)
+    for part in (order[:13], order[13:26], order[5:30], order[26:]):
+        put([record(i) for i in part])
+    report = reports.AnswerReport(spark, f"{root}/r")
+    run(report.writer(topics.file_stream(spark, src, files_per_batch=1)))
+    assert rows_of(report.question_cells()) == rows_of(batch(spark, 40, "clean"))
+    assert sorted(r.offset for r in report.passed_over().collect()) == sorted(order[5:30])
 
 
 def test_order_is_time_not_offset(spark):
@@ -211,14 +314,9 @@ def test_dimension_feed_upserts(spark, world):
     assert [tuple(r) for r in reports.paper_tasks_of(made).collect()] == [(5, None, 2)]
 
 
-def test_offsets(spark):
+def test_offsets():
     assert offsets.resume_offsets({0: 5, 1: 2, 3: 9}, {0: 3, 1: 4, 2: 7}) == {0: 5, 1: 4, 2: 7, 3: 9}
     assert offsets.starting_offsets("t", {1: 4, 0: 5}) == '{"t": {"0": 5, "1": 4}}'
-    progress = {"sources": [{"startOffset": '{"t":{"0":5}}', "endOffset": '{"t":{"0":9,"1":2}}'}, {"startOffset": None, "endOffset": '{"logOffset":0}'}]}
-    assert offsets.progress_ranges(progress) == [("t", 0, 5, 9), ("t", 1, 0, 2)]
-    df = spark.createDataFrame([record(i) for i in range(6)], topics.RECORD_SCHEMA)
-    got = {r.partition: (r.from_offset, r.until_offset) for r in offsets.batch_ranges(df).collect()}
-    assert got == {1: (0, 5), 2: (1, 6)}
 
 
 def test_topic_rows(spark):
