@@ -28,12 +28,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Parts remembered per task process in each of two generations, about 60 MB in all.
-REMEMBERED = 120_000
+# Parts remembered per task process in each of two generations, about 120 MB in all.
+REMEMBERED = 300_000
 # Longest part whose agenda is a matrix row; longer ones have a heap.
 IN_STEP = 48
 # Bytes of the texts that are handled at a time; one text more at most.
-AT_ONCE = 1 << 20
+AT_ONCE = 2 << 20
 
 # Fixed values of the file format: the mark that stands for a space, the text of an unknown piece.
 SPACE_MARK = "▁"
@@ -118,32 +118,29 @@ class PieceCoder:
         good = (self.keys[at] == key) & (left >= 0) & (right >= 0)
         return np.where(good, self.rank[self.made[at]], _NONE), self.made[at]
 
-    def in_step(self, parts: list[str]) -> list[list[int]]:
-        """Symbols of parts of at most IN_STEP characters: each round merges the best pair of every
-        part that has one."""
-        out: list[list[int]] = [[]] * len(parts)
+    def in_step(self, parts: list[str]) -> dict[str, bytes]:
+        """Ids of parts of at most IN_STEP characters: each round merges the best pair of every part
+        that has one."""
+        out: dict[str, bytes] = {}
         lengths = np.array([len(p) for p in parts])
-        for width in (8, 16, IN_STEP):
-            mine = np.nonzero(lengths <= width)[0]
-            lengths[mine] = _NONE
-            if len(mine):
-                points = np.frombuffer("".join([parts[i].ljust(width, "\0") for i in mine]).encode("utf-32-le"), np.uint32)
+        for low, width in ((0, 8), (8, 16), (16, IN_STEP)):
+            mine = [parts[i] for i in np.flatnonzero((lengths > low) & (lengths <= width)).tolist()]
+            if mine:
+                points = np.frombuffer("".join([p.ljust(width, "\0") for p in mine]).encode("utf-32-le"), np.uint32)
+                size = np.array([len(p) for p in mine])
                 symbols = self.symbol_of[points].reshape(len(mine), width)
-                size = np.array([len(parts[i]) for i in mine])
-                symbols = np.where(np.arange(width) < size[:, None], symbols, -1 - (np.arange(width) >= size[:, None]))
-                for i, row in zip(mine.tolist(), self._merged(symbols, size)):
-                    out[i] = row
+                # Behind a part's end stands no symbol.
+                symbols[np.arange(width) >= size[:, None]] = -2
+                self._merge(mine, symbols, size, out)
         return out
 
-    def _merged(self, symbols: np.ndarray, size: np.ndarray) -> list[list[int]]:
-        out: list[list[int]] = [[]] * len(symbols)
+    def _merge(self, parts: list[str], symbols: np.ndarray, size: np.ndarray, out: dict[str, bytes]) -> None:
         rows = np.arange(len(symbols))
         ranks, _ = self._pair(symbols[:, :-1], symbols[:, 1:])
         while len(rows):
             best = ranks.argmin(axis=1)
             live = ranks[np.arange(len(rows)), best] < _NONE
-            for r, row, n in zip(rows[~live].tolist(), symbols[~live].tolist(), size[~live].tolist()):
-                out[r] = row[:n]
+            self._finish(parts, rows[~live], symbols[~live], size[~live], out)
             rows, symbols, ranks, best, size = rows[live], symbols[live], ranks[live], best[live], size[live] - 1
             if not len(rows):
                 break
@@ -165,7 +162,14 @@ class PieceCoder:
             ranks[at[left], best[left] - 1] = self._pair(symbols[at[left], best[left] - 1], symbols[at[left], best[left]])[0]
             right = best < width - 2
             ranks[at[right], best[right]] = self._pair(symbols[at[right], best[right]], symbols[at[right], best[right] + 1])[0]
-        return out
+
+    def _finish(self, parts: list[str], rows: np.ndarray, symbols: np.ndarray, size: np.ndarray, out: dict[str, bytes]) -> None:
+        """Ids of the rows without a pair left; those that are all pieces are ids already."""
+        symbols = np.ascontiguousarray(symbols, np.int32)
+        plain = ((symbols == -2) | ((symbols >= 0) & (symbols < len(self.surfaces)))).all(axis=1)
+        flat, step = symbols.tobytes(), 4 * symbols.shape[1]
+        for k, (r, n, good) in enumerate(zip(rows.tolist(), size.tolist(), (plain & (not self.unused)).tolist())):
+            out[parts[r]] = flat[k * step : k * step + 4 * n] if good else self._ids(parts[r], symbols[k, :n].tolist())
 
     def by_heap(self, part: str) -> list[int]:
         """Symbols of one part of any length, by a heap of (rank, place, symbols on both sides)."""
@@ -224,9 +228,7 @@ class PieceCoder:
         return array("i", out).tobytes()
 
     def _learn(self, parts: list[str]) -> None:
-        short = [p for p in parts if len(p) <= IN_STEP]
-        for p, symbols in zip(short, self.in_step(short)):
-            self.young[p] = self._ids(p, symbols)
+        self.young.update(self.in_step([p for p in parts if len(p) <= IN_STEP]))
         for p in parts:
             if len(p) > IN_STEP:
                 self.young[p] = self._ids(p, self.by_heap(p))
