@@ -14,8 +14,10 @@ from studytrail.operators.slices import ROWS_PER_SLICE
 from studytrail.runtime import drop_folder, shared_folder
 from studytrail.sources import jdbc, topics
 from studytrail.streaming import relay, reports
+from studytrail.streaming.commits import CommitLog
 from studytrail.streaming.offsets import resume_offsets, starting_offsets
 from studytrail.streaming.publish import Publisher
+from studytrail.streaming.sessions import SessionStore
 
 # Fixed table names and column families of the platform.
 HEARTBEAT_TABLE = "r_timestat"
@@ -93,6 +95,70 @@ def session_jobs(
             jdbc.replace_table(found.filter("is_open").drop("is_open"), connection, open_table(name))
 
 
+def incremental_session_jobs(
+    spark: SparkSession,
+    connection: Mapping[str, str],
+    names: Sequence[str],
+    state: str,
+    partitions: int = 200,
+    rows_per_slice: int = ROWS_PER_SLICE,
+    heartbeat_position: str = "ct",
+) -> None:
+    """Clean session jobs that read only rows beyond those of the run before. Their sessions are kept
+    under ``state``; a job appends the sessions a run closed to its target, those closed before
+    whose end late rows moved to ``changed_table``, and replaces its open ones.
+
+    The log is taken by ``id``, the heartbeats by ``heartbeat_position``: a column that grows in the
+    order of arrival. With the time of the heartbeat itself, those that arrive late are missed."""
+    columns = list(dict.fromkeys(c for name in names for c in SESSION_TABLES[name][2].heartbeat))
+    with Staging(spark) as staging:
+        for name in names:
+            log_table, target, spec = SESSION_TABLES[name]
+            store = SessionStore(spark, f"{state.rstrip('/')}/{name}", spec, rows_per_slice)
+            position = store.position()
+            beats = _beyond(spark, connection, HEARTBEAT_TABLE, heartbeat_position, position.get("heartbeat"), partitions)
+            beats = staging.copy(beats.select(*dict.fromkeys((*columns, heartbeat_position))), f"{name}-heartbeat")
+            log = _beyond(spark, connection, log_table, "id", position.get("log"), partitions)
+            log = staging.copy(log.select(*spec.log_columns), f"{name}-log")
+            reached = {"log": log.agg(F.max("id")).first()[0], "heartbeat": beats.agg(F.max(heartbeat_position).cast("string")).first()[0]}
+            if dict(beats.dtypes)[heartbeat_position] in ("int", "bigint", "smallint", "double"):
+                reached["heartbeat"] = beats.agg(F.max(heartbeat_position)).first()[0]
+            known = {k: v if v is not None else position.get(k) for k, v in reached.items()}
+            store.run(log, beats.select(*spec.heartbeat), known)
+            _deliver(spark, connection, store, name, log, partitions)
+            still_open = store.current(log).filter("is_open").drop("is_open")
+            jdbc.replace_table(staging.copy(still_open, f"{name}-open"), connection, open_table(name))
+
+
+def _beyond(spark, connection, table: str, column: str, value, partitions: int) -> DataFrame:
+    return jdbc.read_table_by_range(spark, connection, jdbc.rows_beyond(table, column, value), column, partitions)
+
+
+def _deliver(spark, connection, store: SessionStore, name: str, log: DataFrame, partitions: int) -> None:
+    """Append what the runs closed and no earlier job delivered. A delivery that began before and did
+    not end is made up: its rows go only where their key is missing."""
+    _, target, _ = SESSION_TABLES[name]
+    began, ended = CommitLog(spark, f"{store.root}/deliveries-begun"), CommitLog(spark, f"{store.root}/deliveries")
+    begun = set(began.batches())
+    for batch in sorted(set(store.commits.batches()) - set(ended.batches())):
+        rows = store.closed_in(batch, log)
+        parts = ((target, ~F.col("again"), SESSION_KEYS[name]), (changed_table(name), F.col("again"), (*SESSION_KEYS[name], "maxct")))
+        if batch not in begun:
+            began.add(batch, {})
+        for table, which, keys in parts:
+            some = rows.filter(which).drop("again")
+            if batch in begun:
+                jdbc.append_new(spark, some, connection, table, keys, partitions)
+            else:
+                jdbc.append_table(some, connection, table)
+        ended.add(batch, {})
+
+
+def changed_table(name: str) -> str:
+    """Where a job appends closed sessions again whose end has changed; the last one counts."""
+    return f"{SESSION_TABLES[name][1]}_{name}_changed"
+
+
 def open_table(name: str) -> str:
     """Where a job keeps the sessions that are still open."""
     return f"{SESSION_TABLES[name][1]}_{name}_open"

@@ -14,7 +14,7 @@ and once more over the few pieces at the slice borders.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -252,18 +252,34 @@ def sessionize(
     raise ValueError(f"unknown mode {mode!r}")
 
 
-def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int, with_open: bool) -> DataFrame:
+def clean_runs(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame:
+    """Sessions of rows in the log's shape, with ``is_open`` and ``last_id``, the id of the last row."""
     if not spec.peak:
         rows = rows.filter(F.col("at").isNotNull())
     slices = plan_slices(rows, spec.entity, ("ct", "id"), rows_per_slice)
     opening = [*[F.col(src).alias(out) for out, src in spec.output], F.col("ct")]
-    runs = _runs(rows, spec, spec.entity, ("ct", "id"), opening, [F.col("ct")], slices, True).filter("enter")
-    sessions = runs.select("s.*", F.col("e.ct").alias("maxct"), F.col("tail").alias("is_open")).withColumnRenamed("ct", "minct")
+    runs = _runs(rows, spec, spec.entity, ("ct", "id"), opening, [F.col("ct"), F.col("id")], slices, True).filter("enter")
+    sessions = runs.select(
+        "s.*", F.col("e.ct").alias("maxct"), F.col("tail").alias("is_open"), F.col("e.id").alias("last_id")
+    ).withColumnRenamed("ct", "minct")
     if spec.peak and slices is not None:
         sessions = _whole_peaks(sessions, rows, spec, slices)
+    return sessions.select(*_columns(spec), "is_open", "last_id")
+
+
+def _clean(rows: DataFrame, spec: SessionSpec, rows_per_slice: int, with_open: bool) -> DataFrame:
+    sessions = clean_runs(rows, spec, rows_per_slice)
     return sessions.select(*_columns(spec), *(["is_open"] if with_open else []))
 
 
+def runs_between(rows: DataFrame, spec: SessionSpec, fields: Sequence[str], rows_per_slice: int) -> DataFrame:
+    """For rows (entity, ct, id, at, fields): every row with ``at`` 1, as ``s``, and the last row
+    before the next such row of its entity, as ``e``; both hold the fields."""
+    slices = plan_slices(rows, spec.entity, ("ct", "id"), rows_per_slice)
+    kept = [F.col(c) for c in fields]
+    return _runs(rows, replace(spec, peak=None), spec.entity, ("ct", "id"), kept, kept, slices).filter("enter")
+
+
 def _compat(rows: DataFrame, spec: SessionSpec, rows_per_slice: int) -> DataFrame:
     order = (*spec.group, *spec.order, "ct", "id")
     slices = plan_slices(rows, (), order, min(rows_per_slice, GLOBAL_SLICE_ROWS))

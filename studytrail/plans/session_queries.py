@@ -8,7 +8,9 @@ from studytrail.jobs import SESSION_KEYS
 from studytrail.operators import sessions as S
 from studytrail.plans import fixtures as X
 from studytrail.plans.registry import Registry
+from studytrail.runtime import temporary_folder
 from studytrail.sources.jdbc import new_rows
+from studytrail.streaming.sessions import SessionStore
 
 # Resource logs differ in how many resources a course has.
 JOBS = {
@@ -90,6 +92,23 @@ def _append_new(spark, sf_dir):
     return stored.union(new_rows(closed, stored, SESSION_KEYS["course"])).union(still_open)
 
 
+def _incremental(spec: S.SessionSpec, resources: int):
+    """Sessions kept over three runs: up to 11 January, up to 21 January, the rest. One row in five
+    comes a run late, enter rows and heartbeats among them."""
+
+    def run(spark, sf_dir):
+        events = X.tables(spark, sf_dir)("events")
+        number = sum((F.col("ts") >= F.lit(day).cast("timestamp_ntz")).cast("int") for day in ("2024-01-11", "2024-01-21"))
+        arrives = F.least(number + (F.pmod(F.xxhash64("event_id"), F.lit(5)) == 0).cast("int"), F.lit(2))
+        store = SessionStore(spark, temporary_folder(spark, "sessions"), spec)
+        for n in range(3):
+            some = events.filter(arrives == n)
+            store.run(X.operations(some, resources), X.heartbeats(some))
+        return store.current(X.operations(events, resources)).drop("is_open")
+
+    return run
+
+
 def register(reg: Registry) -> None:
     for name, (spec, resources) in JOBS.items():
         reg.add(f"ses_{name}_clean", _job(spec, resources, "clean"), clean_sql(spec, resources))
@@ -98,3 +117,5 @@ def register(reg: Registry) -> None:
     reg.add("ses_course_clean_sliced", _job(S.COURSE, 4, "clean", 20), clean_sql(S.COURSE, 4))
     reg.add("ses_login_compat_sliced", _job(S.LOGIN, 4, "compat", 50), compat_sql(S.LOGIN, 4))
     reg.add("ses_append_new", _append_new, clean_sql(S.COURSE, 4))
+    reg.add("ses_incremental", _incremental(S.COURSE, 4), clean_sql(S.COURSE, 4))
+    reg.add("ses_incremental_video", _incremental(S.VIDEO, 4), clean_sql(S.VIDEO, 4))

@@ -55,6 +55,15 @@ def read_table_by_range(
     )
 
 
+def rows_beyond(table: str, column: str, value: int | float | str | None) -> str:
+    """A table's rows whose column lies beyond a value, as what stands in ``from``; the database
+    evaluates it, so that no other rows travel."""
+    if value is None:
+        return table
+    shown = "'" + value.replace("'", "''") + "'" if isinstance(value, str) else str(value)
+    return f"(select * from {table} where {column} > {shown}) beyond_{column}"
+
+
 def new_rows(rows: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not stored yet (null keys compare equal)."""
     known = stored.select(*[stored[k].alias(f"__{k}") for k in keys])
