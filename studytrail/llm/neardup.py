@@ -11,9 +11,13 @@ are skipped when candidates are formed; their collisions are counted by comparin
 two signatures. Pairs at or above the threshold are confirmed on the full shingle sets.
 
 No list is expanded into all its pairs beyond ``SHORT`` members. Longer lists are linked
-first through hubs of small buckets; then, per list, only documents outside the list's
-largest class so far are compared with the others. Both are cut into chunks of bounded weight
-and compared chunk against chunk, one such block at a time inside a task.
+first through hubs of small buckets. Where a long list still holds several classes after that,
+its members are posted once more, under the shingles of their prefixes, rarest first: a link
+needs a shingle that stands in the prefixes of both, and what very many texts share, a licence
+say, comes last and is posted by none. Lists of several classes up to SHORT members give their
+pairs again. Longer ones are merged into groups that share members, so that a document stands in
+one group however many lists it is in; per group, only documents outside the largest class are
+compared with the others, in chunks of bounded weight, one pair of chunks at a time in a task.
 
 Equal sets are one class from the start, so thousands of copies cost one signature.
 """
@@ -240,6 +244,88 @@ def _size_class(n: Column) -> Column:
     return F.floor(F.log(n) / F.log(F.lit(100 / PERCENT))).cast("int")
 
 
+def mixed_lists(posted: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows (token, rep, label) of lists whose members have more than one label."""
+    rows = relabel(posted.select("token", "rep"), labels)
+    several = rows.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo != hi")
+    return rows.join(several.select("token"), "token", "left_semi")
+
+
+def shingle_rows(texts: DataFrame) -> DataFrame:
+    """(rep, token): a row for each shingle of (id, text)."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rep, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = shingle_set(text.as_py()).view(np.int64)
+                columns = [pa.array(np.full(len(found), rep, np.int64)), pa.array(found)]
+                yield pa.RecordBatch.from_arrays(columns, names=["rep", "token"])
+
+    return texts.mapInArrow(cut, "rep long, token long")
+
+
+def prefix_postings(members: DataFrame, docs: DataFrame, classes: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(token, rep): the members (rep) under the shingles of their prefixes. A partner shares at least
+    ``percent`` of a member's shingles, so of any order all but so many of its shingles, and one
+    more, hold a shared one. Rare shingles come first; those of one member use up places and are
+    not posted."""
+    rows = kept(shingle_rows(texts_of(docs, members.select("rep"))), "neardup-shingles")
+    shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("freq")).filter("freq > 1")
+    listed = rows.join(shared, "token").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("freq", "token"))).alias("keys"))
+    n = F.col("n_shingles")
+    prefix = n - F.ceil(n * percent / 100) + 1
+    places = (prefix - (n - F.size("keys"))).cast("int")
+    sized_lists = listed.join(classes.select("rep", "n_shingles"), "rep").filter(places > 0)
+    return sized_lists.select("rep", F.explode(F.slice("keys", F.lit(1), places)).alias("k")).select("k.token", "rep")
+
+
+def cross_pairs(lists: DataFrame) -> DataFrame:
+    """Pairs of different labels in lists of at most SHORT members."""
+    sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= SHORT)
+    short = lists.join(sizes.select("token"), "token", "left_semi")
+    a = short.select("token", F.col("rep").alias("hub"), F.col("label").alias("own"))
+    return a.join(short, "token").filter("hub < rep and own != label").select("hub", "rep")
+
+
+def grouped(lists: DataFrame) -> DataFrame:
+    """(token, rep): lists that share members as one, named by its least member."""
+    hubs = lists.groupBy("token").agg(F.min("rep").alias("a"))
+    chained = lists.join(hubs, "token").filter("a != rep").select("a", F.col("rep").alias("b")).distinct()
+    return component_labels(chained).select(F.col("label").alias("token"), F.col("id").alias("rep"))
+
+
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The labels after further links: classes that a link joins are nodes of a second, smaller graph."""
+    if links.isEmpty():
+        return labels
+    ends = links.select(F.col("a").alias("rep"), F.col("b").alias("other"))
+    left = relabel(ends, labels).select(F.col("label").alias("a"), F.col("other").alias("rep"))
+    late = component_labels(relabel(left, labels).select("a", F.col("label").alias("b")).filter("a != b"))
+    moved = late.select(F.col("id").alias("label"), F.col("label").alias("top"))
+    ends = relabel(ends.select("rep").union(ends.select("other")).distinct(), labels).select(F.col("rep").alias("id"), "label")
+    # An id of either table has one label.
+    return kept(
+        labels.union(ends).distinct().join(moved, "label", "left").select("id", F.coalesce("top", "label").alias("label")),
+        "neardup-labels",
+    )
+
+
+def settled(long: DataFrame, classes: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The labels with all links inside long lists."""
+    members = kept(mixed_lists(long, labels).select("rep").distinct(), "neardup-mixed")
+    if members.isEmpty():
+        return labels
+    posted = kept(prefix_postings(members, docs, classes), "neardup-prefixes")
+    pairs = matching(cross_pairs(mixed_lists(posted, labels)), classes)
+    labels = joined(labels, kept(confirmed(pairs, docs), "neardup-links"))
+    lists = mixed_lists(posted, labels)
+    sizes = lists.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > SHORT)
+    rest = kept(lists.join(sizes.select("token"), "token", "left_semi").select("token", "rep"), "neardup-rest")
+    if rest.isEmpty():
+        return labels
+    return joined(labels, kept(searched(unsettled(grouped(rest), classes, docs, labels)), "neardup-searched"))
+
+
 def unsettled(long: DataFrame, classes: DataFrame, docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows to compare in blocks: per list, each chunk of the members outside the largest class so
     far ("probes") with itself, with every other such chunk and with every chunk of the largest
@@ -403,19 +489,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
     labels = component_labels(links)
     if most > SHORT:
-        rest = kept(searched(unsettled(long, classes, named, labels)), "neardup-searched")
-        if not rest.isEmpty():
-            # Classes that a late link joins are nodes of a second, smaller graph.
-            ends = rest.select(F.col("a").alias("rep"), F.col("b").alias("other"))
-            left = relabel(ends, labels).select(F.col("label").alias("a"), F.col("other").alias("rep"))
-            late = component_labels(relabel(left, labels).select("a", F.col("label").alias("b")).filter("a != b"))
-            moved = late.select(F.col("id").alias("label"), F.col("label").alias("top"))
-            ends = relabel(ends.select("rep").union(ends.select("other")).distinct(), labels).select(F.col("rep").alias("id"), "label")
-            # An id of either table has one label.
-            labels = kept(
-                labels.union(ends).distinct().join(moved, "label", "left").select("id", F.coalesce("top", "label").alias("label")),
-                "neardup-labels",
-            )
+        labels = settled(long, classes, named, labels)
     # Several classes may share a representative's id only if rows share a doc_id.
     named_classes = relabel(classes.select("key_a", "key_b", "rep"), labels)
     out = sketched.select("doc_id", "n_shingles", "key_a", "key_b").join(

@@ -58,29 +58,60 @@ def test_equals_all_pairs(spark, make_docs, monkeypatch, short, block):
     assert found(make_docs(rows)) == brute(rows)
 
 
+def licensed(rng, n):
+    """Texts that share one long licence and differ otherwise, and near copies of some."""
+    licence = " ".join(f"l{i}" for i in range(80))
+    own = lambda k: " ".join(f"x{rng.randrange(10**9)}" for _ in range(k))
+    texts = [f"{licence} {own(rng.choice((28, 30, 32, 44)))}" for _ in range(n)]
+    texts += [f"{t} {own(3)}" for t in texts[:12]]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_a_common_licence_costs_rows_in_proportion(make_docs, monkeypatch):
+    """Every label differs in the licence's lists. Their members are posted under what they do not
+    share with all others: twice the texts give at most 2.3 times the rows, and no block."""
+    monkeypatch.setattr(N, "SHORT", 8)
+    made = []
+
+    def counted(*args, prefix_postings=N.prefix_postings):
+        rows = N.kept(prefix_postings(*args), "test-prefixes")
+        made.append((args[0].count(), rows.count()))
+        return rows
+
+    monkeypatch.setattr(N, "prefix_postings", counted)
+    monkeypatch.setattr(N, "unsettled", None)
+    for n in (150, 300):
+        rows = licensed(random.Random(11), n)
+        assert found(make_docs(rows)) == brute(rows)
+    (members, few), (more_members, more) = made
+    assert members >= 100 and more_members >= 200 and more <= 2.3 * few + 100
+
+
 def test_blocks_are_bounded_where_every_label_differs(make_docs, monkeypatch):
-    """One long licence in many texts that differ otherwise: their lists have as many labels as
-    members, and no block may hold them all."""
+    """Texts of 60 out of 100 passages each: their rarest shingles are common too, and as many
+    labels as members. A member stands in one group; no block holds more than two chunks."""
     monkeypatch.setattr(N, "SHORT", 8)
-    monkeypatch.setattr(N, "BLOCK_SHINGLES", 2000)
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 4000)
     rng = random.Random(11)
-    licence = " ".join(f"l{i}" for i in range(80))
-    own = lambda n: " ".join(f"x{rng.randrange(10**9)}" for _ in range(n))
-    texts = [f"{licence} {own(rng.choice((22, 24, 26, 38)))}" for _ in range(160)]
-    texts += [f"{t} {own(3)}" for t in texts[:12]]
+    passages = [" ".join(f"p{i}x{k}" for k in range(6)) for i in range(100)]
+    texts = [" ".join(passages[i] for i in sorted(rng.sample(range(100), 60))) for _ in range(60)]
+    texts += [f"{t} end {i}" for i, t in enumerate(texts[:12])]
     rng.shuffle(texts)
-    weights = []
+    weights, lists = [], []
 
     def weighed(rows, searched=N.searched):
+        rows = N.kept(rows, "test-blocks")
         sizes = rows.selectExpr("token", "size_class", "block", "octet_length(shingles) div 8 as n").groupBy("token", "size_class", "block")
         weights.extend(r[3] for r in sizes.sum("n").collect())
+        lists.extend(r[0] for r in rows.select("token").distinct().collect())
         return searched(rows)
 
     monkeypatch.setattr(N, "searched", weighed)
     rows = list(enumerate(texts))
     assert found(make_docs(rows)) == brute(rows)
     # Chunks are dealt by a hash, so their weight varies about the bound.
-    assert len(weights) > 50 and max(weights) < 2 * 2000
+    assert len(weights) > 20 and max(weights) < 2 * 4000 and len(lists) == 1
 
 
 def test_links_between_chunks_join_what_all_links_join():
