@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from studytrail.functions.keys import count_text, join_key, key_long, positive, ratio
@@ -167,37 +167,40 @@ def _clean_counts() -> list[Column]:
     return out
 
 
-def _compat_counts(window: WindowSpec | None = None) -> list[Column]:
-    """Counters as stored by the last event, as aggregates or over a window.
-
-    The counters are the items known before the last event, by their first outcome,
-    plus the last event's own question and points. An item the last event created is
-    one it touched with a single attempt. Needs ``key_last``, the key's last event.
-    """
-
-    def over(c: Column) -> Column:
-        return c if window is None else c.over(window)
-
-    touched = F.col("last_seq") == F.col("key_last")
-    known = ~(touched & (F.col("attempts") == 1))
-    asked = ~F.col("is_point") & touched
-    right = (over(F.max(F.when(asked, F.col("last_right")))) == 1).cast("bigint")
-    out = []
-    for letter, kind in (("q", ~F.col("is_point")), ("p", F.col("is_point"))):
-        own = over(F.count_if(kind & touched))
-        out += [
-            (over(F.count_if(kind & known)) + own).alias(f"{letter}_count"),
-            (over(F.count_if(kind & known & (F.col("first_right") != 0))) + right * own).alias(f"{letter}_r_count"),
-            (over(F.count_if(kind & known & (F.col("first_right") == 0))) + (1 - right) * own).alias(
-                f"{letter}_f_count"
-            ),
-        ]
-    return out
-
-
-def _with_key_last(items: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Merged items of a key are as few as its questions and points, so a window is safe."""
-    return items.withColumn("key_last", F.max("last_seq").over(Window.partitionBy(*keys)))
+def _compat_report(items: DataFrame, keys: Sequence[str], *carried: str) -> DataFrame:
+    """Counters of each key as stored by its last event, with ``last_seq`` and the greatest of the
+    ``carried`` columns.
+
+    The counters are the items known before the last event, by their first outcome, plus the
+    last event's own question and points. Two mergeable aggregates tell them apart: items of a
+    key that were last touched by one event are counted together, then the counts of all its
+    events are summed, and those of the last one kept. An item the last event created is one it
+    touched with a single attempt."""
+    letters = (("q", ~F.col("is_point")), ("p", F.col("is_point")))
+    shares = (("", F.lit(True)), ("_r", F.col("first_right") != 0), ("_f", F.col("first_right") == 0))
+    total, created = [], []
+    for letter, kind in letters:
+        for share, which in shares:
+            total.append(F.count_if(kind & which).alias(f"{letter}{share}"))
+            created.append(F.count_if(kind & which & (F.col("attempts") == 1)).alias(f"{letter}{share}_new"))
+    right = F.max(F.when(~F.col("is_point"), F.col("last_right"))).alias("last_right")
+    by_event = items.groupBy(*keys, "last_seq").agg(*total, *created, right, *[F.max(c).alias(c) for c in carried])
+    names = [f"{letter}{share}" for letter, _ in letters for share, _ in shares]
+    last = F.struct("last_right", "q", "p", *[f"{n}_new" for n in names])
+    summed = by_event.groupBy(*keys).agg(
+        *[F.sum(n).alias(n) for n in names],
+        F.max_by(last, "last_seq").alias("last"),
+        F.max("last_seq").alias("last_seq"),
+        *[F.max(c).alias(c) for c in carried],
+    )
+    is_right = (F.col("last.last_right") == 1).cast("bigint")
+    counters = []
+    for letter, _ in letters:
+        own = {"": F.lit(1), "_r": is_right, "_f": 1 - is_right}
+        for share, _ in shares:
+            known = F.col(f"{letter}{share}") - F.col(f"last.{letter}{share}_new")
+            counters.append((known + own[share] * F.col(f"last.{letter}")).alias(f"{letter}{share}_count"))
+    return summed.select(*keys, *counters, "last_seq", *carried)
 
 
 def _merged_items(cells: DataFrame, question_point: DataFrame, keys: Sequence[str], *carried: str) -> DataFrame:
@@ -210,15 +213,14 @@ def paper_summary(cells: DataFrame, question_point: DataFrame, paper_task: DataF
     The task join goes before the last aggregate: rows partitioned by sitting are
     also partitioned for (user, sitting).
     """
-    items = with_tasks(_merged_items(cells, question_point, PAPER), paper_task)
-    if mode == "compat":
-        items = _with_key_last(items, PAPER)
-    report = items.groupBy(*PAPER).agg(
-        *(_clean_counts() if mode == "clean" else _compat_counts()),
-        F.max("task_id").alias("task_id"),
-        F.max("customs_id").alias("customs_id"),
-        F.max("last_seq").alias("last_seq"),
-    )
+    if mode == "clean":
+        items = with_tasks(_merged_items(cells, question_point, PAPER), paper_task)
+        report = items.groupBy(*PAPER).agg(
+            *_clean_counts(), *[F.max(c).alias(c) for c in ("task_id", "customs_id", "last_seq")]
+        )
+    else:
+        items = with_tasks(_merged_items(cells, question_point, PAPER), paper_task)
+        report = _compat_report(items, PAPER, "task_id", "customs_id")
     return report.select(
         *PAPER,
         *COUNTS,
@@ -253,24 +255,21 @@ def customs_summary(cells: DataFrame, question_point: DataFrame, paper_task: Dat
             F.col("customs_id").alias("CustomsID"),
             "last_seq",
         )
-    # Items per sitting carry their sitting's counters into the customs' items, whose
-    # last one then tells those of the sitting answered last.
+    # Every item counts twice: for its sitting and, with no sitting named, for the customs as a whole.
+    # One report over both scopes gives the customs' own counters and those of each sitting, of
+    # which the last one's are carried over.
+    item = ["is_point", "item_id"]
     sittings = with_tasks(_merged_items(cells, question_point, PAPER), paper_task).filter(F.col("customs_id") > 0)
-    counters = [c.alias(f"paper_{n}") for c, n in zip(_compat_counts(Window.partitionBy(*PAPER)), COUNTS)]
-    counted = _with_key_last(sittings, PAPER).select("*", *counters)
-    paper = [f"paper_{n}" for n in COUNTS]
-    item = [*CUSTOMS, "is_point", "item_id"]
-    latest = counted.groupBy(*item).agg(*_merged_columns(), *[F.max_by(c, "last_seq").alias(c) for c in paper])
-    report = (
-        _with_key_last(latest, CUSTOMS)
-        .groupBy(*CUSTOMS)
-        .agg(
-            *_compat_counts(),
-            *[F.max_by(c, "last_seq").alias(c) for c in paper],
-            F.max("last_seq").alias("last_seq"),
-        )
+    scope = F.explode(F.array(F.col("testpaper_user_id"), F.lit(None).cast("bigint"))).alias("scope")
+    scoped = merge_cells(sittings.select("*", scope), [*CUSTOMS, "scope", *item])
+    reports = _compat_report(scoped, [*CUSTOMS, "scope"])
+    whole = F.col("scope").isNull()
+    both = reports.groupBy(*CUSTOMS).agg(
+        *[F.max(F.when(whole, F.col(c))).alias(c) for c in COUNTS],
+        F.max_by(F.struct(*COUNTS), F.when(~whole, F.col("last_seq"))).alias("paper"),
+        F.max("last_seq").alias("last_seq"),
     )
-    summed = report.select(*CUSTOMS, *[(F.col(c) + F.col(f"paper_{c}")).alias(c) for c in COUNTS], "last_seq")
+    summed = both.select(*CUSTOMS, *[(F.col(c) + F.col(f"paper.{c}")).alias(c) for c in COUNTS], "last_seq")
     return summed.select(*CUSTOMS, *COUNTS, _accuracy(), "last_seq")
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from studytrail.functions.keys import board_name
 from studytrail.operators.answers import REQUIRED, REQUIRED_OLDER, first_task, valid_answers
-from studytrail.operators.slices import ROWS_PER_SLICE, in_positions, ranked
+from studytrail.operators.slices import ROWS_PER_PAGE_SLICE, ROWS_PER_SLICE, in_positions, ranked
 
 # Fixed board names.
 TASK_SCORE = "paperSummaryRank_"
@@ -87,16 +87,17 @@ def with_ranks(boards: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataF
     )
 
 
-def rank_of(boards: DataFrame, members: DataFrame, desc: bool = False, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def rank_of(boards: DataFrame, members: DataFrame, desc: bool = False, rows_per_slice: int = ROWS_PER_PAGE_SLICE) -> DataFrame:
     """Rank of the listed (board, member) pairs; absent members give no row.
 
-    Only boards asked about are ranked."""
+    Only boards asked about are read beyond their names. Their rows are counted by slice of the
+    order, and only slices that hold a listed member are sorted."""
     asked = boards.join(members.select("board").distinct(), "board", "left_semi")
-    return (
-        with_ranks(asked, rows_per_slice)
-        .join(members.select(*KEY).distinct(), list(KEY), "left_semi")
-        .select(*KEY, F.col("revrank" if desc else "rank").alias("rank"))
-    )
+    listed = members.select(*KEY).distinct()
+    probes = asked.join(listed, list(KEY), "left_semi")
+    placed = ranked(asked, ["board"], ["score", "member"], rows_per_slice, probes=probes)
+    rank = F.col("size") - 1 - F.col("pos") if desc else F.col("pos")
+    return placed.join(listed, list(KEY), "left_semi").select(*KEY, rank.alias("rank"))
 
 
 def top_k(boards: DataFrame, k: int, desc: bool = True) -> DataFrame:
@@ -109,16 +110,21 @@ def top_k(boards: DataFrame, k: int, desc: bool = True) -> DataFrame:
     )
 
 
+def _page(start: int, end: int | None, desc: bool) -> tuple[int, int | None]:
+    """Places start..end of a descending order as places of the ascending one."""
+    if not desc:
+        return start, end
+    return (0 if end is None else -1 - end), -1 - start
+
+
 def by_position(
-    boards: DataFrame, start: int, end: int, desc: bool = False, rows_per_slice: int = ROWS_PER_SLICE
+    boards: DataFrame, start: int, end: int, desc: bool = False, rows_per_slice: int = ROWS_PER_PAGE_SLICE
 ) -> DataFrame:
-    """Members at positions start..end of each board."""
-    place = F.col("revrank" if desc else "rank")
-    return (
-        with_ranks(boards, rows_per_slice)
-        .filter(in_positions(place, F.col("size"), start, end))
-        .select(*KEY, "score", place.alias("rank"))
-    )
+    """Members at positions start..end of each board. Of a large board only the slices that the
+    positions fall into are sorted."""
+    placed = ranked(boards, ["board"], ["score", "member"], rows_per_slice, page=_page(start, end, desc))
+    place = F.col("size") - 1 - F.col("pos") if desc else F.col("pos")
+    return placed.filter(in_positions(place, F.col("size"), start, end)).select(*KEY, "score", place.alias("rank"))
 
 
 def by_score(
@@ -128,7 +134,7 @@ def by_score(
     desc: bool = False,
     offset: int = 0,
     count: int | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int = ROWS_PER_PAGE_SLICE,
 ) -> DataFrame:
     """Members with a score in [low, high], optionally a page of them in order."""
     inside = boards.filter(F.col("score").between(low, high))
@@ -139,11 +145,13 @@ def by_score(
         placed = inside.withColumn("place", F.row_number().over(w))
         page = (F.col("place") <= offset + count) & (F.col("place") > offset)
         return placed.filter(page).select(*KEY, "score")
-    place = F.col("revrank" if desc else "rank")
+    last = None if count is None else offset + count - 1
+    placed = ranked(inside, ["board"], ["score", "member"], rows_per_slice, page=_page(offset, last, desc))
+    place = F.col("size") - 1 - F.col("pos") if desc else F.col("pos")
     page = place >= offset
     if count is not None:
         page = page & (place < offset + count)
-    return with_ranks(inside, rows_per_slice).filter(page).select(*KEY, "score")
+    return placed.filter(page).select(*KEY, "score")
 
 
 def count_by_score(boards: DataFrame, low: float, high: float) -> DataFrame:
@@ -184,12 +192,10 @@ def drop_boards(boards: DataFrame, names: Sequence[str]) -> DataFrame:
     return boards.filter(~F.col("board").isin(list(names)))
 
 
-def remove_by_position(boards: DataFrame, start: int, end: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
-    return (
-        with_ranks(boards, rows_per_slice)
-        .filter(~in_positions(F.col("rank"), F.col("size"), start, end))
-        .select(*KEY, "score")
-    )
+def remove_by_position(boards: DataFrame, start: int, end: int, rows_per_slice: int = ROWS_PER_PAGE_SLICE) -> DataFrame:
+    """The boards without the members at positions start..end, which are found as a page."""
+    gone = by_position(boards, start, end, rows_per_slice=rows_per_slice)
+    return boards.join(gone.select(*KEY), list(KEY), "left_anti").select(*KEY, "score")
 
 
 def remove_by_score(boards: DataFrame, low: float, high: float) -> DataFrame:

@@ -6,30 +6,29 @@ Results carry ``idx``, the place from 0.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from studytrail.operators.slices import ROWS_PER_SLICE, in_positions, ranked
+from studytrail.operators.slices import ROWS_PER_PAGE_SLICE, ROWS_PER_SLICE, in_positions, ranked
 
 ITEM = ("key", "pos", "value")
 
 
-def _placed(lists: DataFrame, order: Sequence[str], rows_per_slice: int) -> DataFrame:
+def _placed(lists: DataFrame, page: tuple[int, int], rows_per_slice: int) -> DataFrame:
+    """Items with their place; of a long list only the slices that the page falls into."""
     rows = lists.select("key", F.col("pos").alias("at"), "value")
-    return ranked(rows, ["key"], order, rows_per_slice).withColumnsRenamed({"pos": "idx", "at": "pos"})
+    return ranked(rows, ["key"], ["at"], rows_per_slice, page=page).withColumnsRenamed({"pos": "idx", "at": "pos"})
 
 
-def list_range(lists: DataFrame, start: int, end: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def list_range(lists: DataFrame, start: int, end: int, rows_per_slice: int = ROWS_PER_PAGE_SLICE) -> DataFrame:
     """Items start..end (inclusive, negative from the end) of every list."""
-    placed = _placed(lists, ["at"], rows_per_slice)
+    placed = _placed(lists, (start, end), rows_per_slice)
     return placed.filter(in_positions(F.col("idx"), F.col("size"), start, end)).select("key", "idx", "value")
 
 
-def list_index(lists: DataFrame, index: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def list_index(lists: DataFrame, index: int, rows_per_slice: int = ROWS_PER_PAGE_SLICE) -> DataFrame:
     """The item at one place; lists that are too short give no row."""
-    placed = _placed(lists, ["at"], rows_per_slice)
+    placed = _placed(lists, (index, index), rows_per_slice)
     want = F.lit(index) if index >= 0 else F.col("size") + index
     return placed.filter(F.col("idx") == want).select("key", "idx", "value")
 
@@ -38,9 +37,9 @@ def list_length(lists: DataFrame) -> DataFrame:
     return lists.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
 
 
-def list_trim(lists: DataFrame, start: int, end: int, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+def list_trim(lists: DataFrame, start: int, end: int, rows_per_slice: int = ROWS_PER_PAGE_SLICE) -> DataFrame:
     """Lists cut to the position range, keeping their ``pos``."""
-    placed = _placed(lists, ["at"], rows_per_slice)
+    placed = _placed(lists, (start, end), rows_per_slice)
     return placed.filter(in_positions(F.col("idx"), F.col("size"), start, end)).select(*ITEM)
 
 
@@ -65,7 +64,7 @@ def list_sort(
     desc: bool = False,
     offset: int = 0,
     count: int | None = None,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_slice: int = ROWS_PER_PAGE_SLICE,
     alpha: bool = False,
 ) -> DataFrame:
     """Every list sorted by value, optionally a page of it; ``idx`` is the sorted place.
@@ -77,7 +76,9 @@ def list_sort(
     if not alpha:
         rows = rows.withColumn("number", F.col("value").try_cast("double"))
         order = ["number", *order]
-    placed = ranked(rows, ["key"], order, rows_per_slice).withColumnRenamed("pos", "idx")
+    last = None if count is None else offset + count - 1
+    page = (offset, last) if not desc else (0 if last is None else -1 - last, -1 - offset)
+    placed = ranked(rows, ["key"], order, rows_per_slice, page=page).withColumnRenamed("pos", "idx")
     idx = F.col("size") - 1 - F.col("idx") if desc else F.col("idx")
     keep = idx >= offset
     if count is not None:

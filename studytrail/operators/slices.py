@@ -15,11 +15,14 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ROWS_PER_SLICE = 1_000_000
+# Where only some places are asked for, finer slices leave less to sort.
+ROWS_PER_PAGE_SLICE = 50_000
 MAX_SLICES = 65_536
 SAMPLE_PER_SLICE = 20
 
@@ -156,23 +159,32 @@ def ranked(
     keys: Sequence[str],
     order: Sequence[str],
     rows_per_slice: int = ROWS_PER_SLICE,
+    page: tuple[int, int | None] | None = None,
+    probes: DataFrame | None = None,
 ) -> DataFrame:
     """Add ``pos`` (0-based place in ascending order) and ``size`` of each group.
 
     Ordinary groups take one window. In a cut group the place is the place inside
     the slice plus the rows of the slices before it; that table of slice sizes has
     at most MAX_SLICES rows per cut group set and is broadcast for that reason.
+
+    ``page`` (first and last place, negative from the end, None for the end) and ``probes``
+    (keys and order columns of some rows) say which places are asked for. Slices of a cut
+    group without any are counted, but neither shuffled nor sorted, and their rows left out.
     """
     slices = plan_slices(df, keys, order, rows_per_slice)
     part = Window.partitionBy(*keys, *([SLICE] if slices else []))
     sliced = with_slice(df, slices) if slices else df
-    local = sliced.select(
-        "*",
-        (F.row_number().over(part.orderBy(*order)) - 1).cast("bigint").alias("pos"),
-        F.count(F.lit(1)).over(part).alias("size"),
-    )
+
+    def places(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            "*",
+            (F.row_number().over(part.orderBy(*order)) - 1).cast("bigint").alias("pos"),
+            F.count(F.lit(1)).over(part).alias("size"),
+        )
+
     if slices is None:
-        return local
+        return places(sliced)
     over_slices = Window.partitionBy(*keys).orderBy(SLICE)
     sizes = (
         sliced.filter(slices.is_hot())
@@ -181,17 +193,27 @@ def ranked(
         .select(
             *[F.col(k).alias(f"__k_{k}") for k in keys],
             F.col(SLICE).alias("__k_slice"),
-            F.sum("__n")
-            .over(over_slices.rowsBetween(Window.unboundedPreceding, -1))
-            .alias("__before"),
+            F.coalesce(F.sum("__n").over(over_slices.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
             F.sum("__n").over(Window.partitionBy(*keys)).alias("__total"),
+            "__n",
         )
     )
-    match = F.col(SLICE) == F.col("__k_slice")
-    for k in keys:
-        match = match & F.col(k).eqNullSafe(F.col(f"__k_{k}"))
-    joined = local.join(F.broadcast(sizes), match, "left")
-    return joined.select(
+
+    def matches(k: str) -> Column:
+        return F.col(k).eqNullSafe(F.col(f"__k_{k}"))
+
+    match = reduce(Column.__and__, map(matches, keys), F.col(SLICE) == F.col("__k_slice"))
+    if page is not None:
+        first, last = page
+        lo, hi = (F.lit(n) if n >= 0 else F.col("__total") + n for n in (first, -1 if last is None else last))
+        sizes = sizes.filter((F.col("__before") <= hi) & (F.col("__before") + F.col("__n") > lo))
+    if probes is not None:
+        asked = with_slice(probes.select(*keys, *order), slices).select(*keys, SLICE).distinct()
+        sizes = sizes.join(asked, match, "left_semi")
+    joined = sliced.join(F.broadcast(sizes.drop("__n")), match, "left")
+    if page is not None or probes is not None:
+        joined = joined.filter(~slices.is_hot() | F.col("__before").isNotNull())
+    return places(joined).select(
         *df.columns,
         (F.col("pos") + F.coalesce("__before", F.lit(0))).alias("pos"),
         F.coalesce("__total", "size").alias("size"),

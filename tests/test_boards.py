@@ -85,3 +85,26 @@ def test_counts_scores_and_changes(spark, df, rows):
     both = {r.member for r in B.intersect_boards(df, ["big", "b0"], "d").collect()}
     assert len(union) == 300 and both == set(ordered(rows, "b0"))
     assert {r.member: r.rank for r in B.rank_of(df, asked).collect()} == {"m1": ordered(rows, "big").index("m1")}
+
+
+@pytest.mark.parametrize("desc", [False, True])
+def test_ranks_and_pages_of_a_board_in_slices(spark, desc):
+    """Ties by member; one board in slices beside a small one; pages from either end and beyond."""
+    rows = [("big", f"m{i}", float(i % 13)) for i in range(300)] + [("small", f"m{i}", float(i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "board string, member string, score double").repartition(3)
+    order = {}
+    for board in ("big", "small"):
+        for place, r in enumerate(sorted(((s, m) for b, m, s in rows if b == board), reverse=desc)):
+            order[board, r[1]] = place
+    asked = spark.createDataFrame([("big", "m7"), ("big", "m288"), ("small", "m4"), ("big", "none"), ("no", "m1")], "board string, member string")
+    found = {(r.board, r.member): r["rank"] for r in B.rank_of(df, asked, desc, 25).collect()}
+    assert found == {k: order[k] for k in (("big", "m7"), ("big", "m288"), ("small", "m4"))}
+    sizes = {"big": 300, "small": 5}
+    for start, end in ((0, 9), (140, 160), (-3, -1), (2, -290), (298, 400)):
+        page = {(r.board, r.member): r["rank"] for r in B.by_position(df, start, end, desc, 25).collect()}
+        lo = lambda b: start if start >= 0 else max(sizes[b] + start, 0)  # noqa: B023, E731
+        hi = lambda b: end if end >= 0 else sizes[b] + end  # noqa: B023, E731
+        assert page == {k: p for k, p in order.items() if lo(k[0]) <= p <= hi(k[0])}
+    by_score = B.by_score(df, 2.0, 9.0, desc, offset=40, count=2000, rows_per_slice=25).collect()
+    inside = {b: sorted(((s, m) for c, m, s in rows if c == b and 2 <= s <= 9), reverse=desc)[40:] for b in sizes}
+    assert sorted((r.board, r.score, r.member) for r in by_score) == sorted((b, s, m) for b, v in inside.items() for s, m in v)

@@ -63,3 +63,27 @@ def test_null_and_negative_order_values(spark):
 def test_copies_are_noticed(spark):
     df = spark.range(900).select(F.lit(1).alias("k"), F.when(F.col("id") < 600, 5).otherwise(F.col("id")).alias("v"))
     assert plan_slices(df, ["k"], ["v"], rows_per_slice=50).has_copies
+
+
+@pytest.mark.parametrize("page", [(0, 4), (100, 120), (-7, -1), (395, None), (-500, 2), (250, 249)])
+def test_a_page_of_a_cut_group_leaves_other_slices_out(spark, page):
+    """One group in slices, small ones whole; places and sizes are those of the whole order."""
+    rows = [("hot", i % 50, f"m{i}") for i in range(400)] + [(f"g{i % 5}", i, "x") for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, s int, m string").repartition(3)
+    whole = {(r.k, r.s, r.m): (r.pos, r["size"]) for r in ranked(df, ["k"], ["s", "m"], 1 << 20).collect()}
+    found = {(r.k, r.s, r.m): (r.pos, r["size"]) for r in ranked(df, ["k"], ["s", "m"], 40, page=page).collect()}
+    assert all(whole[key] == place for key, place in found.items())
+    lo, hi = (n if n >= 0 else 400 + n for n in (page[0], -1 if page[1] is None else page[1]))
+    assert {key for key, (pos, _) in whole.items() if key[0] == "hot" and lo <= pos <= hi} <= set(found)
+    assert {key for key in whole if key[0] != "hot"} <= set(found)
+    assert sum(key[0] == "hot" for key in found) < 400 // 2
+
+
+def test_probes_are_ranked_within_their_slices(spark):
+    rows = [("hot", i % 7, f"m{i:03}") for i in range(400)] + [("g", i, "x") for i in range(30)]
+    df = spark.createDataFrame(rows, "k string, s int, m string").repartition(3)
+    probes = df.filter("m in ('m005', 'm006', 'm399')")
+    whole = {(r.k, r.s, r.m): r.pos for r in ranked(df, ["k"], ["s", "m"], 1 << 20).collect()}
+    found = {(r.k, r.s, r.m): r.pos for r in ranked(df, ["k"], ["s", "m"], 40, probes=probes).collect()}
+    assert all(whole[key] == pos for key, pos in found.items())
+    assert {tuple(r) for r in probes.collect()} <= set(found) and sum(key[0] == "hot" for key in found) < 250
