@@ -77,3 +77,24 @@ def record_text(key: Column, value: Column) -> Column:
 def marked_text(value: Column) -> Column:
     """Relay text of the second relay."""
     return F.concat(F.lit(">>>>:"), F.coalesce(value.cast("string"), F.lit("null")))
+
+
+def successor(prefix: str) -> str | None:
+    """The least text that is greater than all texts with the prefix, in byte order; None if there is
+    none."""
+    while prefix:
+        point = ord(prefix[-1]) + 1
+        # Surrogates are no characters of their own.
+        point = 0xE000 if point == 0xD800 else point
+        if point <= 0x10FFFF:
+            return prefix[:-1] + chr(point)
+        prefix = prefix[:-1]
+    return None
+
+
+def between_keys(key: Column, low: str, high: str | None = None) -> Column:
+    """Keys that begin with ``low`` or, with ``high``, with anything from ``low`` to ``high``: bounds that
+    reach the scan, so that row groups outside them are not read."""
+    end = successor(low if high is None else high)
+    keep = key >= F.lit(low) if low else F.lit(True)
+    return keep if end is None else keep & (key < F.lit(end))

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from studytrail.functions.keys import between_keys
 from studytrail.functions.predicates import Comparator, test
 from studytrail.operators.slices import ROWS_PER_SLICE, ranked
 
@@ -29,11 +30,22 @@ def latest(cells: DataFrame) -> DataFrame:
     )
 
 
+# Keys that are looked up by a filter of the scan; more of them meet the cells in a join.
+MOST_KEYS = 1000
+
+
 def get_rows(cells: DataFrame, keys: DataFrame | Sequence[str]) -> DataFrame:
-    """Cells of the given row keys: a pushed-down filter for a list, a semi join for a table."""
-    if isinstance(keys, DataFrame):
-        return cells.join(keys.select("rowkey"), "rowkey", "left_semi")
-    return cells.filter(F.col("rowkey").isin(list(keys)))
+    """Cells of the given row keys. Up to MOST_KEYS reach the scan as a filter, where the bounds and the
+    bloom filters of a stored cell table leave out row groups; a table of more keys is joined, and
+    its least and greatest key bound the scan."""
+    if not isinstance(keys, DataFrame):
+        return cells.filter(F.col("rowkey").isin(list(keys)))
+    distinct = keys.select("rowkey").filter("rowkey is not null").distinct()
+    few = [r.rowkey for r in distinct.limit(MOST_KEYS + 1).collect()]
+    if len(few) <= MOST_KEYS:
+        return cells.filter(F.col("rowkey").isin(few))
+    low, high = distinct.agg(F.min("rowkey"), F.max("rowkey")).first()
+    return cells.filter(F.col("rowkey").between(low, high)).join(distinct, "rowkey", "left_semi")
 
 
 def scan_family(cells: DataFrame, family: str, qualifier: str | None = None) -> DataFrame:
@@ -104,11 +116,13 @@ def column_range(
 
 
 def fuzzy_row(cells: DataFrame, pattern: str, mask: Sequence[int]) -> DataFrame:
-    """Rows whose key agrees with the pattern where the mask is 0 (longer keys match too)."""
+    """Rows whose key agrees with the pattern where the mask is 0 (longer keys match too). The part
+    before the first free place bounds the keys that are read."""
     if len(pattern) != len(mask):
         raise ValueError("pattern and mask differ in length")
     body = "".join("." if free else re.escape(ch) for ch, free in zip(pattern, mask))
-    return cells.filter(F.col("rowkey").rlike("(?s)^" + body))
+    fixed = pattern[: next((i for i, free in enumerate(mask) if free), len(pattern))]
+    return cells.filter(between_keys(F.col("rowkey"), fixed) & F.col("rowkey").rlike("(?s)^" + body))
 
 
 def inclusive_stop(cells: DataFrame, stop: str) -> DataFrame:

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from studytrail.functions.keys import between_keys
+
 # Characters with a meaning in a regular expression.
 _SPECIAL = set(".^$+{}()|\\*?[]")
 
@@ -63,8 +65,29 @@ def increment(table: DataFrame, deltas: DataFrame, kind: str = "bigint") -> Data
     return _add_up(table, deltas, ["key"], kind)
 
 
+def glob_bounds(glob: str) -> tuple[str, str]:
+    """The least and the greatest beginning of a key that matches: what stands before the first free
+    place, and the ends of a plain list of characters there."""
+    fixed, i = "", 0
+    while i < len(glob) and glob[i] not in "*?[":
+        if glob[i] == "\\" and i + 1 < len(glob):
+            i += 1
+        fixed += glob[i]
+        i += 1
+    close = glob.find("]", i + 1) if glob[i : i + 1] == "[" else -1
+    listed = glob[i + 1 : close] if close > i + 1 else ""
+    if glob[i : i + 1] == "[" and close <= i + 1:
+        # No list: the bracket stands for itself, and what follows it is not looked at.
+        return fixed + "[", fixed + "["
+    if listed and not set(listed) & set("^-\\&["):
+        return fixed + min(listed), fixed + max(listed)
+    return fixed, fixed
+
+
 def matching_keys(table: DataFrame, glob: str) -> DataFrame:
-    return table.filter(F.col("key").rlike(glob_pattern(glob))).select("key")
+    """Keys that match the glob; the part before its first free place bounds the keys that are read."""
+    low, high = glob_bounds(glob)
+    return table.filter(between_keys(F.col("key"), low, high) & F.col("key").rlike(glob_pattern(glob))).select("key")
 
 
 def exists(table: DataFrame, keys: DataFrame) -> DataFrame:

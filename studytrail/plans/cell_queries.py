@@ -8,7 +8,8 @@ from studytrail.functions import predicates as P
 from studytrail.operators import cellfilters as C
 from studytrail.plans import fixtures as X
 from studytrail.plans.registry import Registry, ctes
-from studytrail.runtime import stored
+from studytrail.runtime import stored, temporary_folder
+from studytrail.sources import celltables
 
 # Versions asked for, among the newest of each table size.
 VERSIONS = [*range(30, 40), *range(390, 400), *range(3990, 4000)]
@@ -206,6 +207,18 @@ def register(reg: Registry) -> None:
         f"""{versions} select rowkey, family, qualifier, version, value from (select *, row_number() over
  (partition by rowkey, family, qualifier order by version desc) as rn from v) z where rn=1""",
     )
+    newest = f"""{versions} select rowkey, family, qualifier, version, value from (select *, row_number() over
+ (partition by rowkey, family, qualifier order by version desc) as rn from v) z where rn=1"""
+    reg.add(
+        "cell_get_stored",
+        _stored_cells(20, lambda spark, sf_dir, cells: C.get_rows(cells, _nation_keys(spark, sf_dir))),
+        f"{newest} and rowkey in (select concat('u', lpad(cast(n_nationkey as varchar), 8, '0')) from nation)",
+    )
+    reg.add(
+        "cell_fuzzy_stored",
+        _stored_cells(4, lambda spark, sf_dir, cells: C.fuzzy_row(cells, "u00000000", [0] * 7 + [1, 0])),
+        f"{newest} and rowkey like 'u000000_0'",
+    )
     reg.add(
         "cell_delete",
         _versions(_delete_clicks),
@@ -214,6 +227,26 @@ def register(reg: Registry) -> None:
     )
 
 
+def _stored_cells(batches: int, choose):
+    """Current cells among those chosen from a stored table, whose versions came in several batches."""
+
+    def run(spark, sf_dir):
+        path = temporary_folder(spark, "cells")
+        versions = X.cell_versions(X.tables(spark, sf_dir)("events"))
+        cells = versions.select(*C.CELL, F.col("seq").alias("version"), "value")
+        celltables.create_table(spark, path, ["course", "info"])
+        for n in range(batches):
+            celltables.put_cells(spark, path, cells.filter(F.col("version") % batches == n), (0, n))
+        return C.latest(choose(spark, sf_dir, celltables.all_versions(spark, path)))
+
+    return run
+
+
+def _nation_keys(spark, sf_dir):
+    number = F.col("n_nationkey").cast("string")
+    return X.tables(spark, sf_dir)("nation").select(F.concat(F.lit("u"), F.lpad(number, 8, "0")).alias("rowkey"))
+
+
 def _delete_clicks(versions):
     cells = versions.select(*C.CELL, F.col("seq").alias("version"), "value")
     return C.delete_newest(cells, cells.filter(F.col("qualifier") == "click"))

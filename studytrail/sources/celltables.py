@@ -2,7 +2,7 @@
 
 A put adds a folder of cells; the current cell is the one with the highest version,
 found by the reader's aggregate, so a put costs its own rows. Files are ordered by
-row key: key ranges and prefixes prune row groups.
+row key: key ranges and prefixes prune row groups, bloom filters prune gets by key.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from studytrail.streaming.commits import Batch, CommitLog
 
 CELL_SCHEMA = "rowkey string, family string, qualifier string, version long, value string"
 
+# Row groups carry a bloom filter of their row keys, as large as its keys need: a get by key
+# leaves out those of all the batches that do not hold it.
+ROW_KEY_FILTER = {"parquet.bloom.filter.enabled#rowkey": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
 
 def _table_exists(spark: SparkSession, path: str) -> bool:
     folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/families/_SUCCESS")
@@ -49,12 +53,12 @@ def put_cells(spark: SparkSession, path: str, cells: DataFrame, batch: Batch) ->
         "family", F.when(F.col("family").isin(known), F.col("family")).otherwise(wrong)
     )
     ordered = checked.repartitionByRange("rowkey", "family", "qualifier").sortWithinPartitions("rowkey")
-    BatchFolder(spark, f"{path}/cells").write(ordered, batch)
+    cell_batches(spark, path).write(ordered, batch)
 
 
 def cell_batches(spark: SparkSession, path: str, commits: CommitLog | None = None) -> BatchFolder:
     """The table's batches; with a commit log, only those it has recorded."""
-    return BatchFolder(spark, f"{path}/cells", commits)
+    return BatchFolder(spark, f"{path}/cells", commits, **ROW_KEY_FILTER)
 
 
 def all_versions(spark: SparkSession, path: str, commits: CommitLog | None = None) -> DataFrame:

@@ -52,10 +52,12 @@ class BatchFolder:
     """Folders ``batch-G-N`` and ``base-G-N-L``; a base of level L holds the batches up to
     (G, N) that the base before it does not hold."""
 
-    def __init__(self, spark: SparkSession, root: str, commits: CommitLog | None = None):
+    def __init__(self, spark: SparkSession, root: str, commits: CommitLog | None = None, **options: str):
+        """``options`` are those of the files written."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.commits = commits
+        self.options = options
 
     def is_finished(self, name: str) -> bool:
         fs, path = _system(self.spark, self.root)
@@ -100,7 +102,7 @@ class BatchFolder:
         return _batch(batch)
 
     def write(self, df: DataFrame, batch: Batch) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/{_batch(batch)}")
+        df.write.options(**self.options).mode("overwrite").parquet(f"{self.root}/{_batch(batch)}")
 
     def read(self, schema: str) -> DataFrame:
         """Rows of all finished batches."""
@@ -125,11 +127,12 @@ class BatchFolder:
         if not batches:
             return None
         end = batches[-1]
-        merge(self._load([_batch(b) for b in batches], schema)).write.mode("overwrite").parquet(f"{self.root}/{_base(end, 0)}")
+        rows = merge(self._load([_batch(b) for b in batches], schema))
+        rows.write.options(**self.options).mode("overwrite").parquet(f"{self.root}/{_base(end, 0)}")
         level = 0
         while len(same := [b for b in self.bases() if b[1] == level]) >= fanout:
             rows = merge(self._load([_base(*b) for b in same], schema))
-            rows.write.mode("overwrite").parquet(f"{self.root}/{_base(same[-1][0], level + 1)}")
+            rows.write.options(**self.options).mode("overwrite").parquet(f"{self.root}/{_base(same[-1][0], level + 1)}")
             level += 1
         return end
 

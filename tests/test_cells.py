@@ -3,8 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
+from studytrail.functions import keys
 from studytrail.functions import predicates as P
 from studytrail.operators import cellfilters as C
+from studytrail.operators import keyvalues as K
+from studytrail.sources import celltables
 from studytrail.sources import celltables as T
 
 ROWS = [
@@ -124,3 +127,60 @@ def test_cell_table(spark, tmp_path, cells):
     with pytest.raises(Exception, match="unknown column family"):
         T.put_cells(spark, path, newer.withColumn("family", F.lit("nope")), (0, 2))
     assert current() == before
+
+
+def scanned(df):
+    """Rows that the file scans of a plan gave out."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan().collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+@pytest.fixture(scope="module")
+def table(spark, tmp_path_factory):
+    """Twenty batches; each holds the keys of one residue, so their bounds overlap."""
+    path = str(tmp_path_factory.mktemp("cells") / "t")
+    celltables.create_table(spark, path, ["f"])
+    rows = spark.range(20_000).select(
+        F.concat(F.lit("u"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("rowkey"),
+        F.lit("f").alias("family"), F.lit("q").alias("qualifier"), F.col("id").alias("version"), F.col("id").cast("string").alias("value"),
+    )
+    for n in range(20):
+        celltables.put_cells(spark, path, rows.filter(F.col("version") % 20 == n).coalesce(1), (0, n))
+    return celltables.all_versions(spark, path)
+
+
+def test_a_get_skips_batches_without_the_key(spark, table):
+    wanted = spark.createDataFrame([("u00000105",), ("u00010105",), (None,), ("u00000105",)], "rowkey string")
+    found = C.get_rows(table, wanted)
+    assert sorted(r.value for r in found.collect()) == ["10105", "105"]
+    # One batch of a thousand rows holds both keys; a few others may pass the bloom filters.
+    assert scanned(found) <= 4000
+
+
+def test_many_keys_are_joined_within_their_bounds(spark, table, monkeypatch):
+    monkeypatch.setattr(C, "MOST_KEYS", 3)
+    wanted = table.filter("version between 100 and 149").select("rowkey")
+    assert sorted(int(r.value) for r in C.get_rows(table, wanted).collect()) == list(range(100, 150))
+
+
+def test_a_fuzzy_key_is_bounded(spark, table):
+    found = C.fuzzy_row(table, "u00000000", [0] * 6 + [1, 1, 0])
+    assert sorted(int(r.value) for r in found.collect()) == [i for i in range(1000) if i % 10 == 0]
+    assert "GreaterThanOrEqual(rowkey,u00000)" in found._jdf.queryExecution().toString()
+    assert scanned(C.fuzzy_row(table, "v00000000", [0] * 9)) == 0
+
+
+def test_successors():
+    assert keys.successor("ab") == "ac" and keys.successor("a\U0010ffff") == "b"
+    assert keys.successor("\U0010ffff") is None and keys.successor("") is None and keys.successor("퟿") == ""
+
+
+@pytest.mark.parametrize("glob", ["ab*", "[cs]*:1?", "a[b", "a\\*b*", "*x", "[a-c]z", "[^a]b", "", "??", "a[]b", "é[ü]*", "x[]]", "[a"])
+def test_glob_bounds_lose_nothing(spark, glob):
+    import re
+
+    texts = ["ab", "abc", "b", "c:1x", "s:12", "sab:13", "a[b", "a*b", "a*bz", "zx", "az", "bz", "cz", "bb", "", "xy", "a[]b", "éü", "éüx", "x]", "[a"]
+    df = spark.createDataFrame([(t,) for t in texts], "key string")
+    got = sorted(r.key for r in K.matching_keys(df, glob).collect())
+    assert got == sorted(t for t in texts if re.search(K.glob_pattern(glob).replace("$", r"\Z"), t))
