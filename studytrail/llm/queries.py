@@ -13,6 +13,7 @@ import corpus_pipeline
 from studytrail.llm import chat, decontaminate, hardnegatives, lengths, linededup, mixing, neardup, pagediff, pieces, prefixtrie, quality, tokens, warc
 from studytrail.llm import frames as token_frames
 from studytrail.llm import sql as Q
+from studytrail.llm.common import kept
 from studytrail.plans.registry import Registry
 
 VOCABULARY = corpus_pipeline.VOCABULARY
@@ -31,7 +32,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per distinct encoded length: documents, suffix sums, total cut at that length."""
     found = tokens.lengths(table(spark, sf_dir, "documents"), VOCABULARY)
-    return lengths.suffix_sums(lengths.histogram(found))
+    # The sums look at the histogram twice; the texts are encoded once.
+    return lengths.suffix_sums(kept(lengths.histogram(found), "length-histogram"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
