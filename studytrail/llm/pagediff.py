@@ -50,15 +50,45 @@ _TOKEN = re.compile(
     r"|<([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>|<([a-zA-Z][^\s/>]*)([^>]*)>?|([^<]+|<)",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TELLING = re.compile(r"class|id|role|hidden|style", re.IGNORECASE)
 # First words of two-word names whose second word is in NAMED_OUT ("site-header").
 PLACES = frozenset("site page main top bottom left right global primary secondary blog user reader post article".split())
 _PART = re.compile(r"[^a-z0-9]+")
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|display\s*:\s*none", re.IGNORECASE)
+_HIDDEN = re.compile(r"display\s*:\s*none", re.IGNORECASE)
+# Words that, beside one of NAMED_OUT, name a part inside an article ("comment-list", "ad-slot-2"); with other
+# words it may be the name of a heading ("search-algorithms") or of a figure ("comment-count").
+CONTAINERS = frozenset(
+    "area bar block box button buttons container form group icons inner items link links list panel posts row section slot strip "
+    "thread unit wrap wrapper".split()
+)
+# Elements whose id names their own place in the text.
+ANCHORED = frozenset("h1 h2 h3 h4 h5 h6 p a span li dt".split())
 OPEN, OUT, ARTICLE = 0, 1, 2
 
 
-def _is_out(name: str, attributes: str, in_article: bool) -> bool:
+def _attributes(text: str) -> dict[str, str]:
+    """Attributes by lower-case name; the first of a name counts."""
+    found: dict[str, str] = {}
+    if _TELLING.search(text):
+        for name, double, single, bare in _ATTRIBUTE.findall(text):
+            found.setdefault(name.lower(), double or single or bare)
+    return found
+
+
+def _names_a_part(label: str, in_article: bool) -> bool:
+    """Whether a class, id or role names a part without article text. Inside an article all of its words
+    have to say so, elsewhere the first."""
+    parts = [p for p in _PART.split(label) if p and not p.isdigit()]
+    if not parts:
+        return False
+    if in_article:
+        return "header" not in parts and not NAMED_OUT.isdisjoint(parts) and all(p in NAMED_OUT | CONTAINERS | PLACES for p in parts)
+    # "ad", "cookie-notice", "site-footer", "reader-comments"; but not "no-sidebar".
+    return parts[0] in NAMED_OUT or len(parts) == 2 and parts[0] in PLACES and parts[1] in NAMED_OUT
+
+
+def _is_out(name: str, attributes: dict[str, str], in_article: bool) -> bool:
     """An element that begins a part without article text."""
     if name in LEFT_OUT:
         return True
@@ -66,18 +96,10 @@ def _is_out(name: str, attributes: str, in_article: bool) -> bool:
         return True
     if not attributes or name in ("html", "body"):
         return False
-    if _HIDDEN.search(attributes):
+    if "hidden" in attributes or _HIDDEN.search(attributes.get("style", "")):
         return True
-    for _, double, single, bare in _ATTRIBUTE.findall(attributes):
-        value = (double or single or bare).lower()
-        for label in value.split():
-            parts = [p for p in _PART.split(label) if p]
-            if in_article and "header" in parts:
-                continue
-            # "ad", "cookie-notice", "site-footer", "reader-comments"; but not "no-sidebar".
-            if parts and (parts[0] in NAMED_OUT or len(parts) == 2 and parts[0] in PLACES and parts[1] in NAMED_OUT):
-                return True
-    return False
+    told = ("class", "role") if in_article and name in ANCHORED else ("class", "id", "role")
+    return any(_names_a_part(label, in_article) for key in told for label in attributes.get(key, "").lower().split())
 
 
 def _flush(pieces: list[str], found: list[tuple[int, str]], region: int) -> None:
@@ -132,14 +154,15 @@ def blocks(html: str | None) -> list[tuple[int, str]]:
             if stack and (stack[-1][0] == "p" and name in BLOCK or stack[-1][0] == name == "li"):
                 region = stack.pop()[1]
             depth[name] = depth.get(name, 0) + 1
-            out = _is_out(name, attributes, region == ARTICLE)
+            told = _attributes(attributes)
+            out = _is_out(name, told, region == ARTICLE)
             if name in MARKED and not out and region == OUT and stack and stack[-1][0] in ("nav", "header", "head", "ul"):
                 region = stack[-1][1]
                 stack.pop()
             if out and region != OUT:
                 stack.append((name, region, depth[name]))
                 region = OUT
-            elif region == OPEN and (name in MARKED or 'role="main"' in attributes):
+            elif region == OPEN and (name in MARKED or "main" in told.get("role", "").lower().split()):
                 stack.append((name, region, depth[name]))
                 region = ARTICLE
             if name in RAW:
@@ -231,8 +254,16 @@ def outlines(pages: DataFrame) -> DataFrame:
     return _rows(pages).mapInArrow(cut, OUTLINE)
 
 
+def distinct_lists(outline: DataFrame) -> DataFrame:
+    """One row per host and list of lines, at the first place where it stands: copies of a page meet the
+    nearest page that differs, all of them the same. ``marked`` if all its pages are."""
+    return outline.groupBy("host", "lines").agg(
+        F.min(F.struct("path", "page_id", "print")).alias("at"), F.bool_and("marked").alias("marked")
+    ).select("host", "lines", "at.*", "marked")
+
+
 def neighbours(outline: DataFrame) -> DataFrame:
-    """Pages without a marked article with the pages before and after in order of (host, path).
+    """Lists of pages without a marked article with those before and after in order of (host, path).
 
     The order is cut into ranges, so a host of any size is spread over tasks; the first and last
     page of a range meet those of the ranges beside it over a table of one row per range."""
@@ -249,7 +280,7 @@ def neighbours(outline: DataFrame) -> DataFrame:
     ends = ends.select("part", F.lag("last").over(parts).alias("last_before"), F.lead("first").over(parts).alias("first_after"))
     joined = met.filter("not marked").join(ends, "part", "left")
     return joined.select(
-        "page_id", "print", "host", "path", "lines",
+        "host", "path", "lines",
         F.coalesce("before", "last_before").alias("before"), F.coalesce("after", "first_after").alias("after"),
     )
 
@@ -265,29 +296,27 @@ def _near(path: str, other: str) -> int:
 
 
 def shared_lines(pairs: DataFrame) -> DataFrame:
-    """(page_id, print, drops): places of the lines to delete, for pages that lose any.
+    """(host, lines, drops): places of the lines to delete, for lists that lose any.
 
     The nearer of both neighbours of the host is taken, the one before if both are as near. A
-    copy tells nothing of a template: neighbours with the same lines are passed over, and a
     page keeps its lines if its neighbour has them all."""
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for page_id, mark, host, path, lines, before, after in zip(*[c.to_pylist() for c in batch.columns]):
-                beside = [n for n in (before, after) if n is not None and n["host"] == host and n["lines"] != lines]
+            for host, path, lines, before, after in zip(*[c.to_pylist() for c in batch.columns]):
+                beside = [n for n in (before, after) if n is not None and n["host"] == host]
                 if not beside or not lines:
                     continue
                 other = max(beside, key=lambda n: _near(path, n["path"]))
                 drops = common(lines, other["lines"])
                 if drops and len(drops) < len(lines):
-                    rows.append((page_id, mark, sorted(drops)))
+                    rows.append((host, lines, sorted(drops)))
             columns = list(zip(*rows)) or [[]] * 3
-            types = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["page_id", "print", "drops"])
+            types = [pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["host", "lines", "drops"])
 
-    found = pairs.mapInArrow(align, "page_id long, print long, drops array<int>")
-    return found.groupBy("page_id", "print").agg(F.min("drops").alias("drops"))
+    return pairs.mapInArrow(align, "host string, lines array<long>, drops array<int>")
 
 
 def extracted(pages: DataFrame) -> DataFrame:
@@ -297,7 +326,10 @@ def extracted(pages: DataFrame) -> DataFrame:
     "" and a page alone on its host keeps all its open lines. Rows that repeat a page_id are
     told apart by their html, exact repeats have equal results. An empty table gives no rows.
     Other columns are not read."""
-    drops = kept(shared_lines(neighbours(outlines(pages))), "page-drops")
+    outline = kept(outlines(pages), "page-outlines")
+    of_lists = shared_lines(neighbours(distinct_lists(outline)))
+    of_pages = outline.filter("not marked").join(of_lists, ["host", "lines"])
+    drops = kept(of_pages.groupBy("page_id", "print").agg(F.min("drops").alias("drops")), "page-drops")
     if drops.count() <= 20_000:
         drops = F.broadcast(drops)
     rows = _rows(pages)

@@ -104,3 +104,69 @@ def test_long_page_is_whole(spark):
     html = "<article>" + "".join(f"<p>line {i}</p>" for i in range(30_000)) + "</article>"
     (row,) = extract(spark, [(1, "http://h/1", html)])
     assert row[2] == "\n".join(f"line {i}" for i in range(30_000))
+
+
+def test_article_text_with_telling_names_stays():
+    """Slugs of headings and sections, counts, titles; but parts named as a whole go."""
+    keeps = [
+        '<h2 id="search-algorithms">a</h2>', '<section id="related-work">a</section>', '<p id="ad-hoc">a</p>', '<h3 id="navigation">a</h3>',
+        '<div class="comment-count">a</div>', '<p>a <a title="a hidden gem">b</a></p>', '<p class="no-sidebar">a</p>',
+        "<p style='color: red' data-x='display:none'>a</p>", '<p id="alert-levels">a</p>', '<div class="share-price">a</div>',
+    ]
+    goes = [
+        '<div class="comments">a</div>', '<div id="comment-list">a</div>', '<div class="ad-slot-2">a</div>', '<p hidden>a</p>',
+        '<div class="reader-comments">a</div>', '<div class="x cookie-notice">a</div>', '<ul class=related-posts><li>a</ul>',
+        '<p STYLE="display : none">a</p>', '<div role="complementary">a</div>', "<div class='newsletter-form'>a</div>",
+    ]
+    for part, want in [(k, ["a b"] if "<a" in k else ["a"]) for k in keeps] + [(g, []) for g in goes]:
+        assert P.text_lines(f"<article>{part}<p>z</p></article>") == (True, [*want, "z"]), part
+
+
+@pytest.mark.parametrize("role", ['role="main"', "role='main'", "role=main", 'class="x" ROLE="Main"'])
+def test_role_main_marks_the_article(role):
+    assert P.text_lines(f"<p>Menu</p><div {role}><p>a</p></div>") == (True, ["a"])
+
+
+def test_copies_lose_the_same_lines(spark):
+    """Copies beside one page that differs: equal pages have equal texts, however many there are."""
+    rows = [(i, f"http://h/a/{i}", page("Menu", "copied text", "Imprint")) for i in range(1, 5)]
+    rows += [(9, "http://h/a/9", page("Menu", "other text", "Imprint")), (20, "http://h/b", page("Menu", "copied text", "Imprint"))]
+    texts = {r[0]: r[2] for r in extract(spark, rows)}
+    assert texts == {**{i: "copied text" for i in (1, 2, 3, 4, 20)}, 9: "other text"}
+
+
+def plain(nodes, hidden=False):
+    """Blocks of a tree of (element, attributes, children or text), as the rules have them."""
+    out = []
+    for name, attributes, inner in nodes:
+        gone = hidden or name in ("nav", "footer", "aside", "script") or attributes in (' class="ad-box"', " hidden")
+        if isinstance(inner, str):
+            out += [] if gone else [" ".join(inner.split())]
+        else:
+            out += plain(inner, gone)
+    return out
+
+
+def written(nodes):
+    return "".join(f"<{n}{a}>{i if isinstance(i, str) else written(i)}</{n}>" for n, a, i in nodes)
+
+
+def test_random_page_trees():
+    """Brute force over random nested pages: every block outside the parts that go, once, in order."""
+    rng = random.Random(9)
+
+    def tree(depth):
+        nodes = []
+        for _ in range(rng.randrange(1, 4)):
+            if depth and rng.random() < 0.5:
+                name = rng.choice(["div", "section", "ul", "nav", "aside", "footer"])
+                nodes.append((name, rng.choice(["", ' class="ad-box"', ' id="search-work"', " hidden"]), tree(depth - 1)))
+            else:
+                nodes.append((rng.choice(["p", "h2", "div"]), rng.choice(["", ' id="ad-hoc"', ' title="hidden"']), f"t{rng.randrange(99)}  x\n"))
+        return nodes
+
+    for _ in range(300):
+        nodes = tree(3)
+        marked, lines = P.text_lines(f"<nav><p>Menu</p></nav><article>{written(nodes)}</article><footer>Imprint</footer>")
+        want = plain(nodes)
+        assert lines == want if want else not marked
