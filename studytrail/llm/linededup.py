@@ -1,9 +1,12 @@
 """Lines that many documents share, counted in levelled sorted runs of line hashes.
 
 A batch of documents becomes one run: a row per line key with the number of its documents,
-hash-partitioned and sorted by key. ``FANOUT`` runs of a level are merged into one run of the
-next, so a key lies in few runs however many batches came. ``cleaned`` merge-joins the lines
-of a batch with the runs and drops the lines whose key is in ``min_docs`` documents or more.
+hash-partitioned and sorted by key. The keys of a new batch are merge-anti-joined with the runs
+of keys that are known to be shared; the others are merged with the runs of counts, and those
+that come to ``min_docs`` documents go to the shared keys, the rest into a run of the batch.
+``FANOUT`` runs of a level are merged into one run of the next, without the keys that became
+shared, so a key lies in few runs however many batches came. Lines are dropped after the last
+batch: a line goes from every document, also from those that came before it was frequent.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from studytrail.llm.common import ascii_lower, kept, scratch, stripped, whole
+from studytrail.llm.common import ascii_lower, scratch, stripped, whole
 from studytrail.runtime import drop_folder
 
 MIN_DOCS = 10
@@ -42,13 +45,16 @@ def line_keys(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
 
 
 class LineRuns:
-    """Runs of one corpus under a folder that all executors share."""
+    """Runs of one corpus under a folder that all executors share. With ``min_docs``, keys in so many
+    documents are settled: they go to runs of their own and are no longer counted."""
 
-    def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = FANOUT):
+    def __init__(self, spark: SparkSession, root: str | None = None, fanout: int = FANOUT, min_docs: int | None = None):
         self.spark = spark
         self.root = root or scratch(spark, "line-runs")
         self.fanout = fanout
+        self.min_docs = min_docs
         self.levels: list[list[str]] = [[]]
+        self.settled: list[str] = []
         self.made = 0
 
     def _write(self, counts: DataFrame, level: int) -> None:
@@ -63,7 +69,19 @@ class LineRuns:
         """The run of a batch (rows of ``line_keys``), and the merges it sets off. A document
         counts once per key within its batch, so all its rows belong into one batch."""
         per_doc = keys.select("doc_id", *KEY).distinct()
-        self._write(per_doc.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_docs")), 0)
+        counts = per_doc.groupBy(*KEY).agg(F.count(F.lit(1)).alias("n_docs"))
+        if self.min_docs is None:
+            self._write(counts, 0)
+        else:
+            before = self.counts().withColumnRenamed("n_docs", "before")
+            total = F.col("n_docs") + F.coalesce("before", F.lit(0))
+            merged = self._open(counts).join(before.hint("merge"), list(KEY), "left").select(*KEY, "n_docs", total.alias("total"))
+            path = f"{self.root}/batch-{self.made}"
+            merged.write.parquet(path)
+            merged = self.spark.read.schema(merged.schema).parquet(path)
+            self._settle(merged.filter(F.col("total") >= self.min_docs))
+            self._write(merged.filter(F.col("total") < self.min_docs), 0)
+            drop_folder(self.spark, path)
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             old = self.levels[level]
@@ -73,17 +91,31 @@ class LineRuns:
                 drop_folder(self.spark, path)
             level += 1
 
+    def _settle(self, rows: DataFrame) -> None:
+        path = f"{self.root}/settled/run-{self.made}"
+        rows.select(*KEY).sortWithinPartitions(*KEY).write.parquet(path)
+        self.settled.append(path)
+
+    def _open(self, rows: DataFrame) -> DataFrame:
+        """Rows whose key is not settled."""
+        if not self.settled:
+            return rows
+        known = self.spark.read.schema("h1 long, h2 long").parquet(*self.settled)
+        return rows.join(known.hint("merge"), list(KEY), "left_anti")
+
     def _merged(self, paths: list[str]) -> DataFrame:
         rows = self.spark.read.schema(RUN_SCHEMA).parquet(*paths)
-        return rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"))
+        return self._open(rows.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs")))
 
     def counts(self) -> DataFrame:
-        """(h1, h2, n_docs) over all runs."""
+        """(h1, h2, n_docs) over all runs, of keys that are not settled."""
         paths = [p for level in self.levels for p in level]
         return self._merged(paths) if paths else self.spark.createDataFrame([], RUN_SCHEMA)
 
-    def shared(self, min_docs: int = MIN_DOCS) -> DataFrame:
-        return self.counts().filter(F.col("n_docs") >= min_docs).select(*KEY)
+    def shared(self) -> DataFrame:
+        """Keys in at least ``min_docs`` documents; each is in one settled run."""
+        empty = self.spark.createDataFrame([], "h1 long, h2 long")
+        return self.spark.read.schema(empty.schema).parquet(*self.settled) if self.settled else empty
 
 
 def dropped_places(keys: DataFrame, shared: DataFrame) -> DataFrame:
@@ -121,12 +153,11 @@ def line_dedup(docs: DataFrame, min_docs: int = MIN_DOCS, batches: int = BATCHES
     found = line_keys(rows).withColumn("batch", batch)
     found.write.partitionBy("batch").parquet(path)
     keys = spark.read.schema(found.schema).parquet(path)
-    runs = LineRuns(spark)
+    runs = LineRuns(spark, min_docs=min_docs)
     for number in range(batches):
         own = keys.filter(F.col("batch") == number)
         runs.add(own.select("doc_id.doc_id", *KEY))
-    shared = kept(runs.shared(min_docs), "shared-lines")
-    done = cleaned(rows, keys, shared)
+    done = cleaned(rows, keys, runs.shared())
     return done.select(
         F.col("doc_id.doc_id").alias("doc_id"),
         F.size("__lines").cast("bigint").alias("n_lines"),

@@ -132,6 +132,21 @@ def test_runs_are_levelled_and_sorted(spark, make_docs, tmp_path):
         assert keys == sorted(keys)
 
 
+def test_settled_keys_are_anti_joined_and_leave_the_runs(spark, make_docs, tmp_path):
+    """A key settles in the batch that brings it to the limit; later batches do not count it again,
+    and merged runs no longer hold it."""
+    runs = linededup.LineRuns(spark, f"file://{tmp_path}/runs", fanout=2, min_docs=5)
+    settled = []
+    for number in range(4):
+        rows = [(number * 10 + i, "all\n" + ("late" if number > 1 else f"own {number}")) for i in range(3)]
+        runs.add(linededup.line_keys(make_docs(rows)))
+        settled.append(runs.shared().count())
+    assert settled == [0, 1, 1, 2]
+    assert sorted(r.n_docs for r in runs.counts().collect()) == [3, 3]
+    stored = [r.n_docs for level in runs.levels for p in level for r in spark.read.parquet(p).collect()]
+    assert sorted(stored) == [3, 3]
+
+
 # Mixing
 
 
