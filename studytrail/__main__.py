@@ -28,6 +28,8 @@ def parser() -> argparse.ArgumentParser:
     sessions.add_argument("--jdbc-file", help="connection options as a JSON object")
     sessions.add_argument("--mode", choices=["clean", "compat"], default="clean")
     sessions.add_argument("--partitions", type=int, default=200)
+    sessions.add_argument("--state", help="folder of the sessions kept from run to run; only new rows are read (clean mode)")
+    sessions.add_argument("--heartbeat-position", default="ct", help="heartbeat column that grows in the order of arrival")
 
     def stream(name: str, text: str) -> argparse.ArgumentParser:
         sub = commands.add_parser(name, help=text)
@@ -67,7 +69,14 @@ def main(argv: list[str] | None = None) -> None:
             with open(args.jdbc_file) as file:
                 connection = json.load(file)
         connection |= dict(args.jdbc)
-        jobs.session_jobs(spark, connection, names, args.mode, args.partitions)
+        if args.state and args.mode == "compat":
+            raise SystemExit("--state needs the clean mode")
+        if args.state:
+            jobs.incremental_session_jobs(
+                spark, connection, names, args.state, args.partitions, heartbeat_position=args.heartbeat_position
+            )
+        else:
+            jobs.session_jobs(spark, connection, names, args.mode, args.partitions)
         return
     if args.command == "publish":
         jobs.publish_job(spark, args.root, args.points, args.tasks, args.mode, args.compact)

@@ -120,10 +120,9 @@ def incremental_session_jobs(
             beats = staging.copy(beats.select(*dict.fromkeys((*columns, heartbeat_position))), f"{name}-heartbeat")
             log = _beyond(spark, connection, log_table, "id", position.get("log"), partitions)
             log = staging.copy(log.select(*spec.log_columns), f"{name}-log")
-            reached = {"log": log.agg(F.max("id")).first()[0], "heartbeat": beats.agg(F.max(heartbeat_position).cast("string")).first()[0]}
-            if dict(beats.dtypes)[heartbeat_position] in ("int", "bigint", "smallint", "double"):
-                reached["heartbeat"] = beats.agg(F.max(heartbeat_position)).first()[0]
-            known = {k: v if v is not None else position.get(k) for k, v in reached.items()}
+            reached = {"log": log.agg(F.max("id")).first()[0], "heartbeat": beats.agg(F.max(heartbeat_position)).first()[0]}
+            # Times are noted as text.
+            known = {k: position.get(k) if v is None else v if isinstance(v, (int, float)) else str(v) for k, v in reached.items()}
             store.run(log, beats.select(*spec.heartbeat), known)
             _deliver(spark, connection, store, name, log, partitions)
             still_open = store.current(log).filter("is_open").drop("is_open")

@@ -104,12 +104,6 @@ def first_task(paper_task: DataFrame) -> DataFrame:
     )
 
 
-def unreadable_tasks(paper_task: DataFrame) -> DataFrame:
-    """Sittings whose first row key does not hold two numbers; they match no task."""
-    read = first_task(paper_task)
-    return read.filter(F.col("task_id").isNull() | F.col("customs_id").isNull())
-
-
 def with_tasks(cells: DataFrame, paper_task: DataFrame) -> DataFrame:
     return cells.join(first_task(paper_task), "testpaper_user_id", "left")
 

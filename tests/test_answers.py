@@ -160,4 +160,18 @@ def test_rejects(data):
 
 def test_broken_task_key_is_no_match(spark):
     tasks = spark.createDataFrame([(1, None, 5), (2, 3, 4)], "testPaper_user_id long, TaskID long, CustomsID long")
-    assert [r.testpaper_user_id for r in A.unreadable_tasks(tasks).collect()] == [1]
+
+
+def test_compat_report_of_a_hot_key_has_no_window(spark):
+    """One learner holds most answers of one customs, over sittings; no window stands in the plan."""
+    rng = random.Random(12)
+    rows = [(i, 10 + rng.randrange(2), rng.randrange(1, 40), 1, rng.choice([0, 1, 2])) for i in range(900)]
+    rows += [(900 + i, 30 + i % 2, i % 5, 3, i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, ANSWERS)
+    points = spark.createDataFrame(POINTS, "QuestionId long, PointId long")
+    tasks = spark.createDataFrame(TASKS, "testPaper_user_id long, TaskID long, CustomsID long")
+    made = A.customs_summary(A.question_cells(df, "compat"), points, tasks, "compat")
+    assert "Window" not in made._jdf.queryExecution().toString()
+    cells, _ = replay(rows)
+    want = {key: tuple(int(c["s", n]) for n in A.COUNTS) for key, c in cells["customs"].items()}
+    assert {(r.user_id, r.customs_id): tuple(r[n] for n in A.COUNTS) for r in made.collect()} == want

@@ -110,6 +110,12 @@ def test_command_line(spark, monkeypatch, tmp_path):
     cli.main(["sessions", "all", "--jdbc", "url=jdbc:x"])
     assert [c[1] for c in calls[1:]] == [list(jobs.SESSION_TABLES)]
 
+    monkeypatch.setattr(jobs, "incremental_session_jobs", lambda *a, **k: calls.append((*a[1:], k)))
+    cli.main(["sessions", "login", "--jdbc", "url=jdbc:x", "--state", "s", "--heartbeat-position", "n"])
+    assert calls.pop() == ({"url": "jdbc:x"}, ["login"], "s", 200, {"heartbeat_position": "n"})
+    with pytest.raises(SystemExit):
+        cli.main(["sessions", "login", "--jdbc", "url=jdbc:x", "--state", "s", "--mode", "compat"])
+
     class Query:
         def awaitTermination(self):
             calls.append("ended")
