@@ -1,7 +1,7 @@
 """Chat formatting: layouts recognised by a fingerprint of their field paths.
 
-A record is JSON of any layout. Its nested field paths, without types and order, are hashed;
-the fingerprint selects a declarative mapping to canonical turns. Turns of a conversation are
+A record is JSON of any layout. Those of its nested field paths that a layout needs are hashed,
+without types and order; the fingerprint selects a declarative mapping to canonical turns. Turns of a conversation are
 then written with one template whose control strings cannot occur inside a text, and with a
 loss mask: the spans of assistant text.
 """
@@ -25,8 +25,8 @@ TURN = "struct<turn:bigint,role:string,text:string>"
 
 @dataclass(frozen=True)
 class Layout:
-    """How a layout's fields become turns. ``paths`` are its fields, sorted; ``turns`` is SQL
-    over the variant ``v`` that gives an array of (turn, role, text)."""
+    """How a layout's fields become turns. ``paths`` are the leaves it needs, sorted; ``turns`` is
+    SQL over the variant ``v`` that gives an array of (turn, role, text)."""
 
     name: str
     paths: tuple[str, ...]
@@ -35,68 +35,100 @@ class Layout:
     def fingerprint(self) -> Column:
         return F.xxhash64(F.lit("\n".join(self.paths)))
 
+    def matches(self, paths: Column) -> Column:
+        """The record's leaves that the layout knows have the layout's fingerprint."""
+        own = F.array_intersect(F.array(*[F.lit(p) for p in self.paths]), paths)
+        return F.xxhash64(F.array_join(own, "\n")) == self.fingerprint()
+
 
 def _text(path: str) -> str:
-    return f"coalesce(variant_get(v, '{path}', 'string'), '')"
+    return f"coalesce(try_variant_get(v, '{path}', 'string'), '')"
 
 
-def _turn(number: str, role: str, text: str) -> str:
-    return f"named_struct('turn', cast({number} as bigint), 'role', {role}, 'text', {text})"
+def _numbered(turns: str) -> str:
+    """Turns (role, text) behind the record's own system text, numbered by place."""
+    system = "try_variant_get(v, '$.system', 'string')"
+    led = f"concat(if({system} is null, array(), array(named_struct('role', 'system', 'text', {system}))), {turns})"
+    return f"transform({led}, (m, i) -> named_struct('turn', cast(i as bigint), 'role', coalesce(m.role, ''), 'text', coalesce(m.text, '')))"
 
 
 def _listed(path: str, role: str, text: str) -> str:
-    items = f"cast(variant_get(v, '{path}', 'array<struct<{role}:string,{text}:string>>') as array<struct<role:string,text:string>>)"
-    return f"transform({items}, (m, i) -> {_turn('i', "coalesce(m.role, '')", "coalesce(m.text, '')")})"
+    items = f"try_variant_get(v, '{path}', 'array<struct<{role}:string,{text}:string>>')"
+    return _numbered(f"cast({items} as array<struct<role:string,text:string>>)")
+
+
+def _parts(path: str, role: str, text: str, part: str) -> str:
+    """Messages whose text comes in parts; parts without text, such as images, add nothing."""
+    items = f"try_variant_get(v, '{path}', 'array<struct<{role}:string,{text}:array<struct<{part}:string>>>>')"
+    whole = f"array_join(m.{text}.{part}, '')"
+    return _numbered(f"transform({items}, m -> named_struct('role', m.{role}, 'text', {whole}))")
 
 
 def _pair(user: str, assistant: str) -> str:
-    return f"array({_turn('0', "'user'", user)}, {_turn('1', "'assistant'", assistant)})"
+    turn = "named_struct('role', '{}', 'text', {})"
+    return _numbered(f"array({turn.format('user', user)}, {turn.format('assistant', assistant)})")
 
 
+# The first layout that matches counts, so one that needs more fields stands before one that needs fewer of them.
 LAYOUTS = [
-    Layout("turn_row", ("id", "role", "text", "turn"),
-           f"array({_turn("variant_get(v, '$.turn', 'bigint')", _text('$.role'), _text('$.text'))})"),
-    Layout("messages", ("id", "messages", "messages[].content", "messages[].role"), _listed("$.messages", "role", "content")),
-    Layout("from_value", ("conversations", "conversations[].from", "conversations[].value", "id"),
-           _listed("$.conversations", "from", "value")),
-    Layout("prompt", ("id", "prompt", "response"), _pair(_text("$.prompt"), _text("$.response"))),
-    Layout("completion", ("completion", "id", "prompt"), _pair(_text("$.prompt"), _text("$.completion"))),
-    Layout("instruction", ("id", "instruction", "output"), _pair(_text("$.instruction"), _text("$.output"))),
-    Layout("instruction_input", ("id", "input", "instruction", "output"),
+    Layout("turn_row", ("role", "text", "turn"),
+           f"array(named_struct('turn', try_variant_get(v, '$.turn', 'bigint'), 'role', {_text('$.role')}, 'text', {_text('$.text')}))"),
+    Layout("message_parts", ("messages[].content[].text", "messages[].role"), _parts("$.messages", "role", "content", "text")),
+    Layout("messages", ("messages[].content", "messages[].role"), _listed("$.messages", "role", "content")),
+    Layout("from_value", ("conversations[].from", "conversations[].value"), _listed("$.conversations", "from", "value")),
+    Layout("nested_messages", ("conversation.messages[].content", "conversation.messages[].role"),
+           _listed("$.conversation.messages", "role", "content")),
+    Layout("prompt", ("prompt", "response"), _pair(_text("$.prompt"), _text("$.response"))),
+    Layout("completion", ("completion", "prompt"), _pair(_text("$.prompt"), _text("$.completion"))),
+    Layout("instruction_input", ("input", "instruction", "output"),
            _pair(f"concat({_text('$.instruction')}, '\\n\\n', {_text('$.input')})", _text("$.output"))),
+    Layout("instruction", ("instruction", "output"), _pair(_text("$.instruction"), _text("$.output"))),
 ]
 # Names of roles in the layouts, and what they are called here.
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
 def field_paths(schema: Column) -> Column:
-    """Sorted field paths of a variant's schema text, one per line, without types.
-
-    The text nests as OBJECT<a: T, b: ARRAY<OBJECT<c: T>>>; records here nest at most one list
-    of flat objects, so a path is a top field or ``field[].inner``."""
-    inner = F.regexp_extract_all(schema, F.lit(r"(\w+): ARRAY<OBJECT<([^<>]*)>>"), 1)
-    bodies = F.regexp_extract_all(schema, F.lit(r"(\w+): ARRAY<OBJECT<([^<>]*)>>"), 2)
-    nested = F.flatten(
-        F.zip_with(inner, bodies, lambda f, body: F.transform(
-            F.regexp_extract_all(body, F.lit(r"(\w+): "), 1), lambda name: F.concat(f, F.lit("[]."), name)
-        ))
-    )
-    flat = F.regexp_replace(F.regexp_replace(schema, r"^OBJECT<", ""), r": ARRAY<OBJECT<[^<>]*>>", ": LIST")
-    top = F.regexp_extract_all(flat, F.lit(r"(\w+): "), 1)
-    return F.array_join(F.array_sort(F.concat(top, nested)), "\n")
+    """Paths of the leaves in a variant's schema text, without types; a list adds ``[]``.
+
+    The text nests as OBJECT<a: T, b: ARRAY<OBJECT<c: T>>>, to any depth. ``at`` is the path of
+    the value whose type comes next, ``open`` the paths of the values it stands in."""
+    tokens = F.regexp_extract_all(schema, F.lit(r"((?:`(?:[^`]|``)*`|\w+): |ARRAY<|OBJECT<|>)"), 1)
+    start = F.expr("named_struct('open', cast(array() as array<string>), 'at', '', 'leaves', cast(array() as array<string>))")
+
+    def read(state: Column, token: Column) -> Column:
+        opened, at, leaves = state["open"], state["at"], state["leaves"]
+        above = F.coalesce(F.get(opened, F.size(opened) - 1), F.lit(""))
+        name = F.concat(above, F.when(above != "", ".").otherwise(""), F.substring_index(token, ": ", 1))
+        into = F.array_append(opened, at)
+        listed = F.concat(at, F.lit("[]"))
+        # A value that is opened is no leaf; it was noted as one when its name was read.
+        without = F.array_remove(leaves, at)
+        return (
+            F.when(token == ">", F.struct(F.slice(opened, 1, F.greatest(F.size(opened) - 1, F.lit(0))).alias("open"), at.alias("at"), leaves.alias("leaves")))
+            .when(token == "OBJECT<", F.struct(into.alias("open"), at.alias("at"), without.alias("leaves")))
+            .when(token == "ARRAY<", F.struct(into.alias("open"), listed.alias("at"), F.array_append(without, listed).alias("leaves")))
+            .otherwise(F.struct(opened.alias("open"), name.alias("at"), F.array_append(leaves, name).alias("leaves")))
+        )
+
+    return F.aggregate(tokens, start, read, lambda state: state["leaves"])
 
 
 def canonical_turns(records: DataFrame) -> DataFrame:
     """(id, turn, role, text, layout) from (id, record), a record being JSON text.
 
-    A null record, broken JSON or a layout without a mapping gives one row with null turn and
-    layout, so nothing is lost unseen; callers route those rows. Null roles and texts are
-    empty. Turn numbers come from the record, or from the place in its list."""
+    A layout matches by the leaves it needs, at the types of text or numbers; other fields of
+    the record, nested ones too, do not matter. Of several that match the first counts. A null
+    record, broken JSON or a layout without a mapping gives one row with null turn and layout,
+    so nothing is lost unseen; callers route those rows. Null roles and texts are empty, and a
+    list without messages gives one row with null turn. Turn numbers come from the record (null
+    if they are no number), or from the place in its list, behind a ``system`` text of the
+    record. Repeated records give their turns each."""
     parsed = records.select("id", F.expr("try_parse_json(record)").alias("v"))
-    known = parsed.withColumn("print", F.xxhash64(field_paths(F.expr("schema_of_variant(v)"))))
+    known = parsed.withColumn("paths", field_paths(F.expr("schema_of_variant(v)")))
     turns, layout = None, None
     for item in LAYOUTS:
-        hit = F.col("print") == item.fingerprint()
+        hit = item.matches(F.col("paths"))
         own = F.expr(item.turns).cast(f"array<{TURN}>")
         turns = F.when(hit, own) if turns is None else turns.when(hit, own)
         layout = F.when(hit, F.lit(item.name)) if layout is None else layout.when(hit, F.lit(item.name))

@@ -243,6 +243,56 @@ def test_layouts_become_turns(spark):
     assert len({r.layout for r in out}) == len(layouts)
 
 
+def test_other_fields_do_not_lose_a_record(spark):
+    q, a = {"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}
+    weighted = [{"from": "human", "value": "q", "weight": 0.5}, {"from": "gpt", "value": "a", "weight": None}]
+    layouts = [
+        ("messages", {"messages": [q, a], "meta": {"tags": ["x", "y"], "from": {"site": [[1]]}}}),
+        ("prompt", {"id": 1, "prompt": "q", "response": "a", "source": "s"}),
+        ("from_value", {"conversations": weighted, "lang": None}),
+        ("messages", {"messages": [q | {"tool calls": [{"name": "f"}]}, a | {"weight": 1}], "a>b: <c": {"messages": []}}),
+        ("nested_messages", {"conversation": {"title": "t", "messages": [q, a]}, "messages": 3}),
+        ("message_parts", {"messages": [q | {"content": [{"type": "text", "text": "q"}, {"type": "image"}]}, a | {"content": [{"text": "a"}]}]}),
+        ("instruction", {"instruction": "q", "output": "a", "text": "q a"}),
+        ("instruction_input", {"instruction": "q", "input": "", "output": "a", "n": {"m": {"k": 1}}}),
+        ("prompt", {"prompt": "q", "response": "a", "completion": "other"}),
+    ]
+    out = chat.canonical_turns(records(spark, [record for _, record in layouts])).collect()
+    for i, (name, _) in enumerate(layouts):
+        asked = "q\n\n" if name == "instruction_input" else "q"
+        rows = sorted((r.layout, r.turn, r.role, r.text) for r in out if r.id == i)
+        assert rows == [(name, 0, "user", asked), (name, 1, "assistant", "a")], i
+
+
+def test_system_text_leads(spark):
+    layouts = [
+        {"system": "s", "prompt": "q", "response": "a"},
+        {"system": "s", "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]},
+    ]
+    out = chat.canonical_turns(records(spark, layouts)).collect()
+    for i in range(len(layouts)):
+        turns = sorted((r.turn, r.role, r.text) for r in out if r.id == i)
+        assert turns == [(0, "system", "s"), (1, "user", "q"), (2, "assistant", "a")]
+
+
+def test_turn_rows_of_odd_types(spark):
+    odd = [{"turn": "x", "role": "user", "text": "q"}, {"turn": 1, "role": None, "text": 5}, {"messages": []}, {"messages": [{}]}]
+    out = sorted(chat.canonical_turns(records(spark, odd)).collect(), key=lambda r: r.id)
+    assert [(r.turn, r.role, r.text, r.layout) for r in out] == [
+        (None, "user", "q", "turn_row"), (1, "", "5", "turn_row"), (None, None, None, None), (None, None, None, None),
+    ]
+
+
+def test_field_paths(spark):
+    def paths(value):
+        row = records(spark, [value]).selectExpr("schema_of_variant(parse_json(record)) as s").select(chat.field_paths(F.col("s")).alias("p"))
+        return sorted(row.first().p)
+
+    assert paths({"a": {"b": [[{"c": 1, "d": {"e": None}}]], "f": 2}, "g": [1.5], "h": {}}) == ["a.b[][].c", "a.b[][].d.e", "a.f", "g[]"]
+    assert paths([{"x": 1}]) == ["[].x"]
+    assert paths('"text"') == []
+
+
 def test_unknown_layouts_are_reported(spark):
     odd = [None, "{", "[]", "3", {"id": 1, "q": "x"}, {"id": 1, "messages": [{"role": {"x": 1}, "content": "y"}]}]
     out = chat.canonical_turns(records(spark, odd)).collect()
