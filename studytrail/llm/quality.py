@@ -20,11 +20,10 @@ from studytrail.llm.common import SPACE_CLASS, kept, packed, whole, words
 
 WINDOW = 5
 ROUNDS = 25
-# A rule is better than chance: how often it speaks stays within these bounds on the class it
-# speaks for (first) and on the other class (second).
-SPEAKS_FOR_GOOD = ((0.90, 0.98), (0.05, 0.85))
-SPEAKS_FOR_BAD = ((0.10, 0.95), (0.003, 0.01))
-PRIOR = (0.5, 0.95)
+# How often a rule speaks on good and on bad documents, and the share of good ones, before a
+# document was seen; they weigh as many documents as the second figures say.
+START, START_WEIGHT = {"good": (0.9, 0.5), "bad": (0.05, 0.5)}, 2
+PRIOR, PRIOR_WEIGHT = 0.8, 10
 
 # (name, vote, condition on the measures); conditions read the same in DuckDB.
 RULES = [
@@ -128,34 +127,30 @@ class Model:
         return 1 / (1 + math.exp(-self.log_odds(mask)))
 
 
-def _bounds(vote: str) -> tuple[tuple[float, float], tuple[float, float]]:
-    """Bounds on good and on bad documents."""
-    return SPEAKS_FOR_GOOD if vote == "good" else SPEAKS_FOR_BAD[::-1]
-
-
-def _within(x: float, bounds: tuple[float, float]) -> float:
-    return min(max(x, bounds[0]), bounds[1])
-
-
 def fit(counts: Mapping[int, int], rounds: int = ROUNDS) -> Model:
-    """Expectation-maximisation over the vote patterns; an empty corpus gives the start values."""
-    middle = [tuple(sum(side) / 2 for side in _bounds(vote)) for _, vote, _ in RULES]
-    model = Model(0.8, tuple(m[0] for m in middle), tuple(m[1] for m in middle))
+    """Expectation-maximisation over the vote patterns; an empty corpus gives the start values.
+
+    Rates are free between 0 and 1. A rule that speaks more often on the class it speaks
+    against is worse than chance and gets its common rate on both classes, so it says nothing
+    in that round; this also keeps the classes from changing places."""
+    start = [START[vote] for _, vote, _ in RULES]
+    model = Model(PRIOR, tuple(g for g, _ in start), tuple(b for _, b in start))
     total = sum(counts.values())
-    if not total:
-        return model
-    for _ in range(rounds):
+    for _ in range(rounds if total else 0):
         good = {mask: n * model.probability(mask) for mask, n in counts.items()}
         n_good = sum(good.values())
-        on_good, on_bad = [], []
+        rates = []
         for bit, (_, vote, _) in enumerate(RULES):
-            low, high = _bounds(vote)
+            g, b = START[vote]
             spoke_good = sum(w for mask, w in good.items() if mask >> bit & 1)
             spoke = sum(n for mask, n in counts.items() if mask >> bit & 1)
-            # One more document per class that the rule speaks on half the time.
-            on_good.append(_within((spoke_good + 0.5) / (n_good + 1), low))
-            on_bad.append(_within((spoke - spoke_good + 0.5) / (total - n_good + 1), high))
-        model = Model(_within(n_good / total, PRIOR), tuple(on_good), tuple(on_bad))
+            on_good = (spoke_good + START_WEIGHT * g) / (n_good + START_WEIGHT)
+            on_bad = (spoke - spoke_good + START_WEIGHT * b) / (total - n_good + START_WEIGHT)
+            if (on_good < on_bad) == (vote == "good"):
+                on_good = on_bad = (spoke + START_WEIGHT * (g + b)) / (total + 2 * START_WEIGHT)
+            rates.append((on_good, on_bad))
+        prior = (n_good + PRIOR_WEIGHT * PRIOR) / (total + PRIOR_WEIGHT)
+        model = Model(prior, tuple(g for g, _ in rates), tuple(b for _, b in rates))
     return model
 
 

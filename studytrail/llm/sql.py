@@ -65,7 +65,6 @@ def quality_rules(rounds: int = quality.ROUNDS) -> str:
     bits = range(len(quality.RULES))
     mask = " + ".join(f"case when {c} then {1 << b} else 0 end" for b, (_, _, c) in enumerate(quality.RULES))
     start = quality.fit({})
-    bounds = [quality._bounds(vote) for _, vote, _ in quality.RULES]
 
     def odds(model: str) -> str:
         terms = [f"ln({model}.prior / (1 - {model}.prior))"]
@@ -74,21 +73,23 @@ def quality_rules(rounds: int = quality.ROUNDS) -> str:
             terms.append(f"case when v & {1 << b} <> 0 then ln({g} / {x}) else ln((1 - {g}) / (1 - {x})) end")
         return " + ".join(terms)
 
-    def clamp(value: str, low: float, high: float) -> str:
-        return f"least(greatest({value}, {low!r}), {high!r})"
-
     first = ", ".join(f"cast({g!r} as double) as g{b}, cast({x!r} as double) as b{b}" for b, (g, x) in enumerate(zip(start.on_good, start.on_bad)))
     ctes = [f"m0 as materialized (select cast({start.prior!r} as double) as prior, {first})"]
     for r in range(rounds):
         weight = f"select v, n, n / (1 + exp(-({odds('m')}))) as g from pat, m{r} m"
-        sides = []
-        for b in bits:
+        free, sides, k = [], [], quality.START_WEIGHT
+        for b, (_, vote, _) in enumerate(quality.RULES):
+            g, x = quality.START[vote]
             spoke_good = f"coalesce(sum(g) filter (where v & {1 << b} <> 0), 0)"
             spoke = f"coalesce(sum(n) filter (where v & {1 << b} <> 0), 0)"
-            sides.append(clamp(f"({spoke_good} + 0.5) / (sum(g) + 1)", *bounds[b][0]) + f" as g{b}")
-            sides.append(clamp(f"({spoke} - {spoke_good} + 0.5) / (sum(n) - sum(g) + 1)", *bounds[b][1]) + f" as b{b}")
-        prior = clamp("sum(g) / sum(n)", *quality.PRIOR)
-        ctes.append(f"m{r + 1} as materialized (select {prior} as prior, {', '.join(sides)} from ({weight}))")
+            free.append(f"({spoke_good} + {k * g!r}) / (sum(g) + {k}) as g{b}")
+            free.append(f"({spoke} - {spoke_good} + {k * x!r}) / (sum(n) - sum(g) + {k}) as b{b}")
+            free.append(f"({spoke} + {k * (g + x)!r}) / (sum(n) + {2 * k}) as p{b}")
+            chance = f"g{b} < b{b}" if vote == "good" else f"g{b} >= b{b}"
+            sides += [f"case when {chance} then p{b} else {side}{b} end as {side}{b}" for side in "gb"]
+        weight_of = quality.PRIOR_WEIGHT
+        prior = f"(sum(g) + {weight_of * quality.PRIOR!r}) / (sum(n) + {weight_of}) as prior"
+        ctes.append(f"m{r + 1} as materialized (select prior, {', '.join(sides)} from (select {prior}, {', '.join(free)} from ({weight})))")
     return rf"""
 with w as materialized (
     select doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '{WORD}') as ws,

@@ -68,18 +68,44 @@ def test_all_clean_stay(make_docs):
     assert quality.accepted(docs).columns == docs.columns
 
 
-def test_fit_finds_planted_rates():
-    rng = random.Random(1)
-    on_good, on_bad = [0.005] * 6 + [0.95] * 5, [0.6] * 6 + [0.2] * 5
+def patterns(on_good, on_bad, share, size=20_000, seed=1):
+    rng = random.Random(seed)
     masks = Counter()
-    for _ in range(20_000):
-        rates = on_good if rng.random() < 0.8 else on_bad
+    for _ in range(size):
+        rates = on_good if rng.random() < share else on_bad
         masks[sum((rng.random() < p) << b for b, p in enumerate(rates))] += 1
-    model = quality.fit(masks)
-    assert abs(model.prior - 0.8) < 0.02
+    return masks
+
+
+@pytest.mark.parametrize(
+    "on_good, on_bad, share",
+    [
+        ([0.005] * 6 + [0.95] * 5, [0.6] * 6 + [0.2] * 5, 0.8),
+        ([0.05] * 6 + [0.6] * 5, [0.3] * 6 + [0.02] * 5, 0.7),
+        ([0.02, 0.1, 0.01, 0.2, 0.03, 0.05, 0.7, 0.995, 0.6, 0.9, 0.8], [0.5, 0.3, 0.02, 0.4, 0.6, 0.99, 0.3, 0.9, 0.1, 0.5, 0.02], 0.6),
+    ],
+)
+def test_fit_finds_planted_rates(on_good, on_bad, share):
+    model = quality.fit(patterns(on_good, on_bad, share))
+    assert abs(model.prior - share) < 0.02
+    assert all(abs(a - b) < 0.03 for a, b in zip(model.on_good, on_good))
     assert all(abs(a - b) < 0.03 for a, b in zip(model.on_bad, on_bad))
 
 
+def test_rules_worse_than_chance_say_nothing():
+    on_good, on_bad = [0.3] + [0.005] * 5 + [0.95] * 4 + [0.2], [0.02] + [0.6] * 5 + [0.2] * 4 + [0.9]
+    model = quality.fit(patterns(on_good, on_bad, 0.8))
+    assert model.on_good[0] == model.on_bad[0] and model.on_good[10] == model.on_bad[10]
+    assert abs(model.prior - 0.8) < 0.02
+
+
+def test_fit_keeps_a_clean_corpus():
+    rates = [0.002, 0.003, 0.001, 0.001, 0.02, 0.03, 0.9, 0.99, 0.99, 0.99, 0.9]
+    masks = patterns(rates, rates, 1.0, size=5_000)
+    model = quality.fit(masks)
+    assert sum(n for mask, n in masks.items() if model.log_odds(mask) >= 0) >= 0.998 * 5_000
+
+
 def test_quality_empty(make_docs):
     assert quality.assessed(make_docs([])).collect() == []
     assert quality.accepted(make_docs([])).collect() == []
