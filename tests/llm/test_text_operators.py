@@ -290,6 +290,14 @@ def test_other_fields_do_not_lose_a_record(spark):
         assert rows == [(name, 0, "user", asked), (name, 1, "assistant", "a")], i
 
 
+def test_texts_beside_parts(spark):
+    parts = [{"type": "text", "text": "a"}]
+    mixed = {"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": parts}]}
+    out = sorted((r.turn, r.role, r.text) for r in chat.canonical_turns(records(spark, [mixed])).collect())
+    assert out[0] == (0, "user", "q") and out[1][:2] == (1, "assistant")
+    assert json.loads(out[1][2]) == parts
+
+
 def test_system_text_leads(spark):
     layouts = [
         {"system": "s", "prompt": "q", "response": "a"},
