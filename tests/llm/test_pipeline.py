@@ -13,7 +13,7 @@ import corpus_pipeline as C
 from studytrail.llm import decontaminate, mixing, neardup, quality, queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels conversations".split()
+TABLES = "documents embeddings pages benchmark labels conversations".split()
 
 if not os.path.isdir(SF):
     pytest.skip("no test tables here", allow_module_level=True)
@@ -35,7 +35,7 @@ def table(rows, columns):
 def test_registered():
     names = set(entry.queries())
     assert "pipeline" in names
-    assert {n for n in range(1, 11)} == {int(x[2:].split("_")[0]) for x in names if x.startswith("op")}
+    assert {n for n in range(1, 14)} == {int(x[2:].split("_")[0]) for x in names if x.startswith("op")}
     assert set(queries.registry().sql) <= names
 
 
