@@ -17,7 +17,7 @@ from studytrail.sources.topics import file_stream, to_files, trigger
 from studytrail.streaming import relay, reports
 from studytrail.streaming.batches import BatchFolder
 from studytrail.streaming.commits import CommitLog
-from studytrail.streaming.offsets import Positions, passed_over, unseen
+from studytrail.streaming.offsets import Positions, told_apart
 from studytrail.streaming.publish import Publisher
 
 
@@ -174,9 +174,13 @@ class _Deduped:
     def apply(self, records: DataFrame, batch_id: int) -> None:
         batch, columns = (0, batch_id), ["partition", "offset", "key"]
         applied = self.positions.after(self.commits.last_of_each())
-        self.folders["new"].write(unseen(records, applied).select(*columns), batch)
-        self.folders["again"].write(passed_over(records, applied).select(*columns), batch)
-        self.positions.write(batch, records, applied)
+        told = told_apart(records.select("topic", *columns), applied).persist()
+        try:
+            self.folders["new"].write(told.filter("is_new").select(*columns), batch)
+            self.folders["again"].write(told.filter("is_again").select(*columns), batch)
+            self.positions.write(batch, told, applied)
+        finally:
+            told.unpersist()
         self.commits.add(batch, {})
 
     def run(self, records: DataFrame) -> dict[str, DataFrame]:

@@ -55,65 +55,103 @@ def _bucket(offset) -> F.Column:
 
 def intervals_of(records: DataFrame, ordered: bool = False) -> DataFrame:
     """Disjoint intervals [from_offset, until_offset) per partition that hold the records' offsets
-    and, unless the source is ``ordered``, no others. Runs are found inside buckets first, so a
-    partition of any size is merged from a row per run and bucket."""
+    and, unless the source is ``ordered``, no others."""
     if ordered:
         return batch_ranges(records)
-    grouped = records.groupBy(*PLACE, _bucket(F.col("offset")).alias("bucket")).agg(
-        F.array_sort(F.collect_set(F.col("offset").cast("bigint"))).alias("o")
-    )
-    first = F.filter("o", lambda x, i: F.coalesce(F.get("o", i - 1) != x - 1, F.lit(True)))
-    last = F.filter("o", lambda x, i: F.coalesce(F.get("o", i + 1) != x + 1, F.lit(True)))
-    runs = grouped.select(*PLACE, F.explode(F.arrays_zip(first.alias("first"), last.alias("last"))).alias("r"))
-    return merged(runs.select(*PLACE, F.col("r.first").alias("from_offset"), (F.col("r.last") + 1).alias("until_offset")))
+    offset = F.col("offset").cast("bigint")
+    points = records.filter(offset.isNotNull()).select(*PLACE, offset.alias("from_offset"), (offset + 1).alias("until_offset"))
+    return merged(points)
+
+
+def _cut(intervals: DataFrame) -> DataFrame:
+    """Intervals cut at the borders of buckets."""
+    bucket = F.col("__bucket")
+    buckets = F.sequence(_bucket(F.col("from_offset")), _bucket(F.col("until_offset") - 1))
+    return intervals.select(*PLACE, *BOUNDS, F.explode(buckets).alias("__bucket")).select(
+        *PLACE, "__bucket",
+        F.greatest("from_offset", bucket * BUCKET).alias("from_offset"),
+        F.least("until_offset", (bucket + 1) * BUCKET).alias("until_offset"),
+    )
 
 
-def merged(intervals: DataFrame) -> DataFrame:
-    """The union of intervals as disjoint ones, neighbours joined."""
-    order = Window.partitionBy(*PLACE).orderBy("from_offset", "until_offset")
+def _joined(intervals: DataFrame, *keys: str) -> DataFrame:
+    """The union of each group's intervals as disjoint ones, neighbours joined, by one window a group."""
+    order = Window.partitionBy(*keys).orderBy(*BOUNDS)
     reach = F.max("until_offset").over(order.rowsBetween(Window.unboundedPreceding, -1))
     opens = F.coalesce(F.col("from_offset") > reach, F.lit(True)).cast("int")
-    numbered = intervals.select(*PLACE, *BOUNDS, opens.alias("__opens")).withColumn("__run", F.sum("__opens").over(order))
-    return numbered.groupBy(*PLACE, "__run").agg(
+    numbered = intervals.select(*keys, *BOUNDS, opens.alias("__opens")).withColumn("__run", F.sum("__opens").over(order))
+    return numbered.groupBy(*keys, "__run").agg(
         F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")
     ).drop("__run")
 
 
-def _matched(records: DataFrame, applied: DataFrame, how: str) -> DataFrame:
-    """Records joined to the interval that holds their offset. Only the part of an interval that
-    lies among the records' offsets is cut into buckets."""
+def merged(intervals: DataFrame, ordered: bool = False) -> DataFrame:
+    """The union of intervals as disjoint ones, neighbours joined.
+
+    They are joined inside buckets first. What touches no border of its bucket is done; the others,
+    at most two a bucket, are joined by partition. An ``ordered`` source has few intervals, however
+    long, and goes without buckets."""
+    if ordered:
+        return _joined(intervals.select(*PLACE, *BOUNDS), *PLACE)
+    local = _joined(_cut(intervals), *PLACE, "__bucket")
+    start = F.col("__bucket") * BUCKET
+    at_border = (F.col("from_offset") == start) | (F.col("until_offset") == start + BUCKET)
+    inside, edges = [local.filter(which).select(*PLACE, *BOUNDS) for which in (~at_border, at_border)]
+    return inside.union(_joined(edges, *PLACE))
+
+
+def _near(records: DataFrame, applied: DataFrame) -> DataFrame:
+    """The parts of intervals that lie among the records' offsets, cut into buckets."""
     seen = records.groupBy(F.col("topic").alias("__t"), F.col("partition").alias("__p")).agg(
-        F.min("offset").alias("__lo"), F.max("offset").alias("__hi")
+        F.min("offset").alias("__lo"), (F.max("offset") + 1).alias("__end")
     )
     here = F.col("topic").eqNullSafe(F.col("__t")) & (F.col("partition") == F.col("__p"))
-    near = applied.join(seen, here & (F.col("from_offset") <= F.col("__hi")) & (F.col("until_offset") > F.col("__lo")))
-    first, last = F.greatest("from_offset", "__lo"), F.least(F.col("until_offset") - 1, F.col("__hi"))
-    spread = near.select(
-        "__t", "__p", F.col("from_offset").alias("__from"), F.col("until_offset").alias("__until"), F.explode(F.sequence(_bucket(first), _bucket(last))).alias("__b"),
-    )
-    same = (
-        F.col("topic").eqNullSafe(F.col("__t"))
-        & (F.col("partition") == F.col("__p"))
-        & (_bucket(F.col("offset")) == F.col("__b"))
-        & (F.col("offset") >= F.col("__from"))
-        & (F.col("offset") < F.col("__until"))
+    # One row a partition.
+    near = applied.join(F.broadcast(seen), here & (F.col("from_offset") < F.col("__end")) & (F.col("until_offset") > F.col("__lo")))
+    return _cut(
+        near.select(*PLACE, F.greatest("from_offset", "__lo").alias("from_offset"), F.least("until_offset", "__end").alias("until_offset"))
     )
-    return records.join(spread, same, how)
 
 
-def unseen(records: DataFrame, applied: DataFrame, ordered: bool = False) -> DataFrame:
-    """Records at offsets that no applied interval holds, each position once.
+def told_apart(records: DataFrame, applied: DataFrame, ordered: bool = False) -> DataFrame:
+    """Records with ``is_new``, whether no applied interval holds their offset, one of each position,
+    and ``is_again``, whether one does.
 
-    A source that never repeats a position inside a batch (``ordered``: a topic) needs no
-    shuffle for it.
-    """
-    new = _matched(records, applied, "left_anti")
-    return new if ordered else new.dropDuplicates([*PLACE, "offset"])
+    Records and intervals are sorted together inside buckets, so a record meets the interval that
+    starts last before it, not all of its bucket. A source that never repeats a position inside a
+    batch (``ordered``: a topic) has few intervals, and its records are joined to them."""
+    at, near = F.col("offset").cast("bigint"), _near(records, applied)
+    if ordered:
+        spread = near.select(F.col("topic").alias("__t"), F.col("partition").alias("__p"), F.col("__bucket").alias("__b"), *BOUNDS)
+        same = (
+            F.col("topic").eqNullSafe(F.col("__t"))
+            & (F.col("partition") == F.col("__p"))
+            & (_bucket(at) == F.col("__b"))
+            & (at >= F.col("from_offset"))
+            & (at < F.col("until_offset"))
+        )
+        held = F.col("__b").isNotNull()
+        return records.join(spread, same, "left").select(*records.columns, (~held).alias("is_new"), held.alias("is_again"))
+    starts = near.select(*PLACE, "__bucket", F.col("from_offset").alias("__at"), F.col("until_offset").alias("__until"), F.lit(False).alias("__record"))
+    rows = records.withColumns({"__bucket": _bucket(at), "__at": at, "__record": F.lit(True)})
+    order = Window.partitionBy(*PLACE, "__bucket").orderBy("__at", "__record")
+    reach = F.max("__until").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    held = F.coalesce(reach > F.col("__at"), F.lit(False))
+    repeats = F.coalesce(F.lag("__record").over(order), F.lit(False)) & F.lag("__at").over(order).eqNullSafe(F.col("__at"))
+    both = rows.unionByName(starts, allowMissingColumns=True).withColumns({"__held": held, "__repeats": repeats})
+    return both.filter("__record").select(
+        *records.columns, (~F.col("__held") & ~F.col("__repeats")).alias("is_new"), F.col("__held").alias("is_again")
+    )
+
+
+def unseen(records: DataFrame, applied: DataFrame, ordered: bool = False) -> DataFrame:
+    """Records at offsets that no applied interval holds, each position once."""
+    return told_apart(records, applied, ordered).filter("is_new").select(*records.columns)
 
 
-def passed_over(records: DataFrame, applied: DataFrame) -> DataFrame:
+def passed_over(records: DataFrame, applied: DataFrame, ordered: bool = False) -> DataFrame:
     """Records at positions that were applied before."""
-    return _matched(records, applied, "left_semi")
+    return told_apart(records, applied, ordered).filter("is_again").select(*records.columns)
 
 
 class Positions:
@@ -124,7 +162,7 @@ class Positions:
         self.commits = commits
         self.folder = BatchFolder(spark, root, commits)
 
-    def after(self, batches: Sequence[Batch]) -> DataFrame:
+    def after(self, batches: Sequence[Batch], ordered: bool = False) -> DataFrame:
         """The intervals applied after the given batches, one of each generation: what a batch knows
         to be applied includes all that came before it."""
         if all(self.folder.has(b) for b in batches):
@@ -135,7 +173,7 @@ class Positions:
         for g, n in batches:
             known = known | ((F.col("generation") == g) & (F.col("batch") == n))
         rows = rows.filter(known & ~F.col("own")).select(*PLACE, *BOUNDS)
-        return rows if len(batches) == 1 else merged(rows)
+        return rows if len(batches) == 1 else merged(rows, ordered)
 
     def applied(self) -> DataFrame:
         """All intervals applied so far."""
@@ -155,11 +193,16 @@ class Positions:
         return self.all_ranges().filter(own).select(*PLACE, *BOUNDS)
 
     def write(self, batch: Batch, records: DataFrame, applied: DataFrame, ordered: bool = False) -> None:
-        covered = intervals_of(records, ordered).select(*PLACE, *BOUNDS)
+        covered = intervals_of(records, ordered).select(*PLACE, *BOUNDS).persist()
         named = [F.lit(batch[0]).cast("int").alias("generation"), F.lit(batch[1]).cast("bigint").alias("batch"), *PLACE, *BOUNDS]
         own = covered.select(*named, F.lit(True).alias("own"))
-        total = merged(covered.union(applied.select(*PLACE, *BOUNDS))).select(*named, F.lit(False).alias("own"))
-        self.folder.write(own.union(total).coalesce(1), batch)
+        total = merged(covered.union(applied.select(*PLACE, *BOUNDS)), ordered).select(*named, F.lit(False).alias("own"))
+        rows = own.union(total)
+        try:
+            # Intervals of an unordered source may be as many as its records.
+            self.folder.write(rows.coalesce(1) if ordered else rows, batch)
+        finally:
+            covered.unpersist()
 
     def check(self, batch: Batch, records: DataFrame, ordered: bool = False) -> None:
         """A recorded batch that comes again has to cover the same offsets."""
@@ -168,10 +211,11 @@ class Positions:
         if not (now.exceptAll(then).isEmpty() and then.exceptAll(now).isEmpty()):
             raise ValueError(f"batch {batch} covered other offsets before")
 
-    def compact(self, before: Batch | None = None) -> None:
+    def compact(self, before: Batch | None = None, ordered: bool = False) -> None:
         def merge(rows: DataFrame) -> DataFrame:
             last = rows.groupBy("generation").agg(F.max("batch").alias("__last"))
             kept = rows.join(F.broadcast(last), "generation").filter(F.col("own") | (F.col("batch") == F.col("__last")))
-            return kept.drop("__last").select(*rows.columns).coalesce(1)
+            kept = kept.drop("__last").select(*rows.columns)
+            return kept.coalesce(1) if ordered else kept
 
         self.folder.compact(merge, POSITION_SCHEMA, before)

@@ -24,7 +24,7 @@ from studytrail.operators import answers as A
 from studytrail.sources import celltables
 from studytrail.streaming.batches import Batch, BatchFolder, generation
 from studytrail.streaming.commits import CommitLog
-from studytrail.streaming.offsets import Positions, passed_over, unseen
+from studytrail.streaming.offsets import Positions, told_apart
 
 # Events are ordered by time; offsets of different partitions do not compare.
 PLACE_IN_TIME = "struct<timestamp:timestamp,partition:int,offset:bigint>"
@@ -87,21 +87,22 @@ class AnswerReport:
         if self.before is None:
             self.before = self.commits.last_of_each()
         records = records.persist()
-        applied = self.positions.after(self.before)
-        fresh = decode_answers(unseen(records, applied, self.ordered)).persist()
+        applied = self.positions.after(self.before, self.ordered)
+        told = told_apart(records, applied, self.ordered).persist()
+        fresh = decode_answers(told.filter("is_new")).persist()
         try:
             self.cells.write(A.question_cells(fresh, self.mode), batch)
             left_out = ~F.coalesce(A.is_counted(self.mode), F.lit(False))
             columns = ["topic", "partition", "offset", "key", "value"]
             rejected = fresh.filter(left_out).select(*columns, F.lit("rejected").alias("reason"))
-            again = passed_over(records, applied).select(*columns, F.lit("applied").alias("reason"))
+            again = told.filter("is_again").select(*columns, F.lit("applied").alias("reason"))
             self.aside.write(rejected.union(again), batch)
             self.positions.write(batch, records, applied, self.ordered)
             self.commits.add(batch, {f.root.rsplit("/", 1)[1]: f.name(batch) for f in self._folders()})
             self.before = [batch]
         finally:
-            fresh.unpersist()
-            records.unpersist()
+            for df in (fresh, told, records):
+                df.unpersist()
 
     def _folders(self) -> list[BatchFolder]:
         return [self.cells, self.aside, self.positions.folder]
@@ -125,7 +126,7 @@ class AnswerReport:
         that an earlier call folded, and whose folders are gone, are removed."""
         folded = set(self.commits.batches()).difference(*[f.stored() for f in self._folders()])
         self.aside.compact(lambda r: r, ASIDE_SCHEMA, before)
-        self.positions.compact(before)
+        self.positions.compact(before, self.ordered)
         end = self.cells.compact(lambda c: A.merge_cells(c, [*A.PAPER, "question_id"]), CELLS_SCHEMA, before)
         self.commits.forget(folded)
         return end

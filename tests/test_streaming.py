@@ -236,6 +236,59 @@ def test_applied_intervals_are_exact(spark, seed, monkeypatch):
     }
 
 
+def largest_share(df):
+    counts = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    return max(counts) / sum(counts)
+
+
+def test_no_task_takes_all_intervals_of_a_partition(spark, tmp_path, monkeypatch):
+    """One partition with gaps at every other offset: merged, and written, by several tasks."""
+    monkeypatch.setattr(offsets, "BUCKET", 16)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = [("k", "v", "t", 0, o, None) for o in [*range(0, 2000, 2), *range(501, 700, 2), 15, 15, 31]]
+        records = spark.createDataFrame(rows, topics.RECORD_SCHEMA)
+        covered = offsets.intervals_of(records)
+        assert largest_share(covered) < 0.6
+        held = {r[4] for r in rows}
+        spans = sorted((r.from_offset, r.until_offset) for r in covered.collect())
+        assert {o for a, b in spans for o in range(a, b)} == held
+        assert all(b[0] > a[1] for a, b in zip(spans, spans[1:]))
+        commits = CommitLog(spark, str(tmp_path))
+        positions = offsets.Positions(spark, f"{tmp_path}/positions", commits)
+        positions.write((0, 0), records, spark.createDataFrame([("t", 0, 1, 40)], INTERVALS))
+        commits.add((0, 0), {})
+        assert {o for r in positions.applied().collect() for o in range(r.from_offset, r.until_offset)} == held | set(range(40))
+        files = [spark.read.parquet(str(f)).count() for f in tmp_path.glob("positions/batch-0-0/*.parquet")]
+        assert max(files) < 0.6 * sum(files)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_records_are_told_apart_without_comparing_pairs(spark):
+    """60,000 records against 20,000 intervals of the same bucket, one sorted pass; a join of them
+    compares every pair."""
+    numbers = spark.range(60_000).select(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"))
+    applied = numbers.filter("offset % 3 = 1").select("topic", "partition", F.col("offset").alias("from_offset"), (F.col("offset") + 1).alias("until_offset"))
+    told = offsets.told_apart(numbers, applied)
+    assert told.filter("is_again").count() == 20_000 and told.filter("is_new and offset % 3 <> 1").count() == 40_000
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "Join" in line and "__b" in line] == []
+
+
+def test_records_without_a_place(spark):
+    """No interval holds a record without partition or offset; equal places count once."""
+    rows = [("k", "v", "t", p, o, None) for p, o in [(None, 5), (None, 5), (0, None), (0, None), (0, 5), (0, 6)]]
+    records = spark.createDataFrame(rows, topics.RECORD_SCHEMA)
+    applied = spark.createDataFrame([("t", None, 0, 9), ("t", 0, 0, 6)], INTERVALS)
+    place = lambda df: sorted(((r.partition, r.offset) for r in df.collect()), key=str)
+    assert place(offsets.unseen(records, applied)) == [(0, 6), (0, None), (None, 5)]
+    assert place(offsets.passed_over(records, applied)) == [(0, 5)]
+    ordered = offsets.unseen(records, applied, ordered=True)
+    assert place(ordered) == [(0, 6), (0, None), (0, None), (None, 5), (None, 5)]
+    assert place(offsets.passed_over(records, applied, ordered=True)) == [(0, 5)]
+
+
 def test_an_ordered_source_is_one_interval(spark):
     df = spark.createDataFrame([record(i) for i in range(6)], topics.RECORD_SCHEMA)
     got = {r.partition: (r.from_offset, r.until_offset) for r in offsets.intervals_of(df, ordered=True).collect()}
