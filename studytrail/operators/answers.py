@@ -201,17 +201,22 @@ def _merged_items(cells: DataFrame, question_point: DataFrame, keys: Sequence[st
     return merge_cells(report_items(cells, question_point), [*keys, "is_point", "item_id"], *carried)
 
 
+def _clean_report(cells: DataFrame, question_point: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Counts of distinct items per key. Only numbers are carried to the items, which are many times
+    the cells: such rows are aggregated by hash, those with places in the order of events by sorting."""
+    items = report_items(cells, question_point).groupBy(*keys, "is_point", "item_id")
+    return items.agg(F.sum("right").alias("right"), F.sum("wrong").alias("wrong")).groupBy(*keys).agg(*_clean_counts())
+
+
 def paper_summary(cells: DataFrame, question_point: DataFrame, paper_task: DataFrame, mode: str = "clean") -> DataFrame:
     """Report per (user, sitting) with accuracy, TaskID and CustomsID.
 
-    The task join goes before the last aggregate: rows partitioned by sitting are
+    compat joins the tasks before the last aggregate: rows partitioned by sitting are
     also partitioned for (user, sitting).
     """
     if mode == "clean":
-        items = with_tasks(_merged_items(cells, question_point, PAPER), paper_task)
-        report = items.groupBy(*PAPER).agg(
-            *_clean_counts(), *[F.max(c).alias(c) for c in ("task_id", "customs_id", "last_seq")]
-        )
+        heads = with_tasks(cells.groupBy(*PAPER).agg(F.max("last_seq").alias("last_seq")), paper_task)
+        report = _clean_report(cells, question_point, PAPER).join(heads, list(PAPER))
     else:
         items = with_tasks(_merged_items(cells, question_point, PAPER), paper_task)
         report = _compat_report(items, PAPER, "task_id", "customs_id")
@@ -237,10 +242,10 @@ def customs_summary(cells: DataFrame, question_point: DataFrame, paper_task: Dat
     """
     if mode == "clean":
         tagged = with_tasks(cells, paper_task).filter(F.col("customs_id") > 0)
-        items = _merged_items(tagged, question_point, CUSTOMS, "task_id")
-        report = items.groupBy(*CUSTOMS).agg(
-            *_clean_counts(), F.min_by("task_id", "first_seq").alias("task_id"), F.max("last_seq").alias("last_seq")
+        heads = tagged.groupBy(*CUSTOMS).agg(
+            F.min_by("task_id", "first_seq").alias("task_id"), F.max("last_seq").alias("last_seq")
         )
+        report = _clean_report(tagged, question_point, CUSTOMS).join(heads, list(CUSTOMS))
         return report.select(
             *CUSTOMS,
             *COUNTS,

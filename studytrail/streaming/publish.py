@@ -105,8 +105,8 @@ class Publisher:
             touched.select(F.col("user_id").alias("__learner")), column.eqNullSafe(F.col("__learner")), "left_semi"
         )
         cells = A.merge_cells(mine(stored, F.col("user_id")), [*A.PAPER, "question_id"]).persist()
-        points = question_points_of(celltables.current_cells(self.spark, self.points_path))
-        tasks = paper_tasks_of(celltables.current_cells(self.spark, self.tasks_path))
+        points = question_points_of(celltables.current_cells(self.spark, self.points_path)).persist()
+        tasks = paper_tasks_of(celltables.current_cells(self.spark, self.tasks_path)).persist()
         made = {
             "paper": A.paper_summary(cells, points, tasks, self.report.mode).persist(),
             "customs": A.customs_summary(cells, points, tasks, self.report.mode).persist(),
@@ -130,7 +130,7 @@ class Publisher:
             boards.unpersist()
             self.commits.add(number, upto)
         finally:
-            for df in (cells, *made.values(), *([touched] if touched is not None else [])):
+            for df in (cells, points, tasks, *made.values(), *([touched] if touched is not None else [])):
                 df.unpersist()
         return number
 

@@ -175,3 +175,22 @@ def test_compat_report_of_a_hot_key_has_no_window(spark):
     cells, _ = replay(rows)
     want = {key: tuple(int(c["s", n]) for n in A.COUNTS) for key, c in cells["customs"].items()}
     assert {(r.user_id, r.customs_id): tuple(r[n] for n in A.COUNTS) for r in made.collect()} == want
+
+
+def test_clean_items_are_aggregated_by_hash(spark):
+    """The items of a report are many times its answers; none of their aggregates may sort them."""
+    cells = spark.createDataFrame(
+        [(1, 10, q, 2, 1, 1, (None, 0, q), 1, (None, 0, 9 + q), 0) for q in (1, 2, 3)],
+        "user_id long, testpaper_user_id long, question_id long, attempts long, right long, wrong long, "
+        "first_seq struct<timestamp:timestamp,partition:int,offset:bigint>, first_right int, "
+        "last_seq struct<timestamp:timestamp,partition:int,offset:bigint>, last_right int",
+    )
+    points = spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "QuestionId long, PointId long")
+    tasks = spark.createDataFrame([(10, 3, 2)], "testPaper_user_id long, TaskID long, CustomsID long")
+    for make, key in ((A.paper_summary, "testpaper_user_id"), (A.customs_summary, "customs_id")):
+        report = make(cells, points, tasks)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+        assert not [x for x in plan.splitlines() if "SortAggregate" in x and "item_id" in x]
+        (row,) = report.collect()
+        assert (row.user_id, row[key], row.q_count, row.p_count) == (1, 10 if key != "customs_id" else 2, 3, 2)
+        assert (row.TaskID, row.CustomsID, row.last_seq.offset) == (3, 2, 12)
