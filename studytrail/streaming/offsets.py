@@ -1,6 +1,6 @@
 """Positions in a topic: where to resume, what a batch covered, what was applied.
 
-What was applied is a set of disjoint offset intervals per partition, merged by an aggregate.
+What was applied is a set of disjoint offset intervals per partition, merged by bucket of offsets.
 A source that keeps the order of offsets has one interval a partition; one that does not (files
 in any order) has as many as there are gaps, and a late record fills its gap and counts once.
 """
