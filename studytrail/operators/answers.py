@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from studytrail.functions.keys import count_text, join_key, key_long, positive, ratio
 
@@ -25,6 +26,9 @@ REQUIRED_OLDER = ("IsRight", "TestPaper_User_ID")
 PAPER = ("user_id", "testpaper_user_id")
 CUSTOMS = ("user_id", "customs_id")
 
+# Cells that one task turns into items.
+CELLS_PER_TASK = 200_000
+
 
 def is_valid(required: Sequence[str] = REQUIRED) -> Column:
     ok = F.lit(True)
@@ -146,6 +150,26 @@ def report_items(cells: DataFrame, question_point: DataFrame) -> DataFrame:
     )
 
 
+def _numbered(cells: DataFrame) -> DataFrame:
+    """Cells whose places in the order of events, if they are structs, are numbers of the same order.
+
+    A report's items are many times its cells, and rows with numbers are aggregated by hash, those
+    with structs by sorting. The cells are sorted once by each place, in ranges; no group has to
+    fit one task."""
+    if isinstance(cells.schema["first_seq"].dataType, StructType):
+        for place in ("first_seq", "last_seq"):
+            cells = cells.orderBy(place).withColumn(place, F.monotonically_increasing_id())
+    return cells
+
+
+def _with_places(report: DataFrame, cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """A report over numbered cells with the last place of each key instead of its number."""
+    if not isinstance(cells.schema["last_seq"].dataType, StructType):
+        return report
+    last = cells.groupBy(*keys).agg(F.max("last_seq").alias("last_seq"))
+    return report.drop("last_seq").join(last, list(keys))
+
+
 COUNTS = ("q_count", "q_r_count", "q_f_count", "p_count", "p_r_count", "p_f_count")
 
 
@@ -180,25 +204,44 @@ def _compat_report(items: DataFrame, keys: Sequence[str], *carried: str) -> Data
     right = F.max(F.when(~F.col("is_point"), F.col("last_right"))).alias("last_right")
     by_event = items.groupBy(*keys, "last_seq").agg(*total, *created, right, *[F.max(c).alias(c) for c in carried])
     names = [f"{letter}{share}" for letter, _ in letters for share, _ in shares]
-    last = F.struct("last_right", "q", "p", *[f"{n}_new" for n in names])
+    # One by one: a struct would have the rows sorted.
+    last = [F.max_by(n, "last_seq").alias(f"last_{n}") for n in ("q", "p", *[f"{n}_new" for n in names])]
     summed = by_event.groupBy(*keys).agg(
         *[F.sum(n).alias(n) for n in names],
-        F.max_by(last, "last_seq").alias("last"),
+        F.max_by("last_right", "last_seq").alias("last_right"),
+        *last,
         F.max("last_seq").alias("last_seq"),
         *[F.max(c).alias(c) for c in carried],
     )
-    is_right = (F.col("last.last_right") == 1).cast("bigint")
+    is_right = (F.col("last_right") == 1).cast("bigint")
     counters = []
     for letter, _ in letters:
         own = {"": F.lit(1), "_r": is_right, "_f": 1 - is_right}
         for share, _ in shares:
-            known = F.col(f"{letter}{share}") - F.col(f"last.{letter}{share}_new")
-            counters.append((known + own[share] * F.col(f"last.{letter}")).alias(f"{letter}{share}_count"))
+            known = F.col(f"{letter}{share}") - F.col(f"last_{letter}{share}_new")
+            counters.append((known + own[share] * F.col(f"last_{letter}")).alias(f"{letter}{share}_count"))
     return summed.select(*keys, *counters, "last_seq", *carried)
 
 
-def _merged_items(cells: DataFrame, question_point: DataFrame, keys: Sequence[str], *carried: str) -> DataFrame:
-    return merge_cells(report_items(cells, question_point), [*keys, "is_point", "item_id"], *carried)
+def _compat_items(cells: DataFrame, question_point: DataFrame, paper_task: DataFrame, rows: int | None) -> DataFrame:
+    """The merged items of each (user, sitting), with its task and customs: as ``report_items``, but the
+    points are joined as one array a question, and the cells are brought together by sitting before
+    they become items. Whoever aggregates items of a sitting moves none of them.
+
+    The size of the cells tells little about that of their items, so with ``rows``, the number of cells
+    or more, it sets the number of tasks."""
+    points = question_point.groupBy(F.col("QuestionId").cast("bigint").alias("question_id")).agg(
+        F.collect_set(F.col("PointId").cast("bigint")).alias("points")
+    )
+    tagged = with_tasks(_numbered(cells), paper_task).join(points, "question_id", "left")
+    by = "testpaper_user_id"
+    tagged = tagged.repartition(by) if rows is None else tagged.repartition(rows // CELLS_PER_TASK + 1, by)
+    none = F.array(F.lit(None).cast("bigint"))
+    every = F.explode(F.when(F.col("points").isNull(), none).otherwise(F.concat(none, "points"))).alias("point_id")
+    items = tagged.select("*", every).withColumns(
+        {"is_point": F.col("point_id").isNotNull(), "item_id": F.coalesce("point_id", "question_id")}
+    )
+    return merge_cells(items, [*PAPER, "task_id", "customs_id", "is_point", "item_id"])
 
 
 def _clean_report(cells: DataFrame, question_point: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -208,18 +251,20 @@ def _clean_report(cells: DataFrame, question_point: DataFrame, keys: Sequence[st
     return items.agg(F.sum("right").alias("right"), F.sum("wrong").alias("wrong")).groupBy(*keys).agg(*_clean_counts())
 
 
-def paper_summary(cells: DataFrame, question_point: DataFrame, paper_task: DataFrame, mode: str = "clean") -> DataFrame:
+def paper_summary(
+    cells: DataFrame, question_point: DataFrame, paper_task: DataFrame, mode: str = "clean", rows: int | None = None
+) -> DataFrame:
     """Report per (user, sitting) with accuracy, TaskID and CustomsID.
 
-    compat joins the tasks before the last aggregate: rows partitioned by sitting are
-    also partitioned for (user, sitting).
+    compat joins the tasks to the cells: rows partitioned by sitting are also partitioned
+    for (user, sitting). ``rows`` is the number of cells or more, where it is known.
     """
     if mode == "clean":
         heads = with_tasks(cells.groupBy(*PAPER).agg(F.max("last_seq").alias("last_seq")), paper_task)
         report = _clean_report(cells, question_point, PAPER).join(heads, list(PAPER))
     else:
-        items = with_tasks(_merged_items(cells, question_point, PAPER), paper_task)
-        report = _compat_report(items, PAPER, "task_id", "customs_id")
+        items = _compat_items(cells, question_point, paper_task, rows)
+        report = _with_places(_compat_report(items, PAPER, "task_id", "customs_id"), cells, PAPER)
     return report.select(
         *PAPER,
         *COUNTS,
@@ -234,11 +279,14 @@ def _accuracy() -> Column:
     return ratio(F.col("q_r_count"), F.col("q_count")).alias("accuracy")
 
 
-def customs_summary(cells: DataFrame, question_point: DataFrame, paper_task: DataFrame, mode: str = "clean") -> DataFrame:
+def customs_summary(
+    cells: DataFrame, question_point: DataFrame, paper_task: DataFrame, mode: str = "clean", rows: int | None = None
+) -> DataFrame:
     """Report per (user, customs).
 
     compat adds the counters of the paper the last event belongs to, because the
     original never resets them between its two updates, and has no business ids.
+    ``rows`` is the number of cells or more, where it is known.
     """
     if mode == "clean":
         tagged = with_tasks(cells, paper_task).filter(F.col("customs_id") > 0)
@@ -258,17 +306,18 @@ def customs_summary(cells: DataFrame, question_point: DataFrame, paper_task: Dat
     # One report over both scopes gives the customs' own counters and those of each sitting, of
     # which the last one's are carried over.
     item = ["is_point", "item_id"]
-    sittings = with_tasks(_merged_items(cells, question_point, PAPER), paper_task).filter(F.col("customs_id") > 0)
+    sittings = _compat_items(cells, question_point, paper_task, rows).filter(F.col("customs_id") > 0)
     scope = F.explode(F.array(F.col("testpaper_user_id"), F.lit(None).cast("bigint"))).alias("scope")
     scoped = merge_cells(sittings.select("*", scope), [*CUSTOMS, "scope", *item])
     reports = _compat_report(scoped, [*CUSTOMS, "scope"])
     whole = F.col("scope").isNull()
     both = reports.groupBy(*CUSTOMS).agg(
         *[F.max(F.when(whole, F.col(c))).alias(c) for c in COUNTS],
-        F.max_by(F.struct(*COUNTS), F.when(~whole, F.col("last_seq"))).alias("paper"),
+        *[F.max_by(c, F.when(~whole, F.col("last_seq"))).alias(f"paper_{c}") for c in COUNTS],
         F.max("last_seq").alias("last_seq"),
     )
-    summed = both.select(*CUSTOMS, *[(F.col(c) + F.col(f"paper.{c}")).alias(c) for c in COUNTS], "last_seq")
+    summed = both.select(*CUSTOMS, *[(F.col(c) + F.col(f"paper_{c}")).alias(c) for c in COUNTS], "last_seq")
+    summed = _with_places(summed, with_tasks(cells, paper_task).filter(F.col("customs_id") > 0), CUSTOMS)
     return summed.select(*CUSTOMS, *COUNTS, _accuracy(), "last_seq")
 
 

@@ -107,9 +107,10 @@ class Publisher:
         cells = A.merge_cells(mine(stored, F.col("user_id")), [*A.PAPER, "question_id"]).persist()
         points = question_points_of(celltables.current_cells(self.spark, self.points_path)).persist()
         tasks = paper_tasks_of(celltables.current_cells(self.spark, self.tasks_path)).persist()
+        rows = self.report.stored_rows()
         made = {
-            "paper": A.paper_summary(cells, points, tasks, self.report.mode).persist(),
-            "customs": A.customs_summary(cells, points, tasks, self.report.mode).persist(),
+            "paper": A.paper_summary(cells, points, tasks, self.report.mode, rows).persist(),
+            "customs": A.customs_summary(cells, points, tasks, self.report.mode, rows).persist(),
         }
         version = F.lit(number[1]).cast("bigint")
         try:

@@ -131,11 +131,15 @@ class AnswerReport:
         self.commits.forget(folded)
         return end
 
+    def stored_rows(self) -> int | None:
+        """Rows the batches hold, as their files state them; only compat reports ask."""
+        return self.cells.read(CELLS_SCHEMA).count() if self.mode == "compat" else None
+
     def papers(self, question_point: DataFrame, paper_task: DataFrame) -> DataFrame:
-        return A.paper_summary(self.question_cells(), question_point, paper_task, self.mode)
+        return A.paper_summary(self.question_cells(), question_point, paper_task, self.mode, self.stored_rows())
 
     def customs(self, question_point: DataFrame, paper_task: DataFrame) -> DataFrame:
-        return A.customs_summary(self.question_cells(), question_point, paper_task, self.mode)
+        return A.customs_summary(self.question_cells(), question_point, paper_task, self.mode, self.stored_rows())
 
 
 def question_point_cells(records: DataFrame) -> DataFrame:

@@ -194,3 +194,30 @@ def test_clean_items_are_aggregated_by_hash(spark):
         (row,) = report.collect()
         assert (row.user_id, row[key], row.q_count, row.p_count) == (1, 10 if key != "customs_id" else 2, 3, 2)
         assert (row.TaskID, row.CustomsID, row.last_seq.offset) == (3, 2, 12)
+
+
+def test_compat_items_with_places_are_aggregated_by_hash(spark):
+    """The reports of a stream, whose places are structs, against the replay; no aggregate sorts the
+    items, and the number of tasks follows that of the cells. Times are equal or null here and there."""
+    rng = random.Random(21)
+    rows = make(rng, 300, (0, 1, None, 2))
+    df = spark.createDataFrame(rows, ANSWERS).repartition(3)
+    moment = F.when(F.col("log_offset") >= 20, F.timestamp_seconds((F.col("log_offset") / 7).cast("bigint")))
+    place = F.struct(moment.alias("timestamp"), F.lit(0).alias("partition"), F.col("log_offset").alias("offset"))
+    cells = A.question_cells(df.withColumn("log_offset", place), "compat")
+    points = spark.createDataFrame(POINTS + POINTS[:2], "QuestionId long, PointId long")
+    tasks = spark.createDataFrame(TASKS, "testPaper_user_id long, TaskID long, CustomsID long")
+    store, _ = replay(rows)
+    last = {}
+    for offset, sitting, _, user, right in rows:
+        if right is not None:
+            customs = tasks_of(sitting)[1]
+            last["paper", (user, sitting)] = last["customs", (user, customs)] = offset
+    for make_report, keys, kind in ((A.paper_summary, A.PAPER, "paper"), (A.customs_summary, A.CUSTOMS, "customs")):
+        for count in (None, 3 * A.CELLS_PER_TASK):
+            report = make_report(cells, points, tasks, "compat", count)
+            plan = report._jdf.queryExecution().executedPlan().toString()
+            assert not [x for x in plan.splitlines() if "SortAggregate" in x and ("item_id" in x or "attempts" in x and "is_point" in x)]
+            assert count is None or ", 4), REPARTITION_BY_NUM" in plan
+            got = {tuple(r[k] for k in keys): ([r[c] for c in A.COUNTS], r.last_seq.offset) for r in report.collect()}
+            assert got == {k: ([c[("s", n)] for n in A.COUNTS], last[kind, k]) for k, c in store[kind].items()}
