@@ -20,7 +20,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +68,7 @@ class PieceCoder:
             elif not model.is_control(i):
                 self.surfaces[i] = name.replace(SPACE_MARK, " ").encode()
                 names[name], scores[i] = i, model.get_score(i)
+        self.stored = pa.array(self.surfaces, pa.large_binary())
         self.control = np.array([model.is_control(i) for i in range(size)])
         self.marked = np.zeros(size, bool)
         self.marked[[i for name, i in names.items() if name.startswith(SPACE_MARK)]] = True
@@ -233,26 +234,60 @@ class PieceCoder:
             if len(p) > IN_STEP:
                 self.young[p] = self._ids(p, self.by_heap(p))
 
+    def cut(self, texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """The normalised texts, cut where no piece has the two characters next to each other: the
+        parts of all texts in order, and the number of the first part of each text, with that of all."""
+        normal = [self.library.normalize(t) for t in texts]
+        ends = np.cumsum([len(t) for t in normal])
+        whole = "".join(normal)
+        if not whole:
+            return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+        kind = self.class_of[np.frombuffer(whole.encode("utf-32-le"), np.uint32)]
+        beside = np.multiply(kind[:-1], self.width, dtype=np.int64)
+        beside += kind[1:]
+        apart = ~self.joined[beside]
+        # Parts do not reach from text to text.
+        apart[ends[(ends > 0) & (ends < len(whole))] - 1] = True
+        cuts = np.flatnonzero(apart) + 1
+        first = np.searchsorted(np.append(cuts, len(whole)), np.append(0, ends), "right")
+        stored = np.frombuffer(whole.encode(), np.uint8)
+        # Characters begin at the bytes that do not go on with one.
+        begins = np.flatnonzero((stored & 0xC0) != 0x80)
+        edges = np.concatenate([[0], begins[cuts], [len(stored)]]).astype(np.int64)
+        return pa.LargeStringArray.from_buffers(len(edges) - 1, pa.py_buffer(edges), pa.py_buffer(stored)), first
+
     def parts(self, text: str) -> list[str]:
-        """The normalised text, cut where no piece has the two characters next to each other."""
-        text = self.library.normalize(text)
-        kind = self.class_of[np.frombuffer(text.encode("utf-32-le"), np.uint32)].astype(np.int64)
-        cuts = (np.flatnonzero(~self.joined[kind[:-1] * self.width + kind[1:]]) + 1).tolist()
-        return [text[a:b] for a, b in zip([0, *cuts], [*cuts, len(text)])] if text else []
+        """The parts of one text."""
+        return self.cut([text])[0].to_pylist()
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each whole text, without the end id."""
-        cut = [self.parts(t) for t in texts]
-        wanted = dict.fromkeys(chain.from_iterable(cut))
+    def _known(self, parts: list[str]) -> list[bytes]:
+        """Ids of different parts, remembered or learnt."""
+        known = list(map(self.young.get, parts))
+        absent = [i for i, ids in enumerate(known) if ids is None]
         missing = []
-        for p in wanted:
-            if p not in self.young:
-                if (known := self.old.get(p)) is not None:
-                    self.young[p] = known
-                else:
-                    missing.append(p)
+        for i in absent:
+            if (ids := self.old.get(parts[i])) is not None:
+                self.young[parts[i]] = ids
+            else:
+                missing.append(parts[i])
         self._learn(missing)
-        found = [np.frombuffer(b"".join(map(self.young.__getitem__, parts)), np.int32) for parts in cut]
+        for i in absent:
+            known[i] = self.young[parts[i]]
+        return known
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each whole text, without the end id."""
+        parts, first = self.cut(texts)
+        coded = parts.dictionary_encode()
+        known = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        # The ids of the different parts, laid out as the parts follow each other.
+        sizes = np.array([len(ids) for ids in known], np.int64) // 4
+        of = coded.indices.to_numpy()
+        counts = sizes[of]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        shift = (np.cumsum(sizes) - sizes)[of] - ends[:-1]
+        ids = np.frombuffer(b"".join(known), np.int32)[np.repeat(shift, counts) + np.arange(ends[-1])]
+        found = [ids[a:b] for a, b in pairwise(ends[first].tolist())]
         if len(self.young) > self.remembered:
             self.old, self.young = self.young, {}
         if not self.has_bytes:
@@ -274,6 +309,20 @@ class PieceCoder:
         seen = ids[~control]
         return text[1:] if len(seen) and self.marked[seen[0]] else text
 
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """Texts of many runs of ids that lie one behind the other, as ``decode`` gives each."""
+        edges = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        first, last = edges[:-1][counts > 0], edges[1:][counts > 0] - 1
+        marked = np.zeros(len(counts), bool)
+        marked[counts > 0] = self.marked[ids[first]]
+        inside = self.control[ids]
+        inside[last] = False
+        joined = pc.binary_join(pa.LargeListArray.from_arrays(edges, self.stored.take(pa.array(ids))), pa.scalar(b"", pa.large_binary()))
+        texts = [b.decode("utf-8", "each_byte")[m:] for b, m in zip(joined.to_pylist(), marked.tolist())]
+        for k in np.unique(np.searchsorted(edges, np.flatnonzero(inside), "right") - 1).tolist():
+            texts[k] = self.decode(ids[edges[k] : edges[k + 1]])
+        return texts
+
 
 @lru_cache(maxsize=2)
 def coder(path: str) -> PieceCoder:
@@ -298,6 +347,11 @@ def lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(edges, np.concatenate([np.empty(0, np.int32), *arrays]).astype(np.int32))
 
 
+def runs_of(ids: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows one behind the other, and how many each row has; null has none."""
+    return ids.flatten().to_numpy(), pc.fill_null(pc.list_value_length(ids), 0).to_numpy()
+
+
 ENCODED = "doc_id long, ids array<int>, agreed boolean"
 
 
@@ -322,13 +376,13 @@ def encoded(docs: DataFrame, model: str, checked: bool = True, decode: bool = Fa
                 if checked:
                     for i, text in enumerate(texts):
                         ids = known.library.encode(text)
-                        agreed[i] = ids == found[i].tolist()
+                        agreed[i] = array("i", ids).tobytes() == found[i].tobytes()
                         if not agreed[i]:
                             found[i] = np.array(ids, np.int32)
-                found = [np.concatenate([f, end]) for f in found]
-                columns = {"doc_id": batch.column(0).slice(at, len(texts)), "ids": lists(found), "agreed": pa.array(agreed, pa.bool_())}
+                ended = lists([np.concatenate([f, end]) for f in found])
+                columns = {"doc_id": batch.column(0).slice(at, len(texts)), "ids": ended, "agreed": pa.array(agreed, pa.bool_())}
                 if decode:
-                    columns["text"] = pa.array([known.decode(f) for f in found], pa.string())
+                    columns["text"] = pa.array(known.decode_all(*runs_of(ended)), pa.string())
                 yield pa.RecordBatch.from_pydict(columns)
                 at += len(texts)
 
@@ -343,11 +397,10 @@ def decoded(tokens: DataFrame, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = coder(model)
-        none = np.empty(0, np.int32)
         for batch in batches:
             for at in range(0, len(batch), 256):
                 some = batch.slice(at, 256)
-                texts = [known.decode(row.values.to_numpy() if row.is_valid else none) for row in some.column(1)]
+                texts = known.decode_all(*runs_of(some.column(1)))
                 yield pa.RecordBatch.from_arrays([*some.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "agreed", "text"])
 
     return tokens.select("doc_id", "ids", "agreed").mapInArrow(run, ENCODED + ", text string")

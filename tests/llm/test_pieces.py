@@ -43,6 +43,41 @@ def test_parts_are_independent(coder):
     assert len(coder.parts(text)) > 8
 
 
+def test_texts_of_a_run_do_not_join(coder):
+    """The ends of neighbouring texts would be one piece; empty texts on both sides."""
+    for texts in ([], [""], ["", "", "the"], ["", "a", "", "nd", "", ""], ["th", "e", "漢", "😀", "", "字"], random_texts(7, 300)):
+        assert [ids.tolist() for ids in coder.encode(texts)] == coder.library.encode(texts)
+        parts, first = coder.cut(texts)
+        assert first.tolist() == np.cumsum([0, *[len(coder.parts(t)) for t in texts]]).tolist()
+        assert parts.to_pylist() == [p for t in texts for p in coder.parts(t)]
+
+
+def test_each_different_part_of_a_run_is_looked_up_once():
+    """However often a part stands in the texts, a run asks for it a fixed number of times."""
+
+    class Counted(dict):
+        asked = 0
+
+        def get(self, *key):
+            self.asked += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            self.asked += 1
+            return super().__contains__(key)
+
+    model = pieces.PieceCoder(MODEL)
+    model.young = young = Counted()
+    texts = ["the cat and the dog " * 200] * 3
+    different = len({p for t in texts for p in model.parts(t)})
+    assert [ids.tolist() for ids in model.encode(texts)] == model.library.encode(texts)
+    assert young.asked <= 2 * different
+
+
 def test_few_remembered_parts():
     small = pieces.PieceCoder(MODEL, remembered=3)
     for texts in (["one two three four five"], ["two six"], ["one two three"], ["seven"]):
@@ -58,6 +93,22 @@ def test_any_ids_decode_as_the_library_does(coder):
         assert coder.decode(np.array(ids, np.int32)) == coder.library.decode(ids), ids
 
 
+def test_runs_of_ids_decode_as_one_by_one(coder):
+    r = random.Random(8)
+    pick = lambda: r.choice([0, 1, 2, r.randrange(3, 259), r.randrange(3, 259), r.randrange(259, 32_000), 28_705, 259])
+    for n in (0, 1, 3, 500):
+        many = [np.array([pick() for _ in range(r.randrange(8))], np.int32) for _ in range(n)]
+        flat = np.concatenate([np.empty(0, np.int32), *many])
+        got = coder.decode_all(flat, np.array([len(ids) for ids in many], np.int32))
+        assert got == [coder.decode(ids) for ids in many] == [coder.library.decode(ids.tolist()) for ids in many]
+
+
+def test_runs_of_null_empty_and_sliced_lists():
+    lists = pa.array([[9], [1, 2], None, [], [3]], pa.list_(pa.int32()))
+    ids, counts = pieces.runs_of(lists.slice(1))
+    assert (ids.tolist(), counts.tolist()) == ([1, 2, 3], [2, 0, 0, 1])
+
+
 def test_rows(make_docs):
     texts = [None, "", "Hello wörld", "Hello wörld", " two  spaces ", "漢字 \x00 ▁", "x" * 5000, *random_texts(5, 60)]
     rows = [(i, t) for i, t in enumerate(texts)] + [(None, "no id"), (2, "Hello wörld")]
