@@ -244,11 +244,13 @@ def _compat_items(cells: DataFrame, question_point: DataFrame, paper_task: DataF
     return merge_cells(items, [*PAPER, "task_id", "customs_id", "is_point", "item_id"])
 
 
-def _clean_report(cells: DataFrame, question_point: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _clean_report(cells: DataFrame, question_point: DataFrame, keys: Sequence[str], *heads: Column) -> DataFrame:
     """Counts of distinct items per key. Only numbers are carried to the items, which are many times
-    the cells: such rows are aggregated by hash, those with places in the order of events by sorting."""
+    the cells: such rows are aggregated by hash, those with structs as places in the order of events by
+    sorting. ``heads`` are aggregates of numbers that go with the items, so the cells are read once."""
     items = report_items(cells, question_point).groupBy(*keys, "is_point", "item_id")
-    return items.agg(F.sum("right").alias("right"), F.sum("wrong").alias("wrong")).groupBy(*keys).agg(*_clean_counts())
+    merged = items.agg(F.sum("right").alias("right"), F.sum("wrong").alias("wrong"), *heads)
+    return merged.groupBy(*keys).agg(*_clean_counts(), *heads)
 
 
 def paper_summary(
@@ -260,8 +262,12 @@ def paper_summary(
     for (user, sitting). ``rows`` is the number of cells or more, where it is known.
     """
     if mode == "clean":
-        heads = with_tasks(cells.groupBy(*PAPER).agg(F.max("last_seq").alias("last_seq")), paper_task)
-        report = _clean_report(cells, question_point, PAPER).join(heads, list(PAPER))
+        last = F.max("last_seq").alias("last_seq")
+        if isinstance(cells.schema["last_seq"].dataType, StructType):
+            heads = with_tasks(cells.groupBy(*PAPER).agg(last), paper_task)
+            report = _clean_report(cells, question_point, PAPER).join(heads, list(PAPER))
+        else:
+            report = with_tasks(_clean_report(cells, question_point, PAPER, last), paper_task)
     else:
         items = _compat_items(cells, question_point, paper_task, rows)
         report = _with_places(_compat_report(items, PAPER, "task_id", "customs_id"), cells, PAPER)
@@ -290,10 +296,13 @@ def customs_summary(
     """
     if mode == "clean":
         tagged = with_tasks(cells, paper_task).filter(F.col("customs_id") > 0)
-        heads = tagged.groupBy(*CUSTOMS).agg(
-            F.min_by("task_id", "first_seq").alias("task_id"), F.max("last_seq").alias("last_seq")
-        )
-        report = _clean_report(tagged, question_point, CUSTOMS).join(heads, list(CUSTOMS))
+        heads = [F.min_by("task_id", "first_seq").alias("task_id"), F.max("last_seq").alias("last_seq")]
+        if isinstance(cells.schema["last_seq"].dataType, StructType):
+            report = _clean_report(tagged, question_point, CUSTOMS)
+            report = report.join(tagged.groupBy(*CUSTOMS).agg(*heads), list(CUSTOMS))
+        else:
+            first = F.min("first_seq").alias("first_seq")
+            report = _clean_report(tagged, question_point, CUSTOMS, first, *heads)
         return report.select(
             *CUSTOMS,
             *COUNTS,
